@@ -25,6 +25,14 @@ def event_kpis(reg: DataFrame, by=BY) -> DataFrame:
     role, exp, goals = F.col("role"), F.col("experience"), F.col("session_goals")
     q, topic, status = F.col("speaker_q"), F.col("future_topics"), F.col("attendee_status")
     topic_t = strip_ws(topic)
+    tickets = F.array_join(F.sort_array(F.collect_set("ticket_type")), ", ")
+    att = F.count_if(F.coalesce(strip_ws(status) == K.ATTENDING, F.lit(False)))
+    if "has_ticket_type" in reg.columns:
+        # Exports read from CSV say whether a column exists at all: an absent
+        # ticket column reads as general admission, an absent status column
+        # counts everyone as attending.
+        tickets = F.when(F.bool_or("has_ticket_type"), tickets).otherwise(F.lit(K.DEFAULT_TICKET_TYPES))
+        att = F.when(F.bool_or("has_attendee_status"), att).otherwise(F.count(F.lit(1)))
     return reg.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(role.isNotNull() & (part_count(role) > 1)).alias("multi_role"),
@@ -36,9 +44,9 @@ def event_kpis(reg: DataFrame, by=BY) -> DataFrame:
         F.count_if(~is_blank(topic) & is_filler(topic)).alias("topic_filler_raw"),
         F.coalesce(F.bool_or(F.when(~is_blank(topic), topic_t.contains("|"))), F.lit(False))
         .alias("topic_has_pipe"),
-        F.array_join(F.sort_array(F.collect_set("ticket_type")), ", ").alias("ticket_types"),
+        tickets.alias("ticket_types"),
         F.coalesce(F.sum("total_paid"), F.lit(0)).cast("decimal(38,2)").alias("total_paid"),
-        F.count_if(F.coalesce(strip_ws(status) == K.ATTENDING, F.lit(False))).alias("attending"),
+        att.alias("attending"),
     )
 
 

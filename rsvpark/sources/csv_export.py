@@ -62,41 +62,40 @@ def slug_collisions(regs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def list_csv_files(spark: SparkSession, path: str) -> list[str]:
-    """CSV files under ``path`` (a file or a folder), as URIs."""
+    """CSV files under ``path`` (a file or a folder), as plain path strings."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     st = fs.getFileStatus(p)
     if not st.isDirectory():
-        return [st.getPath().toUri().toString()]
+        return [st.getPath().toString()]
     out = []
     for s in fs.listStatus(p):
         name = s.getPath().getName()
         if s.isFile() and name.lower().endswith(".csv") and not name.startswith((".", "_")):
-            out.append(s.getPath().toUri().toString())
+            out.append(s.getPath().toString())
     return sorted(out)
 
 
-def _first_record(spark: SparkSession, uri: str, limit: int = 1 << 20) -> list[str]:
-    """Parse the header record (only the first bytes of the file are read)."""
+def _first_record(spark: SparkSession, path: str, max_lines: int = 10_000) -> list[str]:
+    """Parse the header record; only its first line(s) are read from the file."""
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    p = jvm.org.apache.hadoop.fs.Path(path)
     stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    lines: list[str] = []
     try:
-        buf = bytearray()
-        chunk = spark.sparkContext._gateway.new_array(jvm.byte, 65536)
-        while len(buf) < limit:
-            n = stream.read(chunk)
-            if n <= 0:
+        while len(lines) < max_lines:
+            line = reader.readLine()
+            if line is None:
                 break
-            buf.extend(bytes(chunk)[:n])
-            if b"\n" in buf and buf.count(b'"') % 2 == 0:
+            lines.append(line)
+            if "\n".join(lines).count('"') % 2 == 0:   # a quoted header may span lines
                 break
     finally:
-        stream.close()
-    text = bytes(buf).decode("utf-8-sig", errors="replace")
-    rows = csv.reader(io.StringIO(text))
-    return next(rows, [])
+        reader.close()
+    text = "\n".join(lines).lstrip("\ufeff")
+    return next(csv.reader(io.StringIO(text)), [])
 
 
 def read_headers(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -119,7 +118,7 @@ def column_map(headers: DataFrame, overrides: dict[str, str] | None = None) -> D
     """
     spark = headers.sparkSession
     hints = F.broadcast(hints_table(spark))
-    m = (headers.join(hints, F.lower(headers.header).contains(hints.hint))
+    m = (headers.join(hints, F.lower(headers["header"]).contains(hints["hint"]))
          .groupBy("file_path", "key")
          .agg(F.min_by(F.struct("header", "pos"), F.struct("hint_ord", "pos")).alias("hit"))
          .select("file_path", "key", F.col("hit.header").alias("header"), F.col("hit.pos").alias("pos")))
@@ -197,7 +196,7 @@ def read_layout(spark: SparkSession, files: list[str], n_cols: int, key_pos: dic
     return out.select(*REG_COLUMNS, "source_file", *flags)
 
 
-def read_exports(spark: SparkSession, path: str, overrides: dict[str, str] | None = None,
+def read_exports(spark: SparkSession, path: str | list[str], overrides: dict[str, str] | None = None,
                  on_long_row: str = "fail") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read every export under ``path``.
 
@@ -205,7 +204,7 @@ def read_exports(spark: SparkSession, path: str, overrides: dict[str, str] | Non
     ``source_file`` and ``has_<key>`` flags (an absent column is not the same
     as an all-null one: see ticket types and attending).
     """
-    files = list_csv_files(spark, path)
+    files = sorted(path) if isinstance(path, list) else list_csv_files(spark, path)
     if not files:
         raise FileNotFoundError(path)
     headers = read_headers(spark, files)
