@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rsvpark.operators.themes import TOKEN_RE
+from rsvpark.session import materialize
 
 G = ["event_id", "key"]
 BANDS = 8
@@ -41,13 +42,13 @@ def connected_components(members: DataFrame) -> DataFrame:
     longest chain of linked answers.
     """
     bk = G + ["band", "bucket"]
-    members = members.repartition(*G, "row_id").checkpoint()
-    labels = members.select(*G, "row_id").distinct().withColumn("label", F.col("row_id")).checkpoint()
+    members = materialize(members, "members")
+    labels = materialize(members.select(*G, "row_id").distinct().withColumn("label", F.col("row_id")), "labels")
     while True:
         bucket_min = (members.join(labels, G + ["row_id"])
                       .groupBy(*bk).agg(F.min("label").alias("bl")))
-        new = (members.join(bucket_min, bk).groupBy(*G, "row_id").agg(F.min("bl").alias("label"))
-               .checkpoint())
+        new = materialize(members.join(bucket_min, bk).groupBy(*G, "row_id").agg(F.min("bl").alias("label")),
+                          "labels")
         changed = (new.join(labels.withColumnRenamed("label", "old"), G + ["row_id"])
                    .where(F.col("label") < F.col("old")).limit(1).count())
         labels = new

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from rsvpark import constants as K
 from rsvpark.functions.fmt import rank_text
 from rsvpark.functions.text import html_escape, is_blank, is_filler, strip_ws
+from rsvpark.session import bucketed, materialize
 from rsvpark.sources.schema import THEME_FILE
 
 G = ["event_id", "key"]
@@ -72,10 +73,9 @@ def tfidf(answers: DataFrame) -> DataFrame:
     return w.join(norm, G + ["row_id"]).select(*G, "row_id", "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def _normalise(c: DataFrame) -> DataFrame:
-    """Centroid rows ``(g, cid, term, cw)`` scaled to unit length."""
-    norm = c.groupBy(*G, "cid").agg(F.sqrt(F.sum(F.col("cw") * F.col("cw"))).alias("cn"))
-    return c.join(norm, G + ["cid"]).select(*G, "cid", "term", (F.col("cw") / F.col("cn")).alias("cw"))
+def _norms(cent: DataFrame) -> DataFrame:
+    """Length of every centroid, ``(g, cid, cn)``: one row per theme."""
+    return cent.groupBy(*G, "cid").agg(F.sqrt(F.sum(F.col("cw") * F.col("cw"))).alias("cn"))
 
 
 def _seeds(points: DataFrame, k: int) -> DataFrame:
@@ -86,12 +86,18 @@ def _seeds(points: DataFrame, k: int) -> DataFrame:
             .agg(F.min_by("row_id", h).alias("row_id")))
 
 
-def _assign(points: DataFrame, cent: DataFrame) -> DataFrame:
-    """Best centroid per answer (cosine = dot product of unit vectors)."""
-    n = cent.count()  # cheap: centroids are checkpointed
-    c = F.broadcast(cent) if n <= BROADCAST_MAX_ROWS else cent
-    s = (points.join(c, G + ["term"])
-         .groupBy(*G, "row_id", "cid").agg(F.sum(F.col("w") * F.col("cw")).alias("score")))
+def _assign(points: DataFrame, cent: DataFrame, broadcast_ok: bool) -> DataFrame:
+    """Best centroid per answer by cosine similarity.
+
+    ``points`` is bucketed by answer; with the centroid table broadcast the
+    dot products and the arg-max run inside those buckets without a shuffle.
+    """
+    c = F.broadcast(cent) if broadcast_ok else cent
+    norms = _norms(cent)
+    n = F.broadcast(norms) if broadcast_ok else norms
+    dots = (points.join(c, G + ["term"])
+            .groupBy(*G, "row_id", "cid").agg(F.sum(F.col("w") * F.col("cw")).alias("dot")))
+    s = dots.join(n, G + ["cid"]).select(*G, "row_id", "cid", (F.col("dot") / F.col("cn")).alias("score"))
     best = s.groupBy(*G, "row_id").agg(F.max(F.struct("score", (-F.col("cid")).alias("neg"))).alias("b"))
     return best.select(*G, "row_id", (-F.col("b.neg")).alias("cid"), F.col("b.score").alias("score"))
 
@@ -99,20 +105,23 @@ def _assign(points: DataFrame, cent: DataFrame) -> DataFrame:
 def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS) -> tuple[DataFrame, DataFrame]:
     """Spherical k-means for every (event, key) group at once.
 
-    Returns ``(assignments(g, row_id, cid, score), centroids(g, cid, term, cw))``.
+    Returns ``(assignments(g, row_id, cid, score), centroids(g, cid, term, cw))``
+    (centroids are sums of member vectors; scores divide by their length).
+    The centroid table has at most k rows per (group, kept term); that bound
+    is counted once and decides between a broadcast and a shuffle join.
     """
-    points = points.repartition(*G, "row_id").checkpoint()
+    points = bucketed(points, [*G, "row_id"], "points")
+    vocab = points.select(*G, "term").distinct().count()
+    broadcast_ok = k * vocab <= BROADCAST_MAX_ROWS
     seeds = _seeds(points, k)
-    cent = _normalise(points.join(seeds, G + ["row_id"])
-                      .select(*G, "cid", "term", F.col("w").alias("cw"))).checkpoint()
-    assign = None
+    cent = materialize(points.join(seeds, G + ["row_id"]).select(*G, "cid", "term", F.col("w").alias("cw")),
+                       "centroids")
     for _ in range(iterations):
-        assign = _assign(points, cent).checkpoint()
+        assign = _assign(points, cent, broadcast_ok)
         moved = (points.join(assign.select(*G, "row_id", "cid"), G + ["row_id"])
                  .groupBy(*G, "cid", "term").agg(F.sum("w").alias("cw")))
-        cent = _normalise(moved).checkpoint()
-    assign = _assign(points, cent).checkpoint()
-    return assign, cent
+        cent = materialize(moved, "centroids")
+    return materialize(_assign(points, cent, broadcast_ok), "assign"), cent
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], payload: list[str], n: int) -> DataFrame:

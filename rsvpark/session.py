@@ -74,3 +74,29 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 def env_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
+
+
+def materialize(df, tag: str = "work"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back (one computation, survives executor loss)."""
+    import uuid
+    spark = df.sparkSession
+    path = shared_path(spark, "rsvpark-work", f"{tag}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None):
+    """Write ``df`` as a bucketed table under the shared checkpoint folder.
+
+    Reads of the table know the hash layout on ``keys``, so later joins and
+    aggregations on those keys (or a superset of them) need no shuffle.
+    """
+    import uuid
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"rsvpark_{tag}_{uuid.uuid4().hex[:12]}"
+    path = shared_path(spark, "rsvpark-work", name)
+    (df.repartition(n, *keys).write.bucketBy(n, *keys).mode("overwrite")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)

@@ -92,10 +92,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def land_reg(spark: SparkSession, sf_dir: str) -> str:
+def land_reg(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Write the registrations table once per source version; return its path."""
     out = shared_path(spark, "rsvpark-landing", f"reg-{_signature(spark, sf_dir)}")
-    if not _exists(spark, out + "/_SUCCESS"):
+    if force or not _exists(spark, out + "/_SUCCESS"):
         # No extra shuffle: each join task writes one file per event it holds.
         (build_reg(spark, sf_dir)
          .write.mode("overwrite").partitionBy("event_id").parquet(out))
