@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rsvpark import constants as K
 from rsvpark.functions.fmt import rank_text
@@ -224,18 +225,26 @@ def strip_fence(text: Column | str) -> Column:
 
 def parse_theme_json(text: Column | str, strict: bool = False) -> Column:
     """Theme-file struct; a bad document gives empty lists (or fails in strict mode)."""
-    parsed = F.from_json(strip_fence(text), THEME_FILE, {"mode": "PERMISSIVE"})
-    if strict:
-        return F.when(parsed.isNull(), F.raise_error(F.lit("theme file is not valid JSON"))).otherwise(parsed)
+    schema = T.StructType(THEME_FILE.fields + [T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(strip_fence(text), schema,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    bad = parsed.isNull() | parsed["_corrupt"].isNotNull()
     empty = F.array().cast("array<struct<title:string,count:int,quotes:array<string>>>")
-    return F.struct(
-        F.coalesce(parsed["speaker_question_clusters"], empty).alias("speaker_question_clusters"),
-        F.coalesce(parsed["future_topic_clusters"], empty).alias("future_topic_clusters"),
-        parsed["non_specific_speaker_count"].alias("non_specific_speaker_count"),
-        parsed["non_specific_topics_count"].alias("non_specific_topics_count"),
-        F.coalesce(parsed["timeline_insight"], F.lit("")).alias("timeline_insight"),
-        F.coalesce(parsed["role_insight"], F.lit("")).alias("role_insight"),
+
+    def field(name: str) -> Column:
+        return F.when(~bad, parsed[name])
+
+    out = F.struct(
+        F.coalesce(field("speaker_question_clusters"), empty).alias("speaker_question_clusters"),
+        F.coalesce(field("future_topic_clusters"), empty).alias("future_topic_clusters"),
+        field("non_specific_speaker_count").alias("non_specific_speaker_count"),
+        field("non_specific_topics_count").alias("non_specific_topics_count"),
+        F.coalesce(field("timeline_insight"), F.lit("")).alias("timeline_insight"),
+        F.coalesce(field("role_insight"), F.lit("")).alias("role_insight"),
     )
+    if strict:
+        return F.when(bad, F.raise_error(F.lit("theme file is not valid JSON"))).otherwise(out)
+    return out
 
 
 def read_theme_files(spark, path: str, strict: bool = False) -> DataFrame:

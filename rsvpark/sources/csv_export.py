@@ -151,6 +151,11 @@ def missing_keys(headers: DataFrame, cmap: DataFrame) -> DataFrame:
 # Reading the rows
 # ---------------------------------------------------------------------------
 
+def _escape_glob(path: str) -> str:
+    """File readers expand glob characters; exports may have them in names."""
+    return "".join("\\" + ch if ch in "[]{}*?\\" else ch for ch in path)
+
+
 def _layout_schema(n_cols: int) -> T.StructType:
     fields = [T.StructField(f"c{i}", T.StringType()) for i in range(n_cols)]
     return T.StructType(fields + [T.StructField(OVERFLOW, T.StringType())])
@@ -167,12 +172,14 @@ def read_layout(spark: SparkSession, files: list[str], n_cols: int, key_pos: dic
     raw = (spark.read.schema(_layout_schema(n_cols))
            .option("header", True).option("multiLine", True).option("escape", '"')
            .option("mode", "PERMISSIVE").option("enforceSchema", True)
-           .csv(files))
+           .csv([_escape_glob(f) for f in files]))
     raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"),
                      F.monotonically_increasing_id().alias("row_id"))
     if on_long_row == "fail":
-        raw = raw.withColumn(OVERFLOW, F.when(F.col(OVERFLOW).isNotNull(), F.raise_error(
-            F.concat(F.lit("row has more cells than the header: "), F.col("source_file")))))
+        # A filter (not a projection) so column pruning cannot drop the check.
+        raw = raw.where(F.when(F.col(OVERFLOW).isNotNull(), F.raise_error(
+            F.concat(F.lit("row has more cells than the header: "), F.col("source_file"))))
+            .otherwise(F.lit(True)))
     elif on_long_row == "drop":
         raw = raw.where(F.col(OVERFLOW).isNull())
 

@@ -20,6 +20,9 @@ from rsvpark.sources.csv_export import read_exports
 from rsvpark.sources.schema import REG_COLUMNS, REGISTRATIONS
 
 
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def _write_batch(spark: SparkSession, paths: list[str], table_path: str, overrides, on_long_row) -> None:
     if not paths:
         return
@@ -35,14 +38,16 @@ def ingest_drops(spark: SparkSession, drop_dir: str, table_path: str, checkpoint
                  overrides: dict[str, str] | None = None, on_long_row: str = "fail") -> None:
     """Process every export dropped since the last run, then stop."""
     checkpoint = checkpoint or shared_path(spark, "rsvpark-ingest", table_path.strip("/").replace("/", "_"))
-    files = (spark.readStream.format("binaryFile")
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
              .option("pathGlobFilter", "*.csv")
              .load(drop_dir)
              .select("path"))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         # The batch holds one row per new file: metadata only.
-        paths = [r["path"] for r in df.select("path").distinct().collect()]
+        uris = [r["path"] for r in df.select("path").distinct().collect()]
+        jvm = df.sparkSession._jvm
+        paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(u)).toString() for u in uris]
         _write_batch(df.sparkSession, sorted(paths), table_path, overrides, on_long_row)
 
     q = (files.writeStream.foreachBatch(batch)
