@@ -154,11 +154,15 @@ def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS)
             .select(*G, "row_id", "answer", F.coalesce("cid", F.lit(k)).alias("cid"),
                     F.coalesce("score", F.lit(0.0)).alias("score")))
     counts = full.groupBy(*G, "cid").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-    # Quotes are distinct answers: copies of one answer compete once.
-    distinct = (full.groupBy(*G, "cid", "answer")
-                .agg(F.max(F.struct("score", (-F.col("row_id")).alias("neg"))).alias("b"))
-                .select(*G, "cid", "answer", F.col("b.score").alias("score"), F.col("b.neg").alias("neg")))
-    q = top_n(distinct, G + ["cid"], [F.col("score"), F.col("neg")], ["answer"], K.THEME_MAX_QUOTES)
+    # Quotes are distinct answers: copies of one answer compete once, through
+    # their best copy.  Only ids and scores go through the top-3 rounds; the
+    # texts are joined back for the (at most three) winners.
+    distinct = materialize(
+        full.groupBy(*G, "cid", "answer")
+        .agg(F.max(F.struct("score", (-F.col("row_id")).alias("neg"))).alias("b"))
+        .select(*G, "cid", F.col("b.score").alias("score"), F.col("b.neg").alias("neg")), "quote-candidates")
+    q = top_n(distinct, G + ["cid"], [F.col("score"), F.col("neg")], ["neg"], K.THEME_MAX_QUOTES)
+    q = q.join(answers.select(*G, (-F.col("row_id")).alias("neg"), "answer"), G + ["neg"])
     quotes = q.groupBy(*G, "cid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rnk", "answer"))), lambda x: x["answer"]).alias("quotes"))
     t = top_n(cent, G + ["cid"], [F.col("cw"), F.lit(0) - F.xxhash64("term")], ["term"], 3)

@@ -16,7 +16,9 @@ from rsvpark.functions.text import shorten_label
 from rsvpark.operators import counts, kpis, ranking, themes, timeline
 from rsvpark.operators.similar import similar_groups
 from rsvpark.plans.registry import register
-from rsvpark.sources.fixture import load_reg
+from rsvpark.session import materialize
+from rsvpark.sources.fixture import land_reg, landing_version, load_reg
+from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
 
 CHUNK_ANSWERS = 200
 
@@ -28,21 +30,40 @@ def _inputs(spark, sf_dir):
     return reg, k, mode, themes.theme_inputs(reg, mode)
 
 
+def themes_with_store(spark, sf_dir) -> DataFrame:
+    """A10 + K3: themes of every event, computed only for pending events.
+
+    Stored themes (Parquet by ``event_id`` next to the landed registrations,
+    tied to that landing's version) are reused; events without stored themes
+    are themed in one distributed job and their partitions written.  A failed
+    or empty result is not stored, so it is retried next time.
+    """
+    landing = land_reg(spark, sf_dir)
+    store = f"{landing}-themes-{landing_version(spark, landing)}"
+    reg, k, mode, ans = _inputs(spark, sf_dir)
+    pending = pending_events(reg, stored_themes(spark, store))
+    # Written once: the k-means job reads its answers several times.
+    todo = materialize(ans.join(pending, "event_id", "left_semi"), "answers")
+    if todo.limit(1).count():
+        store_themes(themes.themes(todo), store)
+    return stored_themes(spark, store)
+
+
 @register("themes_kmeans")
 def q_themes_kmeans(spark, sf_dir):
-    return themes.themes(_inputs(spark, sf_dir)[3])
+    return themes_with_store(spark, sf_dir)
 
 
 @register("theme_cards")
 def q_theme_cards(spark, sf_dir):
-    return themes.theme_cards(themes.themes(_inputs(spark, sf_dir)[3]))
+    return themes.theme_cards(themes_with_store(spark, sf_dir))
 
 
 @register("theme_audit")
 def q_theme_audit(spark, sf_dir):
     reg, k, mode, ans = _inputs(spark, sf_dir)
     genuine = ans.groupBy("event_id", "key").agg(F.count(F.lit(1)).cast("bigint").alias("n_genuine"))
-    return themes.theme_audit(themes.themes(ans), ans, genuine)
+    return themes.theme_audit(themes_with_store(spark, sf_dir), ans, genuine)
 
 
 def theme_documents(th: DataFrame, filler: DataFrame, ins: DataFrame) -> DataFrame:
@@ -70,7 +91,7 @@ def theme_documents(th: DataFrame, filler: DataFrame, ins: DataFrame) -> DataFra
 def q_theme_json_parse(spark, sf_dir):
     from rsvpark.operators import report
     reg, k, mode, ans = _inputs(spark, sf_dir)
-    th = themes.themes(ans)
+    th = themes_with_store(spark, sf_dir)
     ins = report.insights(timeline.peak_day(reg), counts.role_split(reg))
     docs = theme_documents(th, kpis.filler_set_aside(k, mode), ins)
     parsed = docs.select("event_id", themes.parse_theme_json("text").alias("themes"))

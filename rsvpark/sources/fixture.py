@@ -102,6 +102,13 @@ def land_reg(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     return out
 
 
+def landing_version(spark: SparkSession, path: str) -> str:
+    """Version of a landed table (time its ``_SUCCESS`` marker was written)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return str(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getModificationTime())
+
+
 def load_reg(spark: SparkSession, sf_dir: str, landed: bool = True) -> DataFrame:
     """Registrations for ``sf_dir``: the landed Parquet table by default."""
     if not landed:
