@@ -96,8 +96,10 @@ def land_reg(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Write the registrations table once per source version; return its path."""
     out = shared_path(spark, "rsvpark-landing", f"reg-{_signature(spark, sf_dir)}")
     if force or not _exists(spark, out + "/_SUCCESS"):
-        # No extra shuffle: each join task writes one file per event it holds.
-        (build_reg(spark, sf_dir)
+        # REBALANCE by event: AQE splits a hot event over several tasks and
+        # merges small ones, so each event folder gets a few right-sized files
+        # (not one file per join task and event).
+        (build_reg(spark, sf_dir).hint("rebalance", "event_id")
          .write.mode("overwrite").partitionBy("event_id").parquet(out))
     return out
 

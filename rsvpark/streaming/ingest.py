@@ -29,7 +29,7 @@ def _write_batch(spark: SparkSession, paths: list[str], table_path: str, overrid
     # The new files go through the batch CSV source (layout grouping,
     # column mapping, casts) in one read.
     regs, _, _ = read_exports(spark, paths, overrides, on_long_row)
-    (regs.select(*REG_COLUMNS, "source_file")
+    (regs.select(*REG_COLUMNS, "source_file").hint("rebalance", "event_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_id").parquet(table_path))
 
