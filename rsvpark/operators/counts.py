@@ -23,13 +23,12 @@ BY = ("event_id",)
 
 def count_labels(df: DataFrame, labels: Column, by=BY, label_name: str = "label") -> DataFrame:
     """Count every element of the array ``labels`` per (by, label)."""
+    # Each element is paired with the first index of its value in the same
+    # row before exploding, so exploded rows do not carry the whole array.
     arr = df.select(*by, "row_id", labels.alias("_labels"))
-    exploded = arr.select(
-        *by, "row_id",
-        F.explode("_labels").alias(label_name),
-        F.col("_labels"),
-    ).select(*by, "row_id", label_name,
-             F.array_position("_labels", F.col(label_name)).alias("_pos"))
+    tagged = F.transform("_labels", lambda x: F.struct(x.alias("v"), F.array_position("_labels", x).alias("p")))
+    exploded = arr.select(*by, "row_id", F.explode(tagged).alias("_e")).select(
+        *by, "row_id", F.col("_e.v").alias(label_name), F.col("_e.p").alias("_pos"))
     agg = exploded.groupBy(*by, label_name).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("row_id").alias("_first_row"),

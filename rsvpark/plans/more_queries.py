@@ -107,10 +107,10 @@ SELECT k.event_id, CAST(coalesce(lp.lp, 0) + 1 AS BIGINT) AS pos, {O.lit(K.BLANK
        CAST(k.total - k.topics_answered AS BIGINT) AS n, {O.lit(K.BAR_DEFAULT)} AS colour
 FROM k LEFT JOIN lp USING (event_id)""")
 def q_topic_rows(spark, sf_dir):
+    from rsvpark.plans.theme_store import topic_rows_for
     reg = _reg(spark, sf_dir)
     k, mode = _mode(reg)
-    rows = _choice_topic_rows(reg, mode).select("event_id", "label", "n", "pos")
-    return ranking.topic_rows(rows, k)
+    return topic_rows_for(spark, sf_dir, reg, k, mode)
 
 
 @register("filler_set_aside", O.with_reg(*TOPIC_CTES) + """

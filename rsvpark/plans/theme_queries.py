@@ -16,39 +16,12 @@ from rsvpark.functions.text import shorten_label
 from rsvpark.operators import counts, kpis, ranking, themes, timeline
 from rsvpark.operators.similar import similar_groups
 from rsvpark.plans.registry import register
-from rsvpark.session import materialize
-from rsvpark.sources.fixture import land_reg, landing_version, load_reg
-from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
+from rsvpark.plans.theme_store import _inputs, themes_with_store, topic_rows_for
+from rsvpark.sources.fixture import load_reg
 
 CHUNK_ANSWERS = 200
 
 
-def _inputs(spark, sf_dir):
-    reg = load_reg(spark, sf_dir)
-    k = kpis.event_kpis(reg)
-    mode = kpis.topic_mode(reg, k)
-    return reg, k, mode, themes.theme_inputs(reg, mode)
-
-
-def themes_with_store(spark, sf_dir) -> DataFrame:
-    """A10 + K3: themes of every event, computed only for pending events.
-
-    Stored themes (Parquet by ``event_id`` next to the landed registrations,
-    tied to that landing's version) are reused; events without stored themes
-    are themed in one distributed job and their partitions written.  A failed
-    or empty result is not stored, so it is retried next time.
-    """
-    landing = land_reg(spark, sf_dir)
-    store = f"{landing}-themes-{landing_version(spark, landing)}"
-    reg, k, mode, ans = _inputs(spark, sf_dir)
-    pending = pending_events(reg, stored_themes(spark, store))
-    # Written once: the k-means job reads its answers several times.
-    todo = materialize(ans.join(pending, "event_id", "left_semi"), "answers")
-    if todo.limit(1).count():
-        store_themes(themes.themes(todo), store)
-    return stored_themes(spark, store)
-
-
 @register("themes_kmeans")
 def q_themes_kmeans(spark, sf_dir):
     return themes_with_store(spark, sf_dir)
@@ -146,10 +119,18 @@ def q_prompt_rows(spark, sf_dir):
     return prompt_rows(ans, context_json(reg))
 
 
-def chart_payload(reg: DataFrame) -> DataFrame:
-    """K2: per event JSON for the timeline, role, goals, topics and donut charts."""
+def chart_payload(reg: DataFrame, topic_rows=None) -> DataFrame:
+    """K2: per event JSON for the timeline, role, goals, topics and donut charts.
+
+    ``topic_rows(reg, kpis, mode)`` gives the topic bar rows (default: option
+    counts of choice events plus the blank row).
+    """
     k = kpis.event_kpis(reg)
     mode = kpis.topic_mode(reg, k)
+    if topic_rows is None:
+        def topic_rows(r, kk, m):
+            choice = m.where("topics_are_choices").select("event_id")
+            return ranking.topic_rows(counts.topic_option_counts(r).join(choice, "event_id", "left_semi"), kk)
 
     def pairs(df, cols, name, order="pos"):
         return df.groupBy("event_id").agg(F.transform(
@@ -164,9 +145,7 @@ def chart_payload(reg: DataFrame) -> DataFrame:
     split = pairs(counts.role_split(reg), ["label", "n"], "split")
     raw = pairs(counts.role_combos(reg), ["combo", "n"], "raw")
     goals = pairs(ranking.with_no_answer(counts.goal_counts(reg), k), ["label", "n"], "goals")
-    choice = mode.where("topics_are_choices").select("event_id")
-    topic_src = counts.topic_option_counts(reg).join(choice, "event_id", "left_semi")
-    topics = pairs(ranking.topic_rows(topic_src, k), ["label", "n", "colour"], "topics")
+    topics = pairs(topic_rows(reg, k, mode), ["label", "n", "colour"], "topics")
     exp = counts.experience_dist(reg).select("event_id", "pos", shorten_label("label").alias("label"), "n",
                                              palette_at(F.col("pos") - 1, K.DONUT_PALETTE).alias("colour"))
     donut = pairs(exp, ["label", "n", "colour"], "exp")
@@ -184,5 +163,6 @@ def chart_payload(reg: DataFrame) -> DataFrame:
 
 @register("chart_payload")
 def q_chart_payload(spark, sf_dir):
-    return chart_payload(load_reg(spark, sf_dir))
+    return chart_payload(load_reg(spark, sf_dir),
+                         lambda r, kk, m: topic_rows_for(spark, sf_dir, r, kk, m))
 

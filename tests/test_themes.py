@@ -108,3 +108,25 @@ def test_theme_files_from_folder(spark, workdir):
                 '[{"title": "RAG", "count": 3, "quotes": ["rag", "retrieval"]}]}')
     t = themes.read_theme_files(spark, workdir).collect()[0].themes
     assert t.future_topic_clusters[0].title == "RAG"
+
+
+def test_free_text_topics_use_theme_rows(spark, workdir):
+    from rsvpark.operators import kpis
+    from rsvpark.plans.theme_store import topic_bar_rows
+    from rsvpark.sources.csv_export import read_exports
+    from tests.trap import write_csv
+    rows = [f"2025-09-0{1 + i % 5} 10:00:00,{t}" for i, t in enumerate(
+        ["more on agent planning", "agent planning in practice", "evaluation of agents", "GPU pricing",
+         "pricing of GPUs", "n/a", "  ", "how to evaluate models", "agent planning tools"])]
+    write_csv(workdir, "free.csv", "Order Date,Which future topic?", rows)
+    regs, _, _ = read_exports(spark, workdir)
+    k = kpis.event_kpis(regs)
+    mode = kpis.topic_mode(regs, k)
+    assert not mode.collect()[0].topics_are_choices
+    ans = themes.theme_inputs(regs, mode)
+    assert ans.count() == 7              # "n/a" is a missing-value token, "  " is blank
+    th = themes.themes(ans, k=2, iterations=2)
+    out = topic_bar_rows(regs, k, mode, th).orderBy("pos").collect()
+    assert out[-1].label == "No specific ask / blank" and out[-1].n == 2
+    assert sum(r.n for r in out[:-1]) == 7
+    assert [r.n for r in out[:-1]] == sorted((r.n for r in out[:-1]), reverse=True)
