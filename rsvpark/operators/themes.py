@@ -165,7 +165,13 @@ def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS)
     q = q.join(answers.select(*G, (-F.col("row_id")).alias("neg"), "answer"), G + ["neg"])
     quotes = q.groupBy(*G, "cid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rnk", "answer"))), lambda x: x["answer"]).alias("quotes"))
-    t = top_n(cent, G + ["cid"], [F.col("cw"), F.lit(0) - F.xxhash64("term")], ["term"], 3)
+    # Title terms: heavy in this theme AND concentrated in it (weight times
+    # its share of the term's weight over all themes of the list), so words
+    # common to every theme do not name one.
+    spread = cent.groupBy(*G, "term").agg(F.sum("cw").alias("cw_all"))
+    distinct_w = (cent.join(spread, G + ["term"])
+                  .select(*G, "cid", "term", (F.col("cw") * F.col("cw") / F.col("cw_all")).alias("tw")))
+    t = top_n(distinct_w, G + ["cid"], [F.col("tw"), F.lit(0) - F.xxhash64("term")], ["term"], 3)
     titles = t.groupBy(*G, "cid").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rnk", "term"))), lambda x: x["term"]), " ")
         .alias("title"))
