@@ -68,6 +68,7 @@ def similar_groups(answers: DataFrame) -> DataFrame:
     Answers without any word form their own group.  ``example`` is the
     answer with the smallest row id (the group id).
     """
+    answers = materialize(answers, "answers")    # read twice below
     cc = connected_components(minhash_buckets(answers))
     per = (answers.join(cc, G + ["row_id"], "left")
            .select(*G, "row_id", "answer", F.coalesce("group_id", "row_id").alias("group_id")))
