@@ -87,3 +87,17 @@ THEME_MIN_COUNT = 4
 
 # Insight sentence length cap.
 INSIGHT_MAX_CHARS = 160
+
+# Report sentences (fixed wording of the report's fill-in text).
+KPI_ATTENDING_SUFFIX = "% confirmed Attending"
+KPI_PEAK_SUFFIX = "% of all registrations landed in one day"
+KPI_EXPERIENCED_SUFFIX = " attendees reported regular or advanced AI use"
+KPI_QUESTIONS_SUFFIX = " attendees — answers like “no” or “n/a” not counted"
+ROLE_MULTI_SUFFIX = " attendees selected more than one role — counts reflect every role picked."
+ROLE_SINGLE = "Each attendee selected a single role."
+SPEAKERQ_DESC_SUFFIX = (" attendees asked a question. Grouped by similarity, ranked by how many asked something "
+                        "similar — up to 3 representative questions per cluster, ready to read out.")
+TOPICS_DESC_CHOICES = "Options picked on the form; attendees could pick more than one. "
+TOPICS_DESC_THEMES = "From the future-topics question only, tagged by theme. "
+TOPICS_DESC_BLANK = '"No specific ask / blank" covers unanswered entries.'
+TITLE_SUFFIX = " · Registration Dashboard"

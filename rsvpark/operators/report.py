@@ -109,3 +109,40 @@ def event_stats(kpis: DataFrame, peak: DataFrame, mode: DataFrame, by=BY) -> Dat
         F.col("attending").cast("bigint").alias("attending"),
         pct_even("attending", "total").alias("attending_pct"),
     )
+
+
+def report_text(stats: DataFrame, params: DataFrame | None = None, by=BY) -> DataFrame:
+    """C13 + A11: the report's fill-in sentences per event, from the stats row.
+
+    ``params(event_id, event_name)`` names events; without it the event key is
+    used.  The small params table is joined on ``event_id`` (Spark broadcasts
+    it when its runtime size is small).
+    """
+    s = stats
+    if params is not None:
+        s = s.join(params.select(*by, "event_name"), list(by), "left")
+        name = F.coalesce(F.col("event_name"), F.col(by[0]))
+    else:
+        name = F.col(by[0])
+    st = lambda c: F.col(c).cast("string")
+    choices_with_rows = F.coalesce(F.col("topics_are_choices"), F.lit(False)) & F.col("has_topic_rows")
+    return s.select(
+        *by,
+        F.concat(name, F.lit(K.TITLE_SUFFIX)).alias("title"),
+        F.concat(F.col("ticket_types"), F.lit(" · "), F.col("money_blurb"), F.lit(" · "), st("attending_pct"),
+                 F.lit(K.KPI_ATTENDING_SUFFIX)).alias("kpi_total_sub"),
+        F.when(F.col("peak_day").isNotNull(), F.concat(
+            F.date_format("peak_day", "EEE MMM dd"), F.lit(" — "), st("peak_pct"), F.lit(K.KPI_PEAK_SUFFIX)))
+        .otherwise(F.lit("")).alias("kpi_peak_sub"),
+        F.concat(st("experienced"), F.lit(" of "), st("total"), F.lit(K.KPI_EXPERIENCED_SUFFIX)).alias("kpi_exp_sub"),
+        F.concat(st("real_questions"), F.lit(" of "), st("total"), F.lit(K.KPI_QUESTIONS_SUFFIX)).alias("kpi_eng_sub"),
+        F.when(F.col("multi_role") > 0, F.concat(st("multi_role"), F.lit(K.ROLE_MULTI_SUFFIX)))
+        .otherwise(F.lit(K.ROLE_SINGLE)).alias("role_footnote"),
+        F.concat(st("real_questions"), F.lit(" of "), st("total"), F.lit(K.SPEAKERQ_DESC_SUFFIX)).alias("speakerq_desc"),
+        F.concat(F.when(choices_with_rows, F.lit(K.TOPICS_DESC_CHOICES)).otherwise(F.lit(K.TOPICS_DESC_THEMES)),
+                 F.lit(K.TOPICS_DESC_BLANK)).alias("topics_desc"),
+        F.concat(F.lit("Total registrations: "), st("total"), F.lit(" · Peak day: "),
+                 F.coalesce(F.date_format("peak_day", "MMM dd"), F.lit("-")), F.lit(" ("), st("peak_n"),
+                 F.lit(") · Regular/advanced AI users: "), st("experienced_pct"),
+                 F.lit("% · Asked a question: "), st("real_pct"), F.lit("%")).alias("summary_text"),
+    )

@@ -266,7 +266,7 @@ def q_axis_scale(spark, sf_dir):
     return ranking.axis_scale(timeline.daily_timeline(_reg(spark, sf_dir)))
 
 
-@register("event_stats", O.with_reg(*TOPIC_CTES, *PEAK_CTES) + f"""
+ORACLE_EVENT_STATS_BODY = f"""
 SELECT k.event_id, CAST(k.total AS BIGINT) AS total, p.peak_day, p.peak_n, p.peak_pct,
   CAST(k.multi_role AS BIGINT) AS multi_role, CAST(k.experienced AS BIGINT) AS experienced,
   {O.pct_even('k.experienced', 'k.total')} AS experienced_pct,
@@ -276,7 +276,10 @@ SELECT k.event_id, CAST(k.total AS BIGINT) AS total, p.peak_day, p.peak_n, p.pea
   CAST(k.total - k.topics_answered AS BIGINT) AS blank_topics,
   mode.topics_are_choices, k.ticket_types, k.total_paid, {O.money('k.total_paid')} AS money_blurb,
   CAST(k.attending AS BIGINT) AS attending, {O.pct_even('k.attending', 'k.total')} AS attending_pct
-FROM k LEFT JOIN p USING (event_id) LEFT JOIN mode USING (event_id)""")
+FROM k LEFT JOIN p USING (event_id) LEFT JOIN mode USING (event_id)"""
+
+
+@register("event_stats", O.with_reg(*TOPIC_CTES, *PEAK_CTES) + ORACLE_EVENT_STATS_BODY)
 def q_event_stats(spark, sf_dir):
     reg = _reg(spark, sf_dir)
     k, mode = _mode(reg)
@@ -357,3 +360,45 @@ def q_pending_events(spark, sf_dir):
     from rsvpark.sources.fixture import land_reg
     reg = _reg(spark, sf_dir)
     return pending_events(reg, stored_themes(spark, land_reg(spark, sf_dir) + "-themes"))
+
+
+# ---------------------------------------------------------------------------
+# Report sentences
+# ---------------------------------------------------------------------------
+
+def _rt_sql() -> str:
+    c = K
+    return f"""
+SELECT es.event_id,
+  es.event_id || {O.lit(c.TITLE_SUFFIX)} AS title,
+  es.ticket_types || ' · ' || es.money_blurb || ' · ' || CAST(es.attending_pct AS VARCHAR)
+    || {O.lit(c.KPI_ATTENDING_SUFFIX)} AS kpi_total_sub,
+  CASE WHEN es.peak_day IS NULL THEN '' ELSE strftime(es.peak_day, '%a %b %d') || ' — '
+    || CAST(es.peak_pct AS VARCHAR) || {O.lit(c.KPI_PEAK_SUFFIX)} END AS kpi_peak_sub,
+  CAST(es.experienced AS VARCHAR) || ' of ' || CAST(es.total AS VARCHAR) || {O.lit(c.KPI_EXPERIENCED_SUFFIX)}
+    AS kpi_exp_sub,
+  CAST(es.real_questions AS VARCHAR) || ' of ' || CAST(es.total AS VARCHAR) || {O.lit(c.KPI_QUESTIONS_SUFFIX)}
+    AS kpi_eng_sub,
+  CASE WHEN es.multi_role > 0 THEN CAST(es.multi_role AS VARCHAR) || {O.lit(c.ROLE_MULTI_SUFFIX)}
+       ELSE {O.lit(c.ROLE_SINGLE)} END AS role_footnote,
+  CAST(es.real_questions AS VARCHAR) || ' of ' || CAST(es.total AS VARCHAR) || {O.lit(c.SPEAKERQ_DESC_SUFFIX)}
+    AS speakerq_desc,
+  CASE WHEN coalesce(es.topics_are_choices, false) AND coalesce(ms.n_labels, 0) > 0
+       THEN {O.lit(c.TOPICS_DESC_CHOICES)} ELSE {O.lit(c.TOPICS_DESC_THEMES)} END
+    || {O.lit(c.TOPICS_DESC_BLANK)} AS topics_desc,
+  'Total registrations: ' || CAST(es.total AS VARCHAR) || ' · Peak day: ' || coalesce(strftime(es.peak_day, '%b %d'), '-')
+    || ' (' || CAST(es.peak_n AS VARCHAR) || ') · Regular/advanced AI users: ' || CAST(es.experienced_pct AS VARCHAR)
+    || '% · Asked a question: ' || CAST(es.real_pct AS VARCHAR) || '%' AS summary_text
+FROM es LEFT JOIN ms USING (event_id)"""
+
+
+_ES_CTE = "es AS (" + ORACLE_EVENT_STATS_BODY + ")"
+
+
+@register("report_text", O.with_reg(*TOPIC_CTES, *PEAK_CTES, _ES_CTE) + _rt_sql())
+def q_report_text(spark, sf_dir):
+    reg = _reg(spark, sf_dir)
+    k, mode = _mode(reg)
+    stats = report.event_stats(k, timeline.peak_day(reg), mode)
+    has_rows = mode.select("event_id", (F.col("n_labels") > 0).alias("has_topic_rows"))
+    return report.report_text(stats.join(has_rows, "event_id", "left"))

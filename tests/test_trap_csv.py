@@ -127,3 +127,21 @@ def test_na_tokens_and_whitespace(trap):
     assert ordered[6].order_ts is None
     assert ordered[4].speaker_q == " What about cost,\nand risk?"
     assert ordered[7].speaker_q == 'How "safe" is it?'
+
+
+def test_report_sentences_with_params(spark, trap):
+    regs, _, _, k = trap
+    mode = kpis.topic_mode(regs, k)
+    stats = report.event_stats(k, timeline.peak_day(regs), mode)
+    has_rows = mode.selectExpr("event_id", "n_labels > 0 AS has_topic_rows")
+    params = spark.createDataFrame([("Trap-Event-2025", "Autumn Meetup")], "event_id string, event_name string")
+    r = one(report.report_text(stats.join(has_rows, "event_id"), params))
+    assert r.title == "Autumn Meetup · Registration Dashboard"
+    assert r.kpi_total_sub == "General Admission, Student, VIP · Free ($0 AUD) · 75% confirmed Attending"
+    assert r.kpi_peak_sub == "Mon Sep 01 — 25% of all registrations landed in one day"
+    assert r.kpi_exp_sub == "5 of 8 attendees reported regular or advanced AI use"
+    assert r.kpi_eng_sub.startswith("3 of 8 attendees")
+    assert r.role_footnote.startswith("4 attendees selected more than one role")
+    assert r.topics_desc.startswith("Options picked on the form")
+    assert r.summary_text == ("Total registrations: 8 · Peak day: Sep 01 (2) · Regular/advanced AI users: 62% · "
+                              "Asked a question: 38%")
