@@ -358,8 +358,11 @@ def q_na_tokens(spark, sf_dir):
 def q_pending_events(spark, sf_dir):
     from rsvpark.streaming.pending import pending_events, stored_themes
     from rsvpark.sources.fixture import land_reg
+    from rsvpark.session import has_jvm, shared_path
     reg = _reg(spark, sf_dir)
-    return pending_events(reg, stored_themes(spark, land_reg(spark, sf_dir) + "-themes"))
+    # Hand-supplied theme files land here (the manual path); none in the tests.
+    store = (land_reg(spark, sf_dir) if has_jvm(spark) else shared_path(spark, "rsvpark-manual")) + "-themes"
+    return pending_events(reg, stored_themes(spark, store))
 
 
 # ---------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rsvpark.operators import counts, kpis, ranking, themes
-from rsvpark.session import materialize
+from rsvpark.session import has_jvm, materialize
 from rsvpark.sources.fixture import land_reg, landing_version, load_reg
 from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
 
@@ -27,9 +27,11 @@ def themes_with_store(spark, sf_dir) -> DataFrame:
     are themed in one distributed job and their partitions written.  A failed
     or empty result is not stored, so it is retried next time.
     """
+    reg, k, mode, ans = _inputs(spark, sf_dir)
+    if not has_jvm(spark):
+        return themes.themes(materialize(ans, "answers"))
     landing = land_reg(spark, sf_dir)
     store = f"{landing}-themes-{landing_version(spark, landing)}"
-    reg, k, mode, ans = _inputs(spark, sf_dir)
     pending = pending_events(reg, stored_themes(spark, store))
     # Written once: the k-means job reads its answers several times.
     todo = materialize(ans.join(pending, "event_id", "left_semi"), "answers")

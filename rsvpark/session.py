@@ -42,12 +42,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def has_jvm(spark: SparkSession) -> bool:
+    """True for a classic session (driver JVM reachable), False for Spark Connect."""
+    try:
+        return spark._jvm is not None
+    except Exception:  # noqa: BLE001  (Connect sessions have no JVM handle)
+        return False
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset (local tests) is a fresh
     scratch folder created and registered.
     """
+    if not has_jvm(spark):
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        return d or tempfile.mkdtemp(prefix="rsvpark-ckpt-")
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
@@ -55,7 +66,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="rsvpark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001  (static in some deployments; the context setting below suffices)
+            pass
     sc.setCheckpointDir(d)
     return d
 

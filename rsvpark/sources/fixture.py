@@ -17,7 +17,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rsvpark.session import shared_path
+from rsvpark.session import has_jvm, shared_path
 from rsvpark.sources.schema import REG_COLUMNS, REGISTRATIONS
 
 SOURCE_TABLES = ("orders", "customer", "lineitem", "part", "documents")
@@ -113,7 +113,9 @@ def landing_version(spark: SparkSession, path: str) -> str:
 
 def load_reg(spark: SparkSession, sf_dir: str, landed: bool = True) -> DataFrame:
     """Registrations for ``sf_dir``: the landed Parquet table by default."""
-    if not landed:
+    if not landed or not has_jvm(spark):
+        # Without a driver JVM (Spark Connect) the landing bookkeeping is
+        # skipped and the view is planned straight from the source tables.
         return build_reg(spark, sf_dir)
     # Explicit schema: the partition column stays a string whatever its values.
     return spark.read.schema(REGISTRATIONS).parquet(land_reg(spark, sf_dir)).select(*REG_COLUMNS)

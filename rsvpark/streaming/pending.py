@@ -11,11 +11,19 @@ THEME_STORE_SCHEMA = ("event_id string, key string, theme_id bigint, title strin
 
 def stored_themes(spark: SparkSession, path: str) -> DataFrame:
     """The theme table stored at ``path`` (partitioned by event), or an empty one."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        return spark.read.schema(THEME_STORE_SCHEMA).parquet(path)
-    return spark.createDataFrame([], THEME_STORE_SCHEMA)
+    from rsvpark.session import has_jvm
+    if has_jvm(spark):
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+            return spark.read.schema(THEME_STORE_SCHEMA).parquet(path)
+        return spark.createDataFrame([], THEME_STORE_SCHEMA)
+    try:
+        df = spark.read.schema(THEME_STORE_SCHEMA).parquet(path)
+        df.limit(0).collect()
+        return df
+    except Exception:  # noqa: BLE001  (no store yet)
+        return spark.createDataFrame([], THEME_STORE_SCHEMA)
 
 
 def pending_events(reg: DataFrame, themes: DataFrame) -> DataFrame:
