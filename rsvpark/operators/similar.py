@@ -21,6 +21,7 @@ from rsvpark.session import materialize
 G = ["event_id", "key"]
 BANDS = 8
 ROWS = 2
+SHORTCUTS = 1
 
 
 def minhash_buckets(answers: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -48,12 +49,13 @@ def connected_components(members: DataFrame) -> DataFrame:
         bucket_min = (members.join(labels, G + ["row_id"])
                       .groupBy(*bk).agg(F.min("label").alias("bl")))
         hop = members.join(bucket_min, bk).groupBy(*G, "row_id").agg(F.min("bl").alias("label"))
-        # Shortcut: a label is itself an answer of the same component, so
-        # taking the label's own label halves the remaining chain each round.
-        via = hop.select(*G, F.col("row_id").alias("label"), F.col("label").alias("label2"))
-        new = materialize(hop.join(via, G + ["label"], "left")
-                          .select(*G, "row_id", F.least("label", F.coalesce("label2", "label")).alias("label")),
-                          "labels")
+        # Shortcuts: a label is itself an answer of the same component, so
+        # taking the label's own label shortens the remaining chain.
+        for _ in range(SHORTCUTS):
+            via = hop.select(*G, F.col("row_id").alias("label"), F.col("label").alias("label2"))
+            hop = (hop.join(via, G + ["label"], "left")
+                   .select(*G, "row_id", F.least("label", F.coalesce("label2", "label")).alias("label")))
+        new = materialize(hop, "labels")
         changed = (new.join(labels.withColumnRenamed("label", "old"), G + ["row_id"])
                    .where(F.col("label") < F.col("old")).limit(1).count())
         labels = new
