@@ -17,7 +17,7 @@ filler set aside) is rebuilt here:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,8 +70,12 @@ def tfidf(answers: DataFrame) -> DataFrame:
             .where((F.col("df") >= MIN_DF) & ((F.col("nd") < 10) | (F.col("df") <= F.col("nd") * MAX_DF_RATIO)))
             .select(*G, "term", (F.log((1 + F.col("nd")) / (1 + F.col("df"))) + 1).alias("idf")))
     w = tf.join(keep, G + ["term"]).select(*G, "row_id", "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    norm = w.groupBy(*G, "row_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, G + ["row_id"]).select(*G, "row_id", "term", (F.col("w") / F.col("norm")).alias("w"))
+    # Hash-partition by answer once: the length window below and the bucketed
+    # write of the points both use this layout, so neither shuffles again.
+    n = int(answers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_answer = w.repartition(n, *G, "row_id")
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*G, "row_id")))
+    return by_answer.select(*G, "row_id", "term", (F.col("w") / length).alias("w"))
 
 
 def _norms(cent: DataFrame) -> DataFrame:
@@ -111,7 +115,7 @@ def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS) -
     The centroid table has at most k rows per (group, kept term); that bound
     is counted once and decides between a broadcast and a shuffle join.
     """
-    points = bucketed(points, [*G, "row_id"], "points")
+    points = bucketed(points, [*G, "row_id"], "points", prepartitioned=True)
     vocab = points.select(*G, "term").distinct().count()
     broadcast_ok = k * vocab <= BROADCAST_MAX_ROWS
     seeds = _seeds(points, k)

@@ -100,7 +100,7 @@ def materialize(df, tag: str = "work"):
     return spark.read.parquet(path)
 
 
-def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None):
+def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None, prepartitioned: bool = False):
     """Write ``df`` as a bucketed table under the shared checkpoint folder.
 
     Reads of the table know the hash layout on ``keys``, so later joins and
@@ -111,6 +111,8 @@ def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"rsvpark_{tag}_{uuid.uuid4().hex[:12]}"
     path = shared_path(spark, "rsvpark-work", name)
-    (df.repartition(n, *keys).write.bucketBy(n, *keys).mode("overwrite")
-     .option("path", path).saveAsTable(name))
+    # ``prepartitioned``: the caller already hash-partitioned ``df`` on ``keys``
+    # into ``spark.sql.shuffle.partitions`` parts (one bucket file per task).
+    src = df if prepartitioned else df.repartition(n, *keys)
+    src.write.bucketBy(n, *keys).mode("overwrite").option("path", path).saveAsTable(name)
     return spark.table(name)
