@@ -75,3 +75,11 @@ def palette_at(pos0: Column | str, palette: list[str], default: str | None = Non
     if default is None:
         return F.element_at(arr, F.pmod(p, F.lit(len(palette))) + 1)
     return F.when(p < len(palette), F.element_at(arr, p + 1)).otherwise(F.lit(default))
+
+
+def md5_bucket(c: Column | str, n: Column | int) -> Column:
+    """Bucket ``0 .. n-1`` from the first 60 bits of the MD5 of the value's
+    text.  A spread-out hash (row ids may be strided) that SQL engines
+    without Spark's xxhash64 can recompute, so the split is checkable."""
+    h = F.conv(F.substring(F.md5(col_(c).cast("string")), 1, 15), 16, 10).cast("bigint")
+    return F.pmod(h, n if isinstance(n, Column) else F.lit(n))

@@ -75,7 +75,10 @@ def q_role_split(spark, sf_dir):
     return counts.role_split(load_reg(spark, sf_dir))
 
 
-@register("role_combos", O.with_reg(O.value_counts_sql("rc", "reg", O.combo("role"), "combo"))
+RC = O.value_counts_sql("rc", "reg", O.combo("role"), "combo")
+
+
+@register("role_combos", O.with_reg(RC)
           + "SELECT event_id, combo, n, pos FROM rc")
 def q_role_combos(spark, sf_dir):
     return counts.role_combos(load_reg(spark, sf_dir))

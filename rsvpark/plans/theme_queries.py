@@ -1,8 +1,10 @@
 """Driver queries for themes, similar groups, prompt rows and chart payloads.
 
-These have no DuckDB oracle (iterative jobs, hash-based buckets, JSON text);
-the driver records a rows-only check and the tests compare them with brute
-force on small inputs.
+Themes and similar groups have no DuckDB oracle (iterative jobs, hash-based
+buckets); the driver records a rows-only check and the tests compare them
+with brute force on small inputs.  Prompt rows and chart payloads are plain
+aggregates written as JSON / text and do have one (the JSON is built in SQL
+with the same key order and null handling as Spark's ``to_json``).
 """
 
 from __future__ import annotations
@@ -11,10 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rsvpark import constants as K
-from rsvpark.functions.fmt import day_label, palette_at
+from rsvpark.functions.fmt import day_label, md5_bucket, palette_at
 from rsvpark.functions.text import shorten_label
 from rsvpark.operators import counts, kpis, ranking, themes, timeline
 from rsvpark.operators.similar import similar_groups
+from rsvpark.plans import oracle as O
+from rsvpark.plans.more_queries import DAYS, ED, GC, RS, TOPIC_CTES
+from rsvpark.plans.queries import RC
 from rsvpark.plans.registry import register
 from rsvpark.plans.theme_store import _inputs, themes_with_store, topic_rows_for
 from rsvpark.sources.fixture import load_reg
@@ -100,7 +105,7 @@ def prompt_rows(answers: DataFrame, ctx: DataFrame, chunk: int = CHUNK_ANSWERS)
     """
     n = answers.groupBy("event_id", "key").agg(F.count(F.lit(1)).alias("n_list"))
     a = (answers.join(n, ["event_id", "key"])
-         .withColumn("chunk", F.pmod(F.xxhash64("row_id"), F.ceil(F.col("n_list") / chunk)).cast("bigint")))
+         .withColumn("chunk", md5_bucket("row_id", F.ceil(F.col("n_list") / chunk)).cast("bigint")))
     block = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row_id", "answer"))),
                                      lambda x: F.concat(F.lit("- "), x["answer"])), "\n")
     g = a.groupBy("event_id", "key", "chunk").agg(F.count(F.lit(1)).cast("bigint").alias("n_answers"),
@@ -113,7 +118,44 @@ def prompt_rows(answers: DataFrame, ctx: DataFrame, chunk: int = CHUNK_ANSWERS)
     return j.select("event_id", "key", "chunk", "n_answers", "daily_json", "role_json", prompt.alias("prompt"))
 
 
-@register("prompt_rows")
+# SQL check: theme inputs, md5 chunks, context maps (first key position, last
+# value, as map_from_entries with LAST_WIN), then the prompt text.
+_ANS_CTE = f"""ans AS (
+  SELECT event_id, 'speaker_q' AS key, row_id, {O.strip('speaker_q')} AS answer FROM reg
+  WHERE NOT {O.blank('speaker_q')} AND NOT {O.filler('speaker_q')}
+  UNION ALL
+  SELECT reg.event_id, 'future_topics' AS key, reg.row_id, {O.strip('future_topics')} AS answer
+  FROM reg JOIN mode ON mode.event_id = reg.event_id
+  WHERE NOT mode.topics_are_choices AND NOT {O.blank('future_topics')} AND NOT {O.filler('future_topics')})"""
+_CTX_CTES = [
+    DAYS, RS,
+    """dd AS (SELECT event_id, strftime(day, '%b %d') AS lbl, min(day) AS first_day, arg_max(n, day) AS n
+             FROM d WHERE day IS NOT NULL GROUP BY ALL)""",
+    """dj AS (SELECT event_id, '{' || string_agg(CAST(to_json(lbl) AS VARCHAR) || ':' || CAST(n AS VARCHAR), ','
+                                        ORDER BY first_day) || '}' AS daily_json FROM dd GROUP BY event_id)""",
+    """rj AS (SELECT event_id, '{' || string_agg(CAST(to_json(label) AS VARCHAR) || ':' || CAST(n AS VARCHAR), ','
+                                        ORDER BY pos) || '}' AS role_json FROM rs GROUP BY event_id)""",
+    """ctx AS (SELECT coalesce(dj.event_id, rj.event_id) AS event_id, dj.daily_json, rj.role_json
+              FROM dj FULL JOIN rj ON dj.event_id = rj.event_id)""",
+]
+PROMPT_ROWS_SQL = O.with_reg(*TOPIC_CTES, _ANS_CTE, *_CTX_CTES, f"""nl AS (
+  SELECT event_id, key, count(*) AS n_list FROM ans GROUP BY ALL)""", f"""ch AS (
+  SELECT a.event_id, a.key, a.row_id, a.answer,
+    ('0x' || substr(md5(CAST(a.row_id AS VARCHAR)), 1, 15))::BIGINT
+      % CAST(ceil(nl.n_list / {CHUNK_ANSWERS}) AS BIGINT) AS chunk
+  FROM ans a JOIN nl ON nl.event_id = a.event_id AND nl.key = a.key)""", """g AS (
+  SELECT event_id, key, chunk, count(*) AS n_answers,
+         string_agg('- ' || answer, chr(10) ORDER BY row_id) AS block
+  FROM ch GROUP BY ALL)""") + """
+SELECT g.event_id, g.key, CAST(g.chunk AS BIGINT) AS chunk, CAST(g.n_answers AS BIGINT) AS n_answers,
+  ctx.daily_json, ctx.role_json,
+  'LIST: ' || g.key || ' (' || CAST(g.n_answers AS VARCHAR) || ' answers)' || chr(10) || g.block
+    || chr(10) || chr(10) || 'REGISTRATIONS BY DAY: ' || coalesce(ctx.daily_json, '{}')
+    || chr(10) || 'ROLE COUNTS: ' || coalesce(ctx.role_json, '{}') AS prompt
+FROM g LEFT JOIN ctx ON ctx.event_id = g.event_id"""
+
+
+@register("prompt_rows", PROMPT_ROWS_SQL)
 def q_prompt_rows(spark, sf_dir):
     reg, k, mode, ans = _inputs(spark, sf_dir)
     return prompt_rows(ans, context_json(reg))
@@ -161,7 +203,55 @@ def chart_payload(reg: DataFrame, topic_rows=None) -> DataFrame:
         F.to_json(F.coalesce("exp", F.array().cast("array<array<string>>"))).alias("exp_json"))
 
 
-@register("chart_payload")
+def _pairs_sql(name: str, src: str, cols: list[str]) -> str:
+    """CTE ``name``: per event, ``[[c1, c2, ...], ...]`` as JSON text in ``pos`` order."""
+    items = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return (f"{name} AS (SELECT event_id, CAST(to_json(list([{items}] ORDER BY pos)) AS VARCHAR) AS j "
+            f"FROM {src} GROUP BY event_id)")
+
+
+# SQL check: the same per-event chart JSON (choice topics; free-text events
+# would need the theme job).  A missing part is left out of the role object
+# and written as [] for goals and experience, as in the Spark plan.
+CHART_PAYLOAD_SQL = O.with_reg(
+    *TOPIC_CTES, DAYS, RS, RC, GC, ED,
+    """dt AS (SELECT event_id, day, CAST(n AS BIGINT) AS n,
+              CAST(sum(n) OVER (PARTITION BY event_id ORDER BY day
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum
+            FROM d WHERE day IS NOT NULL)""",
+    """tl AS (SELECT event_id, CAST(to_json(struct_pack(labels := list(strftime(day, '%b %d') ORDER BY day),
+                                                       daily := list(n ORDER BY day),
+                                                       cumulative := list(cum ORDER BY day))) AS VARCHAR) AS j
+            FROM dt GROUP BY event_id)""",
+    _pairs_sql("sp", "rs", ["label", "n"]),
+    _pairs_sql("rw", "rc", ["combo", "n"]),
+    "glp AS (SELECT event_id, max(pos) AS lp FROM gc GROUP BY event_id)",
+    f"""gna AS (SELECT event_id, pos, label, n FROM gc
+              UNION ALL
+              SELECT k.event_id, glp.lp + 1 AS pos, {O.lit(K.NO_ANSWER_LABEL)} AS label, k.total - k.goals_answered AS n
+              FROM k JOIN glp ON glp.event_id = k.event_id WHERE k.total - k.goals_answered > 0)""",
+    _pairs_sql("gl", "gna", ["label", "n"]),
+    """tr AS (SELECT tc.event_id, tc.pos, tc.label, tc.n FROM tc JOIN mode ON mode.event_id = tc.event_id
+            WHERE mode.topics_are_choices)""",
+    "tlp AS (SELECT event_id, max(pos) AS lp FROM tr GROUP BY event_id)",
+    f"""trb AS (SELECT event_id, pos, label, n, {O.palette('pos - 1', K.BAR_PALETTE, K.BAR_DEFAULT)} AS colour FROM tr
+              UNION ALL
+              SELECT k.event_id, coalesce(tlp.lp, 0) + 1 AS pos, {O.lit(K.BLANK_TOPICS_LABEL)} AS label,
+                     k.total - k.topics_answered AS n, {O.lit(K.BAR_DEFAULT)} AS colour
+              FROM k LEFT JOIN tlp ON tlp.event_id = k.event_id)""",
+    _pairs_sql("tp", "trb", ["label", "n", "colour"]),
+    f"""exd AS (SELECT event_id, pos, {O.shorten('label')} AS label, n,
+                     {O.palette('pos - 1', K.DONUT_PALETTE)} AS colour FROM ed)""",
+    _pairs_sql("ex", "exd", ["label", "n", "colour"])) + """
+SELECT k.event_id, tl.j AS timeline_json,
+  '{' || concat_ws(',', '"split":' || sp.j, '"raw":' || rw.j) || '}' AS role_json,
+  coalesce(gl.j, '[]') AS goals_json, tp.j AS topics_json, coalesce(ex.j, '[]') AS exp_json
+FROM k LEFT JOIN tl ON tl.event_id = k.event_id LEFT JOIN sp ON sp.event_id = k.event_id
+  LEFT JOIN rw ON rw.event_id = k.event_id LEFT JOIN gl ON gl.event_id = k.event_id
+  LEFT JOIN tp ON tp.event_id = k.event_id LEFT JOIN ex ON ex.event_id = k.event_id"""
+
+
+@register("chart_payload", CHART_PAYLOAD_SQL)
 def q_chart_payload(spark, sf_dir):
     return chart_payload(load_reg(spark, sf_dir),
                          lambda r, kk, m: topic_rows_for(spark, sf_dir, r, kk, m))
