@@ -34,7 +34,8 @@ N_THEMES = 5            # plus one "other" theme for answers sharing no term
 ITERATIONS = 6
 MIN_DF = 2
 MAX_DF_RATIO = 0.8
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 2_000_000        # k x kept terms (centroid rows: group, id, term, weight)
+IDF_BROADCAST_MAX_ROWS = 1_000_000    # kept (group, term) rows of the idf table
 OTHER_TITLE = "Other answers"
 
 
@@ -51,31 +52,46 @@ def theme_inputs(reg: DataFrame, mode: DataFrame) -> DataFrame:
 
 
 def terms(answers: DataFrame) -> DataFrame:
-    """``(event_id, key, row_id, term, tf)`` over the whole answer text."""
+    """``(event_id, key, row_id, term, tf)`` over the whole answer text.
+
+    Grouped on (group, answer, term): when ``answers`` is already hash
+    partitioned by (group, answer) this runs without a shuffle.
+    """
     tok = answers.select(*G, "row_id", F.explode(F.regexp_extract_all(F.lower("answer"), F.lit(TOKEN_RE), 0))
                          .alias("term"))
     return tok.groupBy(*G, "row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(answers: DataFrame) -> DataFrame:
-    """L2-normalised TF-IDF points ``(event_id, key, row_id, term, w)``.
+def tfidf(answers: DataFrame) -> tuple[DataFrame, int]:
+    """L2-normalised TF-IDF points ``(event_id, key, row_id, term, w)`` and
+    the number of kept (group, term) pairs.
 
     Terms in fewer than two answers carry no grouping signal and terms in
     most answers of a large list carry little; both are pruned.
+
+    The answers are hash partitioned by (group, answer) once; term counts,
+    the idf join (broadcast only while the counted idf table is under
+    ``IDF_BROADCAST_MAX_ROWS``), the length window and the bucketed write of
+    the points all keep that layout, so only the document-frequency partials
+    cross the network.
     """
-    tf = terms(answers)
+    n = int(answers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tf = terms(answers.repartition(n, *G, "row_id"))
     nd = answers.groupBy(*G).agg(F.count(F.lit(1)).alias("nd"))
     df = tf.groupBy(*G, "term").agg(F.count(F.lit(1)).alias("df"))
-    keep = (df.join(nd, G)
-            .where((F.col("df") >= MIN_DF) & ((F.col("nd") < 10) | (F.col("df") <= F.col("nd") * MAX_DF_RATIO)))
-            .select(*G, "term", (F.log((1 + F.col("nd")) / (1 + F.col("df"))) + 1).alias("idf")))
-    w = tf.join(keep, G + ["term"]).select(*G, "row_id", "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    # Hash-partition by answer once: the length window below and the bucketed
-    # write of the points both use this layout, so neither shuffles again.
-    n = int(answers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_answer = w.repartition(n, *G, "row_id")
+    keep = materialize(
+        df.join(nd, G)
+        .where((F.col("df") >= MIN_DF) & ((F.col("nd") < 10) | (F.col("df") <= F.col("nd") * MAX_DF_RATIO)))
+        .select(*G, "term", (F.log((1 + F.col("nd")) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
+    n_terms = keep.count()
+    small = n_terms <= IDF_BROADCAST_MAX_ROWS
+    w = (tf.join(F.broadcast(keep) if small else keep, G + ["term"])
+         .select(*G, "row_id", "term", ((1 + F.log("tf")) * F.col("idf")).alias("w")))
+    if not small:
+        # The shuffle join moved the points to term order; back to answers.
+        w = w.repartition(n, *G, "row_id")
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*G, "row_id")))
-    return by_answer.select(*G, "row_id", "term", (F.col("w") / length).alias("w"))
+    return w.select(*G, "row_id", "term", (F.col("w") / length).alias("w")), n_terms
 
 
 def _norms(cent: DataFrame) -> DataFrame:
@@ -107,16 +123,19 @@ def _assign(points: DataFrame, cent: DataFrame, broadcast_ok: bool) -> DataFrame
     return best.select(*G, "row_id", (-F.col("b.neg")).alias("cid"), F.col("b.score").alias("score"))
 
 
-def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS) -> tuple[DataFrame, DataFrame]:
+def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
+           vocab: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Spherical k-means for every (event, key) group at once.
 
     Returns ``(assignments(g, row_id, cid, score), centroids(g, cid, term, cw))``
     (centroids are sums of member vectors; scores divide by their length).
     The centroid table has at most k rows per (group, kept term); that bound
-    is counted once and decides between a broadcast and a shuffle join.
+    is counted once (or passed in as ``vocab``) and decides between a
+    broadcast and a shuffle join.
     """
     points = bucketed(points, [*G, "row_id"], "points", prepartitioned=True)
-    vocab = points.select(*G, "term").distinct().count()
+    if vocab is None:
+        vocab = points.select(*G, "term").distinct().count()
     broadcast_ok = k * vocab <= BROADCAST_MAX_ROWS
     seeds = _seeds(points, k)
     cent = materialize(points.join(seeds, G + ["row_id"]).select(*G, "cid", "term", F.col("w").alias("cw")),
@@ -152,8 +171,8 @@ def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS)
     Answers that share no kept term with any centroid form the "other" theme,
     so counts add up to the genuine answers of the list.
     """
-    points = tfidf(answers)
-    assign, cent = kmeans(points, k, iterations)
+    points, vocab = tfidf(answers)
+    assign, cent = kmeans(points, k, iterations, vocab)
     full = (answers.join(assign, G + ["row_id"], "left")
             .select(*G, "row_id", "answer", F.coalesce("cid", F.lit(k)).alias("cid"),
                     F.coalesce("score", F.lit(0.0)).alias("score")))

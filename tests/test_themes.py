@@ -40,6 +40,22 @@ def test_theme_contract(spark, answers):
             assert len(r.title.split()) < 6
 
 
+def test_join_strategies_agree(spark, answers, monkeypatch):
+    """The shuffle-join paths (idf table and centroids over their broadcast
+    bounds) give the same points and themes as the broadcast paths."""
+    def run():
+        pts, n_terms = themes.tfidf(answers)
+        got = sorted((r.event_id, r.row_id, r.term, round(r.w, 9)) for r in pts.collect())
+        th = sorted((r.event_id, r.theme_id, r["count"], r.title, tuple(r.quotes))
+                    for r in themes.themes(answers, k=3, iterations=3).collect())
+        return n_terms, got, th
+    small = run()
+    monkeypatch.setattr(themes, "IDF_BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(themes, "BROADCAST_MAX_ROWS", 0)
+    assert run() == small
+    assert small[0] == len({(e, t) for e, _, t, _ in small[1]})
+
+
 def test_theme_audit_flags(spark, answers):
     genuine = answers.groupBy("event_id", "key").agg(F.count("*").alias("n_genuine"))
     good = themes.themes(answers, k=3, iterations=2)
