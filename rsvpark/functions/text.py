@@ -17,6 +17,7 @@ from rsvpark import constants as K
 WS = r"[\s\x{1c}-\x{1f}]"
 _STRIP_RE = rf"(?U)^{WS}+|{WS}+$"
 _SPLIT_WS_RE = rf"(?U){WS}+"
+_NON_WS_RE = r"(?U)[^\s\x{1c}-\x{1f}]"
 # One trailing full-width bracket group, e.g. "Networking （结识同行）".
 _TRANSLATION_RE = rf"(?U){WS}*（[^）]*）{WS}*$"
 
@@ -31,8 +32,12 @@ def strip_ws(c: Column | str) -> Column:
 
 
 def is_blank(c: Column | str) -> Column:
-    """True for null or whitespace-only text."""
-    return F.coalesce(strip_ws(c) == "", F.lit(True))
+    """True for null or whitespace-only text.
+
+    Tested as "holds no non-whitespace character": the regex stops at the
+    first such character, so a long answer is neither scanned nor copied.
+    """
+    return F.coalesce(~col_(c).rlike(_NON_WS_RE), F.lit(True))
 
 
 def na_null(c: Column | str) -> Column:
@@ -121,11 +126,29 @@ def slug(stem: Column | str) -> Column:
     return F.when(s != "", s).otherwise(F.lit("event"))
 
 
+_PUNCT_CLASS = "".join("\\" + ch if ch in ".?!" else ch for ch in K.FILLER_TRAILING_PUNCT)
+# A filler answer is, after leading whitespace, a filler word (lower-casing
+# never shortens text, so at most this many characters) followed only by
+# whitespace and end punctuation.
+_FILLER_SPAN = 2 * max(len(f) for f in K.FILLER_ANSWERS)
+# The shape is an optional group, so the search always ends at position 0
+# (whole text when the shape fits, else empty) instead of being retried at
+# every position of a long answer.
+_FILLER_SHAPE_RE = rf"(?sU)^(?:{WS}*.{{0,{_FILLER_SPAN}}}[\s\x{{1c}}-\x{{1f}}{_PUNCT_CLASS}]*$)?"
+
+
 def filler_key(c: Column | str) -> Column:
     """Normal form used to compare an answer with the filler list."""
-    punct = "".join("\\" + ch if ch in ".?!" else ch for ch in K.FILLER_TRAILING_PUNCT)
-    return strip_ws(F.regexp_replace(F.lower(strip_ws(c)), f"[{punct}]+$", ""))
+    return strip_ws(F.regexp_replace(F.lower(strip_ws(c)), f"[{_PUNCT_CLASS}]+$", ""))
 
 
 def is_filler(c: Column | str) -> Column:
-    return filler_key(c).isin(*K.FILLER_ANSWERS)
+    """Answer equal to a filler word after normalising (``filler_key``).
+
+    The shape test runs first and is a necessary condition, so long genuine
+    answers are rejected without lower-casing or copying them (``And``
+    evaluates its right side only when the left is true).
+    """
+    c = col_(c)
+    shaped = F.length(F.regexp_extract(c, _FILLER_SHAPE_RE, 0)) > 0
+    return shaped & filler_key(c).isin(*K.FILLER_ANSWERS)

@@ -142,7 +142,9 @@ def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
                        "centroids")
     for _ in range(iterations):
         assign = _assign(points, cent, broadcast_ok)
-        moved = (points.join(assign.select(*G, "row_id", "cid"), G + ["row_id"])
+        # Both sides are bucketed by answer: a hash join inside each bucket
+        # (built on the one-row-per-answer side) avoids sorting every point.
+        moved = (points.join(assign.select(*G, "row_id", "cid").hint("shuffle_hash"), G + ["row_id"])
                  .groupBy(*G, "cid", "term").agg(F.sum("w").alias("cw")))
         cent = materialize(moved, "centroids")
     return materialize(_assign(points, cent, broadcast_ok), "assign"), cent

@@ -93,3 +93,28 @@ def test_html_escape_and_slug(spark):
     assert r.e == html.escape("<a href='x'>&\"</a>")
     assert r.sl == "My-file-v2-final"
     assert df.select(T.slug(F.lit("---")).alias("s")).collect()[0].s == "event"
+
+
+PAD = [" ", "　", "\xa0", "\t", "\n", ".", "!", "?", "。", "！", "？", "…", "a", "学"]
+FILLER_CELLS = st.lists(
+    st.tuples(st.text(alphabet=st.sampled_from([" ", "\t", "　", "\n"]), max_size=60),
+              st.sampled_from(T.K.FILLER_ANSWERS + ["No", "N/A", "NONE", "Just Curious", "question", ""]),
+              st.text(alphabet=st.sampled_from(PAD), max_size=80)).map("".join),
+    min_size=150, max_size=150)
+
+
+def m_filler(s: str) -> bool:
+    punct = re.escape(T.K.FILLER_TRAILING_PUNCT)
+    return re.sub(f"[{punct}]+$", "", s.strip().lower()).strip() in T.K.FILLER_ANSWERS
+
+
+@settings(max_examples=3, deadline=None)
+@given(FILLER_CELLS)
+def test_filler_rule_matches_python(spark, cells):
+    """The shape precheck never rejects a filler answer, however long its
+    whitespace and punctuation tail."""
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, s string")
+    out = df.select("i", "s", T.is_filler("s").alias("f"), T.is_blank("s").alias("b")).orderBy("i").collect()
+    for r in out:
+        assert r.f == m_filler(r.s), repr(r.s)
+        assert r.b == (r.s.strip() == ""), repr(r.s)
