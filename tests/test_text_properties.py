@@ -118,3 +118,13 @@ def test_filler_rule_matches_python(spark, cells):
     for r in out:
         assert r.f == m_filler(r.s), repr(r.s)
         assert r.b == (r.s.strip() == ""), repr(r.s)
+
+
+def test_filler_rule_on_long_texts(spark):
+    cells = ["No" + " \n" * 3000 + "?!…", "　" * 500 + "没有" + "。" * 400, "no " + "x" * 5000,
+             "x" * 10000, " " * 9000, "Nothing yet" + " " * 100 + "." * 100 + " a"]
+    df = spark.createDataFrame(list(enumerate(cells)), "i int, s string")
+    got = [(r.f, r.b) for r in df.select("i", T.is_filler("s").alias("f"), T.is_blank("s").alias("b"))
+           .orderBy("i").collect()]
+    assert got == [(m_filler(s), s.strip() == "") for s in cells]
+    assert [f for f, _ in got] == [True, True, False, False, False, False]
