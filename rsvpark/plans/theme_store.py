@@ -33,10 +33,13 @@ def themes_with_store(spark, sf_dir) -> DataFrame:
     landing = land_reg(spark, sf_dir)
     store = f"{landing}-themes-{landing_version(spark, landing)}"
     pending = pending_events(reg, stored_themes(spark, store))
-    # Written once: the k-means job reads its answers several times.
-    todo = materialize(ans.join(pending, "event_id", "left_semi"), "answers")
-    if todo.limit(1).count():
-        store_themes(themes.themes(todo), store)
+    # Event ids only (the partition column of both tables): when every event
+    # has stored themes, the answer list is not built at all.
+    if pending.limit(1).count():
+        # Written once: the k-means job reads its answers several times.
+        todo = materialize(ans.join(pending, "event_id", "left_semi"), "answers")
+        if todo.limit(1).count():
+            store_themes(themes.themes(todo), store)
     return stored_themes(spark, store)
 
 
