@@ -23,15 +23,34 @@ BANDS = 8
 ROWS = 2
 SHORTCUTS = 1
 
+# MinHash functions h_i(t) = (A_i * m(t) + B_i) mod P, where m(t) is the
+# first 28 bits of the MD5 of the term (products stay below 2^63).  The
+# multipliers and offsets follow a rule: powers of the Lehmer generator
+# constants 48271 and 16807 modulo the prime P = 2^31 - 1.
+P = 2_147_483_647
+HASH_A = [pow(48271, i + 1, P) for i in range(BANDS * ROWS)]
+HASH_B = [pow(16807, i + 1, P) for i in range(BANDS * ROWS)]
+
+
+def term_code(term: str = "term"):
+    """First 28 bits of the term's MD5 (a number SQL engines recompute)."""
+    return F.conv(F.substring(F.md5(F.col(term)), 1, 7), 16, 10).cast("bigint")
+
 
 def minhash_buckets(answers: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(event_id, key, row_id, band, bucket)`` for every answer with a word."""
+    """``(event_id, key, row_id, band, bucket)`` for every answer with a word.
+
+    ``bucket`` is the band's ``rows`` MinHash values themselves (an array), so
+    two answers share a bucket exactly when they agree on the whole band.
+    """
     tok = (answers.select(*G, "row_id", F.explode(F.regexp_extract_all(F.lower("answer"), F.lit(TOKEN_RE), 0))
                           .alias("term")).distinct())
     n = bands * rows
-    sig = tok.groupBy(*G, "row_id").agg(*[F.min(F.xxhash64(F.lit(i), "term")).alias(f"h{i}") for i in range(n)])
+    code = tok.select(*G, "row_id", term_code().alias("m"))
+    sig = code.groupBy(*G, "row_id").agg(
+        *[F.min((F.lit(HASH_A[i]) * F.col("m") + F.lit(HASH_B[i])) % F.lit(P)).alias(f"h{i}") for i in range(n)])
     keys = F.array(*[F.struct(F.lit(b).alias("band"),
-                              F.xxhash64(*[F.col(f"h{b * rows + r}") for r in range(rows)]).alias("bucket"))
+                              F.array(*[F.col(f"h{b * rows + r}") for r in range(rows)]).alias("bucket"))
                      for b in range(bands)])
     return sig.select(*G, "row_id", F.inline(keys))
 

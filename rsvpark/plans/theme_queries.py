@@ -16,7 +16,7 @@ from rsvpark import constants as K
 from rsvpark.functions.fmt import day_label, md5_bucket, palette_at
 from rsvpark.functions.text import shorten_label
 from rsvpark.operators import counts, kpis, ranking, themes, timeline
-from rsvpark.operators.similar import similar_groups
+from rsvpark.operators.similar import BANDS, HASH_A, HASH_B, P, ROWS, similar_groups
 from rsvpark.plans import oracle as O
 from rsvpark.plans.more_queries import DAYS, ED, GC, RS, TOPIC_CTES
 from rsvpark.plans.queries import RC
@@ -26,6 +26,15 @@ from rsvpark.sources.fixture import load_reg
 
 CHUNK_ANSWERS = 200
 
+# Theme inputs in SQL: trimmed, non-blank, non-filler answers per list.
+_ANS_CTE = f"""ans AS (
+  SELECT event_id, 'speaker_q' AS key, row_id, {O.strip('speaker_q')} AS answer FROM reg
+  WHERE NOT {O.blank('speaker_q')} AND NOT {O.filler('speaker_q')}
+  UNION ALL
+  SELECT reg.event_id, 'future_topics' AS key, reg.row_id, {O.strip('future_topics')} AS answer
+  FROM reg JOIN mode ON mode.event_id = reg.event_id
+  WHERE NOT mode.topics_are_choices AND NOT {O.blank('future_topics')} AND NOT {O.filler('future_topics')})"""
+
 
 @register("themes_kmeans")
 def q_themes_kmeans(spark, sf_dir):
@@ -76,7 +85,35 @@ def q_theme_json_parse(spark, sf_dir):
     return themes.theme_rows_from_file(parsed)
 
 
-@register("similar_groups")
+# SQL check: the same tokens, MinHash values and band keys; components by a
+# recursive CTE over bucket-mates (pairs are formed here, in the check only).
+_SIG = ",\n    ".join(f"min(({HASH_A[i]} * m + {HASH_B[i]}) % {P}) AS h{i}" for i in range(BANDS * ROWS))
+_MEM = "\n  UNION ALL ".join(
+    f"SELECT event_id, key, row_id, {b} AS band, [{', '.join(f'h{b * ROWS + r}' for r in range(ROWS))}] AS bucket "
+    f"FROM sig" for b in range(BANDS))
+SIMILAR_GROUPS_SQL = O.with_reg(
+    *TOPIC_CTES, _ANS_CTE,
+    r"""tok AS (SELECT DISTINCT event_id, key, row_id,
+                  unnest(regexp_extract_all(lower(answer), '\p{Han}|[\p{L}\p{N}]+')) AS term FROM ans)""",
+    "code AS (SELECT event_id, key, row_id, ('0x' || substr(md5(term), 1, 7))::BIGINT AS m FROM tok)",
+    f"sig AS (SELECT event_id, key, row_id,\n    {_SIG}\n  FROM code GROUP BY event_id, key, row_id)",
+    f"mem AS (\n  {_MEM})",
+    """edges AS (SELECT DISTINCT a.event_id, a.key, a.row_id AS src, b.row_id AS dst
+               FROM mem a JOIN mem b ON a.event_id = b.event_id AND a.key = b.key AND a.band = b.band
+                                     AND a.bucket = b.bucket)""",
+    """cc(event_id, key, row_id, label) AS (
+      SELECT event_id, key, row_id, row_id FROM ans
+      UNION
+      SELECT e.event_id, e.key, e.dst, cc.label FROM cc
+      JOIN edges e ON e.event_id = cc.event_id AND e.key = cc.key AND e.src = cc.row_id)""",
+    "grp AS (SELECT event_id, key, row_id, min(label) AS group_id FROM cc GROUP BY ALL)",
+).replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT g.event_id, g.key, g.group_id, CAST(count(*) AS BIGINT) AS n_answers, ex.answer AS example
+FROM grp g JOIN ans ex ON ex.event_id = g.event_id AND ex.key = g.key AND ex.row_id = g.group_id
+GROUP BY g.event_id, g.key, g.group_id, ex.answer"""
+
+
+@register("similar_groups", SIMILAR_GROUPS_SQL)
 def q_similar_groups(spark, sf_dir):
     return similar_groups(_inputs(spark, sf_dir)[3])
 
@@ -120,13 +157,6 @@ def prompt_rows(answers: DataFrame, ctx: DataFrame, chunk: int = CHUNK_ANSWERS)
 
 # SQL check: theme inputs, md5 chunks, context maps (first key position, last
 # value, as map_from_entries with LAST_WIN), then the prompt text.
-_ANS_CTE = f"""ans AS (
-  SELECT event_id, 'speaker_q' AS key, row_id, {O.strip('speaker_q')} AS answer FROM reg
-  WHERE NOT {O.blank('speaker_q')} AND NOT {O.filler('speaker_q')}
-  UNION ALL
-  SELECT reg.event_id, 'future_topics' AS key, reg.row_id, {O.strip('future_topics')} AS answer
-  FROM reg JOIN mode ON mode.event_id = reg.event_id
-  WHERE NOT mode.topics_are_choices AND NOT {O.blank('future_topics')} AND NOT {O.filler('future_topics')})"""
 _CTX_CTES = [
     DAYS, RS,
     """dd AS (SELECT event_id, strftime(day, '%b %d') AS lbl, min(day) AS first_day, arg_max(n, day) AS n

@@ -79,7 +79,7 @@ def _union_find(rows):
     by_bucket = {}
     for r in rows:
         find((r.event_id, r.key, r.row_id))
-        by_bucket.setdefault((r.event_id, r.key, r.band, r.bucket), []).append((r.event_id, r.key, r.row_id))
+        by_bucket.setdefault((r.event_id, r.key, r.band, tuple(r.bucket)), []).append((r.event_id, r.key, r.row_id))
     for members in by_bucket.values():
         for m in members[1:]:
             a, b = find(members[0]), find(m)
@@ -146,3 +146,19 @@ def test_free_text_topics_use_theme_rows(spark, workdir):
     assert out[-1].label == "No specific ask / blank" and out[-1].n == 2
     assert sum(r.n for r in out[:-1]) == 7
     assert [r.n for r in out[:-1]] == sorted((r.n for r in out[:-1]), reverse=True)
+
+
+def test_minhash_values_match_plain_python(spark, answers):
+    """MinHash signature of each answer recomputed in plain Python."""
+    import hashlib
+    import re
+    got = {(r.row_id, r.band): list(r.bucket) for r in similar.minhash_buckets(answers).collect()}
+    for ev, key, rid, text in ANSWERS:
+        words = set(re.findall(r"[^\W_]+", text.lower()))
+        if not words:
+            assert all((rid, b) not in got for b in range(similar.BANDS))
+            continue
+        codes = [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words]
+        sig = [min((a * m + b) % similar.P for m in codes) for a, b in zip(similar.HASH_A, similar.HASH_B)]
+        for band in range(similar.BANDS):
+            assert got[(rid, band)] == sig[band * similar.ROWS:(band + 1) * similar.ROWS]
