@@ -1,35 +1,39 @@
 """Registration-form CSV exports: one file per event, header wording varies
 (A1-A6, A8, B5).
 
-Plan:
-
-1. Header metadata (bounded: one record per file) is read first and kept as
-   a DataFrame ``headers(file_path, pos, header)``.
+Plan (one read of all files, whatever their number or layouts):
+
+1. Every file is read by one ``spark.read.csv`` with a positional all-string
+   schema ``c0 .. c{MAX_COLUMNS-1}`` plus an ``_overflow`` column, header
+   records included.  ``multiLine`` CSV is not splittable, so a file is read
+   in order inside one task and ``monotonically_increasing_id`` follows the
+   file order; each file's header is its lowest-id record (a grouped
+   ``min_by`` whose partial aggregate forms in the task that read the file).
 2. ``column_map`` finds each logical key's header with a theta join of the
-   headers against the fixed hint table (broadcast: about twenty rows), then
-   ``min_by(header, (hint_ord, pos))``: first hint, then first column.
+   header cells against the fixed hint table (broadcast: about twenty rows),
+   then ``min_by(header, (hint_ord, pos))``: first hint, then first column.
    Overrides win over hints and are checked to exist.
-3. Files that share one header layout are read together with an explicit
-   positional all-string schema plus one ``_overflow`` column (a non-null
-   overflow means a row has more cells than the header).  ``multiLine`` CSV is
-   not splittable, so parallelism is the number of files; each file is read
-   in order, so ``monotonically_increasing_id`` follows the file order.
+3. One layout row per file (header record id, width, position of each key)
+   is joined back to the records: broadcast while the file count is under
+   ``LAYOUT_BROADCAST_MAX_FILES``, else a shuffle join (AQE splits a hot file).
+   Cells are picked by position; a record with a non-empty cell past its
+   file's header width is a long row.
 4. Cells equal to a missing-value token become null; dates and money are
    cast explicitly (ANSI on: unparsable dates fail the job).
+
+Nothing but the file listing and a count of files without an order date
+reaches the driver.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rsvpark import constants as K
 from rsvpark.functions.text import col_, na_null, slug
+from rsvpark.session import materialize
 from rsvpark.sources.schema import ANSWER_KEYS, REG_COLUMNS
 
 OVERFLOW = "_overflow"
@@ -77,32 +81,36 @@ def list_csv_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
-def _first_record(spark: SparkSession, path: str, max_lines: int = 10_000) -> list[str]:
-    """Parse the header record; only its first line(s) are read from the file."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    lines: list[str] = []
-    try:
-        while len(lines) < max_lines:
-            line = reader.readLine()
-            if line is None:
-                break
-            lines.append(line)
-            if "\n".join(lines).count('"') % 2 == 0:   # a quoted header may span lines
-                break
-    finally:
-        reader.close()
-    text = "\n".join(lines).lstrip("\ufeff")
-    return next(csv.reader(io.StringIO(text)), [])
-
-
-def read_headers(spark: SparkSession, files: list[str]) -> DataFrame:
-    """``headers(file_path, pos, header)``: one row per column of each file."""
-    rows = [(f, i, h) for f in files for i, h in enumerate(_first_record(spark, f))]
-    schema = "file_path string, pos int, header string"
-    return spark.createDataFrame(rows, schema)
+MAX_COLUMNS = 256                   # widest export accepted (wider headers fail)
+LAYOUT_BROADCAST_MAX_FILES = 200_000
+
+
+def raw_records(spark: SparkSession, files: list[str], max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """Every record of every file, positional: ``c0 ..``, ``_overflow``,
+    ``file_path``, ``rec_id`` (increasing in file order)."""
+    raw = (spark.read.schema(_layout_schema(max_columns))
+           .option("header", False).option("multiLine", True).option("escape", '"')
+           .option("mode", "PERMISSIVE").option("enforceSchema", True)
+           .csv([_escape_glob(f) for f in files]))
+    return raw.select("*", F.col("_metadata.file_path").alias("file_path"),
+                      F.monotonically_increasing_id().alias("rec_id"))
+
+
+def header_records(raw: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """``(file_path, rec_id, cells)``: the first record of each file."""
+    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)] + [F.col(OVERFLOW)])
+    first = raw.groupBy("file_path").agg(F.min_by(F.struct(F.col("rec_id"), cells.alias("cells")),
+                                                  F.col("rec_id")).alias("h"))
+    return first.select("file_path", F.col("h.rec_id").alias("rec_id"), F.col("h.cells").alias("cells"))
+
+
+def read_headers(first: DataFrame) -> DataFrame:
+    """``headers(file_path, pos, header)``: one row per named column of each file."""
+    h = first.select("file_path", F.posexplode("cells").alias("pos", "header")).where(F.col("header").isNotNull())
+    # A byte-order mark at the start of a file belongs to no header.
+    return h.select("file_path", F.col("pos").cast("int").alias("pos"),
+                    F.when(F.col("pos") == 0, F.regexp_replace("header", "^\ufeff", ""))
+                    .otherwise(F.col("header")).alias("header"))
 
 
 def hints_table(spark: SparkSession) -> DataFrame:
@@ -166,41 +174,47 @@ def _cast_money(c: Column) -> Column:
     return cleaned.try_cast("decimal(18,2)")
 
 
-def read_layout(spark: SparkSession, files: list[str], n_cols: int, key_pos: dict[str, int | None],
-                on_long_row: str = "fail") -> DataFrame:
-    """Rows of files that share one header layout, in the registrations schema."""
-    raw = (spark.read.schema(_layout_schema(n_cols))
-           .option("header", True).option("multiLine", True).option("escape", '"')
-           .option("mode", "PERMISSIVE").option("enforceSchema", True)
-           .csv([_escape_glob(f) for f in files]))
-    raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"),
-                     F.monotonically_increasing_id().alias("row_id"))
+def layouts(first: DataFrame, headers: DataFrame, cmap: DataFrame) -> DataFrame:
+    """One row per file: header record id, header width, position of each key."""
+    width = headers.groupBy("file_path").agg((F.max("pos") + 1).alias("width"))
+    pos = cmap.groupBy("file_path").agg(
+        *[F.max(F.when(F.col("key") == k, F.col("pos"))).alias(f"pos_{k}") for k in K.KEYS])
+    return (first.select("file_path", F.col("rec_id").alias("header_id"))
+            .join(width, "file_path", "left").join(pos, "file_path", "left")
+            .fillna({"width": 0}))
+
+
+def records(raw: DataFrame, layout: DataFrame, n_files: int, on_long_row: str = "fail",
+            max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """Data records in the registrations schema (header records dropped)."""
+    lay = F.broadcast(layout) if n_files <= LAYOUT_BROADCAST_MAX_FILES else layout
+    j = raw.join(lay, "file_path").where(F.col("rec_id") > F.col("header_id"))
+    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
+    past_header = F.slice(cells, F.col("width") + 1, F.greatest(F.lit(max_columns) - F.col("width"), F.lit(0)))
+    long_row = F.col(OVERFLOW).isNotNull() | F.exists(past_header, lambda x: x.isNotNull())
     if on_long_row == "fail":
         # A filter (not a projection) so column pruning cannot drop the check.
-        raw = raw.where(F.when(F.col(OVERFLOW).isNotNull(), F.raise_error(
-            F.concat(F.lit("row has more cells than the header: "), F.col("source_file"))))
+        j = j.where(F.when(long_row, F.raise_error(
+            F.concat(F.lit("row has more cells than the header: "), F.col("file_path"))))
             .otherwise(F.lit(True)))
     elif on_long_row == "drop":
-        raw = raw.where(F.col(OVERFLOW).isNull())
+        j = j.where(~long_row)
 
     def cell(key: str) -> Column:
-        pos = key_pos.get(key)
-        return na_null(F.col(f"c{pos}")) if pos is not None else F.lit(None).cast("string")
+        return na_null(F.element_at(cells, F.col(f"pos_{key}") + 1))
 
-    if key_pos.get("order_date") is None:
-        raise ValueError("no order date column: add an override for 'order_date'")
-    out = raw.select(
-        event_key("source_file").alias("event_id"),
-        "row_id",
+    out = j.select(
+        event_key("file_path").alias("event_id"),
+        F.col("rec_id").alias("row_id"),
         F.to_timestamp_ntz(cell("order_date")).alias("order_ts"),
         cell("attendee_status").alias("attendee_status"),
         cell("ticket_type").alias("ticket_type"),
         _cast_money(cell("total_paid")).alias("total_paid"),
         *[cell(k).alias(k) for k in ("role", "experience", "session_goals", "speaker_q", "future_topics")],
-        "source_file",
+        F.col("file_path").alias("source_file"),
+        *[F.col(f"pos_{k}").isNotNull().alias(f"has_{k}") for k in K.KEYS],
     )
-    flags = [F.lit(key_pos.get(k) is not None).alias(f"has_{k}") for k in K.KEYS]
-    return out.select(*REG_COLUMNS, "source_file", *flags)
+    return out.select(*REG_COLUMNS, "source_file", *[f"has_{k}" for k in K.KEYS])
 
 
 def read_exports(spark: SparkSession, path: str | list[str], overrides: dict[str, str] | None = None,
@@ -214,19 +228,17 @@ def read_exports(spark: SparkSession, path: str | list[str], overrides: dict[str
     files = sorted(path) if isinstance(path, list) else list_csv_files(spark, path)
     if not files:
         raise FileNotFoundError(path)
-    headers = read_headers(spark, files)
+    raw = raw_records(spark, files)
+    first = materialize(header_records(raw), "csv-headers")     # one row per file
+    if first.where(F.col("cells")[MAX_COLUMNS].isNotNull()).limit(1).count():
+        raise ValueError(f"an export has more than {MAX_COLUMNS} columns")
+    headers = read_headers(first)
     cmap = column_map(headers, overrides)
-    # Header metadata only: files x nine keys.
-    layout: dict[str, dict] = {}
-    for r in cmap.collect():
-        layout.setdefault(r["file_path"], {})[r["key"]] = r["pos"]
-    widths = {r["file_path"]: r["n"] for r in headers.groupBy("file_path").agg(F.count("*").alias("n")).collect()}
-    groups: dict[tuple, list[str]] = {}
-    for f in files:
-        key_pos = tuple(sorted((k, layout.get(f, {}).get(k)) for k in K.KEYS))
-        groups.setdefault((widths.get(f, 0), key_pos), []).append(f)
-    parts = [read_layout(spark, fs, width, dict(kp), on_long_row) for (width, kp), fs in groups.items()]
-    regs = reduce(lambda a, b: a.unionByName(b), parts)
+    # Every file needs an order date column (empty files have no header at all).
+    dated = cmap.where(F.col("key") == "order_date").select("file_path").distinct().count()
+    if dated < len(files):
+        raise ValueError("no order date column: add an override for 'order_date'")
+    regs = records(raw, layouts(first, headers, cmap), len(files), on_long_row)
     return regs, cmap, missing_keys(headers, cmap)
 
 

@@ -100,3 +100,23 @@ def test_timeline_properties(spark):
     for ev, rows in by_ev.items():
         rows.sort(key=lambda r: r.day)
         assert sum(r.n for r in rows) == dated[ev] == rows[-1].cumulative
+
+
+def test_mixed_layouts_in_one_read(spark, workdir):
+    """Files with different header orders, wordings and a byte-order mark are
+    read in one pass; every row takes its own file's layout."""
+    write_csv(workdir, "a.csv", "Order Date,Your role,What would you like to ask the speaker?",
+              ["2025-09-01 09:00:00,Tech,Why?", "2025-09-02 09:00:00,Data,How?"])
+    write_csv(workdir, "b.csv", "\ufeffQuestion for the guest,Which industry?,Ticket Type,Order date",
+              ["When?,Retail,VIP,2025-10-01 10:00:00"])
+    write_csv(workdir, "c.csv", "Order Date,Role", ["2025-11-01 08:00:00,Ops", "2025-11-02 08:00:00,Dev,EXTRA"])
+    regs, cmap, _ = read_exports(spark, workdir, on_long_row="drop")
+    got = sorted((r.event_id, r.role, r.speaker_q, r.ticket_type, str(r.order_ts)) for r in regs.collect())
+    assert got == [("a", "Data", "How?", None, "2025-09-02 09:00:00"),
+                   ("a", "Tech", "Why?", None, "2025-09-01 09:00:00"),
+                   ("b", "Retail", "When?", "VIP", "2025-10-01 10:00:00"),
+                   ("c", "Ops", None, None, "2025-11-01 08:00:00")]
+    first = {(r.event_id, r.role) for r in regs.where("row_id IS NOT NULL").collect()}
+    assert len(first) == 4
+    b_map = {r.key: r.header for r in cmap.collect() if r.file_path.endswith("b.csv")}
+    assert b_map["order_date"] == "Order date" and b_map["speaker_q"] == "Question for the guest"
