@@ -6,9 +6,17 @@ position is taken with ``array_position`` (first index of the label in its
 own row), so ``min_by(first_pos, row_id)`` is exact and both aggregates stay
 hash aggregates with map-side partials; no row order is relied on.
 
-The per-event ranking window runs *after* aggregation, over one row per
-distinct label, so its partitions are as large as a question's option list,
-not as large as the event.
+Positions are computed after aggregation, over one row per distinct label,
+and never with one window over all labels of an event (free-text answers can
+make that as large as the event).  A label's position is
+
+    (labels with a larger count)
+  + (labels with the same count whose first row falls in an earlier bucket
+     of ``2**ROW_BUCKET_BITS`` row ids)
+  + (its row number inside its (count, bucket) cell),
+
+so every window is bounded: by the number of distinct counts, by the number
+of row-id buckets, and by the bucket width.
 """
 
 from __future__ import annotations
@@ -47,11 +55,37 @@ def count_values(df: DataFrame, value: Column, by=BY, label_name: str = "label")
     return rank_by_count(agg, by, label_name)
 
 
+ROW_BUCKET_BITS = 20
+
+
+def larger_counts(hist: DataFrame, by=BY, count_col: str = "n", weight: str | None = None) -> DataFrame:
+    """``(by, count_col, _above)``: rows of the group with a strictly larger count.
+
+    ``hist`` holds one row per (group, count) or finer, with the number of
+    rows it stands for in ``weight`` (default: one each); the window runs
+    over distinct counts only.
+    """
+    k = F.sum(weight) if weight else F.count(F.lit(1))
+    h = hist.groupBy(*by, count_col).agg(k.alias("_kn"))
+    w = Window.partitionBy(*by).orderBy(F.desc(count_col)).rowsBetween(Window.unboundedPreceding, -1)
+    return h.select(*by, count_col, F.coalesce(F.sum("_kn").over(w), F.lit(0)).alias("_above"))
+
+
 def rank_by_count(agg: DataFrame, by=BY, label_name: str = "label") -> DataFrame:
-    """1-based position: count desc, then first appearance."""
-    w = Window.partitionBy(*by).orderBy(F.desc("n"), "_first_row", "_first_pos")
-    return agg.select(*by, label_name, F.col("n").cast("bigint").alias("n"),
-                      F.row_number().over(w).cast("bigint").alias("pos"))
+    """1-based position: count desc, then first appearance (row, then place in row)."""
+    by = list(by)
+    x = agg.withColumn("_b", F.shiftright("_first_row", ROW_BUCKET_BITS))
+    # Offsets per (count, bucket) cell, computed on the small cell table.
+    cells = x.groupBy(*by, "n", "_b").agg(F.count(F.lit(1)).alias("_k"))
+    wb = Window.partitionBy(*by, "n").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = cells.select(*by, "n", "_b", F.coalesce(F.sum("_k").over(wb), F.lit(0)).alias("_before"))
+    offsets = before.join(larger_counts(cells, by, weight="_k"), by + ["n"]).select(
+        *by, "n", "_b", (F.col("_above") + F.col("_before")).alias("_off"))
+    wi = Window.partitionBy(*by, "n", "_b").orderBy("_first_row", "_first_pos")
+    inner = x.select(*by, label_name, "n", "_b", F.row_number().over(wi).alias("_i"))
+    return inner.join(offsets, by + ["n", "_b"]).select(
+        *by, label_name, F.col("n").cast("bigint").alias("n"),
+        (F.col("_off") + F.col("_i")).cast("bigint").alias("pos"))
 
 
 # --- the concrete breakdowns -------------------------------------------------

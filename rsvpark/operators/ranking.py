@@ -1,8 +1,11 @@
 """Ranks, shares, colours and appended rows for the report tables
 (E2-E5, F3, F4, H1, H2, C9, C19).
 
-These windows all run on already-aggregated tables: one row per (event,
-label) or (event, day).
+These run on already-aggregated tables (one row per (event, label) or
+(event, day)), and still never put all labels of an event into one window:
+free-text answers can make a label list as long as the event.  Event-wide
+figures are grouped aggregates joined back; ranks come from a histogram of
+counts; running totals add block sums to a running sum inside the block.
 """
 
 from __future__ import annotations
@@ -13,21 +16,52 @@ from pyspark.sql import functions as F
 from rsvpark import constants as K
 from rsvpark.functions.fmt import axis_ticks, nice_max, palette_at, pct_half_up, rank_text
 from rsvpark.functions.text import shorten_label
+from rsvpark.operators.counts import larger_counts
 
 BY = ("event_id",)
 
 
+RUN_BLOCK_BITS = 20
+
+
 def competition_rank(df: DataFrame, count_col: str = "n", by=BY) -> DataFrame:
-    """1, 2, 2, 4 by count descending; a missing count sorts as 0."""
-    w = Window.partitionBy(*by).orderBy(F.desc(F.coalesce(F.col(count_col), F.lit(0))))
-    r = F.rank().over(w)
-    return df.withColumn("rank", r.cast("bigint")).withColumn("rank_text", rank_text("rank"))
+    """1, 2, 2, 4 by count descending; a missing count sorts as 0.
+
+    The rank is one more than the number of rows with a larger count, read
+    from a histogram of counts (a window over distinct counts only).
+    """
+    by = list(by)
+    c = df.withColumn("_c", F.coalesce(F.col(count_col), F.lit(0)))
+    above = larger_counts(c, by, "_c")
+    r = (c.join(above, by + ["_c"]).withColumn("rank", (F.col("_above") + 1).cast("bigint"))
+         .drop("_c", "_above"))
+    return r.withColumn("rank_text", rank_text("rank"))
+
+
+def _with_group_figure(df: DataFrame, by, name: str, agg) -> DataFrame:
+    """Join an event-wide aggregate back onto every row (no window)."""
+    return df.join(df.groupBy(*by).agg(agg.alias(name)), list(by))
+
+
+def running_sum(df: DataFrame, by, order_col: str, value: str, name: str) -> DataFrame:
+    """Running total of ``value`` in ``order_col`` order (a dense 1-based
+    position) within each group: sums of earlier blocks of
+    ``2**RUN_BLOCK_BITS`` positions plus a running sum inside the block."""
+    by = list(by)
+    x = df.withColumn("_blk", F.shiftright(order_col, RUN_BLOCK_BITS))
+    blocks = x.groupBy(*by, "_blk").agg(F.sum(value).alias("_s"))
+    wb = Window.partitionBy(*by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    prev = blocks.select(*by, "_blk", F.coalesce(F.sum("_s").over(wb), F.lit(0)).alias("_prev"))
+    wi = Window.partitionBy(*by, "_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding,
+                                                                         Window.currentRow)
+    return (x.withColumn("_run", F.sum(value).over(wi)).join(prev, by + ["_blk"])
+            .withColumn(name, F.col("_prev") + F.col("_run")).drop("_blk", "_run", "_prev"))
 
 
 def leaders(counts: DataFrame, by=BY) -> DataFrame:
     """labels tied at the top count are leaders, the rest follow."""
-    w = Window.partitionBy(*by)
-    return counts.withColumn("leader", F.col("n") == F.max("n").over(w))
+    return (_with_group_figure(counts, by, "_top", F.max("n"))
+            .withColumn("leader", F.col("n") == F.col("_top")).drop("_top"))
 
 
 def with_no_answer(goals: DataFrame, kpis: DataFrame, by=BY) -> DataFrame:
@@ -70,17 +104,14 @@ def palette_lookup(counts: DataFrame, by=BY) -> DataFrame:
 
 def bar_share(counts: DataFrame, by=BY) -> DataFrame:
     """Bar length as a share of the event's largest count."""
-    w = Window.partitionBy(*by)
-    return counts.select(*by, "label", "n", "pos",
-                         (F.col("n").cast("double") / F.max("n").over(w).cast("double")).alias("share_of_max"))
+    return (_with_group_figure(counts, by, "_top", F.max("n"))
+            .select(*by, "label", "n", "pos",
+                    (F.col("n").cast("double") / F.col("_top").cast("double")).alias("share_of_max")))
 
 
 def donut_share(dist: DataFrame, by=BY) -> DataFrame:
     """E5 + C9: donut segment shares, start/end (running share) and legend text."""
-    w_all = Window.partitionBy(*by)
-    w_run = Window.partitionBy(*by).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = (dist.withColumn("total", F.sum("n").over(w_all))
-         .withColumn("cum", F.sum("n").over(w_run)))
+    t = running_sum(_with_group_figure(dist, by, "total", F.sum("n")), by, "pos", "n", "cum")
     total = F.col("total").cast("double")
     pct = pct_half_up("n", "total")
     return t.select(

@@ -120,3 +120,52 @@ def test_mixed_layouts_in_one_read(spark, workdir):
     assert len(first) == 4
     b_map = {r.key: r.header for r in cmap.collect() if r.file_path.endswith("b.csv")}
     assert b_map["order_date"] == "Order date" and b_map["speaker_q"] == "Question for the guest"
+
+
+@pytest.mark.parametrize("bits", [0, 3, 20])
+def test_count_positions_match_one_window(spark, monkeypatch, bits):
+    """Bounded-window positions equal one row_number over the whole group,
+    with ties on counts across many first-row buckets."""
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(counts, "ROW_BUCKET_BITS", bits)
+    rnd = random.Random(7)
+    # Distinct labels never share a first row and place (as in real counts).
+    firsts = rnd.sample(range(1 << 24), 800)
+    rows = [(ev, f"L{i}", rnd.choice([1, 1, 1, 2, 3, 7]), firsts[j * 400 + i], rnd.randrange(1, 4))
+            for j, ev in enumerate(("a", "b")) for i in range(400)]
+    agg = spark.createDataFrame(rows, "event_id string, label string, n long, _first_row long, _first_pos int")
+    got = {(r.event_id, r.label): r.pos for r in counts.rank_by_count(agg).collect()}
+    w = Window.partitionBy("event_id").orderBy(F.desc("n"), "_first_row", "_first_pos")
+    want = {(r.event_id, r.label): r.pos for r in agg.select("event_id", "label", F.row_number().over(w)
+                                                          .alias("pos")).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("bits", [0, 2, 20])
+def test_running_share_and_rank_match_one_window(spark, monkeypatch, bits):
+    """Block running sums and histogram ranks equal whole-group windows."""
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from rsvpark.operators import ranking
+    monkeypatch.setattr(ranking, "RUN_BLOCK_BITS", bits)
+    rnd = random.Random(11)
+    rows = [(ev, f"L{p}", rnd.choice([None, 1, 2, 2, 5, 9]), p) for ev in ("a", "b") for p in range(1, 301)]
+    df = spark.createDataFrame(rows, "event_id string, label string, n long, pos long")
+    w_run = Window.partitionBy("event_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    nn = df.fillna({"n": 0})
+    want_cum = {(r.event_id, r.pos): r.c for r in nn.select("event_id", "pos", F.sum("n").over(w_run)
+                                                             .alias("c")).collect()}
+    got_cum = {(r.event_id, r.pos): r.cum for r in ranking.running_sum(nn, ["event_id"], "pos", "n", "cum")
+               .collect()}
+    assert got_cum == want_cum
+    w_rank = Window.partitionBy("event_id").orderBy(F.desc(F.coalesce("n", F.lit(0))))
+    want_rank = {(r.event_id, r.pos): r.rk for r in df.select("event_id", "pos", F.rank().over(w_rank)
+                                                               .alias("rk")).collect()}
+    got_rank = {(r.event_id, r.pos): r["rank"] for r in ranking.competition_rank(df).collect()}
+    assert got_rank == want_rank
