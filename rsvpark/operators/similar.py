@@ -3,11 +3,12 @@
 Two answers are linked when all ``ROWS`` MinHash values of one of ``BANDS``
 bands agree (answers with the same word set always agree).  Groups are the
 connected components of that relation.  No pairs are ever formed: each
-answer is linked to its band buckets, and labels (the smallest row id) are
-propagated answer -> bucket -> answer with two grouped minimums per round
-until nothing changes.  A bucket holding a third of all answers is just one
-hot key of a partially aggregated ``min``.  Every round's labels are
-checkpointed to the shared checkpoint folder.
+answer is linked to its band buckets; labels (in the end the smallest row id
+of the component) are merged by hooking every label seen in a bucket to the
+bucket's smallest label and pointer jumping over the label forest, until no
+bucket holds two labels.  A bucket holding a third of all answers is just one
+hot key of a partially aggregated ``min``.  Every round's tables are written
+to the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from rsvpark.session import materialize
 G = ["event_id", "key"]
 BANDS = 8
 ROWS = 2
-SHORTCUTS = 1
 
 # MinHash functions h_i(t) = (A_i * m(t) + B_i) mod P, where m(t) is the
 # first 28 bits of the MD5 of the term (products stay below 2^63).  The
@@ -55,31 +55,45 @@ def minhash_buckets(answers: DataFrame, bands: int = BANDS, rows: int = ROWS) ->
     return sig.select(*G, "row_id", F.inline(keys))
 
 
+def _jump(parent: DataFrame) -> DataFrame:
+    """Pointer jumping on ``parent(g, label, parent)`` until every label
+    points at a root (a label whose parent is itself or absent)."""
+    while True:
+        gp = parent.select(*G, F.col("label").alias("parent"), F.col("parent").alias("gp"))
+        # The step is written with a flag, so the stop test reads one table.
+        nxt = materialize(parent.join(gp, G + ["parent"], "left")
+                          .select(*G, "label", F.coalesce("gp", "parent").alias("parent"),
+                                  F.coalesce(F.col("gp") < F.col("parent"), F.lit(False)).alias("moved")),
+                          "parents")
+        parent = nxt.select(*G, "label", "parent")
+        if nxt.where("moved").limit(1).count() == 0:
+            return parent
+
+
 def connected_components(members: DataFrame) -> DataFrame:
     """Smallest ``row_id`` of each answer's component, ``(event_id, key, row_id, group_id)``.
 
-    Iterates until no label changes; with the shortcut step the number of
-    rounds grows with the logarithm of the longest chain of linked answers.
+    Hook and jump: in every round each label seen in a bucket points to the
+    smallest label of that bucket (always a smaller or equal label of the
+    same component), pointer jumping over that label forest finds its roots,
+    and every answer takes its label's root.  At the fixpoint no bucket holds
+    two labels, and the smallest row id of a component never changes, so
+    each component carries its smallest row id.  The number of rounds grows
+    with the logarithm of the component size, not with its diameter.
     """
     bk = G + ["band", "bucket"]
     members = materialize(members, "members")
     labels = materialize(members.select(*G, "row_id").distinct().withColumn("label", F.col("row_id")), "labels")
     while True:
-        bucket_min = (members.join(labels, G + ["row_id"])
-                      .groupBy(*bk).agg(F.min("label").alias("bl")))
-        hop = members.join(bucket_min, bk).groupBy(*G, "row_id").agg(F.min("bl").alias("label"))
-        # Shortcuts: a label is itself an answer of the same component, so
-        # taking the label's own label shortens the remaining chain.
-        for _ in range(SHORTCUTS):
-            via = hop.select(*G, F.col("row_id").alias("label"), F.col("label").alias("label2"))
-            hop = (hop.join(via, G + ["label"], "left")
-                   .select(*G, "row_id", F.least("label", F.coalesce("label2", "label")).alias("label")))
-        new = materialize(hop, "labels")
-        changed = (new.join(labels.withColumnRenamed("label", "old"), G + ["row_id"])
-                   .where(F.col("label") < F.col("old")).limit(1).count())
-        labels = new
-        if changed == 0:
+        seen = members.join(labels, G + ["row_id"]).select(*bk, "label")
+        bucket_min = seen.groupBy(*bk).agg(F.min("label").alias("bl"))
+        parent = materialize(seen.join(bucket_min, bk).groupBy(*G, "label").agg(F.min("bl").alias("parent"))
+                             .where(F.col("parent") < F.col("label")), "parents")
+        if parent.limit(1).count() == 0:
             break
+        root = _jump(parent)
+        labels = materialize(labels.join(root, G + ["label"], "left")
+                             .select(*G, "row_id", F.coalesce("parent", "label").alias("label")), "labels")
     return labels.withColumnRenamed("label", "group_id")
 
 

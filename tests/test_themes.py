@@ -162,3 +162,22 @@ def test_minhash_values_match_plain_python(spark, answers):
         sig = [min((a * m + b) % similar.P for m in codes) for a, b in zip(similar.HASH_A, similar.HASH_B)]
         for band in range(similar.BANDS):
             assert got[(rid, band)] == sig[band * similar.ROWS:(band + 1) * similar.ROWS]
+
+
+def test_components_on_a_long_chain_take_few_rounds(spark, monkeypatch):
+    """A chain of 300 answers (each shares one bucket with the next) and a
+    separate pair: one round per halving, not one per link."""
+    import random
+    ids = random.Random(3).sample(range(10_000), 302)
+    chain, pair = ids[:300], ids[300:]
+    rows = []
+    for i in range(299):
+        rows += [("e", "q", chain[i], 0, [i, 0]), ("e", "q", chain[i + 1], 0, [i, 0])]
+    rows += [("e", "q", pair[0], 1, [7, 7]), ("e", "q", pair[1], 1, [7, 7])]
+    members = spark.createDataFrame(rows, "event_id string, key string, row_id long, band int, bucket array<long>")
+    writes = []
+    real = similar.materialize
+    monkeypatch.setattr(similar, "materialize", lambda df, tag="work": writes.append(tag) or real(df, tag))
+    got = {r.row_id: r.group_id for r in similar.connected_components(members).collect()}
+    assert got == {**{x: min(chain) for x in chain}, **{x: min(pair) for x in pair}}
+    assert writes.count("labels") <= 12
