@@ -29,8 +29,11 @@ from rsvpark.functions.text import choice_picks, combo_label, multiselect_labels
 BY = ("event_id",)
 
 
-def count_labels(df: DataFrame, labels: Column, by=BY, label_name: str = "label") -> DataFrame:
-    """Count every element of the array ``labels`` per (by, label)."""
+def count_labels(df: DataFrame, labels: Column, by=BY, label_name: str = "label",
+                 ranked: bool = True) -> DataFrame:
+    """Count every element of the array ``labels`` per (by, label); with
+    ``ranked=False`` only ``(by, label, n)`` (no positions: callers that
+    need counts alone skip the ranking stages)."""
     # Each element is paired with the first index of its value in the same
     # row before exploding, so exploded rows do not carry the whole array.
     arr = df.select(*by, "row_id", labels.alias("_labels"))
@@ -42,6 +45,8 @@ def count_labels(df: DataFrame, labels: Column, by=BY, label_name: str = "label"
         F.min("row_id").alias("_first_row"),
         F.min_by("_pos", "row_id").alias("_first_pos"),
     )
+    if not ranked:
+        return agg.select(*by, label_name, F.col("n").cast("bigint").alias("n"))
     return rank_by_count(agg, by, label_name)
 
 
@@ -118,6 +123,6 @@ def nonblank_topics(reg: DataFrame, by=BY) -> DataFrame:
     return reg.select(*by, "row_id", t.alias("topic")).where(F.col("topic") != "")
 
 
-def topic_option_counts(reg: DataFrame, by=BY) -> DataFrame:
+def topic_option_counts(reg: DataFrame, by=BY, ranked: bool = True) -> DataFrame:
     """Option counts over every non-blank topic answer (before routing)."""
-    return count_labels(nonblank_topics(reg, by), choice_picks("topic"), by)
+    return count_labels(nonblank_topics(reg, by), choice_picks("topic"), by, ranked=ranked)

@@ -74,7 +74,7 @@ def topic_mode(reg: DataFrame, kpis: DataFrame, by=BY) -> DataFrame:
     Choices when some answer holds ``|`` and at least half of the distinct
     options were picked more than once.
     """
-    stats = (topic_option_counts(reg, by).groupBy(*by)
+    stats = (topic_option_counts(reg, by, ranked=False).groupBy(*by)
              .agg(F.count(F.lit(1)).alias("n_labels"), F.count_if(F.col("n") > 1).alias("n_repeated")))
     j = kpis.select(*by, "topic_has_pipe").join(stats, list(by), "left")
     n_labels = F.coalesce(F.col("n_labels"), F.lit(0)).cast("bigint")
