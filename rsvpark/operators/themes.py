@@ -63,8 +63,19 @@ def terms(answers: DataFrame) -> DataFrame:
 
 
 def tfidf(answers: DataFrame) -> tuple[DataFrame, int]:
-    """L2-normalised TF-IDF points ``(event_id, key, row_id, term, w)`` and
-    the number of kept (group, term) pairs.
+    """L2-normalised TF-IDF points ``(event_id, key, row_id, term, tid, w)``
+    and the number of kept (group, term) pairs (see ``_tfidf``)."""
+    points, n_terms, _ = _tfidf(answers)
+    return points, n_terms
+
+
+def _tfidf(answers: DataFrame) -> tuple[DataFrame, int, DataFrame]:
+    """TF-IDF points, the number of kept (group, term) pairs, and the kept
+    vocabulary ``(event_id, key, tid, term)``.
+
+    ``tid`` is a number given to each kept term when the idf table is
+    written; the k-means rounds join and group on it instead of the text
+    (and, reading Parquet, never read the text column).
 
     Terms in fewer than two answers carry no grouping signal and terms in
     most answers of a large list carry little; both are pruned.
@@ -82,16 +93,18 @@ def tfidf(answers: DataFrame) -> tuple[DataFrame, int]:
     keep = materialize(
         df.join(nd, G)
         .where((F.col("df") >= MIN_DF) & ((F.col("nd") < 10) | (F.col("df") <= F.col("nd") * MAX_DF_RATIO)))
-        .select(*G, "term", (F.log((1 + F.col("nd")) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
+        .select(*G, "term", (F.log((1 + F.col("nd")) / (1 + F.col("df"))) + 1).alias("idf"),
+                F.monotonically_increasing_id().alias("tid")), "idf")
     n_terms = keep.count()
     small = n_terms <= IDF_BROADCAST_MAX_ROWS
     w = (tf.join(F.broadcast(keep) if small else keep, G + ["term"])
-         .select(*G, "row_id", "term", ((1 + F.log("tf")) * F.col("idf")).alias("w")))
+         .select(*G, "row_id", "term", "tid", ((1 + F.log("tf")) * F.col("idf")).alias("w")))
     if not small:
         # The shuffle join moved the points to term order; back to answers.
         w = w.repartition(n, *G, "row_id")
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*G, "row_id")))
-    return w.select(*G, "row_id", "term", (F.col("w") / length).alias("w")), n_terms
+    points = w.select(*G, "row_id", "term", "tid", (F.col("w") / length).alias("w"))
+    return points, n_terms, keep.select(*G, "tid", "term")
 
 
 def _norms(cent: DataFrame) -> DataFrame:
@@ -116,7 +129,7 @@ def _assign(points: DataFrame, cent: DataFrame, broadcast_ok: bool) -> DataFrame
     c = F.broadcast(cent) if broadcast_ok else cent
     norms = _norms(cent)
     n = F.broadcast(norms) if broadcast_ok else norms
-    dots = (points.join(c, G + ["term"])
+    dots = (points.join(c, G + ["tid"])
             .groupBy(*G, "row_id", "cid").agg(F.sum(F.col("w") * F.col("cw")).alias("dot")))
     s = dots.join(n, G + ["cid"]).select(*G, "row_id", "cid", (F.col("dot") / F.col("cn")).alias("score"))
     best = s.groupBy(*G, "row_id").agg(F.max(F.struct("score", (-F.col("cid")).alias("neg"))).alias("b"))
@@ -127,7 +140,7 @@ def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
            vocab: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Spherical k-means for every (event, key) group at once.
 
-    Returns ``(assignments(g, row_id, cid, score), centroids(g, cid, term, cw))``
+    Returns ``(assignments(g, row_id, cid, score), centroids(g, cid, tid, cw))``
     (centroids are sums of member vectors; scores divide by their length).
     The centroid table has at most k rows per (group, kept term); that bound
     is counted once (or passed in as ``vocab``) and decides between a
@@ -135,17 +148,17 @@ def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
     """
     points = bucketed(points, [*G, "row_id"], "points", prepartitioned=True)
     if vocab is None:
-        vocab = points.select(*G, "term").distinct().count()
+        vocab = points.select(*G, "tid").distinct().count()
     broadcast_ok = k * vocab <= BROADCAST_MAX_ROWS
     seeds = _seeds(points, k)
-    cent = materialize(points.join(seeds, G + ["row_id"]).select(*G, "cid", "term", F.col("w").alias("cw")),
+    cent = materialize(points.join(seeds, G + ["row_id"]).select(*G, "cid", "tid", F.col("w").alias("cw")),
                        "centroids")
     for _ in range(iterations):
         assign = _assign(points, cent, broadcast_ok)
         # Both sides are bucketed by answer: a hash join inside each bucket
         # (built on the one-row-per-answer side) avoids sorting every point.
         moved = (points.join(assign.select(*G, "row_id", "cid").hint("shuffle_hash"), G + ["row_id"])
-                 .groupBy(*G, "cid", "term").agg(F.sum("w").alias("cw")))
+                 .groupBy(*G, "cid", "tid").agg(F.sum("w").alias("cw")))
         cent = materialize(moved, "centroids")
     return materialize(_assign(points, cent, broadcast_ok), "assign"), cent
 
@@ -173,8 +186,8 @@ def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS)
     Answers that share no kept term with any centroid form the "other" theme,
     so counts add up to the genuine answers of the list.
     """
-    points, vocab = tfidf(answers)
-    assign, cent = kmeans(points, k, iterations, vocab)
+    points, n_terms, vocab = _tfidf(answers)
+    assign, cent = kmeans(points, k, iterations, n_terms)
     full = (answers.join(assign, G + ["row_id"], "left")
             .select(*G, "row_id", "answer", F.coalesce("cid", F.lit(k)).alias("cid"),
                     F.coalesce("score", F.lit(0.0)).alias("score")))
@@ -193,8 +206,8 @@ def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS)
     # Title terms: heavy in this theme AND concentrated in it (weight times
     # its share of the term's weight over all themes of the list), so words
     # common to every theme do not name one.
-    spread = cent.groupBy(*G, "term").agg(F.sum("cw").alias("cw_all"))
-    distinct_w = (cent.join(spread, G + ["term"])
+    spread = cent.groupBy(*G, "tid").agg(F.sum("cw").alias("cw_all"))
+    distinct_w = (cent.join(spread, G + ["tid"]).join(vocab, G + ["tid"])
                   .select(*G, "cid", "term", (F.col("cw") * F.col("cw") / F.col("cw_all")).alias("tw")))
     t = top_n(distinct_w, G + ["cid"], [F.col("tw"), F.lit(0) - F.xxhash64("term")], ["term"], 3)
     titles = t.groupBy(*G, "cid").agg(
