@@ -44,9 +44,13 @@ def build_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("l_orderkey") % 3 == 0, F.replace("p0", F.lit(" | "), F.lit(", ")))
                      .otherwise(F.col("p0")).alias("picks")))
 
+    # Documents carry whole texts: never broadcast them (the static estimate
+    # is the compressed file size).  The orders side is already partitioned
+    # by order key for the picks join, so a sort-merge join moves only the
+    # documents.
     base = (o.join(c, o.o_custkey == c.c_custkey)
             .join(picks, o.o_orderkey == picks.l_orderkey, "left")
-            .join(d, d.doc_id == o.o_orderkey, "left"))
+            .join(d.hint("merge"), d.doc_id == o.o_orderkey, "left"))
 
     prio = F.col("o_orderpriority")
     key = F.col("o_orderkey")
