@@ -36,6 +36,7 @@ MIN_DF = 2
 MAX_DF_RATIO = 0.8
 BROADCAST_MAX_ROWS = 2_000_000        # k x kept terms (centroid rows: group, id, term, weight)
 IDF_BROADCAST_MAX_ROWS = 1_000_000    # kept (group, term) rows of the idf table
+QUOTE_BROADCAST_MAX_ROWS = 200_000    # distinct quotes of an audited theme table
 OTHER_TITLE = "Other answers"
 
 
@@ -240,7 +241,14 @@ def theme_audit(th: DataFrame, answers: DataFrame, genuine: DataFrame) -> DataFr
     counts above the genuine answers is only a warning.
     """
     q = th.select(*G, "theme_id", F.explode("quotes").alias("answer"))
-    bad_q = (q.join(answers.select(*G, "answer").distinct(), G + ["answer"], "left_anti")
+    # The answers stream past the quote set (at most three per theme, counted
+    # before it is broadcast); only quotes found come back, so answer texts
+    # are never shuffled for the check.
+    wanted = q.select(*G, "answer").distinct()
+    small = wanted.count() <= QUOTE_BROADCAST_MAX_ROWS
+    found = (answers.select(*G, "answer").join(F.broadcast(wanted) if small else wanted, G + ["answer"], "left_semi")
+             .distinct())
+    bad_q = (q.join(found, G + ["answer"], "left_anti")
              .groupBy(*G).agg(F.count(F.lit(1)).alias("bad_quotes")))
     words = F.size(F.split(strip_ws("title"), r"(?U)\s+"))
     per = th.groupBy(*G).agg(

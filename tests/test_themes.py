@@ -181,3 +181,18 @@ def test_components_on_a_long_chain_take_few_rounds(spark, monkeypatch):
     got = {r.row_id: r.group_id for r in similar.connected_components(members).collect()}
     assert got == {**{x: min(chain) for x in chain}, **{x: min(pair) for x in pair}}
     assert writes.count("labels") <= 12
+
+
+def test_audit_join_paths_agree(spark, answers, monkeypatch):
+    genuine = answers.groupBy("event_id", "key").agg(F.count("*").alias("n_genuine"))
+    th = spark.createDataFrame(
+        [("e1", "speaker_q", 0, "Agents", 3, ["How do agents plan long tasks?", "made up"]),
+         ("e2", "speaker_q", 0, "Models", 1, ["Open models versus closed models"])],
+        "event_id string, key string, theme_id long, title string, count long, quotes array<string>")
+    def run():
+        return sorted((r.event_id, r.bad_quotes, r.ok, r.n_genuine)
+                      for r in themes.theme_audit(th, answers, genuine).collect())
+    small = run()
+    monkeypatch.setattr(themes, "QUOTE_BROADCAST_MAX_ROWS", 0)
+    assert run() == small
+    assert small == [("e1", 1, False, 8), ("e2", 0, True, 2)]
