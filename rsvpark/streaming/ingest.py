@@ -26,8 +26,8 @@ BINARY_FILE = "path string, modificationTime timestamp, length long, content bin
 def _write_batch(spark: SparkSession, paths: list[str], table_path: str, overrides, on_long_row) -> None:
     if not paths:
         return
-    # The new files go through the batch CSV source (layout grouping,
-    # column mapping, casts) in one read.
+    # The new files go through the batch CSV source (header records, column
+    # mapping, casts): one positional read of all of them.
     regs, _, _ = read_exports(spark, paths, overrides, on_long_row)
     (regs.select(*REG_COLUMNS, "source_file").hint("rebalance", "event_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
