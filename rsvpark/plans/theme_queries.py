@@ -121,11 +121,15 @@ def q_similar_groups(spark, sf_dir):
 def context_json(reg: DataFrame) -> DataFrame:
     """``{"Sep 01": 2, …}`` by day and ``{"Tech": 5, …}`` by role, per event.
 
-    A repeated day label (same day, different years) keeps the later value.
+    A repeated day label (same day, different years) sits where it first
+    appears and keeps the later value.  Labels are made unique before the map
+    is built, so the result does not depend on ``spark.sql.mapKeyDedupPolicy``.
     """
     d = timeline.day_counts(reg)
-    daily = d.groupBy("event_id").agg(F.to_json(F.map_from_entries(F.transform(
-        F.sort_array(F.collect_list(F.struct("day", day_label("day").alias("k"), "n"))),
+    by_label = d.groupBy("event_id", day_label("day").alias("k")).agg(
+        F.min("day").alias("first_day"), F.max_by("n", "day").alias("n"))
+    daily = by_label.groupBy("event_id").agg(F.to_json(F.map_from_entries(F.transform(
+        F.sort_array(F.collect_list(F.struct("first_day", "k", "n"))),
         lambda x: F.struct(x["k"], x["n"])))).alias("daily_json"))
     r = counts.role_split(reg)
     roles = r.groupBy("event_id").agg(F.to_json(F.map_from_entries(F.transform(
@@ -156,7 +160,7 @@ def prompt_rows(answers: DataFrame, ctx: DataFrame, chunk: int = CHUNK_ANSWERS)
 
 
 # SQL check: theme inputs, md5 chunks, context maps (first key position, last
-# value, as map_from_entries with LAST_WIN), then the prompt text.
+# value), then the prompt text.
 _CTX_CTES = [
     DAYS, RS,
     """dd AS (SELECT event_id, strftime(day, '%b %d') AS lbl, min(day) AS first_day, arg_max(n, day) AS n
