@@ -45,3 +45,20 @@ def test_entry_runs(spark):
     assert df.count() == df.select("event_id").distinct().count() >= 1
     assert {"total", "peak_day", "money_blurb"} <= set(df.columns)
 
+
+
+def test_context_maps_do_not_need_last_win(spark):
+    """Day labels repeat across years; the maps are built from unique labels,
+    so Spark's default (raising) duplicate-key policy is fine."""
+    reg = load_reg(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.mapKeyDedupPolicy")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    try:
+        rows = context_json(reg).collect()
+    finally:
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", old)
+    days = reg.selectExpr("event_id", "to_date(order_ts) AS d").where("d IS NOT NULL").distinct()
+    labels = days.selectExpr("event_id", "date_format(d, 'MMM dd') AS k")
+    assert labels.count() > labels.distinct().count()          # the fixture has repeated labels
+    for r in rows:
+        assert len(json.loads(r.daily_json)) == labels.where(f"event_id = '{r.event_id}'").distinct().count()
