@@ -305,7 +305,7 @@ def parse_theme_json(text: Column | str, strict: bool = False) -> Column:
 
 def read_theme_files(spark, path: str, strict: bool = False) -> DataFrame:
     """One theme file per event: ``(source_file, themes struct)``."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)   # the keyword: text() would reset the option
     return raw.select(F.col("_metadata.file_path").alias("source_file"),
                       parse_theme_json("value", strict).alias("themes"))
 

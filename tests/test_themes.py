@@ -196,3 +196,19 @@ def test_audit_join_paths_agree(spark, answers, monkeypatch):
     monkeypatch.setattr(themes, "QUOTE_BROADCAST_MAX_ROWS", 0)
     assert run() == small
     assert small == [("e1", 1, False, 8), ("e2", 0, True, 2)]
+
+
+def test_theme_file_spanning_lines_is_one_document(spark, workdir):
+    """A fenced, pretty-printed theme file (as a model or a person writes it)
+    is parsed whole, not line by line."""
+    import os
+    text = ('```json\n{\n  "speaker_question_clusters": [\n    {"title": "Agents", "count": 2,\n'
+            '     "quotes": ["How?", "Why?"]}\n  ],\n  "future_topic_clusters": [],\n'
+            '  "timeline_insight": "Peak on Mon"\n}\n```\n')
+    with open(os.path.join(workdir, "event-a.json"), "w") as f:
+        f.write(text)
+    rows = themes.read_theme_files(spark, workdir).collect()
+    assert len(rows) == 1
+    t = rows[0].themes
+    assert t.speaker_question_clusters[0].quotes == ["How?", "Why?"]
+    assert t.timeline_insight == "Peak on Mon"
