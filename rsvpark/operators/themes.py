@@ -63,14 +63,14 @@ def terms(answers: DataFrame) -> DataFrame:
     return tok.groupBy(*G, "row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(answers: DataFrame) -> tuple[DataFrame, int]:
+def tfidf(answers: DataFrame, prepartitioned: bool = False) -> tuple[DataFrame, int]:
     """L2-normalised TF-IDF points ``(event_id, key, row_id, term, tid, w)``
     and the number of kept (group, term) pairs (see ``_tfidf``)."""
-    points, n_terms, _ = _tfidf(answers)
+    points, n_terms, _ = _tfidf(answers, prepartitioned)
     return points, n_terms
 
 
-def _tfidf(answers: DataFrame) -> tuple[DataFrame, int, DataFrame]:
+def _tfidf(answers: DataFrame, prepartitioned: bool = False) -> tuple[DataFrame, int, DataFrame]:
     """TF-IDF points, the number of kept (group, term) pairs, and the kept
     vocabulary ``(event_id, key, tid, term)``.
 
@@ -88,7 +88,9 @@ def _tfidf(answers: DataFrame) -> tuple[DataFrame, int, DataFrame]:
     cross the network.
     """
     n = int(answers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tf = terms(answers.repartition(n, *G, "row_id"))
+    # ``prepartitioned``: the answers are a table bucketed on (group, answer)
+    # into ``n`` buckets (``session.bucketed``), already in this layout.
+    tf = terms(answers if prepartitioned else answers.repartition(n, *G, "row_id"))
     nd = answers.groupBy(*G).agg(F.count(F.lit(1)).alias("nd"))
     df = tf.groupBy(*G, "term").agg(F.count(F.lit(1)).alias("df"))
     keep = materialize(
@@ -181,13 +183,14 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], payload: list[str
     return picked.select(*keys, "rnk", *[F.col(f"s.{p}").alias(p) for p in payload])
 
 
-def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS) -> DataFrame:
+def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
+           prepartitioned: bool = False) -> DataFrame:
     """``themes(event_id, key, theme_id, title, count, quotes)`` for every list.
 
     Answers that share no kept term with any centroid form the "other" theme,
     so counts add up to the genuine answers of the list.
     """
-    points, n_terms, vocab = _tfidf(answers)
+    points, n_terms, vocab = _tfidf(answers, prepartitioned)
     assign, cent = kmeans(points, k, iterations, n_terms)
     full = (answers.join(assign, G + ["row_id"], "left")
             .select(*G, "row_id", "answer", F.coalesce("cid", F.lit(k)).alias("cid"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rsvpark.operators import counts, kpis, ranking, themes
-from rsvpark.session import has_jvm, materialize
+from rsvpark.session import bucketed, has_jvm, materialize
 from rsvpark.sources.fixture import land_reg, landing_version, load_reg
 from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
 
@@ -36,10 +36,12 @@ def themes_with_store(spark, sf_dir) -> DataFrame:
     # Event ids only (the partition column of both tables): when every event
     # has stored themes, the answer list is not built at all.
     if pending.limit(1).count():
-        # Written once: the k-means job reads its answers several times.
-        todo = materialize(ans.join(pending, "event_id", "left_semi"), "answers")
+        # Written once, bucketed by (event, list, answer): the job reads its
+        # answers several times, and TF-IDF and the answer/theme join then use
+        # that layout instead of shuffling the answer texts again.
+        todo = bucketed(ans.join(pending, "event_id", "left_semi"), ["event_id", "key", "row_id"], "answers")
         if todo.limit(1).count():
-            store_themes(themes.themes(todo), store)
+            store_themes(themes.themes(todo, prepartitioned=True), store)
     return stored_themes(spark, store)
 
 

@@ -212,3 +212,20 @@ def test_theme_file_spanning_lines_is_one_document(spark, workdir):
     t = rows[0].themes
     assert t.speaker_question_clusters[0].quotes == ["How?", "Why?"]
     assert t.timeline_insight == "Peak on Mon"
+
+
+def test_bucketed_answers_give_the_same_themes(spark, answers):
+    """Answers written bucketed on (event, list, answer) skip the repartition
+    and give the same points and themes."""
+    from rsvpark.session import bucketed
+    b = bucketed(answers, ["event_id", "key", "row_id"], "answers")
+    pts_plain, n_plain = themes.tfidf(answers)
+    pts_b, n_b = themes.tfidf(b, prepartitioned=True)
+    key = lambda r: (r.event_id, r.row_id, r.term, round(r.w, 9))       # noqa: E731
+    assert n_plain == n_b
+    assert sorted(map(key, pts_plain.collect())) == sorted(map(key, pts_b.collect()))
+    th = lambda df: sorted((r.event_id, r["count"], r.title, tuple(r.quotes)) for r in df.collect())
+    assert th(themes.themes(answers, k=3, iterations=3)) == th(themes.themes(b, k=3, iterations=3,
+                                                                              prepartitioned=True))
+    plan = pts_b._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan
