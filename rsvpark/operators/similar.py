@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rsvpark.operators.themes import TOKEN_RE
-from rsvpark.session import materialize
+from rsvpark.session import bucketed, materialize
 
 G = ["event_id", "key"]
 BANDS = 8
@@ -103,7 +103,10 @@ def similar_groups(answers: DataFrame) -> DataFrame:
     Answers without any word form their own group.  ``example`` is the
     answer with the smallest row id (the group id).
     """
-    answers = materialize(answers, "answers")    # read twice below
+    # Read twice below.  Bucketed by (group, answer): the token de-duplication
+    # and the signature aggregate run inside the buckets, and joining labels
+    # back moves the labels, not the answer texts.
+    answers = bucketed(answers, [*G, "row_id"], "answers")
     cc = connected_components(minhash_buckets(answers))
     per = (answers.join(cc, G + ["row_id"], "left")
            .select(*G, "row_id", "answer", F.coalesce("group_id", "row_id").alias("group_id")))
