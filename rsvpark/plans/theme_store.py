@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rsvpark.operators import counts, kpis, ranking, themes
-from rsvpark.session import bucketed, has_jvm, materialize
+from rsvpark.session import bucketed, has_jvm, materialize, work_scope
 from rsvpark.sources.fixture import land_reg, landing_version, load_reg
 from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
 
@@ -39,9 +39,11 @@ def themes_with_store(spark, sf_dir) -> DataFrame:
         # Written once, bucketed by (event, list, answer): the job reads its
         # answers several times, and TF-IDF and the answer/theme join then use
         # that layout instead of shuffling the answer texts again.
-        todo = bucketed(ans.join(pending, "event_id", "left_semi"), ["event_id", "key", "row_id"], "answers")
-        if todo.limit(1).count():
-            store_themes(themes.themes(todo, prepartitioned=True), store)
+        # Work tables of the job are removed once the store is written.
+        with work_scope(spark):
+            todo = bucketed(ans.join(pending, "event_id", "left_semi"), ["event_id", "key", "row_id"], "answers")
+            if todo.limit(1).count():
+                store_themes(themes.themes(todo, prepartitioned=True), store)
     return stored_themes(spark, store)
 
 

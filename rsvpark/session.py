@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +97,7 @@ def materialize(df, tag: str = "work"):
     import uuid
     spark = df.sparkSession
     path = shared_path(spark, "rsvpark-work", f"{tag}-{uuid.uuid4().hex}")
+    _note(path=path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -114,5 +116,42 @@ def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None,
     # ``prepartitioned``: the caller already hash-partitioned ``df`` on ``keys``
     # into ``spark.sql.shuffle.partitions`` parts (one bucket file per task).
     src = df if prepartitioned else df.repartition(n, *keys)
+    _note(path=path, table=name)
     src.write.bucketBy(n, *keys).mode("overwrite").option("path", path).saveAsTable(name)
     return spark.table(name)
+
+
+# Work tables written inside ``work_scope`` blocks (innermost last).
+_SCOPES: list[list[tuple[str, str | None]]] = []
+
+
+def _note(path: str, table: str | None = None) -> None:
+    if _SCOPES:
+        _SCOPES[-1].append((path, table))
+
+
+@contextmanager
+def work_scope(spark: SparkSession):
+    """Remove the work tables written inside the block when it ends.
+
+    For jobs whose result is itself written elsewhere (the theme store): the
+    intermediate tables (points, centroids, labels ...) would otherwise stay
+    in the shared folder after every run.  Nothing read lazily after the
+    block may come from a table written inside it.
+    """
+    created: list[tuple[str, str | None]] = []
+    _SCOPES.append(created)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(created)
+        for path, table in reversed(created):
+            try:
+                if table:
+                    spark.sql(f"DROP TABLE IF EXISTS {table}")
+                if has_jvm(spark):
+                    jvm = spark._jvm
+                    p = jvm.org.apache.hadoop.fs.Path(path)
+                    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            except Exception:  # noqa: BLE001  (best effort: a leftover folder is harmless)
+                pass

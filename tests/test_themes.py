@@ -229,3 +229,21 @@ def test_bucketed_answers_give_the_same_themes(spark, answers):
                                                                               prepartitioned=True))
     plan = pts_b._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" not in plan
+
+
+def test_work_scope_removes_work_tables(spark, answers):
+    """Tables written inside a work scope are gone after it; results read
+    inside the scope are whole."""
+    from rsvpark import session as S
+    with S.work_scope(spark):
+        rows = themes.themes(answers, k=3, iterations=2).collect()
+        created = list(S._SCOPES[-1])
+    assert sum(r["count"] for r in rows) == len(ANSWERS)
+    assert any(t for _, t in created) and len(created) > 5
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    for path, _ in created:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        assert not p.getFileSystem(conf).exists(p), path
+    names = {t.name for t in spark.catalog.listTables()}
+    assert not names & {t for _, t in created if t}
