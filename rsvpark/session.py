@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -121,13 +122,20 @@ def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None,
     return spark.table(name)
 
 
-# Work tables written inside ``work_scope`` blocks (innermost last).
-_SCOPES: list[list[tuple[str, str | None]]] = []
+# Work tables written inside ``work_scope`` blocks (innermost last), per
+# driver thread: a scope never records or removes another thread's tables.
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[list[tuple[str, str | None]]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 def _note(path: str, table: str | None = None) -> None:
-    if _SCOPES:
-        _SCOPES[-1].append((path, table))
+    if _scopes():
+        _scopes()[-1].append((path, table))
 
 
 @contextmanager
@@ -140,11 +148,11 @@ def work_scope(spark: SparkSession):
     block may come from a table written inside it.
     """
     created: list[tuple[str, str | None]] = []
-    _SCOPES.append(created)
+    _scopes().append(created)
     try:
         yield
     finally:
-        _SCOPES.remove(created)
+        _scopes().remove(created)
         for path, table in reversed(created):
             try:
                 if table:

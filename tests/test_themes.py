@@ -237,7 +237,7 @@ def test_work_scope_removes_work_tables(spark, answers):
     from rsvpark import session as S
     with S.work_scope(spark):
         rows = themes.themes(answers, k=3, iterations=2).collect()
-        created = list(S._SCOPES[-1])
+        created = list(S._scopes()[-1])
     assert sum(r["count"] for r in rows) == len(ANSWERS)
     assert any(t for _, t in created) and len(created) > 5
     jvm = spark._jvm
