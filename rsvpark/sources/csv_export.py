@@ -21,6 +21,11 @@ Plan (one read of all files, whatever their number or layouts):
 4. Cells equal to a missing-value token become null; dates and money are
    cast explicitly (ANSI on: unparsable dates fail the job).
 
+A file's header width is its last non-empty header cell: the reader cannot
+tell an empty trailing header cell from a missing one, so a value under an
+unnamed trailing column counts as a long row.  Empty extra cells (a trailing
+comma) are not long rows.
+
 Nothing but the file listing and a count of files without an order date
 reaches the driver.
 """
