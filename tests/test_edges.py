@@ -169,3 +169,9 @@ def test_running_share_and_rank_match_one_window(spark, monkeypatch, bits):
                                                                .alias("rk")).collect()}
     got_rank = {(r.event_id, r.pos): r["rank"] for r in ranking.competition_rank(df).collect()}
     assert got_rank == want_rank
+
+
+def test_trailing_empty_cell_is_not_a_long_row(spark, workdir):
+    write_csv(workdir, "comma.csv", "Order Date,Role", ["2025-09-01 10:00:00,Tech,", "2025-09-02 10:00:00,Data"])
+    regs, _, _ = read_exports(spark, workdir)
+    assert sorted(r.role for r in regs.collect()) == ["Data", "Tech"]
