@@ -108,8 +108,10 @@ def similar_groups(answers: DataFrame) -> DataFrame:
     # back moves the labels, not the answer texts.
     answers = bucketed(answers, [*G, "row_id"], "answers")
     cc = connected_components(minhash_buckets(answers))
-    per = (answers.join(cc, G + ["row_id"], "left")
-           .select(*G, "row_id", "answer", F.coalesce("group_id", "row_id").alias("group_id")))
-    counts = per.groupBy(*G, "group_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_answers"))
-    ex = per.where(F.col("row_id") == F.col("group_id")).select(*G, "group_id", F.col("answer").alias("example"))
-    return counts.join(ex, G + ["group_id"])
+    ids = (answers.select(*G, "row_id").join(cc, G + ["row_id"], "left")
+           .select(*G, F.coalesce("group_id", "row_id").alias("group_id")))
+    counts = ids.groupBy(*G, "group_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_answers"))
+    # The example is the answer whose row id is the group id: joining the
+    # counts onto the bucketed answers moves the counts, not the texts.
+    return (counts.withColumnRenamed("group_id", "row_id").join(answers, G + ["row_id"])
+            .select(*G, F.col("row_id").alias("group_id"), "n_answers", F.col("answer").alias("example")))
