@@ -204,7 +204,8 @@ def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
         .agg(F.max(F.struct("score", (-F.col("row_id")).alias("neg"))).alias("b"))
         .select(*G, "cid", F.col("b.score").alias("score"), F.col("b.neg").alias("neg")), "quote-candidates")
     q = top_n(distinct, G + ["cid"], [F.col("score"), F.col("neg")], ["neg"], K.THEME_MAX_QUOTES)
-    q = q.join(answers.select(*G, (-F.col("row_id")).alias("neg"), "answer"), G + ["neg"])
+    # Joined on the row id itself, so bucketed answers stay where they are.
+    q = q.withColumn("row_id", -F.col("neg")).join(answers.select(*G, "row_id", "answer"), G + ["row_id"])
     quotes = q.groupBy(*G, "cid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rnk", "answer"))), lambda x: x["answer"]).alias("quotes"))
     # Title terms: heavy in this theme AND concentrated in it (weight times
