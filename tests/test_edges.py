@@ -175,3 +175,13 @@ def test_trailing_empty_cell_is_not_a_long_row(spark, workdir):
     write_csv(workdir, "comma.csv", "Order Date,Role", ["2025-09-01 10:00:00,Tech,", "2025-09-02 10:00:00,Data"])
     regs, _, _ = read_exports(spark, workdir)
     assert sorted(r.role for r in regs.collect()) == ["Data", "Tech"]
+
+
+def test_landing_never_broadcasts_document_texts(spark):
+    """Documents carry whole texts: the landing plan moves them by a
+    hash partitioning on doc_id (sort-merge join), never as a broadcast."""
+    from tests.conftest import SF_SMALL
+    from rsvpark.sources.fixture import build_reg
+    plan = build_reg(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan
+    assert "SortMergeJoin" in plan
