@@ -23,7 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from rsvpark.llm import lookup_shards, mix_schedule, warc  # noqa: E402
+from rsvpark.llm import fm_toxicity, lookup_shards, mix_schedule, repetition, rff_quality, warc  # noqa: E402
+
+
+@register("op2_repetition")
+def op2_repetition(spark, sf_dir):
+    return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
+@register("op3_fm_toxicity")
+def op3_fm_toxicity(spark, sf_dir):
+    return fm_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @register("op5_warc")
@@ -37,6 +47,11 @@ def op7_lookup_shards(spark, sf_dir):
     return lookup_shards.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+@register("op8_rff_quality")
+def op8_rff_quality(spark, sf_dir):
+    return rff_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op9_mix_schedule", mix_schedule.oracle_sql())
 def op9_mix_schedule(spark, sf_dir):
     return (mix_schedule.mix(table(spark, sf_dir, "documents"))
