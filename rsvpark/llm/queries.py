@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from rsvpark.llm import fm_toxicity, lookup_shards, mix_schedule, repetition, rff_quality, warc  # noqa: E402
+from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, mix_schedule, repetition, rff_quality, warc  # noqa: E402
 
 
 @register("op2_repetition")
@@ -56,3 +56,8 @@ def op8_rff_quality(spark, sf_dir):
 def op9_mix_schedule(spark, sf_dir):
     return (mix_schedule.mix(table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+@register("op10_html_blocks")
+def op10_html_blocks(spark, sf_dir):
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
