@@ -270,6 +270,8 @@ LAYOUTS = [
      ("article/div.related/ul/li", 5, 5, 3, 0), ("article/nav/ul/li", 2, 2, 3, 0), ("footer/p", 12, 0, 1, 0)],
     [("header/nav/ul/li", 1, 1, 4, 0), ("main/h1", 5, 0, 1, 1), ("main/p", 10, 5, 2, 1), ("main/p", 4, 4, 1, 1), ("main/ul/li", 4, 4, 3, 1),
      ("main/p", 40, 15, 1, 1), ("main/aside/p", 12, 3, 2, 0), ("footer/p", 8, 4, 1, 0)],
+    [("nav/ul/li", 1, 1, 4, 0), ("article/h1", 5, 0, 1, 1), ("article/p", 22, 0, 2, 1), ("article/p", 4, 0, 1, 1)],
+    [("h1", 5, 0, 1, 1), ("p", 30, 0, 2, 1), ("p", 5, 0, 1, 1)], [("article/h1", 7, 0, 1, 1)], [("p", 3, 0, 1, 1)],
     [("article/h1", 6, 0, 1, 1), ("article/p", 28, 0, 1, 1), ("article/p", 20, 20, 1, 1), ("div/p", 40, 0, 2, 0), ("div/h3", 4, 0, 1, 0), ("section/p", 25, 0, 2, 0)],
 ]
 SEEDS = 4

@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, mix_schedule, repetition, rff_quality, warc  # noqa: E402
+from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, mix_schedule, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
 
 
 @register("op2_repetition")
@@ -61,3 +61,8 @@ def op9_mix_schedule(spark, sf_dir):
 @register("op10_html_blocks")
 def op10_html_blocks(spark, sf_dir):
     return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op6_rlz_dedup")
+def op6_rlz_dedup(spark, sf_dir):
+    return (rlz_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False))
