@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
+from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, ngram_join, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
 
 
 @register("op2_repetition")
@@ -71,3 +71,8 @@ def op6_rlz_dedup(spark, sf_dir):
 @register("op4_lsa_decontam")
 def op4_lsa_decontam(spark, sf_dir):
     return lsa_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op1_ngram_join")
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"))
