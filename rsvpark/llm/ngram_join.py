@@ -497,7 +497,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = (texts.mapInArrow(_entry_batches(parts), _PACKED).groupBy("grp")
            .applyInArrow(_meet, "a long, b long, own long, own2 long, low long, low2 long"))
     met = materialize(met, "ngram-met")
-    hits = met.where("a is null").groupBy("b").agg(*[F.sum(c).alias(f"h_{c}") for c in ("own", "own2", "low", "low2")]).withColumnRenamed("b", "sid")
+    roles = ("own", "own2", "low", "low2")
+    # the smallest set of a bucket meets none there, but others meet it
+    hits = (met.where("a is null").select(F.col("b").alias("sid"), *roles)
+            .unionByName(met.where("a is not null").select(F.col("a").alias("sid"), *[F.lit(0).cast("long").alias(c) for c in roles]))
+            .groupBy("sid").agg(*[F.sum(c).alias(f"h_{c}") for c in roles]))
 
     def lacks(c):
         """Free credits of a band do not reach what is needed."""
