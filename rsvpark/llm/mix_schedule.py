@@ -126,7 +126,8 @@ def _lines(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     s = (sizes.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
          .withColumn("h", key)
          .withColumn("range", F.expr(f"cast(conv(substr(h, 1, 8), 16, 10) as bigint) * {ranges} div 4294967296")))
-    within = F.sum("size").over(Window.partitionBy("sid", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
+    ties = [c for c in ("tag", "tag2") if c in sizes.columns]
+    within = F.sum("size").over(Window.partitionBy("sid", "range").orderBy("h", "doc_id", "size", *ties).rowsBetween(Window.unboundedPreceding, -1))
     sums = s.groupBy("sid", "range").agg(F.sum("size").alias("c"))
     base = sums.select("sid", "range", (F.sum("c").over(Window.partitionBy("sid").orderBy("range")) - F.col("c")).alias("base"))
     return (s.withColumn("w", F.coalesce(within, F.lit(0))).join(base, ["sid", "range"])
@@ -142,23 +143,49 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     empty table gives an empty result.  The order is drawn from ``doc_id``
     alone, so reruns agree.
     """
-    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    return _taken(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, share, cap, block)
+
+
+def _taken(sizes: DataFrame, weights, share, cap, block) -> DataFrame:
+    sizes = materialize(sizes, "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share, cap), "mix-sources")
     slots = schedule(targets, block)
-    plan = slots.groupBy("sid", "block").agg(F.count("*").alias("n"), F.collect_list("words").alias("takes"))
+    plan = slots.groupBy("sid", "block").agg(F.collect_list("words").alias("takes"))
     lines = materialize(_lines(sizes, targets), "mix-lines")
+    own = [c for c in ("doc_id", "sid", "start", "size", "tag", "tag2") if c in lines.columns]
     blocks = F.expr(f"if(size > 0, sequence(start div {block}, (start + size - 1) div {block}), null)")
     pieces = (lines.withColumn("block", F.explode_outer(blocks))
               .withColumn("lo", F.greatest(F.col("start") - F.col("block") * block, F.lit(0)))
               .withColumn("hi", F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))))
-    got = pieces.select("doc_id", "sid", "start", "size", "block", "lo", "hi").join(plan.select("sid", "block", "takes"), ["sid", "block"], "left")
+    got = pieces.select(*own, "block", "lo", "hi").join(plan, ["sid", "block"], "left")
     words = F.expr("aggregate(takes, 0L, (a, w) -> a + greatest(least(hi, w) - lo, 0L))")
-    taken = (got.groupBy("doc_id", "sid", "start", "size").agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"), F.count("*").alias("parts")))
+    taken = got.groupBy(*own).agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"), F.count("*").alias("parts"))
     # documents without words share a start: keep one row for each of them
     rows = F.when(F.col("size") == 0, F.col("parts")).otherwise(F.lit(1))
     taken = taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), rows.cast("long")))).drop("copy", "parts")
-    return (taken.join(targets, "sid")
-            .select("doc_id", "size", "source", "source_size", "target", taken["taken"]))
+    facts = targets.withColumnRenamed("taken", "source_taken")
+    return (taken.join(facts, "sid")
+            .select("doc_id", "size", "source", "source_size", "target", "taken", *[c for c in own if c.startswith("tag")]))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK) -> DataFrame:
+    """The mix as rows of ``docs``: each document as often as the mix begins it.
+
+    A document whose words the mix takes twice is there twice, one it does not
+    reach is not there; the one that a source's target ends in stays whole.
+    """
+    # two hashes of the row's key, so that nulls and repeated ids need no special case
+    tags = [F.xxhash64("doc_id", "text", "source").alias("tag"), F.hash("source", "text", "doc_id").alias("tag2")]
+    taken = _taken(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *tags), weights, share, cap, block)
+    times = (taken.where("taken > 0").groupBy("tag", "tag2")
+             .agg(F.array_sort(F.collect_list(F.expr("cast((taken + size - 1) div size as int)"))).alias("__times"))
+             .withColumnsRenamed({"tag": "__tag", "tag2": "__tag2"}))
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*cols, tags[0].alias("__tag"), tags[1].alias("__tag2"))
+    copy = F.row_number().over(Window.partitionBy("__tag", "__tag2").orderBy("__tag"))
+    n = F.expr("if(__copy <= size(__times), element_at(__times, __copy), 0)")
+    return (keyed.withColumn("__copy", copy).join(times, ["__tag", "__tag2"]).where(n > 0)
+            .withColumn("__pass", F.explode(F.sequence(F.lit(1), n))).select(*cols))
 
 
 def oracle_sql(weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> str:

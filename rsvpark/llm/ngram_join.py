@@ -239,11 +239,11 @@ class _Packer:
 def _set_batches(batches):
     for b in batches:
         for c in chunks(b):
-            s = shingle_sets(c.column(1))
+            s = shingle_sets(c.column(2))
             sid, check = s.ids()
             yield pa.RecordBatch.from_arrays(
-                [c.column(0), pa.array(sid), pa.array(check), pa.array(s.n.astype(np.int64)), *[pa.array(x.astype(np.int64)) for x in credits(s)]],
-                ["doc_id", "sid", "chk", "n", "own", "own2", "low", "low2"])
+                [c.column(0), c.column(1), pa.array(sid), pa.array(check), pa.array(s.n.astype(np.int64)), *[pa.array(x.astype(np.int64)) for x in credits(s)]],
+                ["doc_id", "tag", "sid", "chk", "n", "own", "own2", "low", "low2"])
 
 
 def _entry_batches(parts):
@@ -478,7 +478,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     spark = docs.sparkSession
     d = docs.select("doc_id", "text")
-    sets = materialize(d.mapInArrow(_set_batches, "doc_id long, sid long, chk long, n long, own long, own2 long, low long, low2 long"), "ngram-sets")
+    tagged = d.select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    sets = materialize(tagged.mapInArrow(_set_batches, "doc_id long, tag long, sid long, chk long, n long, own long, own2 long, low long, low2 long"), "ngram-sets")
     named = sets.where("doc_id is not null and n > 0")
     total, clash = (named.groupBy("sid").agg(F.max("n").alias("n"), (F.min("chk") != F.max("chk")).alias("clash"))
                     .agg(F.sum("n"), F.max(F.col("clash").cast("int"))).first())
@@ -550,12 +551,36 @@ def join(docs: DataFrame) -> DataFrame:
     component is itself); rows with equal texts are one set; rows that repeat a
     doc_id are one vertex only if their texts link; other columns are ignored.
     """
+    return _components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame) -> DataFrame:
+    """Per document ``doc_id, tag, n_shingles, component_id``; ``tag`` is a hash of the text."""
     sets, labels = links(docs)
     named = sets.where("doc_id is not null and n > 0")
     least = named.groupBy("sid").agg(F.min("doc_id").alias("least"))
     of = least.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     smallest = of.groupBy("label").agg(F.min("least").alias("component_id"))
     of = of.join(smallest, "label").select("sid", "component_id")
-    out = named.select("doc_id", "sid", F.col("n").alias("n_shingles")).join(of, "sid").select("doc_id", "n_shingles", "component_id")
-    alone = sets.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    out = named.select("doc_id", "tag", "sid", F.col("n").alias("n_shingles")).join(of, "sid").select("doc_id", "tag", "n_shingles", "component_id")
+    alone = sets.where("doc_id is null or n = 0").select("doc_id", "tag", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(alone)
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each component, that with the smallest doc_id, with its own columns.
+
+    Documents without words or without doc_id all stay; of rows that repeat a
+    doc_id and a text one stays.
+    """
+    of = materialize(_components(docs), "ngram-components")
+    chosen = (of.where("doc_id is not null and n_shingles > 0").groupBy("component_id")
+              .agg(F.min(F.struct("doc_id", "tag")).alias("k")).select("k.doc_id", "k.tag"))
+    empty = of.where("doc_id is not null and n_shingles = 0").select("doc_id", "tag").distinct()
+    keep = chosen.unionByName(empty).select(F.col("doc_id").alias("__doc"), F.col("tag").alias("__tag"))
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.where("doc_id is not null").withColumn("__tag", F.xxhash64("text")).withColumn("__doc", F.col("doc_id"))
+    copy = F.row_number().over(Window.partitionBy("__doc", "__tag").orderBy("__doc"))
+    one = keyed.join(keep, ["__doc", "__tag"]).withColumn("__copy", copy)
+    one = one.where("__copy = 1").select(*cols)
+    return one.unionByName(docs.where("doc_id is null").select(*cols))
