@@ -181,7 +181,7 @@ def features(bs: list) -> np.ndarray:
 class Tree:
     """Binary classification tree grown by Gini impurity."""
 
-    def __init__(self, depth: int = 10, leaf: int = 2):
+    def __init__(self, depth: int = 16, leaf: int = 2):
         self.depth, self.leaf = depth, leaf
         self.feature, self.cut, self.left, self.right, self.value = [], [], [], [], []
 
@@ -274,6 +274,14 @@ LAYOUTS = [
     [("h1", 5, 0, 1, 1), ("p", 30, 0, 2, 1), ("p", 5, 0, 1, 1)], [("article/h1", 7, 0, 1, 1)], [("p", 3, 0, 1, 1)],
     [("article/h1", 6, 0, 1, 1), ("article/p", 28, 0, 1, 1), ("article/p", 20, 20, 1, 1), ("div/p", 40, 0, 2, 0), ("div/h3", 4, 0, 1, 0), ("section/p", 25, 0, 2, 0)],
 ]
+# Every kind of surroundings, short and long and without links, on pages with and without an article.
+for _k in _ORDER[2:]:
+    LAYOUTS.append([(f"div.{KINDS[_k][0]}", 5, 1, 1, 0), ("div/h1", 6, 0, 1, 1), ("div/p", 40, 0, 2, 1), (f"div.{KINDS[_k][0]}/p", 5, 0, 2, 0), ("div/p", 8, 0, 1, 1),
+                    (f"div.{KINDS[_k][0]}/p", 30, 0, 2, 0), ("div/p", 30, 1, 2, 1), (f"div.{KINDS[_k][0]}/p", 1, 0, 1, 0)])
+    LAYOUTS.append([("article/h1", 6, 0, 1, 1), ("article/p", 40, 0, 2, 1), (f"article/div.{KINDS[_k][0]}/p", 6, 0, 2, 0), ("article/p", 8, 0, 1, 1),
+                    (f"article/div.{KINDS[_k][0]}/p", 30, 0, 1, 0), ("article/p", 12, 1, 2, 1)])
+LAYOUTS.append([("nav", 1, 0, 1, 0)])
+LAYOUTS.append([("header", 6, 0, 1, 0), ("p", 40, 0, 3, 1), ("footer", 6, 0, 1, 0)])
 SEEDS = 4
 _WORDS = "stone river amber quiet lantern harbour meadow copper signal winter orchard paper violet engine summit valley".split()
 
