@@ -1,37 +1,39 @@
 """Registration-form CSV exports: one file per event, header wording varies
 (A1-A6, A8, B5).
 
-Plan (one read of all files, whatever their number or layouts):
-
-1. Every file is read by one ``spark.read.csv`` with a positional all-string
-   schema ``c0 .. c{MAX_COLUMNS-1}`` plus an ``_overflow`` column, header
-   records included.  ``multiLine`` CSV is not splittable, so a file is read
-   in order inside one task and ``monotonically_increasing_id`` follows the
-   file order; each file's header is its lowest-id record (a grouped
-   ``min_by`` whose partial aggregate forms in the task that read the file).
-2. ``column_map`` finds each logical key's header with a theta join of the
+Plan (whatever the number of files or layouts):
+
+1. ``scan_widths`` parses every file once for two numbers: the id of each
+   file's first record (a grouped ``min`` of a long) and the number of cells of
+   the widest record of all.  ``multiLine`` CSV is not splittable, so a file is
+   read in order inside one task and ``monotonically_increasing_id`` follows
+   the file order.  The widest record sets the positional all-string schema
+   ``c0 .. c{width-1}`` of the second read: no cell is past its end.
+2. The header record of a file is the record with that first id (a join on
+   the path; only then are its cells made an array), landed as one row per file.
+3. ``column_map`` finds each logical key's header with a theta join of the
    header cells against the fixed hint table (broadcast: about twenty rows),
-   then ``min_by(header, (hint_ord, pos))``: first hint, then first column.
-   Overrides win over hints and are checked to exist.
-3. One layout row per file (header record id, width, position of each key)
-   is joined back to the records: broadcast while the file count is under
-   ``LAYOUT_BROADCAST_MAX_FILES``, else a shuffle join (AQE splits a hot file).
-   Cells are picked by position; a record with a non-empty cell past its
-   file's header width is a long row.
-4. Cells equal to a missing-value token become null; dates and money are
-   cast explicitly (ANSI on: unparsable dates fail the job).
+   then the least ``(hint_ord, pos)``: first hint, then first column.  An
+   override wins if the file has that header; overrides that name no header of
+   a file are reported and detection stands.
+4. One layout row per file (header record id, width, position of each key)
+   is joined back to the records.  Cells are picked by position; a record with
+   a non-empty cell past its file's header width is a long row.
+5. Cells equal to a missing-value token become null; dates and money are
+   parsed strictly.  What cannot be read (long rows, dates, money, files
+   without an order date) fails the read, or with ``quarantine`` goes to a
+   table with the reason and the cells, never to a null or nowhere.
 
 A file's header width is its last non-empty header cell: the reader cannot
 tell an empty trailing header cell from a missing one, so a value under an
 unnamed trailing column counts as a long row.  Empty extra cells (a trailing
 comma) are not long rows.
-
-Nothing but the file listing and a count of files without an order date
-reaches the driver.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,9 +41,9 @@ from pyspark.sql import types as T
 from rsvpark import constants as K
 from rsvpark.functions.text import col_, na_null, slug
 from rsvpark.session import materialize
-from rsvpark.sources.schema import ANSWER_KEYS, REG_COLUMNS
+from rsvpark.sources.schema import ANSWER_KEYS, HAS_COLUMNS, REG_COLUMNS
 
-OVERFLOW = "_overflow"
+_RAW = "_raw"
 
 
 # ---------------------------------------------------------------------------
@@ -60,10 +62,18 @@ def event_key(file_path: Column | str) -> Column:
     return slug(file_stem(F.regexp_extract(decoded, r"([^/]*)$", 1)))
 
 
-def slug_collisions(regs: DataFrame) -> DataFrame:
-    """Event keys claimed by more than one file (two exports, one stem)."""
-    return (regs.groupBy("event_id").agg(F.count_distinct("source_file").alias("files"))
-            .where(F.col("files") > 1))
+def slug_collisions(files: DataFrame) -> DataFrame:
+    """Event keys that more than one file claims, with two of the files."""
+    return (files.groupBy("event_id")
+            .agg(F.min("source_file").alias("one"), F.max("source_file").alias("other"))
+            .where("one <> other"))
+
+
+def check_collisions(files: DataFrame) -> None:
+    """Fail, with both names, if two files of ``files(event_id, source_file)`` have one event key."""
+    hit = slug_collisions(files).limit(1).collect()
+    if hit:
+        raise ValueError(f"two exports have the event key {hit[0].event_id!r}: {hit[0].one} and {hit[0].other}")
 
 
 # ---------------------------------------------------------------------------
@@ -86,27 +96,45 @@ def list_csv_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
-MAX_COLUMNS = 256                   # widest export accepted (wider headers fail)
-LAYOUT_BROADCAST_MAX_FILES = 200_000
+MAX_CELLS = 1_000_000               # cells the parser makes room for in one record; more fail the job
+
 
+def _reader(spark: SparkSession, schema: T.StructType):
+    return (spark.read.schema(schema).option("header", False).option("multiLine", True).option("escape", '"')
+            .option("mode", "PERMISSIVE").option("enforceSchema", True).option("maxColumns", MAX_CELLS))
 
-def raw_records(spark: SparkSession, files: list[str], max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """Every record of every file, positional: ``c0 ..``, ``_overflow``,
-    ``file_path``, ``rec_id`` (increasing in file order)."""
-    raw = (spark.read.schema(_layout_schema(max_columns))
-           .option("header", False).option("multiLine", True).option("escape", '"')
-           .option("mode", "PERMISSIVE").option("enforceSchema", True)
-           .csv([_escape_glob(f) for f in files]))
-    return raw.select("*", F.col("_metadata.file_path").alias("file_path"),
-                      F.monotonically_increasing_id().alias("rec_id"))
 
+def scan_widths(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``(file_path, header_id, widest)`` per file with a record.
 
-def header_records(raw: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    A record of more than one cell comes with its raw text; its cells are one
+    more than the commas outside quotes.
+    """
+    schema = T.StructType([T.StructField("c0", T.StringType()), T.StructField(_RAW, T.StringType())])
+    raw = (_reader(spark, schema).option("columnNameOfCorruptRecord", _RAW).csv([_escape_glob(f) for f in files])
+           .select("c0", _RAW, F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("rec_id")))
+    bare = F.regexp_replace(_RAW, r'"[^"]*+"', "")      # a doubled quote is the end of one part and the start of the next
+    cells = F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1, F.lit(1))
+    # the parser only gives the raw text beside a cell that is asked for too
+    return raw.groupBy("file_path").agg(F.min("rec_id").alias("header_id"), F.max(cells).alias("widest"),
+                                        F.max(F.length("c0")).alias("longest_first"))
+
+
+def raw_records(spark: SparkSession, files: list[str], width: int) -> DataFrame:
+    """Every record of every file: ``cells`` (array of ``width``), ``file_path``,
+    ``rec_id`` (increasing in file order)."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    raw = _reader(spark, schema).csv([_escape_glob(f) for f in files])
+    # Exploding an array of one keeps the cells one array: projections above
+    # would else each build it again from ``width`` columns.
+    cells = F.explode(F.array(F.array(*[F.col(f"c{i}") for i in range(width)])))
+    return raw.select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("rec_id"), cells.alias("cells"))
+
+
+def header_records(raw: DataFrame, widths: DataFrame) -> DataFrame:
     """``(file_path, rec_id, cells)``: the first record of each file."""
-    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)] + [F.col(OVERFLOW)])
-    first = raw.groupBy("file_path").agg(F.min_by(F.struct(F.col("rec_id"), cells.alias("cells")),
-                                                  F.col("rec_id")).alias("h"))
-    return first.select("file_path", F.col("h.rec_id").alias("rec_id"), F.col("h.cells").alias("cells"))
+    return (raw.join(widths.select("file_path", "header_id"), "file_path").where("rec_id = header_id")
+            .select("file_path", "rec_id", "cells"))
 
 
 def read_headers(first: DataFrame) -> DataFrame:
@@ -138,14 +166,21 @@ def column_map(headers: DataFrame, overrides: dict[str, str] | None = None) -> D
     if not overrides:
         return m
     ov = F.broadcast(spark.createDataFrame(list(overrides.items()), "key string, header string"))
-    # An override must name a header of that file; a wrong name maps to nothing.
     ov_hit = (headers.join(ov, "header").groupBy("file_path", "key")
               .agg(F.min(F.struct("pos", "header")).alias("o"))
               .select("file_path", "key", F.col("o.header").alias("header"), F.col("o.pos").alias("pos")))
-    kept = m.join(ov.select("key"), "key", "left_anti")
+    kept = m.join(ov_hit.select("file_path", "key"), ["file_path", "key"], "left_anti")
     return kept.unionByName(ov_hit)
 
 
+def wrong_overrides(headers: DataFrame, overrides: dict[str, str] | None) -> DataFrame:
+    """``(file_path, key, header)``: overrides that name no header of a file."""
+    spark = headers.sparkSession
+    ov = spark.createDataFrame(list((overrides or {}).items()), "key string, header string")
+    wanted = headers.groupBy("file_path").agg(F.collect_set("header").alias("named")).join(F.broadcast(ov))
+    return wanted.where(~F.array_contains("named", F.col("header"))).select("file_path", "key", "header")
+
+
 def missing_keys(headers: DataFrame, cmap: DataFrame) -> DataFrame:
     """A5: keys without a header per file, with the headers that are there."""
     found = (cmap.where(F.col("header").isNotNull())
@@ -169,14 +204,34 @@ def _escape_glob(path: str) -> str:
     return "".join("\\" + ch if ch in "[]{}*?\\" else ch for ch in path)
 
 
-def _layout_schema(n_cols: int) -> T.StructType:
-    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(n_cols)]
-    return T.StructType(fields + [T.StructField(OVERFLOW, T.StringType())])
+# A plain amount: digits with a point (thousands in groups of three commas), an
+# optional dollar sign, and no currency but that of the report.
+MONEY_RE = r"^\s*(?:AUD\s*)?\$?\s*(-?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?|-?\.\d+)\s*(?:AUD)?\s*$"
+_TIME = r"( \d{1,2}:\d{2}(:\d{2})?)?$"
+# Date forms beside the ISO one: what a text must look like, and its pattern.
+DATE_FORMS = [
+    (r"^\d{4}/\d{1,2}/\d{1,2}" + _TIME, "yyyy/M/d[ H:mm[:ss]]"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}" + _TIME, "M/d/yyyy[ H:mm[:ss]]"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AP]M$", "M/d/yyyy h:mm a"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}" + _TIME, "MMM d, yyyy[ H:mm[:ss]]"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d{2} [AP]M$", "MMM d, yyyy h:mm a"),
+    (r"^[A-Z][a-z]{3,} \d{1,2}, \d{4}" + _TIME, "MMMM d, yyyy[ H:mm[:ss]]"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}" + _TIME, "d MMM yyyy[ H:mm[:ss]]"),
+    (r"^\d{1,2} [A-Z][a-z]{3,} \d{4}" + _TIME, "d MMMM yyyy[ H:mm[:ss]]"),
+]
 
 
-def _cast_money(c: Column) -> Column:
-    cleaned = F.regexp_replace(c, r"[$,\s]|AUD|USD", "")
-    return cleaned.try_cast("decimal(18,2)")
+def parse_money(c: Column) -> Column:
+    """Exact amount, or null for text that is not one plain amount."""
+    digits = F.replace(F.regexp_extract(c, MONEY_RE, 1), F.lit(","), F.lit(""))
+    return F.when(c.rlike(MONEY_RE), digits.try_cast("decimal(18,2)"))
+
+
+def parse_time(c: Column) -> Column:
+    """Timestamp of the ISO form or of one of ``DATE_FORMS``, or null."""
+    t = F.trim(c)
+    return F.coalesce(t.try_cast("timestamp_ntz"),
+                      *[F.when(t.rlike(look), F.try_to_timestamp(t, F.lit(form))).cast("timestamp_ntz") for look, form in DATE_FORMS])
 
 
 def layouts(first: DataFrame, headers: DataFrame, cmap: DataFrame) -> DataFrame:
@@ -189,62 +244,100 @@ def layouts(first: DataFrame, headers: DataFrame, cmap: DataFrame) -> DataFrame:
             .fillna({"width": 0}))
 
 
-def records(raw: DataFrame, layout: DataFrame, n_files: int, on_long_row: str = "fail",
-            max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """Data records in the registrations schema (header records dropped)."""
-    lay = F.broadcast(layout) if n_files <= LAYOUT_BROADCAST_MAX_FILES else layout
-    j = raw.join(lay, "file_path").where(F.col("rec_id") > F.col("header_id"))
-    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
-    past_header = F.slice(cells, F.col("width") + 1, F.greatest(F.lit(max_columns) - F.col("width"), F.lit(0)))
-    long_row = F.col(OVERFLOW).isNotNull() | F.exists(past_header, lambda x: x.isNotNull())
-    if on_long_row == "fail":
-        # A filter (not a projection) so column pruning cannot drop the check.
-        j = j.where(F.when(long_row, F.raise_error(
-            F.concat(F.lit("row has more cells than the header: "), F.col("file_path"))))
-            .otherwise(F.lit(True)))
-    elif on_long_row == "drop":
-        j = j.where(~long_row)
+class Exports(NamedTuple):
+    """What a read of exports gives.
+
+    ``registrations`` carry ``source_file`` and ``has_<key>`` flags (an absent
+    column is not the same as an all-null one: see ticket types and attending);
+    ``quarantine(event_id, source_file, row_id, reason, cells)`` holds what
+    could not be read (empty unless asked for).
+    """
+
+    registrations: DataFrame
+    column_map: DataFrame
+    missing: DataFrame
+    quarantine: DataFrame
+    wrong_overrides: DataFrame
+    files: DataFrame
+
+
+def _joined(raw: DataFrame, layout: DataFrame, width: int) -> DataFrame:
+    """Data records with the layout of their file and what is wrong with them."""
+    # the layout is a written table of one row per file: Spark broadcasts it by its size in bytes, or shuffles
+    j = raw.join(layout, "file_path").where(F.col("rec_id") > F.col("header_id"))
+    cells = F.col("cells")
+    past_header = F.slice(cells, F.col("width") + 1, F.greatest(F.lit(width) - F.col("width"), F.lit(0)))
 
     def cell(key: str) -> Column:
         return na_null(F.element_at(cells, F.col(f"pos_{key}") + 1))
 
-    out = j.select(
-        event_key("file_path").alias("event_id"),
-        F.col("rec_id").alias("row_id"),
-        F.to_timestamp_ntz(cell("order_date")).alias("order_ts"),
-        cell("attendee_status").alias("attendee_status"),
-        cell("ticket_type").alias("ticket_type"),
-        _cast_money(cell("total_paid")).alias("total_paid"),
-        *[cell(k).alias(k) for k in ("role", "experience", "session_goals", "speaker_q", "future_topics")],
-        F.col("file_path").alias("source_file"),
-        *[F.col(f"pos_{k}").isNotNull().alias(f"has_{k}") for k in K.KEYS],
-    )
-    return out.select(*REG_COLUMNS, "source_file", *[f"has_{k}" for k in K.KEYS])
+    return (j.withColumn("long_row", F.exists(past_header, lambda x: x.isNotNull()))
+            .withColumns({f"cell_{k}": cell(k) for k in K.KEYS})
+            .withColumn("order_ts", parse_time(F.col("cell_order_date")))
+            .withColumn("paid", parse_money(F.col("cell_total_paid")))
+            .withColumn("reason", F.when(F.col("long_row"), F.lit("row has more cells than the header"))
+                        .when(F.col("pos_order_date").isNull(), F.lit("file has no order date column"))
+                        .when(F.col("cell_order_date").isNotNull() & F.col("order_ts").isNull(), F.lit("unreadable order date"))
+                        .when(F.col("cell_total_paid").isNotNull() & F.col("paid").isNull(), F.lit("unreadable amount"))))
 
 
-def read_exports(spark: SparkSession, path: str | list[str], overrides: dict[str, str] | None = None,
-                 on_long_row: str = "fail") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Read every export under ``path``.
+def records(raw: DataFrame, layout: DataFrame, width: int, on_bad: str = "fail", key=event_key) -> tuple[DataFrame, DataFrame]:
+    """Data records in the registrations schema, and the quarantined ones.
 
-    Returns ``(registrations, column_map, missing_keys)``.  Registrations carry
-    ``source_file`` and ``has_<key>`` flags (an absent column is not the same
-    as an all-null one: see ticket types and attending).
+    ``on_bad``: ``fail`` raises on the first unreadable record, ``quarantine``
+    sets it aside with the reason.
+    """
+    j = _joined(raw, layout, width)
+    bad = j.where(F.col("reason").isNotNull())
+    if on_bad == "fail":
+        # A filter (not a projection) so column pruning cannot drop the check.
+        good = j.where(F.when(F.col("reason").isNotNull(), F.raise_error(
+            F.concat(F.col("reason"), F.lit(": "), F.col("file_path")))).otherwise(F.lit(True)))
+        bad = bad.where(F.lit(False))
+    else:
+        good = j.where(F.col("reason").isNull())
+    out = good.select(
+        key("file_path").alias("event_id"), F.col("rec_id").alias("row_id"), "order_ts",
+        F.col("cell_attendee_status").alias("attendee_status"), F.col("cell_ticket_type").alias("ticket_type"),
+        F.col("paid").alias("total_paid"),
+        *[F.col(f"cell_{k}").alias(k) for k in ("role", "experience", "session_goals", "speaker_q", "future_topics")],
+        F.col("file_path").alias("source_file"), *[F.col(f"pos_{k}").isNotNull().alias(f"has_{k}") for k in K.KEYS])
+    held = bad.select(key("file_path").alias("event_id"), F.col("file_path").alias("source_file"),
+                      F.col("rec_id").alias("row_id"), "reason", "cells")
+    return out.select(*REG_COLUMNS, "source_file", *HAS_COLUMNS), held
+
+
+def load_exports(spark: SparkSession, path: str | list[str], overrides: dict[str, str] | None = None,
+                 on_bad: str = "fail", key=event_key) -> Exports:
+    """Read every export under ``path`` (a folder, a file, or a list of files).
+
+    ``key`` maps a file path to its event key.  Two files with one key fail.
     """
     files = sorted(path) if isinstance(path, list) else list_csv_files(spark, path)
     if not files:
         raise FileNotFoundError(path)
-    raw = raw_records(spark, files)
-    first = materialize(header_records(raw), "csv-headers")     # one row per file
-    if first.where(F.col("cells")[MAX_COLUMNS].isNotNull()).limit(1).count():
-        raise ValueError(f"an export has more than {MAX_COLUMNS} columns")
+    widths = materialize(scan_widths(spark, files), "csv-widths")     # one row per file
+    named = widths.select(key("file_path").alias("event_id"), F.col("file_path").alias("source_file"))
+    check_collisions(named)
+    width = int(widths.agg(F.max("widest")).first()[0] or 1)
+    raw = raw_records(spark, files, width)
+    first = materialize(header_records(raw, widths), "csv-headers")     # one row per file
     headers = read_headers(first)
-    cmap = column_map(headers, overrides)
-    # Every file needs an order date column (empty files have no header at all).
-    dated = cmap.where(F.col("key") == "order_date").select("file_path").distinct().count()
-    if dated < len(files):
-        raise ValueError("no order date column: add an override for 'order_date'")
-    regs = records(raw, layouts(first, headers, cmap), len(files), on_long_row)
-    return regs, cmap, missing_keys(headers, cmap)
+    cmap = materialize(column_map(headers, overrides), "csv-map")
+    if on_bad == "fail":
+        dated = cmap.where(F.col("key") == "order_date").select("file_path").distinct().count()
+        if dated < len(files):
+            raise ValueError("no order date column: add an override for 'order_date'")
+    layout = materialize(layouts(first, headers, cmap), "csv-layouts")
+    regs, held = records(raw, layout, width, on_bad, key)
+    return Exports(regs, cmap, missing_keys(headers, cmap), held, wrong_overrides(headers, overrides), named)
+
+
+def read_exports(spark: SparkSession, path: str | list[str], overrides: dict[str, str] | None = None,
+                 on_bad: str = "fail") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(registrations, column_map, missing_keys)`` of ``load_exports``."""
+    e = load_exports(spark, path, overrides, on_bad)
+    return e.registrations, e.column_map, e.missing
 
 
 # ---------------------------------------------------------------------------

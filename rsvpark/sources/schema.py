@@ -18,6 +18,10 @@ REGISTRATIONS = T.StructType([
 
 REG_COLUMNS = [f.name for f in REGISTRATIONS.fields]
 
+# Whether the event's export has a column for a key at all.
+HAS_COLUMNS = [f"has_{k}" for k in ("order_date", "attendee_status", "ticket_type", "total_paid", "role", "experience",
+                                    "session_goals", "speaker_q", "future_topics")]
+
 # Free-text / choice answer columns in long form (answers table).
 ANSWER_KEYS = ["attendee_status", "ticket_type", "role", "experience",
                "session_goals", "speaker_q", "future_topics"]

@@ -4,10 +4,13 @@ A file-source stream over the drop folder (``binaryFile``, only the path
 column is selected, so file contents are not read by the stream itself)
 runs with ``trigger(availableNow=True)``: each run picks up exactly the files
 not seen by earlier runs, recorded in the stream's checkpoint under the
-shared checkpoint folder.  Each micro-batch reads its new exports with the
-CSV source and overwrites only the ``event_id`` partitions it carries
-(dynamic partition overwrite), so re-dropping an event's export replaces it
-and a second run with no new files adds nothing.
+shared checkpoint folder, in batches of ``max_files``.  Each micro-batch reads
+its new exports with the CSV source and overwrites only the ``event_id``
+partitions it carries (dynamic partition overwrite), so re-dropping an event's
+export replaces it and a second run with no new files adds nothing.  A file of
+another name that has the event key of a landed one fails with both names
+instead of replacing it.  Unreadable rows fail the run, or with
+``on_bad="quarantine"`` land beside the table.
 """
 
 from __future__ import annotations
@@ -16,39 +19,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rsvpark.session import shared_path
-from rsvpark.sources.csv_export import read_exports
-from rsvpark.sources.schema import REG_COLUMNS, REGISTRATIONS
+from rsvpark.sources.csv_export import check_collisions, load_exports
+from rsvpark.sources.schema import HAS_COLUMNS, REG_COLUMNS, REGISTRATIONS
 
+MAX_FILES = 1000
 
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _write_batch(spark: SparkSession, paths: list[str], table_path: str, overrides, on_long_row) -> None:
+def _landed_files(spark: SparkSession, table_path: str) -> DataFrame | None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return read_registrations(spark, table_path).select("event_id", "source_file").distinct()
+
+
+def _write_batch(spark: SparkSession, paths: list[str], table_path: str, overrides, on_bad: str) -> None:
     if not paths:
         return
     # The new files go through the batch CSV source (header records, column
     # mapping, casts): one positional read of all of them.
-    regs, _, _ = read_exports(spark, paths, overrides, on_long_row)
-    (regs.select(*REG_COLUMNS, "source_file").hint("rebalance", "event_id")
+    e = load_exports(spark, paths, overrides, on_bad)
+    regs = e.registrations.select(*REG_COLUMNS, "source_file", *HAS_COLUMNS)
+    landed = _landed_files(spark, table_path)
+    if landed is not None:
+        check_collisions(landed.unionByName(e.files))
+    (regs.hint("rebalance", "event_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_id").parquet(table_path))
+    if on_bad == "quarantine":
+        (e.quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_id").parquet(table_path.rstrip("/") + "-quarantine"))
+
+
+def _plain_path(spark: SparkSession, text: str) -> str:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(text)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(text))
+    return p.toString()
 
 
 def ingest_drops(spark: SparkSession, drop_dir: str, table_path: str, checkpoint: str | None = None,
-                 overrides: dict[str, str] | None = None, on_long_row: str = "fail") -> None:
+                 overrides: dict[str, str] | None = None, on_bad: str = "fail", max_files: int = MAX_FILES) -> None:
     """Process every export dropped since the last run, then stop."""
     checkpoint = checkpoint or shared_path(spark, "rsvpark-ingest", table_path.strip("/").replace("/", "_"))
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
-             .option("pathGlobFilter", "*.csv")
+             .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files)
              .load(drop_dir)
              .select("path"))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        # The batch holds one row per new file: metadata only.
-        uris = [r["path"] for r in df.select("path").distinct().collect()]
-        jvm = df.sparkSession._jvm
-        paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(u)).toString() for u in uris]
-        _write_batch(df.sparkSession, sorted(paths), table_path, overrides, on_long_row)
+        # At most ``max_files`` rows.  The path column is percent-encoded for
+        # some file systems and plain for others: a name that exists as it is wins.
+        spark = df.sparkSession
+        paths = [_plain_path(spark, r["path"]) for r in df.select("path").distinct().collect()]
+        _write_batch(spark, sorted(paths), table_path, overrides, on_bad)
 
     q = (files.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
@@ -58,6 +84,6 @@ def ingest_drops(spark: SparkSession, drop_dir: str, table_path: str, checkpoint
 
 
 def read_registrations(spark: SparkSession, table_path: str) -> DataFrame:
-    """The landed registrations (partition column kept as a string)."""
-    schema = T.StructType(REGISTRATIONS.fields + [T.StructField("source_file", T.StringType())])
-    return spark.read.schema(schema).parquet(table_path)
+    """The landed registrations (partition column kept as a string) with their ``has_<key>`` flags."""
+    more = [T.StructField("source_file", T.StringType()), *[T.StructField(c, T.BooleanType()) for c in HAS_COLUMNS]]
+    return spark.read.schema(T.StructType(REGISTRATIONS.fields + more)).parquet(table_path)

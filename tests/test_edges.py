@@ -3,7 +3,7 @@
 import pytest
 
 from rsvpark.operators import counts, kpis, timeline
-from rsvpark.sources.csv_export import read_exports
+from rsvpark.sources.csv_export import load_exports, read_exports
 from tests.trap import TRAP_HEADER, TRAP_ROWS, write_csv
 
 
@@ -110,7 +110,7 @@ def test_mixed_layouts_in_one_read(spark, workdir):
     write_csv(workdir, "b.csv", "\ufeffQuestion for the guest,Which industry?,Ticket Type,Order date",
               ["When?,Retail,VIP,2025-10-01 10:00:00"])
     write_csv(workdir, "c.csv", "Order Date,Role", ["2025-11-01 08:00:00,Ops", "2025-11-02 08:00:00,Dev,EXTRA"])
-    regs, cmap, _ = read_exports(spark, workdir, on_long_row="drop")
+    regs, cmap, _ = read_exports(spark, workdir, on_bad="quarantine")
     got = sorted((r.event_id, r.role, r.speaker_q, r.ticket_type, str(r.order_ts)) for r in regs.collect())
     assert got == [("a", "Data", "How?", None, "2025-09-02 09:00:00"),
                    ("a", "Tech", "Why?", None, "2025-09-01 09:00:00"),
@@ -185,3 +185,65 @@ def test_landing_never_broadcasts_document_texts(spark):
     plan = build_reg(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(doc_id" in plan
     assert "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize("pos", [257, 300, 2000])
+def test_value_far_past_the_header_is_not_lost(spark, workdir, pos):
+    row = "2025-09-01,Tech" + "," * (pos - 2) + "LATE"
+    write_csv(workdir, "far.csv", "Order Date,Role", [row, "2025-09-02,Ops"])
+    regs, _, _ = read_exports(spark, workdir)
+    with pytest.raises(Exception, match="more cells than the header"):
+        regs.collect()
+    e = load_exports(spark, workdir, on_bad="quarantine")
+    assert [r.role for r in e.registrations.collect()] == ["Ops"]
+    q = e.quarantine.collect()
+    assert len(q) == 1 and q[0].cells[pos - 1] == "LATE" and q[0].event_id == "far"
+
+
+def test_header_of_300_columns(spark, workdir):
+    header = ",".join([f"Extra {i}" for i in range(298)] + ["Order Date", "Your role"])
+    write_csv(workdir, "wide.csv", header, ["x," * 298 + "2025-09-01,Tech"])
+    regs, _, _ = read_exports(spark, workdir)
+    assert [(r.role, str(r.order_ts)) for r in regs.collect()] == [("Tech", "2025-09-01 00:00:00")]
+
+
+def test_amounts_and_dates_are_read_or_refused(spark, workdir):
+    rows = ['2025-09-01,"$1,200.50"', '"Sep 1, 2025",20 AUD', '9/2/2025 10:30,.5', '2025/9/3,-3', '3 Sep 2025,', "2025-09-04,NaN",
+            '2025-09-05,"12,50"', "2025-09-06,USD 20", '2025-09-07,"12,50 EUR"', "2025-09-08,1 200 refunded", "someday,1", ",2"]
+    write_csv(workdir, "mixed.csv", "Order Date,Total Paid", rows)
+    e = load_exports(spark, workdir, on_bad="quarantine")
+    got = sorted(((str(r.order_ts), None if r.total_paid is None else float(r.total_paid)) for r in e.registrations.collect()), key=str)
+    assert got == sorted([("2025-09-01 00:00:00", 1200.5), ("2025-09-01 00:00:00", 20.0), ("2025-09-02 10:30:00", 0.5),
+                          ("2025-09-03 00:00:00", -3.0), ("2025-09-03 00:00:00", None), ("2025-09-04 00:00:00", None), ("None", 2.0)], key=str)
+    assert sorted(r.reason for r in e.quarantine.collect()) == ["unreadable amount"] * 4 + ["unreadable order date"]
+    with pytest.raises(Exception, match="unreadable"):
+        read_exports(spark, workdir)[0].collect()
+
+
+def test_two_files_with_one_event_key_fail(spark, workdir):
+    write_csv(workdir, "a.b.csv", "Order Date", ["2025-09-01"])
+    write_csv(workdir, "a-b.csv", "Order Date", ["2025-09-02"])
+    with pytest.raises(ValueError, match="a-b.csv.*a.b.csv|a.b.csv.*a-b.csv"):
+        read_exports(spark, workdir)
+
+
+def test_wrong_override_is_reported_and_detection_stands(spark, workdir):
+    write_csv(workdir, "ov.csv", "Order Date,Your role", ["2025-09-01,A"])
+    e = load_exports(spark, workdir, overrides={"role": "Job title"})
+    assert e.registrations.collect()[0].role == "A"
+    assert [(r.key, r.header) for r in e.wrong_overrides.collect()] == [("role", "Job title")]
+
+
+def test_a_file_without_order_date_is_set_aside(spark, workdir):
+    write_csv(workdir, "good.csv", "Order Date,Role", ["2025-09-01,A"])
+    write_csv(workdir, "bad.csv", "Name,Role", ["x,B", "y,C"])
+    e = load_exports(spark, workdir, on_bad="quarantine")
+    assert [r.event_id for r in e.registrations.collect()] == ["good"]
+    assert [(r.event_id, r.reason) for r in e.quarantine.collect()] == [("bad", "file has no order date column")] * 2
+
+
+def test_headers_are_found_without_sorting_records(spark, workdir):
+    from rsvpark.sources import csv_export as C
+    write_csv(workdir, "e.csv", TRAP_HEADER, TRAP_ROWS)
+    plan = C.scan_widths(spark, C.list_csv_files(spark, workdir))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

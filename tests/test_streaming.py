@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from rsvpark.streaming.ingest import ingest_drops, read_registrations
 from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
 from tests.trap import TRAP_HEADER, TRAP_ROWS, write_csv
@@ -30,3 +32,28 @@ def test_ingest_twice(spark, workdir):
                                  "count bigint, quotes array<string>")
     store_themes(done, store)
     assert [r.event_id for r in pending_events(regs, stored_themes(spark, store)).collect()] == ["event-b"]
+
+
+@pytest.mark.parametrize("name,event", [("a b.csv", "a-b"), ("a+b%20c.csv", "a-b-20c"), ("My Event [Sep] (v2) 100%.csv", "My-Event-Sep-v2-100")])
+def test_odd_file_names_are_ingested(spark, workdir, name, event):
+    write_csv(f"{workdir}/drop", name, TRAP_HEADER, TRAP_ROWS)
+    ingest_drops(spark, f"{workdir}/drop", f"{workdir}/t", f"{workdir}/ck")
+    regs = read_registrations(spark, f"{workdir}/t")
+    assert regs.count() == 8 and regs.first().event_id == event
+
+
+def test_ingested_tables_know_which_columns_an_export_has(spark, workdir):
+    from rsvpark.operators import kpis
+    write_csv(f"{workdir}/drop", "short.csv", "Order Date,Role", ["2025-09-01,A", "2025-09-02,B"])
+    ingest_drops(spark, f"{workdir}/drop", f"{workdir}/t", f"{workdir}/ck")
+    k = kpis.event_kpis(read_registrations(spark, f"{workdir}/t")).collect()[0]
+    assert (k.attending, k.ticket_types) == (2, "General Admission")
+
+
+def test_a_later_file_with_a_landed_event_key_fails(spark, workdir):
+    write_csv(f"{workdir}/drop", "a.b.csv", "Order Date", ["2025-09-01"])
+    ingest_drops(spark, f"{workdir}/drop", f"{workdir}/t", f"{workdir}/ck")
+    write_csv(f"{workdir}/drop", "a-b.csv", "Order Date", ["2025-09-02", "2025-09-03"])
+    with pytest.raises(Exception, match="event key"):
+        ingest_drops(spark, f"{workdir}/drop", f"{workdir}/t", f"{workdir}/ck")
+    assert read_registrations(spark, f"{workdir}/t").count() == 1
