@@ -90,7 +90,7 @@ def _signature(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -99,7 +99,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def land_reg(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Write the registrations table once per source version; return its path."""
     out = shared_path(spark, "rsvpark-landing", f"reg-{_signature(spark, sf_dir)}")
-    if force or not _exists(spark, out + "/_SUCCESS"):
+    if force or not path_exists(spark, out + "/_SUCCESS"):
         # REBALANCE by event: AQE splits a hot event over several tasks and
         # merges small ones, so each event folder gets a few right-sized files
         # (not one file per join task and event).
