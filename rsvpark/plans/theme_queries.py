@@ -195,6 +195,12 @@ def q_prompt_rows(spark, sf_dir):
     return prompt_rows(ans, context_json(reg))
 
 
+def json_text(c):
+    """A string as a JSON string literal (null as ``null``)."""
+    one = F.to_json(F.struct(c.alias("x")))
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.substring(one, F.lit(6), F.length(one) - 6))
+
+
 def chart_payload(reg: DataFrame, topic_rows=None) -> DataFrame:
     """K2: per event JSON for the timeline, role, goals, topics and donut charts.
 
@@ -209,9 +215,12 @@ def chart_payload(reg: DataFrame, topic_rows=None) -> DataFrame:
             return ranking.topic_rows(counts.topic_option_counts(r).join(choice, "event_id", "left_semi"), kk)
 
     def pairs(df, cols, name, order="pos"):
-        return df.groupBy("event_id").agg(F.transform(
-            F.sort_array(F.collect_list(F.struct(order, *cols))),
-            lambda x: F.array(*[x[c].cast("string") for c in cols])).alias(name))
+        """Per event ``[["label",n,...],...]`` as JSON text: labels quoted, counts numbers."""
+        def item(x):
+            parts = [x[c].cast("string") if c == "n" else json_text(x[c]) for c in cols]
+            return F.concat(F.lit("["), *[p for q in parts for p in (F.lit(","), q)][1:], F.lit("]"))
+        items = F.transform(F.sort_array(F.collect_list(F.struct(order, *cols))), item)
+        return df.groupBy("event_id").agg(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias(name))
 
     dt = timeline.daily_timeline(reg)
     tl = dt.groupBy("event_id").agg(F.sort_array(F.collect_list(F.struct("day", "day_label", "n", "cumulative")))
@@ -231,22 +240,21 @@ def chart_payload(reg: DataFrame, topic_rows=None) -> DataFrame:
     return j.select(
         "event_id",
         F.to_json("timeline").alias("timeline_json"),
-        F.to_json(F.struct(F.col("split"), F.col("raw"))).alias("role_json"),
-        F.to_json(F.coalesce("goals", F.array().cast("array<array<string>>"))).alias("goals_json"),
-        F.to_json("topics").alias("topics_json"),
-        F.to_json(F.coalesce("exp", F.array().cast("array<array<string>>"))).alias("exp_json"))
+        F.concat(F.lit('{"split":'), F.coalesce("split", F.lit("[]")), F.lit(',"raw":'), F.coalesce("raw", F.lit("[]")), F.lit("}")).alias("role_json"),
+        F.coalesce("goals", F.lit("[]")).alias("goals_json"),
+        F.col("topics").alias("topics_json"),
+        F.coalesce("exp", F.lit("[]")).alias("exp_json"))
 
 
 def _pairs_sql(name: str, src: str, cols: list[str]) -> str:
     """CTE ``name``: per event, ``[[c1, c2, ...], ...]`` as JSON text in ``pos`` order."""
-    items = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
-    return (f"{name} AS (SELECT event_id, CAST(to_json(list([{items}] ORDER BY pos)) AS VARCHAR) AS j "
+    items = " || ',' || ".join(f"CAST(to_json(CAST({c} AS {'BIGINT' if c == 'n' else 'VARCHAR'})) AS VARCHAR)" for c in cols)
+    return (f"{name} AS (SELECT event_id, '[' || string_agg('[' || {items} || ']', ',' ORDER BY pos) || ']' AS j "
             f"FROM {src} GROUP BY event_id)")
 
 
 # SQL check: the same per-event chart JSON (choice topics; free-text events
-# would need the theme job).  A missing part is left out of the role object
-# and written as [] for goals and experience, as in the Spark plan.
+# would need the theme job).  Counts are JSON numbers; a missing part is [].
 CHART_PAYLOAD_SQL = O.with_reg(
     *TOPIC_CTES, DAYS, RS, RC, GC, ED,
     """dt AS (SELECT event_id, day, CAST(n AS BIGINT) AS n,
@@ -278,7 +286,7 @@ CHART_PAYLOAD_SQL = O.with_reg(
                      {O.palette('pos - 1', K.DONUT_PALETTE)} AS colour FROM ed)""",
     _pairs_sql("ex", "exd", ["label", "n", "colour"])) + """
 SELECT k.event_id, tl.j AS timeline_json,
-  '{' || concat_ws(',', '"split":' || sp.j, '"raw":' || rw.j) || '}' AS role_json,
+  '{"split":' || coalesce(sp.j, '[]') || ',"raw":' || coalesce(rw.j, '[]') || '}' AS role_json,
   coalesce(gl.j, '[]') AS goals_json, tp.j AS topics_json, coalesce(ex.j, '[]') AS exp_json
 FROM k LEFT JOIN tl ON tl.event_id = k.event_id LEFT JOIN sp ON sp.event_id = k.event_id
   LEFT JOIN rw ON rw.event_id = k.event_id LEFT JOIN gl ON gl.event_id = k.event_id

@@ -4,7 +4,7 @@ import json
 
 import __spark_entry__ as E
 from rsvpark.operators import counts, kpis, themes
-from rsvpark.plans.theme_queries import chart_payload, context_json, prompt_rows
+from rsvpark.plans.theme_queries import chart_payload, json_text, context_json, prompt_rows
 from rsvpark.sources.fixture import load_reg
 from tests.conftest import SF_SMALL
 
@@ -31,13 +31,23 @@ def test_chart_payload_matches_tables(spark):
     split = counts.role_split(reg).collect()
     for ev, r in pay.items():
         role = json.loads(r.role_json)
-        exp = sorted([[x.label, str(x.n)] for x in split if x.event_id == ev],
+        exp = sorted([[x.label, x.n] for x in split if x.event_id == ev],
                      key=lambda p: [x.pos for x in split if x.event_id == ev and x.label == p[0]][0])
         assert role["split"] == exp
         tl = json.loads(r.timeline_json)
         assert tl["cumulative"][-1] == sum(tl["daily"])
         topics = json.loads(r.topics_json)
         assert topics[-1][0] == "No specific ask / blank"
+        # counts are numbers: the page adds them
+        assert sum(n for _, n in role["split"]) == sum(x.n for x in split if x.event_id == ev)
+        assert all(isinstance(p[1], int) for p in role["raw"] + topics + json.loads(r.goals_json) + json.loads(r.exp_json))
+
+
+def test_json_text_of_odd_labels(spark):
+    labels = ['a"b', "c\\d", "e\nf", "é 漢", "", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(labels)], "i int, x string")
+    got = {r.i: json.loads(r.j) for r in df.select("i", json_text(df.x).alias("j")).collect()}
+    assert [got[i] for i in range(len(labels))] == labels
 
 
 def test_entry_runs(spark):
