@@ -25,15 +25,15 @@ def event_kpis(reg: DataFrame, by=BY) -> DataFrame:
     role, exp, goals = F.col("role"), F.col("experience"), F.col("session_goals")
     q, topic, status = F.col("speaker_q"), F.col("future_topics"), F.col("attendee_status")
     topic_t = strip_ws(topic)
-    tickets = F.array_join(F.sort_array(F.collect_set("ticket_type")), ", ")
     att = F.count_if(F.coalesce(strip_ws(status) == K.ATTENDING, F.lit(False)))
+    has_tickets = F.lit(True)
     if "has_ticket_type" in reg.columns:
         # Exports read from CSV say whether a column exists at all: an absent
         # ticket column reads as general admission, an absent status column
         # counts everyone as attending.
-        tickets = F.when(F.bool_or("has_ticket_type"), tickets).otherwise(F.lit(K.DEFAULT_TICKET_TYPES))
+        has_tickets = F.bool_or("has_ticket_type")
         att = F.when(F.bool_or("has_attendee_status"), att).otherwise(F.count(F.lit(1)))
-    return reg.groupBy(*by).agg(
+    one_pass = reg.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(role.isNotNull() & (part_count(role) > 1)).alias("multi_role"),
         F.count_if(exp.isNotNull() & is_experienced(strip_ws(exp))).alias("experienced"),
@@ -44,10 +44,17 @@ def event_kpis(reg: DataFrame, by=BY) -> DataFrame:
         F.count_if(~is_blank(topic) & is_filler(topic)).alias("topic_filler_raw"),
         F.coalesce(F.bool_or(F.when(~is_blank(topic), topic_t.contains("|"))), F.lit(False))
         .alias("topic_has_pipe"),
-        tickets.alias("ticket_types"),
+        has_tickets.alias("has_tickets"),
         F.coalesce(F.sum("total_paid"), F.lit(0)).cast("decimal(38,2)").alias("total_paid"),
         att.alias("attending"),
     )
+    # Ticket types are distinct (event, type) rows first, so the pass above
+    # stays a hash aggregate and only a form's few types are ever listed.
+    types = (reg.where(F.col("ticket_type").isNotNull()).select(*by, "ticket_type").distinct()
+             .groupBy(*by).agg(F.array_join(F.sort_array(F.collect_list("ticket_type")), ", ").alias("types")))
+    tickets = F.when(F.col("has_tickets"), F.coalesce("types", F.lit(""))).otherwise(F.lit(K.DEFAULT_TICKET_TYPES))
+    out = one_pass.join(types, list(by), "left").withColumn("ticket_types", tickets)
+    return out.drop("types", "has_tickets")
 
 
 def experienced_kpi(kpis: DataFrame, by=BY) -> DataFrame:
