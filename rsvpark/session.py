@@ -55,18 +55,24 @@ def has_jvm(spark: SparkSession) -> bool:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) is a fresh
-    scratch folder created and registered.
+    Read from the session; only when it is unset and the master is this
+    process (local tests) is a fresh scratch folder created and registered.
     """
     if not has_jvm(spark):
         d = spark.conf.get("spark.checkpoint.dir", None)
-        return d or tempfile.mkdtemp(prefix="rsvpark-ckpt-")
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        return d
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/").rsplit("/", 1)[0] if _is_generated(d) else d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            # a folder of this machine would be another folder on every executor
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="rsvpark-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
