@@ -1,58 +1,66 @@
-"""Similar-answer groups (L3): MinHash bands + connected components.
-
-Two answers are linked when all ``ROWS`` MinHash values of one of ``BANDS``
-bands agree (answers with the same word set always agree).  Groups are the
-connected components of that relation.  No pairs are ever formed: each
-answer is linked to its band buckets; labels (in the end the smallest row id
-of the component) are merged by hooking every label seen in a bucket to the
-bucket's smallest label and pointer jumping over the label forest, until no
-bucket holds two labels.  A bucket holding a third of all answers is just one
-hot key of a partially aggregated ``min``.  Every round's tables are written
-to the shared checkpoint folder.
+"""Similar-answer groups (L3): exact Jaccard similarity of word sets + connected components.
+
+Two answers are linked when the Jaccard similarity of their word sets is at
+least ``NUM / DEN``; groups are the connected components of that relation.
+Answers with the same word set are one set from the start.  Candidates come
+from a prefix filter that misses no link: with words ordered from rare to
+frequent (in the event's list), two sets of sizes ``n <= m`` that link share one
+of their first ``n - ceil(t n) + 1`` words, and ``n >= t m``.  So only rare words
+are join keys, and the word every answer has never is.  Every candidate is
+verified by counting common words.
+
+Labels (in the end the smallest row id of the component) are merged by hooking
+every label seen in a bucket (here: a link) to the bucket's smallest label and
+pointer jumping over the label forest, until no bucket holds two labels.
+Every round's tables are written to the shared checkpoint folder, and the
+work tables are removed when the result is written.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rsvpark.operators.themes import TOKEN_RE
-from rsvpark.session import bucketed, materialize
+from rsvpark.session import bucketed, materialize, shared_path, work_scope
 
 G = ["event_id", "key"]
-BANDS = 8
-ROWS = 2
-
-# MinHash functions h_i(t) = (A_i * m(t) + B_i) mod P, where m(t) is the
-# first 28 bits of the MD5 of the term (products stay below 2^63).  The
-# multipliers and offsets follow a rule: powers of the Lehmer generator
-# constants 48271 and 16807 modulo the prime P = 2^31 - 1.
-P = 2_147_483_647
-HASH_A = [pow(48271, i + 1, P) for i in range(BANDS * ROWS)]
-HASH_B = [pow(16807, i + 1, P) for i in range(BANDS * ROWS)]
-
+NUM, DEN = 7, 10        # least Jaccard similarity of linked answers
 
-def term_code(term: str = "term"):
-    """First 28 bits of the term's MD5 (a number SQL engines recompute)."""
-    return F.conv(F.substring(F.md5(F.col(term)), 1, 7), 16, 10).cast("bigint")
 
+def word_sets(answers: DataFrame) -> DataFrame:
+    """``(event_id, key, rep, row_id, n, words)``: the word set of every answer with a word.
 
-def minhash_buckets(answers: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(event_id, key, row_id, band, bucket)`` for every answer with a word.
-
-    ``bucket`` is the band's ``rows`` MinHash values themselves (an array), so
-    two answers share a bucket exactly when they agree on the whole band.
+    ``words`` goes from rare to frequent (ties by the word); ``rep`` is the
+    smallest row id of the answers with the same set.
     """
     tok = (answers.select(*G, "row_id", F.explode(F.regexp_extract_all(F.lower("answer"), F.lit(TOKEN_RE), 0))
                           .alias("term")).distinct())
-    n = bands * rows
-    code = tok.select(*G, "row_id", term_code().alias("m"))
-    sig = code.groupBy(*G, "row_id").agg(
-        *[F.min((F.lit(HASH_A[i]) * F.col("m") + F.lit(HASH_B[i])) % F.lit(P)).alias(f"h{i}") for i in range(n)])
-    keys = F.array(*[F.struct(F.lit(b).alias("band"),
-                              F.array(*[F.col(f"h{b * rows + r}") for r in range(rows)]).alias("bucket"))
-                     for b in range(bands)])
-    return sig.select(*G, "row_id", F.inline(keys))
+    freq = tok.groupBy(*G, "term").agg(F.count(F.lit(1)).alias("df"))
+    # one row per answer; the array is its own distinct words
+    sets = (tok.join(freq, [*G, "term"]).groupBy(*G, "row_id")
+            .agg(F.sort_array(F.collect_list(F.struct("df", "term"))).alias("w"))
+            .select(*G, "row_id", F.size("w").alias("n"), F.transform("w", lambda x: x["term"]).alias("words")))
+    sets = materialize(sets.withColumn("set_id", F.sha2(F.array_join("words", "\u0001"), 256)), "word-sets")
+    reps = sets.groupBy(*G, "set_id").agg(F.min("row_id").alias("rep"))
+    return sets.join(reps, [*G, "set_id"]).drop("set_id")
+
+
+def similar_links(sets: DataFrame) -> DataFrame:
+    """``(event_id, key, a, b)``: the linked pairs of different word sets, by their reps."""
+    one = materialize(sets.where("rep = row_id").select(*G, "rep", "n", "words"), "word-set-reps")
+    keys = one.select(*G, "rep", "n", F.explode(F.expr(f"slice(words, 1, cast(n - ceil({NUM} * n / {DEN}) + 1 as int))")).alias("term"))
+    left = keys.select(*G, "term", F.col("rep").alias("a"), F.col("n").alias("na"))
+    right = keys.select(*G, "term", F.col("rep").alias("b"), F.col("n").alias("nb"))
+    pairs = (left.join(right, [*G, "term"])
+             .where(f"(na < nb or (na = nb and a < b)) and {DEN} * na >= {NUM} * nb").select(*G, "a", "b").distinct())
+    a = one.select(*G, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("words").alias("wa"))
+    b = one.select(*G, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("words").alias("wb"))
+    common = F.size(F.array_intersect("wa", "wb"))
+    return (pairs.join(a, [*G, "a"]).join(b, [*G, "b"])
+            .where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select(*G, "a", "b"))
 
 
 def _jump(parent: DataFrame) -> DataFrame:
@@ -103,12 +111,24 @@ def similar_groups(answers: DataFrame) -> DataFrame:
     Answers without any word form their own group.  ``example`` is the
     answer with the smallest row id (the group id).
     """
-    # Read twice below.  Bucketed by (group, answer): the token de-duplication
-    # and the signature aggregate run inside the buckets, and joining labels
-    # back moves the labels, not the answer texts.
+    spark = answers.sparkSession
+    with work_scope(spark):
+        groups = _groups(answers)
+        out = shared_path(spark, "rsvpark-work", f"similar-{uuid.uuid4().hex}")
+        groups.write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
+def _groups(answers: DataFrame) -> DataFrame:
+    # Read twice below.  Bucketed by (group, answer): joining labels back moves
+    # the labels, not the answer texts.
     answers = bucketed(answers, [*G, "row_id"], "answers")
-    cc = connected_components(minhash_buckets(answers))
-    ids = (answers.select(*G, "row_id").join(cc, G + ["row_id"], "left")
+    sets = materialize(word_sets(answers), "word-sets-named")
+    links = similar_links(sets)
+    members = links.select(*G, F.explode(F.array("a", "b")).alias("row_id"), F.lit(0).alias("band"), F.array("a", "b").alias("bucket"))
+    cc = connected_components(members).withColumnRenamed("row_id", "rep")
+    of = sets.select(*G, "row_id", "rep").join(cc, [*G, "rep"], "left").select(*G, "row_id", F.coalesce("group_id", "rep").alias("group_id"))
+    ids = (answers.select(*G, "row_id").join(of, G + ["row_id"], "left")
            .select(*G, F.coalesce("group_id", "row_id").alias("group_id")))
     counts = ids.groupBy(*G, "group_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_answers"))
     # The example is the answer whose row id is the group id: joining the

@@ -16,7 +16,7 @@ from rsvpark import constants as K
 from rsvpark.functions.fmt import day_label, md5_bucket, palette_at
 from rsvpark.functions.text import shorten_label
 from rsvpark.operators import counts, kpis, ranking, themes, timeline
-from rsvpark.operators.similar import BANDS, HASH_A, HASH_B, P, ROWS, similar_groups
+from rsvpark.operators.similar import DEN, NUM, similar_groups
 from rsvpark.plans import oracle as O
 from rsvpark.plans.more_queries import DAYS, ED, GC, RS, TOPIC_CTES
 from rsvpark.plans.queries import RC
@@ -85,22 +85,19 @@ def q_theme_json_parse(spark, sf_dir):
     return themes.theme_rows_from_file(parsed)
 
 
-# SQL check: the same tokens, MinHash values and band keys; components by a
-# recursive CTE over bucket-mates (pairs are formed here, in the check only).
-_SIG = ",\n    ".join(f"min(({HASH_A[i]} * m + {HASH_B[i]}) % {P}) AS h{i}" for i in range(BANDS * ROWS))
-_MEM = "\n  UNION ALL ".join(
-    f"SELECT event_id, key, row_id, {b} AS band, [{', '.join(f'h{b * ROWS + r}' for r in range(ROWS))}] AS bucket "
-    f"FROM sig" for b in range(BANDS))
+# SQL check: plain pairwise Jaccard similarity of word sets (pairs are formed
+# here, in the check only); components by a recursive CTE.
 SIMILAR_GROUPS_SQL = O.with_reg(
     *TOPIC_CTES, _ANS_CTE,
     r"""tok AS (SELECT DISTINCT event_id, key, row_id,
                   unnest(regexp_extract_all(lower(answer), '\p{Han}|[\p{L}\p{N}]+')) AS term FROM ans)""",
-    "code AS (SELECT event_id, key, row_id, ('0x' || substr(md5(term), 1, 7))::BIGINT AS m FROM tok)",
-    f"sig AS (SELECT event_id, key, row_id,\n    {_SIG}\n  FROM code GROUP BY event_id, key, row_id)",
-    f"mem AS (\n  {_MEM})",
-    """edges AS (SELECT DISTINCT a.event_id, a.key, a.row_id AS src, b.row_id AS dst
-               FROM mem a JOIN mem b ON a.event_id = b.event_id AND a.key = b.key AND a.band = b.band
-                                     AND a.bucket = b.bucket)""",
+    "sz AS (SELECT event_id, key, row_id, count(*) AS n FROM tok GROUP BY ALL)",
+    """common AS (SELECT a.event_id, a.key, a.row_id AS src, b.row_id AS dst, count(*) AS c
+               FROM tok a JOIN tok b ON a.event_id = b.event_id AND a.key = b.key AND a.term = b.term GROUP BY ALL)""",
+    f"""edges AS (SELECT c.event_id, c.key, c.src, c.dst FROM common c
+               JOIN sz x ON x.event_id = c.event_id AND x.key = c.key AND x.row_id = c.src
+               JOIN sz y ON y.event_id = c.event_id AND y.key = c.key AND y.row_id = c.dst
+               WHERE {DEN} * c.c >= {NUM} * (x.n + y.n - c.c))""",
     """cc(event_id, key, row_id, label) AS (
       SELECT event_id, key, row_id, row_id FROM ans
       UNION

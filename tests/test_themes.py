@@ -67,36 +67,58 @@ def test_theme_audit_flags(spark, answers):
     assert not r.ok and r.bad_quotes == 1 and r.long_titles == 1
 
 
-def _union_find(rows):
-    parent = {}
+def _words(text):
+    import re
+    return frozenset(re.findall(r"[^\W_]+", text.lower()))
+
+
+def _brute_groups(rows):
+    """row -> smallest row of its component under Jaccard >= NUM / DEN, per (event, list)."""
+    parent = {r[:3]: r[:3] for r in rows}
 
     def find(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
+        while parent[x] != x:
             x = parent[x]
         return x
 
-    by_bucket = {}
-    for r in rows:
-        find((r.event_id, r.key, r.row_id))
-        by_bucket.setdefault((r.event_id, r.key, r.band, tuple(r.bucket)), []).append((r.event_id, r.key, r.row_id))
-    for members in by_bucket.values():
-        for m in members[1:]:
-            a, b = find(members[0]), find(m)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    return {x: min((y for y in parent if find(y) == find(x)), key=lambda t: t[2])[2] for x in parent}
-
-
-def test_connected_components_match_union_find(spark, answers):
-    members = similar.minhash_buckets(answers)
-    expected = _union_find(members.collect())
-    got = {(r.event_id, r.key, r.row_id): r.group_id
-           for r in similar.connected_components(members).collect()}
-    assert got == expected
-    # Identical answers always share a group.
-    assert got[("e1", "speaker_q", 1)] == got[("e1", "speaker_q", 5)]
-    assert got[("e2", "speaker_q", 9)] == 9       # other event, never linked across events
+    for x in rows:
+        for y in rows:
+            a, b = _words(x[3]), _words(y[3])
+            if x[:2] == y[:2] and a and b and similar.DEN * len(a & b) >= similar.NUM * len(a | b):
+                p, q = find(x[:3]), find(y[:3])
+                parent[max(p, q)] = min(p, q)
+    return {r: find(r)[2] for r in parent}
+
+
+def test_similar_groups_match_pairwise_comparison(spark):
+    import collections
+    import random
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(160):
+        if rows and rng.random() < 0.6:
+            w = list(_words(rng.choice(rows)[3])) or ["x"]
+            w[rng.randrange(len(w))] = rng.choice(vocab)
+        else:
+            w = rng.sample(vocab, rng.randrange(1, 15))
+        rows.append((rng.choice(["e1", "e2"]), "speaker_q", i, ("?? " if i % 40 == 0 else "") + " ".join(w) if i % 53 else "!?"))
+    df = spark.createDataFrame(rows, "event_id string, key string, row_id long, answer string")
+    want = collections.Counter((r[0], g) for r, g in _brute_groups(rows).items())
+    out = similar.similar_groups(df).collect()
+    assert {(r.event_id, r.group_id): r.n_answers for r in out} == want
+    assert all(r.example == rows[r.group_id][3] for r in out)
+
+
+def test_similar_groups_leave_one_table(spark, answers):
+    import os
+    from rsvpark.session import shared_path
+    work = shared_path(spark, "rsvpark-work").removeprefix("file:")
+    before = set(os.listdir(work)) if os.path.isdir(work) else set()
+    similar.similar_groups(answers)
+    new = set(os.listdir(work)) - before
+    assert len(new) == 1 and new.pop().startswith("similar-")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("rsvpark_answers")]
 
 
 def test_similar_groups_cover_all_answers(spark, answers):
@@ -148,22 +170,6 @@ def test_free_text_topics_use_theme_rows(spark, workdir):
     assert [r.n for r in out[:-1]] == sorted((r.n for r in out[:-1]), reverse=True)
 
 
-def test_minhash_values_match_plain_python(spark, answers):
-    """MinHash signature of each answer recomputed in plain Python."""
-    import hashlib
-    import re
-    got = {(r.row_id, r.band): list(r.bucket) for r in similar.minhash_buckets(answers).collect()}
-    for ev, key, rid, text in ANSWERS:
-        words = set(re.findall(r"[^\W_]+", text.lower()))
-        if not words:
-            assert all((rid, b) not in got for b in range(similar.BANDS))
-            continue
-        codes = [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in words]
-        sig = [min((a * m + b) % similar.P for m in codes) for a, b in zip(similar.HASH_A, similar.HASH_B)]
-        for band in range(similar.BANDS):
-            assert got[(rid, band)] == sig[band * similar.ROWS:(band + 1) * similar.ROWS]
-
-
 def test_components_on_a_long_chain_take_few_rounds(spark, monkeypatch):
     """A chain of 300 answers (each shares one bucket with the next) and a
     separate pair: one round per halving, not one per link."""
