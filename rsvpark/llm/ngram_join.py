@@ -12,11 +12,15 @@ matches: the pigeonhole.  So
    one-deletion neighbourhoods too, and probes the band below;
 2. a segment whose subset no smaller set shares is a free credit.  A set with
    ``H + 1`` free credits has no partner: that ends the search for most;
-3. the others are compared with the smallest set of each bucket they met, and
-   joined into components by the verified links;
+3. the others, and their possible partners (which share all but ``n / 3`` of
+   their own segments with somebody), are compared with a few centres of their
+   buckets, round by round, and joined into components by the verified links.
+   Sets of which less than three quarters of the shingles occur in the sets
+   still possible, outside their component, drop out on the way;
 4. only buckets with several components still matter.  Each set that lacks free
    credits pays for the cheapest buckets (by the sets of other components in
-   them) until it has enough, and is verified against those sets.
+   them) until it has enough; pairs that come about so under two independent
+   partitions of the universe are verified.
 
 Verification counts common shingles exactly.  Equal sets are one set all along,
 and sets of one component are never compared again, so groups of copies cost
@@ -43,6 +47,11 @@ SEGMENTS = 0.45                 # segments of a band for each shingle of its lar
 DELETE_UPTO = 128               # bands up to this size index one-deletion neighbourhoods
 GROUP_ENTRIES = 4_000_000       # index entries of one group of buckets, about
 FLUSH = 2_000_000
+FILTER_WORDS = 1 << 17
+NARROW = 1.04                   # ratio of the narrow size bands in which partners are counted
+TURNS = 4                       # rounds of comparisons with centres, at most; what they miss is paid for
+CENTRES = (3, 16)               # centres of a bucket, in the first round and in later ones (few sets are left)
+TRIES = (8, 40)                 # centres a set is compared with in a round
 BLOCK_SHINGLES = 1_000_000      # shingles of the sets that a pass compares with all
 
 _BOUND = [1]
@@ -105,7 +114,7 @@ def shingle_sets(texts, k: int = SHINGLE) -> Sets:
     return Sets(h, np.searchsorted(doc, np.arange(w.n_docs + 1)))
 
 
-def _segments(s: Sets, low: bool):
+def _segments(s: Sets, low: bool, seed: int = 0):
     """Segments of the sets in their own band, or in the band below for those that can link there.
 
     Returns the sets that take part, and per segment: its set, number, size and
@@ -124,7 +133,7 @@ def _segments(s: Sets, low: bool):
     h, doc = s.h[use], s.doc[use]
     if not len(h):
         return ok, None
-    salt = SALT[band[doc]]
+    salt = SALT[band[doc]] + np.uint64(seed) * _C2
     seg = (mix(h ^ salt) % m[doc].astype(np.uint64)).astype(np.int64)
     at = base[doc] + seg
     value = mix(h + _C3)
@@ -133,16 +142,16 @@ def _segments(s: Sets, low: bool):
     size = np.bincount(at, minlength=base[-1])
     owner = np.repeat(np.arange(len(s.n)), m)
     number = np.arange(base[-1]) - base[owner]
-    key_base = number.astype(np.uint64) * _C1 + SALT[np.maximum(band, 0)][owner]
+    key_base = number.astype(np.uint64) * _C1 + SALT[np.maximum(band, 0)][owner] + np.uint64(seed) * _C3
     deletes = (TOP[np.maximum(band, 0)] <= DELETE_UPTO) & ok
     return ok, (owner, number, size, total, key_base, at, value, deletes)
 
 
-def credits(s: Sets):
+def credits(s: Sets, seed: int = 0):
     """Per set and band (own, below): filled segments, and those of two shingles or more that index deletions; -1 if it takes no part."""
     out = []
     for low in (False, True):
-        ok, g = _segments(s, low)
+        ok, g = _segments(s, low, seed)
         filled, double = np.where(ok, 0, -1), np.where(ok, 0, -1)
         if g is not None:
             owner, _, size, _, _, _, _, deletes = g
@@ -161,11 +170,11 @@ def needed(n, low: bool):
     return most_different(n, TOP[np.maximum(band - 1, 0)]) + 1
 
 
-def entries(s: Sets, parts: int):
+def entries(s: Sets, parts: int, seed: int = 0):
     """Index entries ``(group, key, set)``; a key holds 34 bits of hash, 12 of the segment's number and 2 of the role."""
     got = []
     for low in (False, True):
-        _, g = _segments(s, low)
+        _, g = _segments(s, low, seed)
         if g is None:
             continue
         owner, number, size, total, key_base, at, value, deletes = g
@@ -219,11 +228,11 @@ def _packed(group, key, member, columns):
 class _Packer:
     """Collects entries of sets until there are ``FLUSH``, then gives them as packed rows."""
 
-    def __init__(self, parts, width):
-        self.parts, self.width, self.rows, self.size, self.sets = parts, width, [], 0, 0
+    def __init__(self, parts, width, seed=0):
+        self.parts, self.width, self.seed, self.rows, self.size, self.sets = parts, width, seed, [], 0, 0
 
     def add(self, s: Sets, columns):
-        g, k, m = entries(s, self.parts)
+        g, k, m = entries(s, self.parts, self.seed)
         self.rows.append((g, k, m + self.sets, columns))
         self.sets += len(s.n)
         self.size += len(k)
@@ -299,32 +308,61 @@ def _runs_of(bucket):
 
 
 def _meet(key_of, table):
-    """Per group of buckets: links to try (each set with the smallest of its bucket), and each set's met segments by role."""
+    """Per set: the segments of a group of buckets in which it met a smaller set, by role, and those of its own
+    band that any other set shares."""
     key, head = _buckets(table, 2)
     start, size = _runs_of(key >> np.uint64(2))
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("own", pa.int64()), ("own2", pa.int64()), ("low", pa.int64()), ("low2", pa.int64())])
+    names = ["sid", "own", "own2", "low", "low2", "mem"]
     if not len(start):
-        return out.empty_table()
+        return pa.schema([(c, pa.int64()) for c in names]).empty_table()
     sid, role = head[:, 0], (key & np.uint64(3)).astype(np.int64)
     pos, none = np.arange(len(key)), len(key)
-    first = {}
+    meets = {}
     for r in (OWN, OWN_DEL):
-        first[r] = np.repeat(np.minimum.reduceat(np.where(role == r, pos, none), start), size)
-    meets = {r: (first[r] < pos) & (sid[np.minimum(first[r], none - 1)] != sid) for r in first}
-    plain = (role == OWN) | (role == LOW)
+        first = np.repeat(np.minimum.reduceat(np.where(role == r, pos, none), start), size)
+        meets[r] = (first < pos) & (sid[np.minimum(first, none - 1)] != sid)
+    plain, low = (role == OWN) | (role == LOW), role >= LOW
     v0 = plain & meets[OWN]
     v1 = (plain & meets[OWN_DEL]) | (~plain & meets[OWN])
-    hit = v0 | v1
-    centre = np.where(meets[OWN], first[OWN], first[OWN_DEL])[hit]
-    pairs = np.stack([sid[centre], sid[hit]], axis=1)
-    pairs, times = np.unique(pairs, axis=0, return_counts=True) if len(pairs) else (pairs, np.zeros(0, np.int64))
-    ids, inv = np.unique(sid[hit], return_inverse=True)
-    low = role >= LOW
-    sums = [np.bincount(inv, weights=x[hit], minlength=len(ids)).astype(np.int64) for x in (v0 & ~low, v1 & ~low, v0 & low, v1 & low)]
-    zero, nulls = np.zeros(len(pairs), np.int64), pa.nulls(len(ids), pa.int64())
-    return pa.table({"a": pa.concat_arrays([pa.array(pairs[:, 0]), nulls]), "b": pa.array(np.concatenate([pairs[:, 1], ids])),
-                     "own": pa.array(np.concatenate([times, sums[0]])), "own2": pa.array(np.concatenate([zero, sums[1]])),
-                     "low": pa.array(np.concatenate([zero, sums[2]])), "low2": pa.array(np.concatenate([zero, sums[3]]))})
+    ids, inv = np.unique(sid, return_inverse=True)
+    sums = [np.bincount(inv, weights=x, minlength=len(ids)).astype(np.int64) for x in (v0 & ~low, v1 & ~low, v0 & low, v1 & low, role == OWN)]
+    return pa.table(dict(zip(names, map(pa.array, [ids, *sums]))))
+
+
+def _stars(turn: int):
+    """Per set: the few sets that most of its buckets of the group have as a centre, of other components.
+
+    The centres of a bucket are its first ``CENTRES`` sets in an order drawn from ids and turn.
+    """
+    centres = CENTRES[min(turn, 1)]
+
+    def run(key_of, table):
+        key, head = _buckets(table, 4)
+        role = (key & np.uint64(3)).astype(np.int64)
+        use = (role == OWN) | (role == LOW)
+        key, head, role = key[use] >> np.uint64(2), head[use], role[use]
+        out = pa.schema([(c, pa.int64()) for c in ("a", "b", "t")])
+        if not len(key):
+            return out.empty_table()
+        sid, label = head[:, 0], head[:, 2]
+        draw = mix(sid.view(np.uint64) + np.uint64(turn) * _C1)
+        order = np.lexsort((draw, role != OWN, key))
+        key, sid, label, role = key[order], sid[order], label[order], role[order]
+        start, size = _runs_of(key)
+        pairs = []
+        for i in range(centres):
+            c = np.repeat(np.minimum(start + i, start + size - 1), size)
+            ok = (role[c] == OWN) & (label[c] != label) & np.repeat(i < size, size)
+            pairs.append(np.stack([sid[ok], sid[c][ok]], axis=1))
+        pairs, t = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
+        if not len(pairs):
+            return out.empty_table()
+        order = np.lexsort((-t, pairs[:, 0]))
+        pairs, t = pairs[order], t[order]
+        start, size = _runs_of(pairs[:, 0])
+        keep = np.arange(len(t)) - np.repeat(start, size) < centres
+        return pa.table({"a": pa.array(pairs[keep, 1]), "b": pa.array(pairs[keep, 0]), "t": pa.array(t[keep])})
+    return run
 
 
 def _price(key_of, table):
@@ -396,6 +434,41 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
+def possible(sets: DataFrame) -> DataFrame:
+    """The rows of ``sets(sid, n, h, label, ...)`` that can still link with a set of another label.
+
+    A link with a set of ``k`` shingles has at least ``3 (n + k) / 7`` of them in
+    common.  So a set stays if, for some narrow band of sizes, that many of its
+    shingles occur in sets of that band and of other labels; first a count
+    over all sizes thins the sets out.  Dropping sets can make others fail, so
+    this goes on as long as it drops a tenth.
+    """
+    left = sets.count()
+    while True:
+        shingles = sets.select("sid", "n", "label", F.explode("h").alias("x"))
+        some = shingles.groupBy("x").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("x")
+        some = materialize(some, "ngram-shared")
+        common = shingles.join(some, "x")
+        keep = common.groupBy("sid", "n").agg(F.count("*").alias("c")).where(f"{DEN} * c >= {NUM} * n").select("sid")
+        sets = materialize(sets.join(keep, "sid", "left_semi"), "ngram-possible")
+
+        band = F.floor(F.log("n") / math.log(NARROW)).cast("int")
+        shingles = sets.select("sid", "n", "label", band.alias("band"), F.explode("h").alias("x"))
+        common = shingles.join(some, "x")
+        by_band = (common.groupBy("x", F.col("band").alias("other"))
+                   .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("least")))
+        by_band = materialize(by_band, "ngram-bands")
+        reach = math.ceil(math.log(DEN / NUM) / math.log(NARROW)) + 1
+        met = (shingles.join(by_band, "x").where(f"abs(band - other) <= {reach} and (lo <> hi or lo <> label)")
+               .groupBy("sid", "n", "other").agg(F.count("*").alias("c"), F.min("least").alias("least")))
+        keep = met.where(f"{DEN + NUM} * c >= {NUM} * (n + least)").select("sid").distinct()
+        sets = materialize(sets.join(keep, "sid", "left_semi"), "ngram-possible")
+        now = sets.count()
+        if now >= 0.9 * left:
+            return sets
+        left = now
+
+
 def _hash_batches(batches):
     for b in batches:
         for c in chunks(b):
@@ -407,14 +480,26 @@ def _hash_batches(batches):
             yield pa.RecordBatch.from_arrays([pa.array(sid[same]), pa.array(s.n[same].astype(np.int64)), arr.take(take)], ["sid", "n", "h"])
 
 
-def _active_batches(parts):
+def _sets_in(b) -> Sets:
+    h = b.column(2)
+    off = h.offsets.to_numpy()
+    return Sets(h.flatten().to_numpy().view(np.uint64), (off - off[0]).astype(np.int64))
+
+
+def _credit_batches(seed):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(x.astype(np.int64)) for x in credits(_sets_in(b), seed)]],
+                                             ["sid", "n", "own", "own2", "low", "low2"])
+    return run
+
+
+def _active_batches(parts, seed=0):
     def run(batches):
-        pack = _Packer(parts, 4)
+        pack = _Packer(parts, 4, seed)
         for b in batches:
-            h = b.column(2)
-            off = h.offsets.to_numpy()
-            s = Sets(h.flatten().to_numpy().view(np.uint64), (off - off[0]).astype(np.int64))
-            pack.add(s, [b.column(0).to_numpy(), s.n, b.column(3).to_numpy(), b.column(4).to_numpy(zero_copy_only=False).astype(np.int64)])
+            s = _sets_in(b)
+            pack.add(s, [b.column(0).to_numpy(), s.n, b.column(4).to_numpy(), b.column(3).to_numpy(zero_copy_only=False).astype(np.int64)])
             if pack.size >= FLUSH:
                 yield from pack.flush()
         yield from pack.flush()
@@ -467,7 +552,52 @@ def _crowded_links(docs: DataFrame, crowded: DataFrame, reps: DataFrame) -> Data
 def _sets_of(docs: DataFrame, sids: DataFrame, reps: DataFrame) -> DataFrame:
     """``(sid, n, h)``: the shingle hashes of the listed sets, from one document of each."""
     want = sids.join(reps, "sid").select(F.col("rep").alias("doc_id"), "sid")
-    return docs.join(want, "doc_id").select("sid", "text").mapInArrow(_hash_batches, "sid long, n long, h array<long>")
+    # a hash filter of FILTER_WORDS rows at most thins the texts out before they are shuffled
+    place = lambda c: F.expr(f"pmod(xxhash64({c}), {64 * FILTER_WORDS})")
+    bits = (want.select(place("doc_id").alias("p")).groupBy(F.expr("p div 64").alias("__word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("__bits")))
+    some = (docs.select("doc_id", "text").withColumn("__p", place("doc_id")).withColumn("__word", F.expr("__p div 64")).join(F.broadcast(bits), "__word")
+            .where("shiftright(__bits, cast(__p % 64 as int)) & 1 = 1").select("doc_id", "text"))
+    return some.join(want, "doc_id").select("sid", "text").mapInArrow(_hash_batches, "sid long, n long, h array<long>")
+
+
+_CREDITS = "sid long, n long, own long, own2 long, low long, low2 long"
+
+
+def _needs(sets: DataFrame) -> DataFrame:
+    """``sets`` (columns of ``_CREDITS``) with the credits that rule out every smaller partner, per band."""
+    band = F.size(F.filter(F.array(*[F.lit(int(x)) for x in BOUND]), lambda b: b <= F.col("n")))  # 1-based
+    top = F.element_at(F.array(*[F.lit(int(x)) for x in TOP]), F.greatest(F.expr("band - 1"), F.lit(1)).cast("int"))
+    return (sets.withColumn("band", band).withColumn("need", F.expr(f"(2 * n) * {DEN - NUM} div {DEN + NUM} + 1"))
+            .withColumn("need_low", 1 + F.floor((F.col("n") + top) * (DEN - NUM) / (DEN + NUM)))
+            .select("sid", "n", "own", "own2", "low", "low2", "need", "need_low"))
+
+
+def _crowded(needs: DataFrame) -> DataFrame:
+    """Sets whose credits can never suffice."""
+    return needs.where("own + own2 < need or (low >= 0 and low + low2 < need_low)")
+
+
+def paid_pairs(hashes: DataFrame, packed: DataFrame, parts: int, seed: int) -> DataFrame:
+    """``(a, b)``: what the sets short of credits are compared with under one universe partition.
+
+    Each pays for the cheapest of its buckets that hold sets of other
+    components, until its credits suffice.
+    """
+    price = materialize(packed.groupBy("grp").applyInArrow(_price, "sid long, grp long, key long, low boolean, deletion boolean, cost long"), "ngram-price")
+    met = price.groupBy("sid", "low").agg(F.sum(F.expr("if(deletion, 0, 1)")).alias("v0"), F.sum(F.expr("if(deletion, 1, 0)")).alias("v1"))
+    have = _needs(hashes.where("short").select("sid", "n", "h").mapInArrow(_credit_batches(seed), _CREDITS))
+    have = materialize(have, "ngram-credits")
+    owns = have.select("sid", F.lit(False).alias("low"), F.col("own").alias("c"), F.col("own2").alias("c2"), "need")
+    lows = have.where("low >= 0").select("sid", F.lit(True).alias("low"), F.col("low").alias("c"), F.col("low2").alias("c2"), F.col("need_low").alias("need"))
+    due = (owns.unionByName(lows).join(met, ["sid", "low"])
+           .withColumn("due", F.expr("need - (c - v0 + greatest(0, c2 - v1 - v0))")).where("due > 0")
+           .select("sid", "low", "due", (F.col("c") < F.col("need")).alias("all_of_it")))
+    rank = F.row_number().over(Window.partitionBy("sid", "low", "deletion").orderBy("cost", "key"))
+    chosen = (price.join(due, ["sid", "low"]).withColumn("rank", rank).where("all_of_it or (not deletion and rank <= due)")
+              .select("grp", "sid", "key", "deletion"))
+    pairs = packed.groupBy("grp").cogroup(chosen.groupBy("grp")).applyInArrow(_pay, "a long, b long").distinct()
+    return materialize(pairs, "ngram-pairs")
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -488,60 +618,64 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((total or 0) / GROUP_ENTRIES))
     reps = (named.groupBy("sid").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "own", "own2", "low", "low2")]))
     reps = materialize(reps, "ngram-reps")
-    needs = reps.withColumn("need", F.expr(f"(2 * n) * {DEN - NUM} div {DEN + NUM} + 1"))
-    top = F.element_at(F.array(*[F.lit(int(x)) for x in TOP]), F.greatest(F.expr("band - 1"), F.lit(1)).cast("int"))
-    band = F.size(F.filter(F.array(*[F.lit(int(x)) for x in BOUND]), lambda b: b <= F.col("n")))  # 1-based
-    needs = (needs.withColumn("band", band).withColumn("need_low", F.expr("1") + F.floor((F.col("n") + top) * (DEN - NUM) / (DEN + NUM)))
-             .select("sid", "n", "own", "own2", "low", "low2", "need", "need_low"))
+    needs = _needs(reps)
 
     texts = d.where("doc_id is not null").select("text")
     met = (texts.mapInArrow(_entry_batches(parts), _PACKED).groupBy("grp")
-           .applyInArrow(_meet, "a long, b long, own long, own2 long, low long, low2 long"))
-    met = materialize(met, "ngram-met")
-    roles = ("own", "own2", "low", "low2")
-    # the smallest set of a bucket meets none there, but others meet it
-    hits = (met.where("a is null").select(F.col("b").alias("sid"), *roles)
-            .unionByName(met.where("a is not null").select(F.col("a").alias("sid"), *[F.lit(0).cast("long").alias(c) for c in roles]))
-            .groupBy("sid").agg(*[F.sum(c).alias(f"h_{c}") for c in roles]))
+           .applyInArrow(_meet, "sid long, own long, own2 long, low long, low2 long, mem long")
+           .groupBy("sid").agg(*[F.sum(c).alias(f"h_{c}") for c in ("own", "own2", "low", "low2", "mem")]))
+    hits = materialize(met, "ngram-met")
 
     def lacks(c):
         """Free credits of a band do not reach what is needed."""
         need = "need" if c == "own" else "need_low"
         return f"({c} >= 0 and {c} - h_{c} + greatest(0, {c}2 - h_{c}2 - h_{c}) < {need})"
 
-    crowded = needs.where("own + own2 < need or (low >= 0 and low + low2 < need_low)").select("sid", "n")
-    active = needs.join(hits, "sid").withColumn("short", F.expr(f"{lacks('own')} or {lacks('low')}"))
-    active = materialize(active.select("sid", "n", "own", "own2", "low", "low2", "need", "need_low", "short"), "ngram-active")
-    short = active.where("short").select("sid")
-    # each set that lacks credits tries the smallest set that most of its buckets have
-    tries = (met.where("a is not null").groupBy("a", "b").agg(F.sum("own").alias("t")).join(short.withColumnRenamed("sid", "b"), "b")
-             .groupBy("b").agg(F.max(F.struct("t", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"))
-    hashes = materialize(_sets_of(d, active.select("sid"), reps), "ngram-hashes")
-    edges = [materialize(verified(tries, hashes), "ngram-links")]
-    labels = components(edges[0])
-    flagged = (hashes.join(active.select("sid", "short"), "sid").join(labels.withColumnRenamed("id", "sid"), "sid", "left")
-               .select("sid", "n", "h", F.coalesce("label", "sid").alias("label"), "short"))
-    packed = materialize(flagged.mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
-    price = materialize(packed.groupBy("grp").applyInArrow(_price, "sid long, grp long, key long, low boolean, deletion boolean, cost long"), "ngram-price")
-    met2 = price.groupBy("sid", "low").agg(F.sum(F.expr("if(deletion, 0, 1)")).alias("v0"), F.sum(F.expr("if(deletion, 1, 0)")).alias("v1"))
-    f = active.where("short")
-    owns = f.select("sid", F.lit(False).alias("low"), F.col("own").alias("c"), F.col("own2").alias("c2"), "need")
-    lows = f.where("low >= 0").select("sid", F.lit(True).alias("low"), F.col("low").alias("c"), F.col("low2").alias("c2"), F.col("need_low").alias("need"))
-    due = (owns.unionByName(lows).join(met2, ["sid", "low"])
-           .withColumn("due", F.expr("need - (c - v0 + greatest(0, c2 - v1 - v0))")).where("due > 0")
-           .select("sid", "low", "due", (F.col("c") < F.col("need")).alias("all_of_it")))
-    rank = F.row_number().over(Window.partitionBy("sid", "low", "deletion").orderBy("cost", "key"))
-    chosen = (price.join(due, ["sid", "low"]).withColumn("rank", rank).where("all_of_it or (not deletion and rank <= due)")
-              .select("grp", "sid", "key", "deletion"))
-    pairs = (packed.groupBy("grp").cogroup(chosen.groupBy("grp")).applyInArrow(_pay, "a long, b long").distinct())
+    crowded = _crowded(needs).select("sid", "n")
+    # the smaller set of a linked pair differs in n / 3 shingles at most, so it shares all its segments but as many
+    active = (needs.join(hits, "sid").withColumn("short", F.expr(f"{lacks('own')} or {lacks('low')}"))
+              .withColumn("partner", F.expr(f"own - h_mem <= n * {DEN - NUM} div {NUM}")).where("short or partner"))
+    active = materialize(active.select("sid", "n", "own", "own2", "low", "low2", "need", "need_low", "short", "partner"), "ngram-active")
+    hashes = materialize(_sets_of(d, active.select("sid"), reps).dropDuplicates(["sid"])
+                         .join(active.select("sid", "short"), "sid").withColumn("label", F.col("sid")), "ngram-hashes")
+    hashes = possible(hashes)
+    edges, packed = [], None
+    for turn in range(TURNS):
+        packed = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
+        best = Window.partitionBy("b").orderBy(F.desc("t"), "a")
+        tries = (packed.groupBy("grp").applyInArrow(_stars(turn), "a long, b long, t long").groupBy("a", "b").agg(F.sum("t").alias("t"))
+                 .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TRIES[min(turn, 1)]).select("a", "b"))
+        found = materialize(verified(tries, hashes), "ngram-links")
+        n, tried = found.count(), hashes.count()
+        edges.append(found)
+        if n:
+            labels = components(_all(edges))
+            flagged = (hashes.drop("label").join(labels.withColumnRenamed("id", "sid"), "sid", "left")
+                       .withColumn("label", F.coalesce("label", "sid")))
+            hashes = possible(materialize(flagged, "ngram-labelled"))
+            packed = None
+        if n < max(20, tried / 100):
+            break
+    if packed is None:
+        packed = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
+    pairs = paid_pairs(hashes, packed, parts, 0)
+    # a link is among the pairs of any universe partition: what a second one does not have is none
+    again = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts, 1), _PACKED), "ngram-buckets")
+    other = paid_pairs(hashes, again, parts, 1)
+    unsure = _crowded(_needs(hashes.select("sid", "n", "h").mapInArrow(_credit_batches(1), _CREDITS))).select(F.col("sid").alias("b"))
+    pairs = pairs.join(other, ["a", "b"], "left_semi").unionByName(pairs.join(unsure, "b", "left_semi").select("a", "b")).distinct()
     edges.append(materialize(verified(pairs, hashes), "ngram-links"))
     more = _crowded_links(d.where("doc_id is not null"), crowded, reps)
     if more is not None:
         edges.append(more)
-    every = edges[0]
-    for e in edges[1:]:
-        every = every.unionByName(e)
-    return sets, components(every).withColumnRenamed("id", "sid")
+    return sets, components(_all(edges)).withColumnRenamed("id", "sid")
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
 
 
 def join(docs: DataFrame) -> DataFrame:
