@@ -40,6 +40,14 @@ QUOTE_BROADCAST_MAX_ROWS = 200_000    # distinct quotes of an audited theme tabl
 OTHER_TITLE = "Other answers"
 
 
+def version() -> str:
+    """Short hash of everything a theme depends on beside its answers."""
+    import hashlib
+    parts = (TOKEN_RE, N_THEMES, ITERATIONS, MIN_DF, MAX_DF_RATIO, OTHER_TITLE, K.FILLER_ANSWERS, K.FILLER_TRAILING_PUNCT,
+             K.THEME_MAX_TITLE_WORDS, K.THEME_MAX_QUOTES)
+    return hashlib.sha1(repr(parts).encode()).hexdigest()[:8]
+
+
 def theme_inputs(reg: DataFrame, mode: DataFrame) -> DataFrame:
     """``(event_id, key, row_id, answer)``: trimmed, non-blank, non-filler."""
     q = (reg.where(~is_blank("speaker_q") & ~is_filler("speaker_q"))

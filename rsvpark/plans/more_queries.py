@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from rsvpark import constants as K
@@ -354,14 +356,18 @@ def q_na_tokens(spark, sf_dir):
         F.count_if(na_null("answer").isNull()).alias("nulled"))
 
 
-@register("pending_events", O.with_reg() + "SELECT DISTINCT event_id FROM reg")
+@register("pending_events", O.with_reg() + """
+SELECT DISTINCT event_id FROM reg WHERE event_id <> (SELECT event_id FROM reg ORDER BY row_id LIMIT 1)""")
 def q_pending_events(spark, sf_dir):
-    from rsvpark.streaming.pending import pending_events, stored_themes
-    from rsvpark.sources.fixture import land_reg
-    from rsvpark.session import has_jvm, shared_path
+    """Events without stored themes; the event of the first order has themes by hand in a store."""
+    from rsvpark.session import shared_path
+    from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
     reg = _reg(spark, sf_dir)
-    # Hand-supplied theme files land here (the manual path); none in the tests.
-    store = (land_reg(spark, sf_dir) if has_jvm(spark) else shared_path(spark, "rsvpark-manual")) + "-themes"
+    first = reg.agg(F.min_by("event_id", "row_id").alias("event_id"))
+    by_hand = first.select("event_id", F.lit("speaker_q").alias("key"), F.lit(0).cast("bigint").alias("theme_id"), F.lit("By hand").alias("title"),
+                           F.lit(1).cast("bigint").alias("count"), F.array(F.lit("?")).alias("quotes"))
+    store = shared_path(spark, "rsvpark-work", f"manual-themes-{uuid.uuid4().hex}")
+    store_themes(by_hand, store)
     return pending_events(reg, stored_themes(spark, store))
 
 

@@ -9,29 +9,31 @@ from pyspark.sql import functions as F
 from rsvpark.operators import counts, kpis, ranking, themes
 from rsvpark.session import bucketed, has_jvm, materialize, work_scope
 from rsvpark.sources.fixture import land_reg, landing_version, load_reg
-from rsvpark.streaming.pending import pending_events, store_themes, stored_themes
+from rsvpark.streaming.pending import empty_marks, pending_events, store_themes, stored_themes
 
 
-def _inputs(spark, sf_dir):
-    reg = load_reg(spark, sf_dir)
+def theme_list(reg: DataFrame):
+    """``(kpis, topic mode, theme inputs)`` of registrations."""
     k = kpis.event_kpis(reg)
     mode = kpis.topic_mode(reg, k)
-    return reg, k, mode, themes.theme_inputs(reg, mode)
+    return k, mode, themes.theme_inputs(reg, mode)
 
 
-def themes_with_store(spark, sf_dir) -> DataFrame:
-    """A10 + K3: themes of every event, computed only for pending events.
+def _inputs(spark, sf_dir):
+    reg = load_reg(spark, sf_dir)
+    return (reg, *theme_list(reg))
+
 
-    Stored themes (Parquet by ``event_id`` next to the landed registrations,
-    tied to that landing's version) are reused; events without stored themes
-    are themed in one distributed job and their partitions written.  A failed
-    or empty result is not stored, so it is retried next time.
+def themes_for(reg: DataFrame, store: str) -> DataFrame:
+    """A10 + K3: themes of every event of ``reg``, computed only for pending events.
+
+    Themes stored under ``store`` (Parquet by ``event_id``) are reused; events
+    without stored themes are themed in one distributed job and their
+    partitions written.  An event without genuine answers gets an empty mark,
+    so it is not looked at again; a failed job stores nothing and is retried.
     """
-    reg, k, mode, ans = _inputs(spark, sf_dir)
-    if not has_jvm(spark):
-        return themes.themes(materialize(ans, "answers"))
-    landing = land_reg(spark, sf_dir)
-    store = f"{landing}-themes-{landing_version(spark, landing)}"
+    spark = reg.sparkSession
+    ans = theme_list(reg)[2]
     pending = pending_events(reg, stored_themes(spark, store))
     # Event ids only (the partition column of both tables): when every event
     # has stored themes, the answer list is not built at all.
@@ -41,10 +43,28 @@ def themes_with_store(spark, sf_dir) -> DataFrame:
         # that layout instead of shuffling the answer texts again.
         # Work tables of the job are removed once the store is written.
         with work_scope(spark):
-            todo = bucketed(ans.join(pending, "event_id", "left_semi"), ["event_id", "key", "row_id"], "answers")
-            if todo.limit(1).count():
-                store_themes(themes.themes(todo, prepartitioned=True), store)
-    return stored_themes(spark, store)
+            todo = materialize(pending, "pending")
+            mine = bucketed(ans.join(todo, "event_id", "left_semi"), ["event_id", "key", "row_id"], "answers")
+            if mine.limit(1).count():
+                store_themes(themes.themes(mine, prepartitioned=True), store)
+            store_themes(empty_marks(pending_events(todo, stored_themes(spark, store))), store)
+    return stored_themes(spark, store).where("theme_id >= 0")
+
+
+def themes_with_store(spark, sf_dir) -> DataFrame:
+    """Themes of the test registrations, stored next to their landing.
+
+    The store's name holds the landing's version and that of the theme
+    parameters, so neither new rows nor new rules meet old themes.
+    """
+    if not has_jvm(spark):
+        return themes.themes(materialize(_inputs(spark, sf_dir)[3], "answers"))
+    return themes_for(load_reg(spark, sf_dir), landing_store(spark, sf_dir))
+
+
+def landing_store(spark, sf_dir) -> str:
+    landing = land_reg(spark, sf_dir)
+    return f"{landing}-themes-{landing_version(spark, landing)}-{themes.version()}"
 
 
 def topic_bar_rows(reg: DataFrame, k: DataFrame, mode: DataFrame, topic_themes: DataFrame | None) -> DataFrame:
@@ -64,9 +84,16 @@ def topic_bar_rows(reg: DataFrame, k: DataFrame, mode: DataFrame, topic_themes:
     return ranking.topic_rows(rows, k)
 
 
-def topic_rows_for(spark, sf_dir, reg: DataFrame, k: DataFrame, mode: DataFrame) -> DataFrame:
+def topic_rows_of(reg: DataFrame, k: DataFrame, mode: DataFrame, store: str) -> DataFrame:
     """Topic bar rows; stored themes are only looked up when some event's
     topics are free text (a cheap check on the per-event mode table)."""
     free = mode.where(~F.col("topics_are_choices") & (F.col("n_labels") > 0))
-    th = themes_with_store(spark, sf_dir) if free.limit(1).count() else None
+    th = themes_for(reg, store) if free.limit(1).count() else None
     return topic_bar_rows(reg, k, mode, th)
+
+
+def topic_rows_for(spark, sf_dir, reg: DataFrame, k: DataFrame, mode: DataFrame) -> DataFrame:
+    """``topic_rows_of`` with the store of the test registrations."""
+    if not has_jvm(spark):
+        return topic_bar_rows(reg, k, mode, themes_with_store(spark, sf_dir))
+    return topic_rows_of(reg, k, mode, landing_store(spark, sf_dir))

@@ -28,30 +28,37 @@ def write_chart_payloads(payloads: DataFrame, path: str) -> None:
 
 
 def write_prompts(prompts: DataFrame, path: str) -> None:
-    """K4: theming requests as plain text, one folder per event and list;
-    each chunk's text is one record."""
-    _writer(prompts.select("event_id", "key", "prompt"), "event_id", "key").text(path)
+    """K4: theming requests as JSON lines per event: list, chunk and text, so
+    that every request can be read back as it was."""
+    _writer(prompts.select("event_id", "key", "chunk", "n_answers", "prompt"), "event_id").json(path)
 
 
-def write_report(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
-    """The reference's one run, for every event at once: stats record, chart
-    payloads, prompts, and themes (computed for pending events and stored).
+def write_report(reg: DataFrame, out: str) -> dict[str, str]:
+    """The reference's one run, for every event of ``reg`` at once: stats
+    record, chart payloads, prompts, and themes (computed for events that have
+    none stored under ``out`` yet).
 
-    Returns the folder of each output.
+    ``reg`` are registrations however they came: read exports, a landed table
+    of the folder drop, or a view.  Returns the folder of each output.
     """
-    from rsvpark.operators import kpis, report, timeline
+    from rsvpark.operators import report, timeline
+    from rsvpark.operators.themes import version
     from rsvpark.plans.theme_queries import chart_payload, context_json, prompt_rows
-    from rsvpark.plans.theme_store import _inputs, themes_with_store, topic_rows_for
-    from rsvpark.sources.fixture import load_reg
+    from rsvpark.plans.theme_store import theme_list, themes_for, topic_rows_of
 
     out = out.rstrip("/")
     paths = {name: f"{out}/{name}" for name in ("stats", "charts", "prompts", "themes")}
-    reg = load_reg(spark, sf_dir)
-    k = kpis.event_kpis(reg)
-    mode = kpis.topic_mode(reg, k)
+    store = f"{out}/theme-store-{version()}"
+    k, mode, ans = theme_list(reg)
     write_event_stats(report.event_stats(k, timeline.peak_day(reg), mode), paths["stats"])
-    write_chart_payloads(chart_payload(reg, lambda r, kk, m: topic_rows_for(spark, sf_dir, r, kk, m)),
-                         paths["charts"])
-    write_prompts(prompt_rows(_inputs(spark, sf_dir)[3], context_json(reg)), paths["prompts"])
-    _writer(themes_with_store(spark, sf_dir), "event_id").parquet(paths["themes"])
+    write_chart_payloads(chart_payload(reg, lambda r, kk, m: topic_rows_of(r, kk, m, store)), paths["charts"])
+    write_prompts(prompt_rows(ans, context_json(reg)), paths["prompts"])
+    _writer(themes_for(reg, store), "event_id").parquet(paths["themes"])
     return paths
+
+
+def write_report_from_exports(spark: SparkSession, exports: str, out: str, overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """From a folder of CSV exports to the report in one call."""
+    from rsvpark.session import materialize
+    from rsvpark.sources.csv_export import load_exports
+    return write_report(materialize(load_exports(spark, exports, overrides).registrations, "report-registrations"), out)

@@ -37,3 +37,10 @@ def store_themes(themes: DataFrame, path: str) -> None:
     (themes.where(F.col("title").isNotNull())
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_id").parquet(path))
+
+
+def empty_marks(events: DataFrame) -> DataFrame:
+    """A store row per event that has no genuine answers: themed, with nothing to show."""
+    none = F.array().cast("array<string>")
+    return events.select("event_id", F.lit("").alias("key"), F.lit(-1).cast("bigint").alias("theme_id"), F.lit("").alias("title"),
+                         F.lit(0).cast("bigint").alias("count"), none.alias("quotes"))

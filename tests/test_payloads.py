@@ -79,8 +79,9 @@ def test_report_sinks_round_trip(spark, workdir):
     to the query results; a second run replaces, not appends."""
     import __spark_entry__ as E
     from rsvpark.sources.sinks import write_report
-    paths = write_report(spark, SF_SMALL, workdir + "/report")
-    write_report(spark, SF_SMALL, workdir + "/report")
+    reg = load_reg(spark, SF_SMALL)
+    paths = write_report(reg, workdir + "/report")
+    write_report(reg, workdir + "/report")
     q = E.queries()
     stats = spark.read.parquet(paths["stats"])
     assert sorted(map(tuple, stats.select("event_id", "total", "peak_day").collect())) == \
@@ -89,10 +90,33 @@ def test_report_sinks_round_trip(spark, workdir):
     want = {r.event_id: r for r in q["chart_payload"](spark, SF_SMALL).collect()}
     assert set(charts) == set(want)
     assert all(charts[e].timeline_json == want[e].timeline_json for e in want)
-    # Text records end with a line break; prompts hold line breaks themselves,
-    # so compare total length: every prompt written once, nothing else.
-    from pyspark.sql import functions as F
-    want_len = q["prompt_rows"](spark, SF_SMALL).select(F.sum(F.length("prompt") + 1)).first()[0]
-    files = spark.read.text(paths["prompts"], wholetext=True)
-    assert files.select(F.sum(F.length("value"))).first()[0] == want_len
+    key = ["event_id", "key", "chunk", "n_answers", "prompt"]
+    prompts = spark.read.schema("key string, chunk long, n_answers long, prompt string, event_id string").json(paths["prompts"]).select(key)
+    assert sorted(map(tuple, prompts.collect())) == sorted(map(tuple, q["prompt_rows"](spark, SF_SMALL).select(key).collect()))
     assert spark.read.parquet(paths["themes"]).count() == q["themes_kmeans"](spark, SF_SMALL).count()
+
+
+def test_drop_folder_to_report(spark, workdir):
+    """Exports dropped in a folder, ingested, reported: equal to the report of the exports read directly."""
+    from rsvpark.sources.sinks import write_report, write_report_from_exports
+    from rsvpark.streaming.ingest import ingest_drops, read_registrations
+    from tests.trap import TRAP_HEADER, TRAP_ROWS, write_csv
+    drop = workdir + "/drop"
+    write_csv(drop, "trap event.csv", TRAP_HEADER, TRAP_ROWS)
+    write_csv(drop, "short.csv", "Order Date,Question for the guest", ["2025-09-01,Why?", "2025-09-02,no", "2025-09-02,How?"])
+    write_csv(drop, "silent.csv", "Order Date,Question for the guest", ["2025-09-01,no", "2025-09-02,"])
+    direct = write_report_from_exports(spark, drop, workdir + "/direct")
+    ingest_drops(spark, drop, workdir + "/table", workdir + "/ck")
+    landed = write_report(read_registrations(spark, workdir + "/table"), workdir + "/landed")
+    rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    for name, read in (("stats", spark.read.parquet), ("charts", spark.read.json), ("prompts", spark.read.json), ("themes", spark.read.parquet)):
+        assert rows(read(direct[name])) == rows(read(landed[name])), name
+    stats = {r.event_id: r for r in spark.read.parquet(landed["stats"]).collect()}
+    assert stats["short"].attending == stats["short"].total == 3 and stats["short"].ticket_types == "General Admission"
+    assert stats["trap-event"].attending == 6
+    # an event without genuine answers is marked, not pending for ever
+    from rsvpark.operators.themes import version
+    from rsvpark.streaming.pending import pending_events, stored_themes
+    store = stored_themes(spark, f"{workdir}/landed/theme-store-{version()}")
+    assert pending_events(read_registrations(spark, workdir + "/table"), store).count() == 0
+    assert "silent" not in {r.event_id for r in spark.read.parquet(landed["themes"]).collect()}
