@@ -275,7 +275,9 @@ def _joined(raw: DataFrame, layout: DataFrame, width: int) -> DataFrame:
             .withColumns({f"cell_{k}": cell(k) for k in K.KEYS})
             .withColumn("order_ts", parse_time(F.col("cell_order_date")))
             .withColumn("paid", parse_money(F.col("cell_total_paid")))
-            .withColumn("reason", F.when(F.col("long_row"), F.lit("row has more cells than the header"))
+            # Spark may test conditions in any order: the header record has no reason whatever it holds
+            .withColumn("reason", F.when(F.col("rec_id") <= F.col("header_id"), F.lit(None).cast("string"))
+                        .when(F.col("long_row"), F.lit("row has more cells than the header"))
                         .when(F.col("pos_order_date").isNull(), F.lit("file has no order date column"))
                         .when(F.col("cell_order_date").isNotNull() & F.col("order_ts").isNull(), F.lit("unreadable order date"))
                         .when(F.col("cell_total_paid").isNotNull() & F.col("paid").isNull(), F.lit("unreadable amount"))))
