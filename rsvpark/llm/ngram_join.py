@@ -19,8 +19,7 @@ matches: the pigeonhole.  So
    still possible, outside their component, drop out on the way;
 4. only buckets with several components still matter.  Each set that lacks free
    credits pays for the cheapest buckets (by the sets of other components in
-   them) until it has enough; pairs that come about so under two independent
-   partitions of the universe are verified.
+   them) until it has enough, and is verified against those sets.
 
 Verification counts common shingles exactly.  Equal sets are one set all along,
 and sets of one component are never compared again, so groups of copies cost
@@ -50,8 +49,9 @@ FLUSH = 2_000_000
 FILTER_WORDS = 1 << 17
 NARROW = 1.04                   # ratio of the narrow size bands in which partners are counted
 TURNS = 4                       # rounds of comparisons with centres, at most; what they miss is paid for
-CENTRES = (3, 16)               # centres of a bucket, in the first round and in later ones (few sets are left)
-TRIES = (8, 40)                 # centres a set is compared with in a round
+CENTRES = (3, 6)                # centres of a bucket, in the first round and in later ones (few sets are left)
+KEPT = 2                        # centres a set keeps from a group of buckets
+TRIES = (8, 24)                 # centres a set is compared with in a round
 BLOCK_SHINGLES = 1_000_000      # shingles of the sets that a pass compares with all
 
 _BOUND = [1]
@@ -114,7 +114,7 @@ def shingle_sets(texts, k: int = SHINGLE) -> Sets:
     return Sets(h, np.searchsorted(doc, np.arange(w.n_docs + 1)))
 
 
-def _segments(s: Sets, low: bool, seed: int = 0):
+def _segments(s: Sets, low: bool):
     """Segments of the sets in their own band, or in the band below for those that can link there.
 
     Returns the sets that take part, and per segment: its set, number, size and
@@ -133,7 +133,7 @@ def _segments(s: Sets, low: bool, seed: int = 0):
     h, doc = s.h[use], s.doc[use]
     if not len(h):
         return ok, None
-    salt = SALT[band[doc]] + np.uint64(seed) * _C2
+    salt = SALT[band[doc]]
     seg = (mix(h ^ salt) % m[doc].astype(np.uint64)).astype(np.int64)
     at = base[doc] + seg
     value = mix(h + _C3)
@@ -142,16 +142,16 @@ def _segments(s: Sets, low: bool, seed: int = 0):
     size = np.bincount(at, minlength=base[-1])
     owner = np.repeat(np.arange(len(s.n)), m)
     number = np.arange(base[-1]) - base[owner]
-    key_base = number.astype(np.uint64) * _C1 + SALT[np.maximum(band, 0)][owner] + np.uint64(seed) * _C3
+    key_base = number.astype(np.uint64) * _C1 + SALT[np.maximum(band, 0)][owner]
     deletes = (TOP[np.maximum(band, 0)] <= DELETE_UPTO) & ok
     return ok, (owner, number, size, total, key_base, at, value, deletes)
 
 
-def credits(s: Sets, seed: int = 0):
+def credits(s: Sets):
     """Per set and band (own, below): filled segments, and those of two shingles or more that index deletions; -1 if it takes no part."""
     out = []
     for low in (False, True):
-        ok, g = _segments(s, low, seed)
+        ok, g = _segments(s, low)
         filled, double = np.where(ok, 0, -1), np.where(ok, 0, -1)
         if g is not None:
             owner, _, size, _, _, _, _, deletes = g
@@ -170,11 +170,11 @@ def needed(n, low: bool):
     return most_different(n, TOP[np.maximum(band - 1, 0)]) + 1
 
 
-def entries(s: Sets, parts: int, seed: int = 0):
+def entries(s: Sets, parts: int):
     """Index entries ``(group, key, set)``; a key holds 34 bits of hash, 12 of the segment's number and 2 of the role."""
     got = []
     for low in (False, True):
-        _, g = _segments(s, low, seed)
+        _, g = _segments(s, low)
         if g is None:
             continue
         owner, number, size, total, key_base, at, value, deletes = g
@@ -228,11 +228,11 @@ def _packed(group, key, member, columns):
 class _Packer:
     """Collects entries of sets until there are ``FLUSH``, then gives them as packed rows."""
 
-    def __init__(self, parts, width, seed=0):
-        self.parts, self.width, self.seed, self.rows, self.size, self.sets = parts, width, seed, [], 0, 0
+    def __init__(self, parts, width):
+        self.parts, self.width, self.rows, self.size, self.sets = parts, width, [], 0, 0
 
-    def add(self, s: Sets, columns):
-        g, k, m = entries(s, self.parts, self.seed)
+    def add(self, s: Sets, columns, of=None):
+        g, k, m = of or entries(s, self.parts)
         self.rows.append((g, k, m + self.sets, columns))
         self.sets += len(s.n)
         self.size += len(k)
@@ -360,7 +360,7 @@ def _stars(turn: int):
         order = np.lexsort((-t, pairs[:, 0]))
         pairs, t = pairs[order], t[order]
         start, size = _runs_of(pairs[:, 0])
-        keep = np.arange(len(t)) - np.repeat(start, size) < centres
+        keep = np.arange(len(t)) - np.repeat(start, size) < KEPT
         return pa.table({"a": pa.array(pairs[keep, 1]), "b": pa.array(pairs[keep, 0]), "t": pa.array(t[keep])})
     return run
 
@@ -434,7 +434,63 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def possible(sets: DataFrame) -> DataFrame:
+def _shingle_batches(parts):
+    """The shingles of sets ``(sid, n, h, label)``, packed by hash."""
+    def run(batches):
+        pack = _Packer(parts, 3)
+        for b in batches:
+            s = _sets_in(b)
+            pack.add(s, [b.column(0).to_numpy(), s.n, b.column(3).to_numpy()], ((s.h & np.uint64(0xFFFF)) % np.uint64(parts), s.h >> np.uint64(16), s.doc))
+            if pack.size >= FLUSH:
+                yield from pack.flush()
+        yield from pack.flush()
+    return run
+
+
+def _shared(banded: bool):
+    """Per set (and band of sizes): its shingles of the group that sets of other labels (in that band) have."""
+    def run(key_of, table):
+        key, head = _unpack(table, 3)
+        order = np.argsort(key)
+        key, head = key[order], head[order]
+        start, size = _runs_of(key)
+        label = head[:, 2]
+        lo, hi = (f.reduceat(label, start) if len(start) else label for f in (np.minimum, np.maximum))
+        keep = np.repeat(lo != hi, size)
+        key, head, label = key[keep], head[keep], label[keep]
+        sid, n = head[:, 0], head[:, 1]
+        if not len(key):
+            return pa.schema([(c, pa.int64()) for c in ("sid", "n", "other", "c", "least")]).empty_table()
+        if not banded:
+            ids, at, c = np.unique(sid, return_index=True, return_counts=True)
+            zero = np.zeros(len(ids), np.int64)
+            return pa.table({"sid": ids, "n": n[at], "other": zero, "c": c, "least": zero})
+        band = np.floor(np.log(n) / math.log(NARROW)).astype(np.int64)
+        run_of = np.cumsum(np.concatenate(([True], key[1:] != key[:-1]))) - 1
+        # the bands of every shingle, with the labels and the least size in them
+        order = np.lexsort((band, run_of))
+        r, b = run_of[order], band[order]
+        at = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (b[1:] != b[:-1]))))
+        lo, hi, least = np.minimum.reduceat(label[order], at), np.maximum.reduceat(label[order], at), np.minimum.reduceat(n[order], at)
+        r, b = r[at], b[at]
+        first, count = _runs_of(r)
+        # every entry with every band of its shingle
+        k = count[run_of]
+        e = np.repeat(np.arange(len(key)), k)
+        x = np.repeat(first[run_of], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        reach = math.ceil(math.log(DEN / NUM) / math.log(NARROW)) + 1
+        ok = ((lo[x] != hi[x]) | (lo[x] != label[e])) & (np.abs(b[x] - band[e]) <= reach)
+        e, x = e[ok], x[ok]
+        order = np.lexsort((b[x], sid[e]))
+        e, x = e[order], x[order]
+        at, c = _runs_of(sid[e] * 4099 + b[x])
+        if not len(at):
+            return pa.schema([(c, pa.int64()) for c in ("sid", "n", "other", "c", "least")]).empty_table()
+        return pa.table({"sid": sid[e][at], "n": n[e][at], "other": b[x][at], "c": c, "least": np.minimum.reduceat(least[x], at)})
+    return run
+
+
+def possible(sets: DataFrame, parts: int) -> DataFrame:
     """The rows of ``sets(sid, n, h, label, ...)`` that can still link with a set of another label.
 
     A link with a set of ``k`` shingles has at least ``3 (n + k) / 7`` of them in
@@ -445,24 +501,13 @@ def possible(sets: DataFrame) -> DataFrame:
     """
     left = sets.count()
     while True:
-        shingles = sets.select("sid", "n", "label", F.explode("h").alias("x"))
-        some = shingles.groupBy("x").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("x")
-        some = materialize(some, "ngram-shared")
-        common = shingles.join(some, "x")
-        keep = common.groupBy("sid", "n").agg(F.count("*").alias("c")).where(f"{DEN} * c >= {NUM} * n").select("sid")
-        sets = materialize(sets.join(keep, "sid", "left_semi"), "ngram-possible")
-
-        band = F.floor(F.log("n") / math.log(NARROW)).cast("int")
-        shingles = sets.select("sid", "n", "label", band.alias("band"), F.explode("h").alias("x"))
-        common = shingles.join(some, "x")
-        by_band = (common.groupBy("x", F.col("band").alias("other"))
-                   .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("least")))
-        by_band = materialize(by_band, "ngram-bands")
-        reach = math.ceil(math.log(DEN / NUM) / math.log(NARROW)) + 1
-        met = (shingles.join(by_band, "x").where(f"abs(band - other) <= {reach} and (lo <> hi or lo <> label)")
-               .groupBy("sid", "n", "other").agg(F.count("*").alias("c"), F.min("least").alias("least")))
-        keep = met.where(f"{DEN + NUM} * c >= {NUM} * (n + least)").select("sid").distinct()
-        sets = materialize(sets.join(keep, "sid", "left_semi"), "ngram-possible")
+        for banded in (False, True):
+            packed = sets.select("sid", "n", "h", "label").mapInArrow(_shingle_batches(parts), _PACKED)
+            c = (packed.groupBy("grp").applyInArrow(_shared(banded), "sid long, n long, other long, c long, least long")
+                 .groupBy("sid", "n", "other").agg(F.sum("c").alias("c"), F.min("least").alias("least")))
+            enough = f"{DEN + NUM} * c >= {NUM} * (n + least)" if banded else f"{DEN} * c >= {NUM} * n"
+            keep = materialize(c.where(enough).select("sid").distinct(), "ngram-keep")
+            sets = materialize(sets.join(keep, "sid", "left_semi"), "ngram-possible")
         now = sets.count()
         if now >= 0.9 * left:
             return sets
@@ -486,17 +531,15 @@ def _sets_in(b) -> Sets:
     return Sets(h.flatten().to_numpy().view(np.uint64), (off - off[0]).astype(np.int64))
 
 
-def _credit_batches(seed):
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(x.astype(np.int64)) for x in credits(_sets_in(b), seed)]],
-                                             ["sid", "n", "own", "own2", "low", "low2"])
-    return run
+def _credit_batches(batches):
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(x.astype(np.int64)) for x in credits(_sets_in(b))]],
+                                         ["sid", "n", "own", "own2", "low", "low2"])
 
 
-def _active_batches(parts, seed=0):
+def _active_batches(parts):
     def run(batches):
-        pack = _Packer(parts, 4, seed)
+        pack = _Packer(parts, 4)
         for b in batches:
             s = _sets_in(b)
             pack.add(s, [b.column(0).to_numpy(), s.n, b.column(4).to_numpy(), b.column(3).to_numpy(zero_copy_only=False).astype(np.int64)])
@@ -578,15 +621,15 @@ def _crowded(needs: DataFrame) -> DataFrame:
     return needs.where("own + own2 < need or (low >= 0 and low + low2 < need_low)")
 
 
-def paid_pairs(hashes: DataFrame, packed: DataFrame, parts: int, seed: int) -> DataFrame:
-    """``(a, b)``: what the sets short of credits are compared with under one universe partition.
+def paid_pairs(hashes: DataFrame, packed: DataFrame, parts: int) -> DataFrame:
+    """``(a, b)``: what the sets short of credits are compared with.
 
     Each pays for the cheapest of its buckets that hold sets of other
     components, until its credits suffice.
     """
     price = materialize(packed.groupBy("grp").applyInArrow(_price, "sid long, grp long, key long, low boolean, deletion boolean, cost long"), "ngram-price")
     met = price.groupBy("sid", "low").agg(F.sum(F.expr("if(deletion, 0, 1)")).alias("v0"), F.sum(F.expr("if(deletion, 1, 0)")).alias("v1"))
-    have = _needs(hashes.where("short").select("sid", "n", "h").mapInArrow(_credit_batches(seed), _CREDITS))
+    have = _needs(hashes.where("short").select("sid", "n", "h").mapInArrow(_credit_batches, _CREDITS))
     have = materialize(have, "ngram-credits")
     owns = have.select("sid", F.lit(False).alias("low"), F.col("own").alias("c"), F.col("own2").alias("c2"), "need")
     lows = have.where("low >= 0").select("sid", F.lit(True).alias("low"), F.col("low").alias("c"), F.col("low2").alias("c2"), F.col("need_low").alias("need"))
@@ -638,7 +681,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     active = materialize(active.select("sid", "n", "own", "own2", "low", "low2", "need", "need_low", "short", "partner"), "ngram-active")
     hashes = materialize(_sets_of(d, active.select("sid"), reps).dropDuplicates(["sid"])
                          .join(active.select("sid", "short"), "sid").withColumn("label", F.col("sid")), "ngram-hashes")
-    hashes = possible(hashes)
+    hashes = possible(hashes, parts)
     edges, packed = [], None
     for turn in range(TURNS):
         packed = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
@@ -652,18 +695,13 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             labels = components(_all(edges))
             flagged = (hashes.drop("label").join(labels.withColumnRenamed("id", "sid"), "sid", "left")
                        .withColumn("label", F.coalesce("label", "sid")))
-            hashes = possible(materialize(flagged, "ngram-labelled"))
+            hashes = possible(materialize(flagged, "ngram-labelled"), parts)
             packed = None
         if n < max(20, tried / 100):
             break
     if packed is None:
         packed = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
-    pairs = paid_pairs(hashes, packed, parts, 0)
-    # a link is among the pairs of any universe partition: what a second one does not have is none
-    again = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts, 1), _PACKED), "ngram-buckets")
-    other = paid_pairs(hashes, again, parts, 1)
-    unsure = _crowded(_needs(hashes.select("sid", "n", "h").mapInArrow(_credit_batches(1), _CREDITS))).select(F.col("sid").alias("b"))
-    pairs = pairs.join(other, ["a", "b"], "left_semi").unionByName(pairs.join(unsure, "b", "left_semi").select("a", "b")).distinct()
+    pairs = paid_pairs(hashes, packed, parts)
     edges.append(materialize(verified(pairs, hashes), "ngram-links"))
     more = _crowded_links(d.where("doc_id is not null"), crowded, reps)
     if more is not None:
