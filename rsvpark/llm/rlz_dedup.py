@@ -167,12 +167,15 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     """
     blocks = docs.mapInArrow(_block_batches(window, gram), "doc_id long, th long, lo int, n int, anchor long, content long")
     blocks = materialize(blocks, "rlz-blocks")
+    # the grouped sides are written tables, so that Spark can split the hot keys of the joins
     shared = (blocks.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor"))
+    shared = materialize(shared, "rlz-anchors")
     blocks = materialize(blocks.join(shared, "anchor", "left_semi"), "rlz-shared")
-    firsts = blocks.groupBy("anchor", "content").agg(F.min("doc_id").alias("first"))
+    firsts = materialize(blocks.groupBy("anchor", "content").agg(F.min("doc_id").alias("first")), "rlz-firsts")
     mixed = (firsts.groupBy("anchor").agg(F.min("content").alias("c1"), F.max("content").alias("c2"))
              .select("anchor", (F.col("c1") != F.col("c2")).alias("mixed")))
-    b = blocks.join(firsts, ["anchor", "content"]).join(mixed, "anchor")
+    firsts = firsts.join(mixed, "anchor")
+    b = blocks.join(materialize(firsts, "rlz-contents"), ["anchor", "content"])
     b = materialize(b.select("doc_id", "th", "lo", "n", (F.col("doc_id") > F.col("first")).alias("factor"), "mixed"), "rlz-parse")
     factors = b.where("factor").select("doc_id", "th", "lo", (F.col("lo") + F.col("n") + (window - 1)).cast("int").alias("hi"))
     edges = (b.where("not factor and mixed").groupBy("doc_id", "th")
@@ -182,6 +185,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     singles = materialize(singles, "rlz-windows")
     least = (singles.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
              .where("first < last").select("h", "h2", "first"))
+    least = materialize(least, "rlz-least")
     found = (singles.join(least, ["h", "h2"]).where("doc_id > first")
              .select("doc_id", "th", "lo", (F.col("lo") + window).cast("int").alias("hi")))
     return (factors.unionByName(found).groupBy("doc_id", "th")
