@@ -45,12 +45,12 @@ NUM, DEN = 3, 4                 # similarity 3/4
 SEGMENTS = 0.45                 # segments of a band for each shingle of its largest set
 DELETE_UPTO = 128               # bands up to this size index one-deletion neighbourhoods
 GROUP_ENTRIES = 4_000_000       # index entries of one group of buckets, about
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 FILTER_WORDS = 1 << 17
 NARROW = 1.04                   # ratio of the narrow size bands in which partners are counted
 TURNS = 4                       # rounds of comparisons with centres, at most; what they miss is paid for
 CENTRES = (3, 6)                # centres of a bucket, in the first round and in later ones (few sets are left)
-KEPT = 2                        # centres a set keeps from a group of buckets
+KEPT = 1                        # centres a set keeps from a group of buckets
 TRIES = (8, 24)                 # centres a set is compared with in a round
 BLOCK_SHINGLES = 1_000_000      # shingles of the sets that a pass compares with all
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _B = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_B, -1, 1 << 64)
