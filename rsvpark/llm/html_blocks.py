@@ -1,7 +1,7 @@
 """Main text of web pages: flat text blocks classified by a decision tree.
 
 A page is cut into flat blocks (text between block-level tags; inline tags, scripts,
-styles and comments vanish).  A block is described by its word count and link
+styles, titles and comments vanish; a head need not be closed).  A block is described by its word count and link
 density, those of its neighbours, and what encloses it (element names, and words
 in ``class``, ``id`` and ``role``).  A CART tree, trained on the small labelled
 table below, says which blocks belong to the article.
@@ -18,9 +18,13 @@ from pyspark.sql import DataFrame
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|select|textarea|head|canvas|audio|video|map)\b(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea)\b(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<title\b(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+>.*?(?:</title\s*>|(?=</head\b|<body\b)|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
+#: Elements that vanish with all they hold, if they are closed; of an unclosed one only the tag goes.
+PAIRED = frozenset("noscript template svg math iframe object select canvas audio video map".split())
+_PAIRED = re.compile(rf"<(?:{'|'.join(sorted(PAIRED))})\b", re.I)
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -66,6 +70,22 @@ def _kinds(name: str, attrs: str) -> frozenset:
     return frozenset(got)
 
 
+def _closed(page: str, tags: list) -> dict:
+    """Start of each closed ``PAIRED`` element -> its end; an end tag closes the nearest open element of its name."""
+    ends: dict = {}
+    if _PAIRED.search(page):
+        opened: dict = {}
+        for m in tags:
+            name = m[3] and m[3].lower()
+            if name in PAIRED:
+                if not m[2]:
+                    if name not in ("svg", "math") or not m[4].endswith("/"):
+                        opened.setdefault(name, []).append(m.start())
+                elif opened.get(name):
+                    ends[opened[name].pop()] = m.end()
+    return ends
+
+
 def blocks(page: str | None) -> list[tuple[str, int, frozenset, str]]:
     """``(text, words in links, kinds enclosing it, element)`` of the page's non-empty blocks, in page order."""
     page = page or ""
@@ -95,7 +115,11 @@ def blocks(page: str | None) -> list[tuple[str, int, frozenset, str]]:
         control = False
 
     at = 0
-    for m in _TAG.finditer(page):
+    tags = list(_TAG.finditer(page))
+    ends = _closed(page, tags)
+    for m in tags:
+        if m.start() < at:
+            continue
         if m.start() > at:
             t = page[at:m.start()]
             parts.append(t)
@@ -104,14 +128,16 @@ def blocks(page: str | None) -> list[tuple[str, int, frozenset, str]]:
         at = m.end()
         raw = m[3]
         if raw is None:
-            if m[1] is not None:
-                if m[1].lower() in ("select", "textarea"):
-                    control = True
-                elif m[1].lower() == "head":
-                    flush()
+            if m[1] is not None and m[1].lower() == "textarea":
+                control = True
             continue
         name = raw.lower()
         closing = m[2]
+        if name in PAIRED and not closing:
+            if name == "select":
+                control = True
+            at = ends.get(m.start(), at)
+            continue
         if name in INLINE:
             if name == "a":
                 in_link = 0 if closing else 1

@@ -49,6 +49,21 @@ more words that go on for a while.</p><script>var a = "<p>not text</p>";</script
 <aside class="sidebar"><p>Other stories that you may want to read some other time.</p></aside>
 <footer>&copy; 2024 The page, all rights reserved by someone or other.</footer></body></html>"""
 
+
+def test_open_head_and_unclosed_elements_lose_nothing(tree):
+    want = text_of(PAGE, tree)
+    assert "First paragraph" in want and "Last" in want
+    assert text_of(PAGE.replace("</head>", ""), tree) == want
+    assert text_of(PAGE.replace("</head>", "").replace("<body>", "").replace("</body>", ""), tree) == want
+    assert text_of(PAGE.replace("</title>", "", 1).replace("<style>p{}</style>", ""), tree) == want
+    for name in sorted(H.PAIRED):
+        assert text_of(PAGE.replace("<main>", f"<{name} x='1'><main>"), tree) == want
+        later = f"<footer><{name}>not text</{name}>"
+        assert text_of(PAGE.replace("<main>", f"<{name}><main>").replace("<footer>", later), tree) == want
+        inner = f"<{name}><{name}>not text</{name}> nor this</{name}>"
+        assert text_of(PAGE.replace("<p>Tiny.", f"<p>{inner}Tiny."), tree) == want
+    assert text_of(PAGE.replace("<p>Tiny.", "<p><svg/>Tiny.<svg><path/></svg>"), tree) == want
+
 WANT = ["A short & plain title", "First paragraph with bold, a link and more words that go on for a while.", "Tiny.", "one item", "another item",
         "Last é paragraph — it has a fair number of words as well."]
 
