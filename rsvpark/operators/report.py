@@ -66,13 +66,10 @@ def experience_short(dist: DataFrame, by=BY) -> DataFrame:
     return dist.select(*by, "label", shorten_label("label").alias("short_label"), "n", "pos")
 
 
-def _cap(text: Column, n: int = K.INSIGHT_MAX_CHARS) -> Column:
-    return F.when(F.length(text) < n, text).otherwise(F.concat(F.substring(text, 1, n - 2), F.lit(K.ELLIPSIS)))
-
-
 def insights(peak: DataFrame, roles: DataFrame, by=BY) -> DataFrame:
     """Fixed-wording timeline and role sentences (< 160 characters) that
-    use only the computed numbers."""
+    use only the computed numbers.  A role label that leaves no room for the
+    numbers is cut, never the sentence."""
     top_role = roles.where(F.col("pos") == 1).select(*by, F.col("label").alias("top_role"),
                                                      F.col("n").alias("top_n"))
     j = peak.join(top_role, list(by), "left")
@@ -80,10 +77,12 @@ def insights(peak: DataFrame, roles: DataFrame, by=BY) -> DataFrame:
         F.lit("Registrations peaked on "), F.col("peak_label"), F.lit(" with "), F.col("peak_n").cast("string"),
         F.lit(" sign-ups ("), F.col("peak_pct").cast("string"), F.lit("% of "), F.col("total").cast("string"),
         F.lit(")."))).otherwise(F.lit(""))
-    role = F.when(F.col("top_role").isNotNull(), F.concat(
-        shorten_label("top_role"), F.lit(" is the most picked role ("), F.col("top_n").cast("string"),
-        F.lit(" picks across "), F.col("total").cast("string"), F.lit(" registrations)."))).otherwise(F.lit(""))
-    return j.select(*by, _cap(tl).alias("timeline_insight"), _cap(role).alias("role_insight"))
+    rest = F.concat(F.lit(" is the most picked role ("), F.col("top_n").cast("string"),
+                    F.lit(" picks across "), F.col("total").cast("string"), F.lit(" registrations)."))
+    short, room = shorten_label("top_role"), F.lit(K.INSIGHT_MAX_CHARS - 1) - F.length(rest)
+    fits = F.when(F.length(short) <= room, short).otherwise(F.concat(short.substr(F.lit(1), room - 1), F.lit(K.ELLIPSIS)))
+    role = F.when(F.col("top_role").isNotNull(), F.concat(fits, rest)).otherwise(F.lit(""))
+    return j.select(*by, tl.alias("timeline_insight"), role.alias("role_insight"))
 
 
 def event_stats(kpis: DataFrame, peak: DataFrame, mode: DataFrame, by=BY) -> DataFrame:

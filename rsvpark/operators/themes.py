@@ -31,9 +31,7 @@ G = ["event_id", "key"]
 # Letters/digits runs, and single Han characters (no spaces in Chinese).
 TOKEN_RE = r"(?U)\p{IsHan}|[\p{L}\p{N}]+"
 N_THEMES = 5            # plus one "other" theme for answers sharing no term
-ITERATIONS = 6
-MIN_DF = 2
-MAX_DF_RATIO = 0.8
+MOVE_GAIN = 1e-9        # an answer changes its theme only for a score better by this
 BROADCAST_MAX_ROWS = 2_000_000        # k x kept terms (centroid rows: group, id, term, weight)
 IDF_BROADCAST_MAX_ROWS = 1_000_000    # kept (group, term) rows of the idf table
 QUOTE_BROADCAST_MAX_ROWS = 200_000    # distinct quotes of an audited theme table
@@ -43,7 +41,7 @@ OTHER_TITLE = "Other answers"
 def version() -> str:
     """Short hash of everything a theme depends on beside its answers."""
     import hashlib
-    parts = (TOKEN_RE, N_THEMES, ITERATIONS, MIN_DF, MAX_DF_RATIO, OTHER_TITLE, K.FILLER_ANSWERS, K.FILLER_TRAILING_PUNCT,
+    parts = (TOKEN_RE, N_THEMES, MOVE_GAIN, "log((1+nd)/df)", OTHER_TITLE, K.FILLER_ANSWERS, K.FILLER_TRAILING_PUNCT,
              K.THEME_MAX_TITLE_WORDS, K.THEME_MAX_QUOTES)
     return hashlib.sha1(repr(parts).encode()).hexdigest()[:8]
 
@@ -86,8 +84,8 @@ def _tfidf(answers: DataFrame, prepartitioned: bool = False) -> tuple[DataFrame,
     written; the k-means rounds join and group on it instead of the text
     (and, reading Parquet, never read the text column).
 
-    Terms in fewer than two answers carry no grouping signal and terms in
-    most answers of a large list carry little; both are pruned.
+    Every term is kept, in lists of any size: ``log((1 + answers) / df)`` is
+    above 0, and near 0 for a term that most answers have.
 
     The answers are hash partitioned by (group, answer) once; term counts,
     the idf join (broadcast only while the counted idf table is under
@@ -103,8 +101,7 @@ def _tfidf(answers: DataFrame, prepartitioned: bool = False) -> tuple[DataFrame,
     df = tf.groupBy(*G, "term").agg(F.count(F.lit(1)).alias("df"))
     keep = materialize(
         df.join(nd, G)
-        .where((F.col("df") >= MIN_DF) & ((F.col("nd") < 10) | (F.col("df") <= F.col("nd") * MAX_DF_RATIO)))
-        .select(*G, "term", (F.log((1 + F.col("nd")) / (1 + F.col("df"))) + 1).alias("idf"),
+        .select(*G, "term", F.log((1 + F.col("nd")) / F.col("df")).alias("idf"),
                 F.monotonically_increasing_id().alias("tid")), "idf")
     n_terms = keep.count()
     small = n_terms <= IDF_BROADCAST_MAX_ROWS
@@ -131,8 +128,9 @@ def _seeds(points: DataFrame, k: int) -> DataFrame:
             .agg(F.min_by("row_id", h).alias("row_id")))
 
 
-def _assign(points: DataFrame, cent: DataFrame, broadcast_ok: bool) -> DataFrame:
-    """Best centroid per answer by cosine similarity.
+def _assign(points: DataFrame, cent: DataFrame, broadcast_ok: bool, before: DataFrame | None = None) -> DataFrame:
+    """Best centroid per answer by cosine similarity; an answer leaves its
+    theme of ``before`` only for one that scores ``MOVE_GAIN`` more.
 
     ``points`` is bucketed by answer; with the centroid table broadcast the
     dot products and the arg-max run inside those buckets without a shuffle.
@@ -143,16 +141,25 @@ def _assign(points: DataFrame, cent: DataFrame, broadcast_ok: bool) -> DataFrame
     dots = (points.join(c, G + ["tid"])
             .groupBy(*G, "row_id", "cid").agg(F.sum(F.col("w") * F.col("cw")).alias("dot")))
     s = dots.join(n, G + ["cid"]).select(*G, "row_id", "cid", (F.col("dot") / F.col("cn")).alias("score"))
-    best = s.groupBy(*G, "row_id").agg(F.max(F.struct("score", (-F.col("cid")).alias("neg"))).alias("b"))
+    rank = F.col("score")
+    if before is not None:
+        s = s.join(before.select(*G, "row_id", F.col("cid").alias("own")), G + ["row_id"], "left")
+        rank = rank + F.when(F.col("own") == F.col("cid"), F.lit(MOVE_GAIN)).otherwise(F.lit(0.0))
+    best = s.groupBy(*G, "row_id").agg(F.max(F.struct(rank.alias("rank"), (-F.col("cid")).alias("neg"), "score")).alias("b"))
     return best.select(*G, "row_id", (-F.col("b.neg")).alias("cid"), F.col("b.score").alias("score"))
 
 
-def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
+def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int | None = None,
            vocab: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Spherical k-means for every (event, key) group at once.
 
     Returns ``(assignments(g, row_id, cid, score), centroids(g, cid, tid, cw))``
     (centroids are sums of member vectors; scores divide by their length).
+    Rounds go on until no answer changes its theme; ``iterations`` stops them
+    earlier.  They end: an answer once in a theme stays in one, a change
+    raises the sum of all scores (at most the number of answers) by
+    ``MOVE_GAIN`` or more, far above rounding, and a new centroid never lowers
+    that sum.
     The centroid table has at most k rows per (group, kept term); that bound
     is counted once (or passed in as ``vocab``) and decides between a
     broadcast and a shuffle join.
@@ -164,14 +171,20 @@ def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
     seeds = _seeds(points, k)
     cent = materialize(points.join(seeds, G + ["row_id"]).select(*G, "cid", "tid", F.col("w").alias("cw")),
                        "centroids")
-    for _ in range(iterations):
-        assign = _assign(points, cent, broadcast_ok)
-        # Both sides are bucketed by answer: a hash join inside each bucket
+    before, rounds = None, 0
+    while iterations is None or rounds < iterations:
+        assign = materialize(_assign(points, cent, broadcast_ok, before), "assign")
+        if before is not None:
+            was = before.select(*G, "row_id", F.col("cid").alias("was"))
+            if assign.join(was, G + ["row_id"], "left").where(~F.col("cid").eqNullSafe(F.col("was"))).isEmpty():
+                return assign, cent
+        # Both sides are keyed by answer: a hash join inside each bucket
         # (built on the one-row-per-answer side) avoids sorting every point.
         moved = (points.join(assign.select(*G, "row_id", "cid").hint("shuffle_hash"), G + ["row_id"])
                  .groupBy(*G, "cid", "tid").agg(F.sum("w").alias("cw")))
         cent = materialize(moved, "centroids")
-    return materialize(_assign(points, cent, broadcast_ok), "assign"), cent
+        before, rounds = assign, rounds + 1
+    return materialize(_assign(points, cent, broadcast_ok, before), "assign"), cent
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], payload: list[str], n: int) -> DataFrame:
@@ -191,11 +204,11 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], payload: list[str
     return picked.select(*keys, "rnk", *[F.col(f"s.{p}").alias(p) for p in payload])
 
 
-def themes(answers: DataFrame, k: int = N_THEMES, iterations: int = ITERATIONS,
+def themes(answers: DataFrame, k: int = N_THEMES, iterations: int | None = None,
            prepartitioned: bool = False) -> DataFrame:
     """``themes(event_id, key, theme_id, title, count, quotes)`` for every list.
 
-    Answers that share no kept term with any centroid form the "other" theme,
+    Answers that share no term with any centroid form the "other" theme,
     so counts add up to the genuine answers of the list.
     """
     points, n_terms, vocab = _tfidf(answers, prepartitioned)

@@ -253,3 +253,50 @@ def test_work_scope_removes_work_tables(spark, answers):
         assert not p.getFileSystem(conf).exists(p), path
     names = {t.name for t in spark.catalog.listTables()}
     assert not names & {t for _, t in created if t}
+
+
+def _answers(spark, texts, event="e"):
+    return spark.createDataFrame([(event, "speaker_q", i, t) for i, t in enumerate(texts)],
+                                 "event_id string, key string, row_id long, answer string")
+
+
+def test_every_term_counts_in_lists_of_any_size(spark):
+    for n in (1, 9, 10, 30):
+        points = themes.tfidf(_answers(spark, [f"common solo{i}" for i in range(n)]))[0].collect()
+        assert len(points) == 2 * n and all(p.w > 0 for p in points)
+
+
+def test_rounds_end_where_no_answer_moves(spark):
+    import random
+    rng = random.Random(8)
+    texts = [" ".join(f"w{min(39, int(rng.expovariate(0.08)))}" for _ in range(6)) for _ in range(150)]
+    points, n = themes.tfidf(_answers(spark, texts))
+    assign, cent = themes.kmeans(points, 5, None, n)
+    got = {r.row_id: r for r in assign.collect()}
+    c = {}
+    for r in cent.collect():
+        c.setdefault(r.cid, {})[r.tid] = r.cw
+    vec = {}
+    for p in points.collect():
+        vec.setdefault(p.row_id, {})[p.tid] = p.w
+    want = {}
+    for row, r in got.items():
+        for t, w in vec[row].items():
+            want.setdefault(r.cid, {}).setdefault(t, 0.0)
+            want[r.cid][t] += w
+    assert {k: set(v) for k, v in c.items()} == {k: set(v) for k, v in want.items()}
+    assert all(abs(c[k][t] - want[k][t]) < 1e-9 for k in c for t in c[k])
+    for row, r in got.items():
+        for x in c.values():
+            score = sum(w * x.get(t, 0.0) for t, w in vec[row].items()) / sum(v * v for v in x.values()) ** 0.5
+            assert score <= r.score + 2 * themes.MOVE_GAIN
+
+
+def test_a_long_role_label_leaves_the_numbers(spark):
+    from rsvpark.operators import report
+    peak = spark.createDataFrame([("e", None, None, None, None, 7), ("f", None, None, None, None, 7)],
+                                 "event_id string, peak_day date, peak_label string, peak_n long, peak_pct long, total long")
+    roles = spark.createDataFrame([("e", "x" * 300, 3, 1), ("f", "Teacher", 3, 1)], "event_id string, label string, n long, pos int")
+    got = {r.event_id: r.role_insight for r in report.insights(peak, roles).collect()}
+    end = " is the most picked role (3 picks across 7 registrations)."
+    assert got["e"].endswith("x\u2026" + end) and len(got["e"]) == 159 and got["f"] == "Teacher" + end
