@@ -1,13 +1,13 @@
-"""Substring dedup by relative Lempel-Ziv parsing against indexed reference blocks.
+"""Substring dedup by equality with indexed reference blocks, in place of a greedy relative Lempel-Ziv parse.
 
 Every document is cut into reference blocks at content-defined points: the
 10-word gram with the smallest hash among those of a 50-word window anchors the
 window, and neighbouring windows with the same anchor form one block, so equal
-windows of any two documents lie in blocks with equal anchors.  A document is
-parsed greedily against the blocks of all documents: a block whose whole
+windows of any two documents lie in blocks with equal anchors.  There is no
+greedy parse, and no factor extends past a block: a block whose whole
 content occurs in a document with a smaller id is a factor, and its windows are
 duplicates at once.  A block that shares its anchor but not its content ends or
-begins a factor somewhere inside; there, at factor boundaries, every window is
+begins a repeat somewhere inside; there every window is
 looked up among the windows of the first document of each such block.
 
 One row per block (about one for 21 words) is shuffled, then single windows
