@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import threading
@@ -105,8 +106,47 @@ def materialize(df, tag: str = "work"):
     spark = df.sparkSession
     path = shared_path(spark, "rsvpark-work", f"{tag}-{uuid.uuid4().hex}")
     _note(path=path)
+    _keep(spark, path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._rsvpark_work = path
+    return out
+
+
+#: Work tables of this driver that nobody has released yet; they go when the driver ends.
+_KEPT: dict[str, SparkSession] = {}
+
+
+def _keep(spark: SparkSession, path: str) -> None:
+    if not _KEPT:
+        atexit.register(_drop_kept)
+    _KEPT[path] = spark
+
+
+def _drop_kept() -> None:
+    for path, spark in list(_KEPT.items()):
+        _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    _KEPT.pop(path, None)
+    try:
+        if has_jvm(spark):
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001  (best effort: a leftover folder is harmless)
+        pass
+
+
+def release(*tables) -> None:
+    """Remove tables that ``materialize`` wrote, as soon as nothing reads them any more.
+
+    Only the frames it returned count; anything else (None too) is left alone.
+    """
+    for df in tables:
+        path = getattr(df, "_rsvpark_work", None)
+        if path and path in _KEPT:
+            _remove(df.sparkSession, path)
 
 
 def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None, prepartitioned: bool = False):
@@ -163,9 +203,6 @@ def work_scope(spark: SparkSession):
             try:
                 if table:
                     spark.sql(f"DROP TABLE IF EXISTS {table}")
-                if has_jvm(spark):
-                    jvm = spark._jvm
-                    p = jvm.org.apache.hadoop.fs.Path(path)
-                    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+                _remove(spark, path)
             except Exception:  # noqa: BLE001  (best effort: a leftover folder is harmless)
                 pass
