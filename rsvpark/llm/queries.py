@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, ngram_join, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
+from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, ngram_join, prefix_trie, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
 
 
 @register("op2_repetition")
@@ -76,3 +76,8 @@ def op4_lsa_decontam(spark, sf_dir):
 @register("op1_ngram_join")
 def op1_ngram_join(spark, sf_dir):
     return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@register("op11_prefix_trie", prefix_trie.oracle_sql())
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -112,3 +113,32 @@ def auc(score, label):
     pos = [i for i in range(len(score)) if label[i]]
     neg = len(score) - len(pos)
     return (sum(rank[i] for i in pos) - len(pos) * (len(pos) - 1) / 2) / (len(pos) * neg)
+
+
+def prefix_trie(rows):
+    """(conv_id, depth) -> (parent, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of rows (conv_id, turn, role, text)."""
+    convs = collections.defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs[c].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [t[2:] for t in sorted(v)] for c, v in convs.items()}
+    again = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        head = c - (abs(c) % 100 if c >= 0 else -(abs(c) % 100))
+        again[c] = tuple(turns.get(head, [])[:h] + own[h:])
+    members = collections.defaultdict(list)
+    for c, t in again.items():
+        for d in range(len(t) + 1):
+            members[t[:d]].append(c)
+    kids = collections.Counter(k[:-1] for k in members if k)
+    leaves, saved = collections.Counter(), collections.Counter()
+    for k, m in members.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += k not in kids
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1]) if k else 0
+    out = {}
+    for k, m in members.items():
+        ends = ",".join(map(str, sorted(c for c in m if len(again[c]) == len(k))))
+        out[min(m), len(k)] = (min(members[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k], hashlib.sha256(ends.encode()).hexdigest())
+    return out
