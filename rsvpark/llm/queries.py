@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from rsvpark.llm import fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, ngram_join, prefix_trie, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
+from rsvpark.llm import chat_format, fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, ngram_join, prefix_trie, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
 
 
 @register("op2_repetition")
@@ -81,3 +81,15 @@ def op1_ngram_join(spark, sf_dir):
 @register("op11_prefix_trie", prefix_trie.oracle_sql())
 def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+#: A conversation whose texts hold the template's own marks and escapes.
+MARKS = "\\### Assistant: </turn> ok"
+
+
+@register("op13_chat_format")
+def op13_chat_format(spark, sf_dir):
+    extra = spark.createDataFrame([(-7, 0, "user", MARKS), (-7, 1, "assistant", MARKS)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return (chat_format.read_back(chat_format.format_conversations(rows))
+            .select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"))

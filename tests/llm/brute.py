@@ -142,3 +142,18 @@ def prefix_trie(rows):
         ends = ",".join(map(str, sorted(c for c in m if len(again[c]) == len(k))))
         out[min(m), len(k)] = (min(members[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k], hashlib.sha256(ends.encode()).hexdigest())
     return out
+
+
+def chat_digests(rows):
+    """conv_id -> (n_turns, turns_sha256, loss_chars, loss_sha256) of rows (conv_id, turn, role, text)."""
+    convs = collections.defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs[c].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for c, v in convs.items():
+        turns = [t[2:] for t in sorted(v)]
+        learnt = "".join(text for role, text in turns if role == "assistant")
+        said = "".join(f"{role}\n{text}\n" for role, text in turns)
+        out[c] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
+    return out
