@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from rsvpark.llm import chat_format, fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, ngram_join, prefix_trie, repetition, rff_quality, rlz_dedup, warc  # noqa: E402
+from rsvpark.llm import chat_format, fm_toxicity, html_blocks, lookup_shards, lsa_decontam, mix_schedule, ngram_join, prefix_trie, repetition, rff_quality, rlz_dedup, token_align, warc  # noqa: E402
 
 
 @register("op2_repetition")
@@ -93,3 +93,8 @@ def op13_chat_format(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return (chat_format.read_back(chat_format.format_conversations(rows))
             .select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"))
+
+
+@register("op12_token_align")
+def op12_token_align(spark, sf_dir):
+    return token_align.align(table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -157,3 +158,34 @@ def chat_digests(rows):
         said = "".join(f"{role}\n{text}\n" for role, text in turns)
         out[c] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
     return out
+
+
+def align(a, b):
+    """Cuts and links of two token lists ``[(id, bytes)]`` that spell the same bytes: (groups string, [(i, j)])."""
+    ends = [list(itertools.accumulate(len(t[1]) for t in x)) for x in (a, b)]
+    starts = [[0, *e[:-1]] for e in ends]
+    links = [(i, j) for i in range(len(a)) for j in range(len(b)) if max(starts[0][i], starts[1][j]) < min(ends[0][i], ends[1][j])]
+    groups, i, j = [], 0, 0
+    for cut in sorted(set(ends[0]) & set(ends[1])):
+        p, q = ends[0].index(cut) + 1, ends[1].index(cut) + 1
+        groups.append(",".join(str(t[0]) for t in a[i:p]) + "|" + ",".join(str(t[0]) for t in b[j:q]))
+        i, j = p, q
+    return ";".join(groups), links
+
+
+def token_alignment(docs, encode_a, encode_b):
+    """Rows (doc_id, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum) of ``[(doc_id, text)]``; encoders give ``[(id, bytes)]``."""
+    found = []
+    for i, text in docs:
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        want = (" " + (text or "")).encode()
+        if not text or b"".join(t[1] for t in a) != want or b"".join(t[1] for t in b) != want:
+            a, b = [], []
+        groups, links = align(a, b)
+        found.append((i, a, b, groups, [(a[x][0], b[y][0]) for x, y in links]))
+    count = collections.Counter(p for f in found for p in f[4])
+    most = collections.Counter()
+    for (_, y), n in count.items():
+        most[y] = max(most[y], n)
+    return [(i, len(a), len(b), groups.count("|"), len(links), hashlib.sha256(groups.encode()).hexdigest() if groups else "",
+             sum(count[p] == most[p[1]] for p in links), sum(count[p] for p in links)) for i, a, b, groups, links in found]
