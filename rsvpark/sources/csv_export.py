@@ -3,26 +3,29 @@
 
 Plan (whatever the number of files or layouts):
 
-1. ``scan_widths`` parses every file once for two numbers: the id of each
-   file's first record (a grouped ``min`` of a long) and the number of cells of
-   the widest record of all.  ``multiLine`` CSV is not splittable, so a file is
-   read in order inside one task and ``monotonically_increasing_id`` follows
-   the file order.  The widest record sets the positional all-string schema
-   ``c0 .. c{width-1}`` of the second read: no cell is past its end.
-2. The header record of a file is the record with that first id (a join on
-   the path; only then are its cells made an array), landed as one row per file.
-3. ``column_map`` finds each logical key's header with a theta join of the
+1. ``scan_files`` parses every file once.  ``multiLine`` CSV is not splittable,
+   so a file is read in order inside one task and its first record is its
+   header: a streaming pass gives one row per file with the header record's text
+   and id and an upper bound of the cells of its widest record.  Header cells
+   are cut from that text (``from_csv``), so headers need no further read.
+2. ``column_map`` finds each logical key's header with a theta join of the
    header cells against the fixed hint table (broadcast: about twenty rows),
    then the least ``(hint_ord, pos)``: first hint, then first column.  An
    override wins if the file has that header; overrides that name no header of
    a file are reported and detection stands.
-4. One layout row per file (header record id, width, position of each key)
-   is joined back to the records.  Cells are picked by position; a record with
-   a non-empty cell past its file's header width is a long row.
+3. One layout row per file (header record id, width, position of each key)
+   is joined to the records of a second parse, whose positional all-string
+   schema has room for the widest record and one cell more.  The nine cells
+   are landed as Parquet: whatever reads the registrations reads that.  A record
+   with a non-empty cell past its file's header width is a long row.
+4. Dates are read per file.  A cell votes, with a bit for each order of day and
+   month that reads it; the bits common to all cells of a file (``bit_and``) say
+   which one the file means, month first if both do.  Zones are kept.
 5. Cells equal to a missing-value token become null; dates and money are
-   parsed strictly.  What cannot be read (long rows, dates, money, files
-   without an order date) fails the read, or with ``quarantine`` goes to a
-   table with the reason and the cells, never to a null or nowhere.
+   parsed strictly.  What cannot be read (long rows, dates, files whose dates
+   fit no one order, money, files without an order date) fails the read, or with
+   ``quarantine`` goes to a table with the reason and the cells, never to a null
+   or nowhere.
 
 A file's header width is its last non-empty header cell: the reader cannot
 tell an empty trailing header cell from a missing one, so a value under an
@@ -32,8 +35,12 @@ comma) are not long rows.
 
 from __future__ import annotations
 
-from typing import NamedTuple
+import functools
+from collections.abc import Callable
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,20 +111,58 @@ def _reader(spark: SparkSession, schema: T.StructType):
             .option("mode", "PERMISSIVE").option("enforceSchema", True).option("maxColumns", MAX_CELLS))
 
 
-def scan_widths(spark: SparkSession, files: list[str]) -> DataFrame:
-    """``(file_path, header_id, widest)`` per file with a record.
+def cell_bound(raw: Column) -> Column:
+    """No fewer than the cells of a record's text: one more than the commas outside quoted cells.
 
-    A record of more than one cell comes with its raw text; its cells are one
-    more than the commas outside quotes.
+    A quote opens a cell only at its start; inside, doubled quotes are text.  With every pair of
+    quotes made one mark from left to right, an opening run is marks and one quote, and the next
+    single quote closes the cell.  Quotes anywhere else are text, and so are commas after them.
+    """
+    paired = F.replace(raw, F.lit('""'), F.lit("\ue000"))
+    bare = F.regexp_replace(paired, '(^[\\r\\n]*+|,)\ue000*+"[^"]*+("|\\z)', "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+_SCAN = "file_path string, header_id long, widest int, first_cell string, first_text string"
+
+
+def _first_records(batches):
+    """Records in file order to one row per file; a header's text is all that is held."""
+    path, row = None, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        of = b.column(0).dictionary_encode().indices.to_numpy()
+        cells = b.column(2).to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        for at, most in zip(starts.tolist(), np.maximum.reduceat(cells, starts).tolist()):
+            name = b.column(0)[at].as_py()
+            if name == path:
+                row[2] = max(row[2], most)
+                continue
+            if row:
+                yield _scan_row(row)
+            path, row = name, [name, b.column(1)[at].as_py(), most, b.column(3)[at].as_py(), b.column(4)[at].as_py()]
+    if row:
+        yield _scan_row(row)
+
+
+def _scan_row(row) -> pa.RecordBatch:
+    types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=[f.split()[0] for f in _SCAN.split(", ")])
+
+
+def scan_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """One row per file with a record: ``file_path, header_id, widest, first_cell, first_text``.
+
+    A record of more than one cell comes with its raw text (``first_text``); a record of one has only the cell.
     """
     schema = T.StructType([T.StructField("c0", T.StringType()), T.StructField(_RAW, T.StringType())])
-    raw = (_reader(spark, schema).option("columnNameOfCorruptRecord", _RAW).csv([_escape_glob(f) for f in files])
-           .select("c0", _RAW, F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("rec_id")))
-    bare = F.regexp_replace(_RAW, r'"[^"]*+"', "")      # a doubled quote is the end of one part and the start of the next
-    cells = F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1, F.lit(1))
+    raw = _reader(spark, schema).option("columnNameOfCorruptRecord", _RAW).csv([_escape_glob(f) for f in files])
     # the parser only gives the raw text beside a cell that is asked for too
-    return raw.groupBy("file_path").agg(F.min("rec_id").alias("header_id"), F.max(cells).alias("widest"),
-                                        F.max(F.length("c0")).alias("longest_first"))
+    return (raw.select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("header_id"),
+                       F.coalesce(cell_bound(F.col(_RAW)), F.lit(1)).cast("int").alias("widest"), "c0", _RAW)
+            .mapInArrow(_first_records, _SCAN))
 
 
 def raw_records(spark: SparkSession, files: list[str], width: int) -> DataFrame:
@@ -131,10 +176,14 @@ def raw_records(spark: SparkSession, files: list[str], width: int) -> DataFrame:
     return raw.select(F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("rec_id"), cells.alias("cells"))
 
 
-def header_records(raw: DataFrame, widths: DataFrame) -> DataFrame:
-    """``(file_path, rec_id, cells)``: the first record of each file."""
-    return (raw.join(widths.select("file_path", "header_id"), "file_path").where("rec_id = header_id")
-            .select("file_path", "rec_id", "cells"))
+def header_records(scan: DataFrame, width: int) -> DataFrame:
+    """``(file_path, rec_id, cells)``: the first record of each file, cut into cells."""
+    names = [f"c{i}" for i in range(width)]
+    text = F.regexp_replace("first_text", r"^[\r\n]+", "")
+    cut = F.from_csv(text, ", ".join(f"{n} string" for n in names), {"escape": '"', "mode": "PERMISSIVE", "maxColumns": str(MAX_CELLS)})
+    cells = F.when(F.col("first_text").isNull(), F.array("first_cell")).otherwise(F.array(*[F.col("cut")[n] for n in names]))
+    # exploding an array of one keeps the text cut once, not once per cell
+    return scan.withColumn("cut", F.explode(F.array(cut))).select("file_path", F.col("header_id").alias("rec_id"), cells.alias("cells"))
 
 
 def read_headers(first: DataFrame) -> DataFrame:
@@ -208,17 +257,22 @@ def _escape_glob(path: str) -> str:
 # optional dollar sign, and no currency but that of the report.
 MONEY_RE = r"^\s*(?:AUD\s*)?\$?\s*(-?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?|-?\.\d+)\s*(?:AUD)?\s*$"
 _TIME = r"( \d{1,2}:\d{2}(:\d{2})?)?$"
-# Date forms beside the ISO one: what a text must look like, and its pattern.
+_CLOCK = "[ H:mm[:ss]]"
+# Date forms beside the ISO one that read a text in one way only: what it must look like, and its pattern.
 DATE_FORMS = [
-    (r"^\d{4}/\d{1,2}/\d{1,2}" + _TIME, "yyyy/M/d[ H:mm[:ss]]"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}" + _TIME, "M/d/yyyy[ H:mm[:ss]]"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AP]M$", "M/d/yyyy h:mm a"),
-    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}" + _TIME, "MMM d, yyyy[ H:mm[:ss]]"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}" + _TIME, "yyyy/M/d" + _CLOCK),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}" + _TIME, "MMM d, yyyy" + _CLOCK),
     (r"^[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d{2} [AP]M$", "MMM d, yyyy h:mm a"),
-    (r"^[A-Z][a-z]{3,} \d{1,2}, \d{4}" + _TIME, "MMMM d, yyyy[ H:mm[:ss]]"),
-    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}" + _TIME, "d MMM yyyy[ H:mm[:ss]]"),
-    (r"^\d{1,2} [A-Z][a-z]{3,} \d{4}" + _TIME, "d MMMM yyyy[ H:mm[:ss]]"),
+    (r"^[A-Z][a-z]{3,} \d{1,2}, \d{4}" + _TIME, "MMMM d, yyyy" + _CLOCK),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}" + _TIME, "d MMM yyyy" + _CLOCK),
+    (r"^\d{1,2} [A-Z][a-z]{3,} \d{4}" + _TIME, "d MMMM yyyy" + _CLOCK),
 ]
+# Numbers whose order a single cell may leave open: its bit, the date pattern; the first common to a file counts.
+ORDERS = [(1, "M/d/yyyy"), (2, "d/M/yyyy")]
+ANY_ORDER = sum(bit for bit, _ in ORDERS)
+_NUMERIC = r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}"
+_ISO = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?)?)?$"
+_ZONE = r"(?<=:\d{2}|\.\d{1,9}|[AP]M)\s*(Z|UTC|GMT|[A-Z][A-Za-z]+/[A-Za-z_]+|[+-]\d{2}(:?\d{2})?)$"
 
 
 def parse_money(c: Column) -> Column:
@@ -227,11 +281,47 @@ def parse_money(c: Column) -> Column:
     return F.when(c.rlike(MONEY_RE), digits.try_cast("decimal(18,2)"))
 
 
-def parse_time(c: Column) -> Column:
-    """Timestamp of the ISO form or of one of ``DATE_FORMS``, or null."""
-    t = F.trim(c)
-    return F.coalesce(t.try_cast("timestamp_ntz"),
-                      *[F.when(t.rlike(look), F.try_to_timestamp(t, F.lit(form))).cast("timestamp_ntz") for look, form in DATE_FORMS])
+def zone_of(c: Column) -> Column:
+    """The zone written after a time of day, or null."""
+    z = F.regexp_extract(F.trim(c), _ZONE, 1)
+    return F.when(z != "", z)
+
+
+def _clock(c: Column) -> Column:
+    """A date text without its zone: the time on the writer's clock, whose day is the one counted."""
+    return F.regexp_replace(F.trim(c), _ZONE, "")
+
+
+def _numeric(t: Column, date: str) -> Column:
+    """Timestamp of a numeric date in the given order, or null."""
+    t = F.regexp_replace(t, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$1/$2/$3")
+    return F.coalesce(F.when(t.rlike(r"^[\d/]+" + _TIME), F.try_to_timestamp(t, F.lit(date + _CLOCK))),
+                      F.when(t.rlike(r"^[\d/]+ \d{1,2}:\d{2} [AP]M$"), F.try_to_timestamp(t, F.lit(date + " h:mm a")))).cast("timestamp_ntz")
+
+
+def order_votes(c: Column) -> Column:
+    """The orders of day and month that read a numeric date, as bits; null for other texts."""
+    t = _clock(c)
+    bits = F.lit(0)
+    for bit, date in ORDERS:
+        bits = bits + F.when(_numeric(t, date).isNotNull(), bit).otherwise(0)
+    return F.when(t.rlike(_NUMERIC), bits)
+
+
+def parse_time(c: Column, order: Column | None = None) -> Column:
+    """Timestamp of the ISO form, of one of ``DATE_FORMS``, or of a numeric date in the file's
+    ``order`` (a bit of ``ORDERS``; month first without one), or null."""
+    t = _clock(c)
+    order = F.lit(ORDERS[0][0]) if order is None else order
+    return F.coalesce(F.when(t.rlike(_ISO), t.try_cast("timestamp_ntz")),
+                      *[F.when(t.rlike(look), F.try_to_timestamp(t, F.lit(form))).cast("timestamp_ntz") for look, form in DATE_FORMS],
+                      *[F.when(t.rlike(_NUMERIC) & (order == bit), _numeric(t, date)) for bit, date in ORDERS])
+
+
+def file_orders(cells: DataFrame) -> DataFrame:
+    """``(file_path, date_votes)``: the orders that read every numeric date of a file that any order reads; 0 where none does."""
+    votes = cells.select("file_path", order_votes(F.col("cell_order_date")).alias("v"))
+    return votes.where("v > 0").groupBy("file_path").agg(F.bit_and("v").alias("date_votes"))
 
 
 def layouts(first: DataFrame, headers: DataFrame, cmap: DataFrame) -> DataFrame:
@@ -244,25 +334,39 @@ def layouts(first: DataFrame, headers: DataFrame, cmap: DataFrame) -> DataFrame:
             .fillna({"width": 0}))
 
 
-class Exports(NamedTuple):
+@dataclass
+class Exports:
     """What a read of exports gives.
 
-    ``registrations`` carry ``source_file`` and ``has_<key>`` flags (an absent
-    column is not the same as an all-null one: see ticket types and attending);
-    ``quarantine(event_id, source_file, row_id, reason, cells)`` holds what
-    could not be read (empty unless asked for).
+    ``registrations`` carry ``source_file``, ``has_<key>`` flags (an absent
+    column is not the same as an all-null one: see ticket types and attending)
+    and the ``order_zone`` written with a date; ``quarantine(event_id,
+    source_file, row_id, reason, cells, date_votes)`` holds what could not be
+    read (empty unless asked for).  Records are parsed and landed when either is
+    first asked for; headers alone need no such parse.
     """
 
-    registrations: DataFrame
+    read: Callable[[], tuple[DataFrame, DataFrame]]
     column_map: DataFrame
     missing: DataFrame
-    quarantine: DataFrame
     wrong_overrides: DataFrame
     files: DataFrame
 
+    @functools.cached_property
+    def _read(self) -> tuple[DataFrame, DataFrame]:
+        return self.read()
+
+    @property
+    def registrations(self) -> DataFrame:
+        return self._read[0]
 
-def _joined(raw: DataFrame, layout: DataFrame, width: int) -> DataFrame:
-    """Data records with the layout of their file and what is wrong with them."""
+    @property
+    def quarantine(self) -> DataFrame:
+        return self._read[1]
+
+
+def landed_cells(raw: DataFrame, layout: DataFrame, width: int, keep_cells: bool) -> DataFrame:
+    """Data records with the cells of their file's keys."""
     # the layout is a written table of one row per file: Spark broadcasts it by its size in bytes, or shuffles
     j = raw.join(layout, "file_path").where(F.col("rec_id") > F.col("header_id"))
     cells = F.col("cells")
@@ -271,25 +375,36 @@ def _joined(raw: DataFrame, layout: DataFrame, width: int) -> DataFrame:
     def cell(key: str) -> Column:
         return na_null(F.element_at(cells, F.col(f"pos_{key}") + 1))
 
-    return (j.withColumn("long_row", F.exists(past_header, lambda x: x.isNotNull()))
-            .withColumns({f"cell_{k}": cell(k) for k in K.KEYS})
-            .withColumn("order_ts", parse_time(F.col("cell_order_date")))
+    long_row = F.exists(past_header, lambda x: x.isNotNull())
+    # all cells of a record are kept only where it may have to be shown
+    return j.select("file_path", "rec_id", *[F.col(f"pos_{k}").isNotNull().alias(f"has_{k}") for k in K.KEYS],
+                    long_row.alias("long_row"), *[cell(k).alias(f"cell_{k}") for k in K.KEYS],
+                    F.when(long_row | F.col("pos_order_date").isNull() | F.lit(keep_cells), cells).alias("cells"))
+
+
+def _judged(landed: DataFrame, orders: DataFrame) -> DataFrame:
+    """Landed records with dates, money and what is wrong with them."""
+    votes = F.coalesce("date_votes", F.lit(ANY_ORDER))
+    order = F.element_at(F.array(*[F.lit(bit) for bit, _ in ORDERS]), F.greatest(F.array_position(
+        F.array(*[votes.bitwiseAND(F.lit(bit)) > 0 for bit, _ in ORDERS]), True), F.lit(1)).cast("int"))
+    date, numeric = F.col("cell_order_date"), _clock(F.col("cell_order_date")).rlike(_NUMERIC)
+    return (landed.join(orders, "file_path", "left")
+            .withColumn("order_ts", parse_time(date, order)).withColumn("order_zone", zone_of(date))
             .withColumn("paid", parse_money(F.col("cell_total_paid")))
-            # Spark may test conditions in any order: the header record has no reason whatever it holds
-            .withColumn("reason", F.when(F.col("rec_id") <= F.col("header_id"), F.lit(None).cast("string"))
-                        .when(F.col("long_row"), F.lit("row has more cells than the header"))
-                        .when(F.col("pos_order_date").isNull(), F.lit("file has no order date column"))
-                        .when(F.col("cell_order_date").isNotNull() & F.col("order_ts").isNull(), F.lit("unreadable order date"))
+            .withColumn("reason", F.when(F.col("long_row"), F.lit("row has more cells than the header"))
+                        .when(~F.col("has_order_date"), F.lit("file has no order date column"))
+                        .when(numeric & (votes == 0), F.lit("the file's dates fit no one order of day and month"))
+                        .when(date.isNotNull() & F.col("order_ts").isNull(), F.lit("unreadable order date"))
                         .when(F.col("cell_total_paid").isNotNull() & F.col("paid").isNull(), F.lit("unreadable amount"))))
 
 
-def records(raw: DataFrame, layout: DataFrame, width: int, on_bad: str = "fail", key=event_key) -> tuple[DataFrame, DataFrame]:
+def records(landed: DataFrame, orders: DataFrame, on_bad: str = "fail", key=event_key) -> tuple[DataFrame, DataFrame]:
     """Data records in the registrations schema, and the quarantined ones.
 
     ``on_bad``: ``fail`` raises on the first unreadable record, ``quarantine``
     sets it aside with the reason.
     """
-    j = _joined(raw, layout, width)
+    j = _judged(landed, orders)
     bad = j.where(F.col("reason").isNotNull())
     if on_bad == "fail":
         # A filter (not a projection) so column pruning cannot drop the check.
@@ -303,10 +418,10 @@ def records(raw: DataFrame, layout: DataFrame, width: int, on_bad: str = "fail",
         F.col("cell_attendee_status").alias("attendee_status"), F.col("cell_ticket_type").alias("ticket_type"),
         F.col("paid").alias("total_paid"),
         *[F.col(f"cell_{k}").alias(k) for k in ("role", "experience", "session_goals", "speaker_q", "future_topics")],
-        F.col("file_path").alias("source_file"), *[F.col(f"pos_{k}").isNotNull().alias(f"has_{k}") for k in K.KEYS])
+        F.col("file_path").alias("source_file"), *HAS_COLUMNS, "order_zone")
     held = bad.select(key("file_path").alias("event_id"), F.col("file_path").alias("source_file"),
-                      F.col("rec_id").alias("row_id"), "reason", "cells")
-    return out.select(*REG_COLUMNS, "source_file", *HAS_COLUMNS), held
+                      F.col("rec_id").alias("row_id"), "reason", "cells", "date_votes")
+    return out.select(*REG_COLUMNS, "source_file", *HAS_COLUMNS, "order_zone"), held
 
 
 def load_exports(spark: SparkSession, path: str | list[str], overrides: dict[str, str] | None = None,
@@ -318,21 +433,26 @@ def load_exports(spark: SparkSession, path: str | list[str], overrides: dict[str
     files = sorted(path) if isinstance(path, list) else list_csv_files(spark, path)
     if not files:
         raise FileNotFoundError(path)
-    widths = materialize(scan_widths(spark, files), "csv-widths")     # one row per file
-    named = widths.select(key("file_path").alias("event_id"), F.col("file_path").alias("source_file"))
+    scan = materialize(scan_files(spark, files), "csv-scan")     # one row per file
+    named = scan.select(key("file_path").alias("event_id"), F.col("file_path").alias("source_file"))
     check_collisions(named)
-    width = int(widths.agg(F.max("widest")).first()[0] or 1)
-    raw = raw_records(spark, files, width)
-    first = materialize(header_records(raw, widths), "csv-headers")     # one row per file
-    headers = read_headers(first)
+    width = int(scan.agg(F.max("widest")).first()[0] or 1) + 1
+    first = header_records(scan, width)
+    headers = materialize(read_headers(first), "csv-headers")
     cmap = materialize(column_map(headers, overrides), "csv-map")
     if on_bad == "fail":
         dated = cmap.where(F.col("key") == "order_date").select("file_path").distinct().count()
         if dated < len(files):
             raise ValueError("no order date column: add an override for 'order_date'")
     layout = materialize(layouts(first, headers, cmap), "csv-layouts")
-    regs, held = records(raw, layout, width, on_bad, key)
-    return Exports(regs, cmap, missing_keys(headers, cmap), held, wrong_overrides(headers, overrides), named)
+    return Exports(lambda: _rows(spark, files, layout, width, on_bad, key), cmap, missing_keys(headers, cmap),
+                   wrong_overrides(headers, overrides), named)
+
+
+def _rows(spark: SparkSession, files: list[str], layout: DataFrame, width: int, on_bad: str, key) -> tuple[DataFrame, DataFrame]:
+    raw = raw_records(spark, files, width)
+    landed = materialize(landed_cells(raw, layout, width, on_bad == "quarantine"), "csv-cells")
+    return records(landed, materialize(file_orders(landed), "csv-orders"), on_bad, key)
 
 
 def read_exports(spark: SparkSession, path: str | list[str], overrides: dict[str, str] | None = None,

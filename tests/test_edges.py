@@ -245,5 +245,5 @@ def test_a_file_without_order_date_is_set_aside(spark, workdir):
 def test_headers_are_found_without_sorting_records(spark, workdir):
     from rsvpark.sources import csv_export as C
     write_csv(workdir, "e.csv", TRAP_HEADER, TRAP_ROWS)
-    plan = C.scan_widths(spark, C.list_csv_files(spark, workdir))._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    plan = C.scan_files(spark, C.list_csv_files(spark, workdir))._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
