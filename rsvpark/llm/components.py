@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rsvpark.session import materialize
+from rsvpark.session import materialize, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     minimum and a join that Spark can split; rounds are written tables.
     """
     e = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    state = None
+    state, held = None, e
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -25,7 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
         small_m = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_m, "u")
         e = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_m.withColumnRenamed("m", "v"))
-        e = materialize(e.distinct(), "cc")
+        written = materialize(e.distinct(), "cc")
+        release(held)
+        e = held = written
         row = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
         if state == (row.n, row.h):
             break

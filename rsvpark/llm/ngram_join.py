@@ -13,18 +13,20 @@ matches: the pigeonhole.  So
 2. a segment whose subset no smaller set shares is a free credit.  A set with
    ``H + 1`` free credits has no partner: that ends the search for most;
 3. the others, and their possible partners (which share all but ``n / 3`` of
-   their own segments with somebody), are compared with a few centres of their
-   buckets, round by round, and joined into components by the verified links.
-   Sets of which less than three quarters of the shingles occur in the sets
-   still possible, outside their component, drop out on the way;
-4. only buckets with several components still matter.  Each set that lacks free
-   credits pays for the cheapest buckets (by the sets of other components in
-   them) until it has enough, and is verified against those sets.
-
-Verification counts common shingles exactly.  Equal sets are one set all along,
-and sets of one component are never compared again, so groups of copies cost
-their size, not its square.  The few sets whose credits can never suffice
-(crowded segments) are compared with all sets, in blocks.
+   their own segments with somebody), keep their shingles at hand.  Each set that
+   lacks free credits pays for the cheapest buckets, by the sets ahead in them,
+   until it has enough;
+4. in a small bucket the payer meets the sets ahead one by one, unless parity
+   sketches show that they differ in too many shingles, and is verified against
+   them;
+5. sets that meet in large buckets are families (near copies of one text).  A
+   family is cut into blocks by hash, every two blocks are one task's work, and
+   that task counts common shingles of all its pairs by array products and gives
+   only pairs that connect what links: a row per set, never a row per pair.
+
+Verification counts common shingles exactly.  Equal sets are one set all along.
+The few sets whose credits can never suffice (crowded segments) are compared
+with all sets, in blocks.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rsvpark.llm.components import components
 from rsvpark.llm.words import chunks, mix, ngram_hashes, signed, words
-from rsvpark.session import materialize
+from rsvpark.session import materialize, release
 
 SHINGLE = 5
 NUM, DEN = 3, 4                 # similarity 3/4
@@ -47,12 +49,13 @@ DELETE_UPTO = 128               # bands up to this size index one-deletion neigh
 GROUP_ENTRIES = 4_000_000       # index entries of one group of buckets, about
 FLUSH = 1_000_000
 FILTER_WORDS = 1 << 17
-NARROW = 1.04                   # ratio of the narrow size bands in which partners are counted
-TURNS = 4                       # rounds of comparisons with centres, at most; what they miss is paid for
-CENTRES = (3, 6)                # centres of a bucket, in the first round and in later ones (few sets are left)
-KEPT = 1                        # centres a set keeps from a group of buckets
-TRIES = (8, 24)                 # centres a set is compared with in a round
-BLOCK_SHINGLES = 1_000_000      # shingles of the sets that a pass compares with all
+LIGHT = 16                      # buckets with more sets ahead than this are compared as families
+SKETCH = 4                      # words of a set's parity sketch
+WIDTH = 3 + SKETCH              # columns of a set in the buckets: id, size, short, sketch
+BLOCK_SETS = 2000               # sets of a block of a large family
+PAIRS_AT_ONCE = 4_000_000
+COLUMNS = 1024
+BLOCK_SHINGLES = 500_000        # shingles of a block; also of the sets that a pass compares with all
 
 _BOUND = [1]
 while _BOUND[-1] < 1 << 40:
@@ -329,64 +332,20 @@ def _meet(key_of, table):
     return pa.table(dict(zip(names, map(pa.array, [ids, *sums]))))
 
 
-def _stars(turn: int):
-    """Per set: the few sets that most of its buckets of the group have as a centre, of other components.
-
-    The centres of a bucket are its first ``CENTRES`` sets in an order drawn from ids and turn.
-    """
-    centres = CENTRES[min(turn, 1)]
-
-    def run(key_of, table):
-        key, head = _buckets(table, 4)
-        role = (key & np.uint64(3)).astype(np.int64)
-        use = (role == OWN) | (role == LOW)
-        key, head, role = key[use] >> np.uint64(2), head[use], role[use]
-        out = pa.schema([(c, pa.int64()) for c in ("a", "b", "t")])
-        if not len(key):
-            return out.empty_table()
-        sid, label = head[:, 0], head[:, 2]
-        draw = mix(sid.view(np.uint64) + np.uint64(turn) * _C1)
-        order = np.lexsort((draw, role != OWN, key))
-        key, sid, label, role = key[order], sid[order], label[order], role[order]
-        start, size = _runs_of(key)
-        pairs = []
-        for i in range(centres):
-            c = np.repeat(np.minimum(start + i, start + size - 1), size)
-            ok = (role[c] == OWN) & (label[c] != label) & np.repeat(i < size, size)
-            pairs.append(np.stack([sid[ok], sid[c][ok]], axis=1))
-        pairs, t = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
-        if not len(pairs):
-            return out.empty_table()
-        order = np.lexsort((-t, pairs[:, 0]))
-        pairs, t = pairs[order], t[order]
-        start, size = _runs_of(pairs[:, 0])
-        keep = np.arange(len(t)) - np.repeat(start, size) < KEPT
-        return pa.table({"a": pa.array(pairs[keep, 1]), "b": pa.array(pairs[keep, 0]), "t": pa.array(t[keep])})
-    return run
-
-
 def _price(key_of, table):
-    """Per bucket that a set short of credits met: the number of sets of other components it would be compared with."""
-    key, head = _buckets(table, 4)
+    """Per bucket that a set short of credits met: the number of sets it would be compared with."""
+    key, head = _buckets(table, WIDTH)
     out = pa.schema([("sid", pa.int64()), ("grp", pa.int64()), ("key", pa.int64()), ("low", pa.bool_()), ("deletion", pa.bool_()), ("cost", pa.int64())])
     start, size = _runs_of(key >> np.uint64(2))
     if not len(start):
         return out.empty_table()
-    sid, label, short = head[:, 0], head[:, 2], head[:, 3] > 0
+    sid, short = head[:, 0], head[:, 2] > 0
     role = (key & np.uint64(3)).astype(np.int64)
-    run = np.repeat(np.arange(len(start)), size)
-    by_label = np.lexsort((np.arange(len(key)), label, run))
-    lab_new = np.concatenate(([True], (run[by_label][1:] != run[by_label][:-1]) | (label[by_label][1:] != label[by_label][:-1])))
-    lab_start = np.flatnonzero(lab_new)
 
     def before(mask):
-        """Entries of ``mask`` ahead in the bucket, of other components."""
+        """Entries of ``mask`` ahead in the bucket."""
         c = np.cumsum(mask) - mask
-        ahead = c - np.repeat(c[start], size)
-        c = np.cumsum(mask[by_label]) - mask[by_label]
-        same = np.empty(len(mask), np.int64)
-        same[by_label] = c - np.repeat(c[lab_start], np.diff(np.append(lab_start, len(mask))))
-        return ahead - same
+        return c - np.repeat(c[start], size)
 
     plain = (role == OWN) | (role == LOW)
     b0, b1 = before((role == OWN).astype(np.int64)), before((role == OWN_DEL).astype(np.int64))
@@ -400,31 +359,157 @@ def _price(key_of, table):
 
 
 def _pay(key_of, table, chosen):
-    """The comparisons of the buckets paid for: pairs of sets of different components, each once."""
+    """The comparisons of the small buckets paid for: pairs of sets, each once, whose sketches do not rule out a link."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     if not chosen.num_rows or not table.num_rows:
         return out.empty_table()
-    key, head = _buckets(table, 4)
-    sid, n, label = head[:, 0], head[:, 1], head[:, 2]
+    key, head = _buckets(table, WIDTH)
+    sid, n, sketch = head[:, 0], head[:, 1], np.ascontiguousarray(head[:, 3:])
     role = (key & np.uint64(3)).astype(np.int64)
+    start, size = _runs_of(key >> np.uint64(2))
+    # where each payer stands in its bucket: entries are ordered by bucket, size and id
+    first, payer, paid = (chosen.column(c).to_numpy() for c in ("key", "sid", "deletion"))
+    order = np.lexsort((sid, key))
+    k2, s2 = key[order], sid[order]
+    spot = np.empty(len(first), np.int64)
+    for i, (k, s) in enumerate(zip(first.view(np.uint64), payer)):
+        lo, hi = np.searchsorted(k2, k), np.searchsorted(k2, k, side="right")
+        spot[i] = order[lo + np.searchsorted(s2[lo:hi], s)]
+    begin = np.repeat(start, size)[spot]
+    k = spot - begin
+    me = np.repeat(np.arange(len(spot)), k)
+    c = np.repeat(begin, k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+    at = spot[me]
+    partner = np.where(~paid | (role[spot] == OWN_DEL) | (role[spot] == LOW_DEL), OWN, OWN_DEL)[me]
+    ok = (role[c] == partner) & (NUM * n[at] <= DEN * n[c])
+    c, at = c[ok], at[ok]
+    ok = np.bitwise_count((sketch[c] ^ sketch[at]).view(np.uint64)).sum(axis=1) <= most_different(n[c], n[at])
+    p = np.unique(np.stack([sid[c[ok]], sid[at[ok]]], axis=1), axis=0)
+    return pa.table({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
+
+
+def _crowds(key_of, table, chosen):
+    """``(a, b)``: sets joined because they meet in the large buckets that somebody pays for; a set with the least id it meets."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    if not chosen.num_rows or not table.num_rows:
+        return out.empty_table()
+    key, head = _buckets(table, WIDTH)
     bucket = key >> np.uint64(2)
+    use = np.isin(bucket, np.unique(chosen.column("key").to_numpy().view(np.uint64) >> np.uint64(2)))
+    bucket, ids, of = bucket[use], *np.unique(head[use, 0], return_inverse=True)
     start, size = _runs_of(bucket)
-    where = dict(zip(bucket[start].tolist(), zip(start.tolist(), (start + size).tolist())))
-    pairs = []
-    for s, k, deletion in zip(chosen.column("sid").to_pylist(), chosen.column("key").to_pylist(), chosen.column("deletion").to_pylist()):
-        a, b = where[k >> 2]
-        me = a + int(np.flatnonzero((sid[a:b] == s) & (key[a:b] == np.uint64(k)))[0])
-        partner = OWN if not deletion or (k & 3) in (OWN_DEL, LOW_DEL) else OWN_DEL
-        c = np.arange(a, me)
-        c = c[(role[c] == partner) & (label[c] != label[me]) & (NUM * n[me] <= DEN * n[c])]
-        if len(c):
-            pairs.append(np.stack([sid[c], np.full(len(c), s)], axis=1))
-    if not pairs:
-        return out.empty_table()
-    p = np.unique(np.concatenate(pairs), axis=0)
+    label = np.arange(len(ids))
+    while True:
+        least = np.repeat(np.minimum.reduceat(label[of], start), size)
+        new = label.copy()
+        np.minimum.at(new, of, least)
+        if (new == label).all():
+            break
+        label = new
+    return pa.table({"a": pa.array(ids), "b": pa.array(ids[label])})
+
+
+def sketches(s: Sets) -> np.ndarray:
+    """Parities of the shingles in 64 * ``SKETCH`` cells: two sets differ in as many shingles at least as in cells."""
+    cell = (mix(s.h ^ _C3) % np.uint64(64 * SKETCH)).astype(np.int64)
+    odd = np.bincount(s.doc * (64 * SKETCH) + cell, minlength=len(s.n) * 64 * SKETCH) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8").reshape(len(s.n), SKETCH)
+
+
+def _families(unit, table):
+    """Per family of a unit: the links of its sets, as pairs with the least set they lead to.
+
+    A unit is some small families, or one or two blocks of a large one; of two blocks only sets of different
+    blocks are compared.
+    """
+    family, block = table.column("family").to_numpy(), table.column("block").to_numpy()
+    sid, n = table.column("sid").to_numpy(), table.column("n").to_numpy()
+    h = table.column("h").combine_chunks()
+    off = h.offsets.to_numpy()
+    values = h.values.to_numpy()
+    order = np.lexsort((block, family))
+    cut = np.flatnonzero(np.concatenate(([True], family[order][1:] != family[order][:-1])))
+    out = []
+    for a, b in zip(cut, np.append(cut[1:], len(order))):
+        rows = order[a:b]
+        apart = block[rows] != block[rows[0]]
+        split = (b - a) if not apart.any() else int(np.argmax(apart))
+        label = _links(values, off, n, rows, split)
+        joined = label != np.arange(len(rows))
+        out.append(np.stack([sid[rows[label[joined]]], sid[rows[joined]]], axis=1))
+    p = np.concatenate(out)
     return pa.table({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
 
 
+def _links(values, off, n, rows, split: int) -> np.ndarray:
+    """The least row that each of ``rows`` leads to by links; with ``split`` only rows on different sides of it are compared.
+
+    Common shingles are counted for all pairs at once: those that few rows have as pairs of rows, the others by
+    products of 0/1 matrices.
+    """
+    m = len(rows)
+    one = split == m
+    left, right = (m, m) if one else (split, m - split)
+    size = n[rows]
+    k = off[rows + 1] - off[rows]
+    at = np.repeat(off[rows], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+    token, inv, count = np.unique(values[at], return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m), k)
+    common = np.zeros((left, right), np.float32)
+    # rows by token
+    by = np.argsort(inv, kind="stable")
+    owner, first = owner[by], np.concatenate(([0], np.cumsum(count)))
+    few = np.flatnonzero((count > 1) & (count <= max(8, m // 16)))
+    held, size_held = [], 0
+
+    def add():
+        if held:
+            common.reshape(-1)[:] += np.bincount(np.concatenate(held), minlength=left * right)
+            held.clear()
+
+    for c in np.unique(count[few]):
+        some = few[count[few] == c]
+        x, y = np.triu_indices(c, 1)
+        for part in np.array_split(some, max(1, len(some) * len(x) // PAIRS_AT_ONCE)):
+            own = owner[first[part][:, None] + np.arange(c)]            # a token's rows ascend
+            a, b = own[:, x].ravel(), own[:, y].ravel()
+            if not one:
+                ok = (a < split) & (b >= split)
+                a, b = a[ok], b[ok] - split
+            held.append(a * right + b)
+            size_held += len(a)
+            if size_held > PAIRS_AT_ONCE:
+                add()
+                size_held = 0
+    add()
+    many = np.flatnonzero(count > max(8, m // 16))
+    for i in range(0, len(many), COLUMNS):
+        part = many[i:i + COLUMNS]
+        dense = np.zeros((m, len(part)), np.float32)
+        c = count[part]
+        place = np.repeat(first[part], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        dense[owner[place], np.repeat(np.arange(len(part)), c)] = 1
+        common += dense @ dense.T if one else dense[:split] @ dense[split:].T
+    total = (size[:, None] + size[None, :]) if one else (size[:split, None] + size[None, split:])
+    common = common.astype(np.int64)
+    linked = DEN * common >= NUM * (total - common)
+    if one:
+        linked = np.triu(linked, 1)
+    x, y = np.nonzero(linked)
+    y = y if one else y + split
+    label = np.arange(m)
+    while len(x):
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of set ids whose sets link."""
     one = sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"))
@@ -434,86 +519,6 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def _shingle_batches(parts):
-    """The shingles of sets ``(sid, n, h, label)``, packed by hash."""
-    def run(batches):
-        pack = _Packer(parts, 3)
-        for b in batches:
-            s = _sets_in(b)
-            pack.add(s, [b.column(0).to_numpy(), s.n, b.column(3).to_numpy()], ((s.h & np.uint64(0xFFFF)) % np.uint64(parts), s.h >> np.uint64(16), s.doc))
-            if pack.size >= FLUSH:
-                yield from pack.flush()
-        yield from pack.flush()
-    return run
-
-
-def _shared(banded: bool):
-    """Per set (and band of sizes): its shingles of the group that sets of other labels (in that band) have."""
-    def run(key_of, table):
-        key, head = _unpack(table, 3)
-        order = np.argsort(key)
-        key, head = key[order], head[order]
-        start, size = _runs_of(key)
-        label = head[:, 2]
-        lo, hi = (f.reduceat(label, start) if len(start) else label for f in (np.minimum, np.maximum))
-        keep = np.repeat(lo != hi, size)
-        key, head, label = key[keep], head[keep], label[keep]
-        sid, n = head[:, 0], head[:, 1]
-        if not len(key):
-            return pa.schema([(c, pa.int64()) for c in ("sid", "n", "other", "c", "least")]).empty_table()
-        if not banded:
-            ids, at, c = np.unique(sid, return_index=True, return_counts=True)
-            zero = np.zeros(len(ids), np.int64)
-            return pa.table({"sid": ids, "n": n[at], "other": zero, "c": c, "least": zero})
-        band = np.floor(np.log(n) / math.log(NARROW)).astype(np.int64)
-        run_of = np.cumsum(np.concatenate(([True], key[1:] != key[:-1]))) - 1
-        # the bands of every shingle, with the labels and the least size in them
-        order = np.lexsort((band, run_of))
-        r, b = run_of[order], band[order]
-        at = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (b[1:] != b[:-1]))))
-        lo, hi, least = np.minimum.reduceat(label[order], at), np.maximum.reduceat(label[order], at), np.minimum.reduceat(n[order], at)
-        r, b = r[at], b[at]
-        first, count = _runs_of(r)
-        # every entry with every band of its shingle
-        k = count[run_of]
-        e = np.repeat(np.arange(len(key)), k)
-        x = np.repeat(first[run_of], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-        reach = math.ceil(math.log(DEN / NUM) / math.log(NARROW)) + 1
-        ok = ((lo[x] != hi[x]) | (lo[x] != label[e])) & (np.abs(b[x] - band[e]) <= reach)
-        e, x = e[ok], x[ok]
-        order = np.lexsort((b[x], sid[e]))
-        e, x = e[order], x[order]
-        at, c = _runs_of(sid[e] * 4099 + b[x])
-        if not len(at):
-            return pa.schema([(c, pa.int64()) for c in ("sid", "n", "other", "c", "least")]).empty_table()
-        return pa.table({"sid": sid[e][at], "n": n[e][at], "other": b[x][at], "c": c, "least": np.minimum.reduceat(least[x], at)})
-    return run
-
-
-def possible(sets: DataFrame, parts: int) -> DataFrame:
-    """The rows of ``sets(sid, n, h, label, ...)`` that can still link with a set of another label.
-
-    A link with a set of ``k`` shingles has at least ``3 (n + k) / 7`` of them in
-    common.  So a set stays if, for some narrow band of sizes, that many of its
-    shingles occur in sets of that band and of other labels; first a count
-    over all sizes thins the sets out.  Dropping sets can make others fail, so
-    this goes on as long as it drops a tenth.
-    """
-    left = sets.count()
-    while True:
-        for banded in (False, True):
-            packed = sets.select("sid", "n", "h", "label").mapInArrow(_shingle_batches(parts), _PACKED)
-            c = (packed.groupBy("grp").applyInArrow(_shared(banded), "sid long, n long, other long, c long, least long")
-                 .groupBy("sid", "n", "other").agg(F.sum("c").alias("c"), F.min("least").alias("least")))
-            enough = f"{DEN + NUM} * c >= {NUM} * (n + least)" if banded else f"{DEN} * c >= {NUM} * n"
-            keep = materialize(c.where(enough).select("sid").distinct(), "ngram-keep")
-            sets = materialize(sets.join(keep, "sid", "left_semi"), "ngram-possible")
-        now = sets.count()
-        if now >= 0.9 * left:
-            return sets
-        left = now
-
-
 def _hash_batches(batches):
     for b in batches:
         for c in chunks(b):
@@ -539,10 +544,10 @@ def _credit_batches(batches):
 
 def _active_batches(parts):
     def run(batches):
-        pack = _Packer(parts, 4)
+        pack = _Packer(parts, WIDTH)
         for b in batches:
             s = _sets_in(b)
-            pack.add(s, [b.column(0).to_numpy(), s.n, b.column(4).to_numpy(), b.column(3).to_numpy(zero_copy_only=False).astype(np.int64)])
+            pack.add(s, [b.column(0).to_numpy(), s.n, b.column(3).to_numpy(zero_copy_only=False).astype(np.int64), *sketches(s).T])
             if pack.size >= FLUSH:
                 yield from pack.flush()
         yield from pack.flush()
@@ -621,11 +626,10 @@ def _crowded(needs: DataFrame) -> DataFrame:
     return needs.where("own + own2 < need or (low >= 0 and low + low2 < need_low)")
 
 
-def paid_pairs(hashes: DataFrame, packed: DataFrame, parts: int) -> DataFrame:
-    """``(a, b)``: what the sets short of credits are compared with.
+def paid_buckets(hashes: DataFrame, packed: DataFrame) -> DataFrame:
+    """``(grp, sid, key, deletion, cost)``: the buckets in which the sets short of credits are compared.
 
-    Each pays for the cheapest of its buckets that hold sets of other
-    components, until its credits suffice.
+    Each pays for the cheapest of its buckets until its credits suffice.
     """
     price = materialize(packed.groupBy("grp").applyInArrow(_price, "sid long, grp long, key long, low boolean, deletion boolean, cost long"), "ngram-price")
     met = price.groupBy("sid", "low").agg(F.sum(F.expr("if(deletion, 0, 1)")).alias("v0"), F.sum(F.expr("if(deletion, 1, 0)")).alias("v1"))
@@ -638,9 +642,36 @@ def paid_pairs(hashes: DataFrame, packed: DataFrame, parts: int) -> DataFrame:
            .select("sid", "low", "due", (F.col("c") < F.col("need")).alias("all_of_it")))
     rank = F.row_number().over(Window.partitionBy("sid", "low", "deletion").orderBy("cost", "key"))
     chosen = (price.join(due, ["sid", "low"]).withColumn("rank", rank).where("all_of_it or (not deletion and rank <= due)")
-              .select("grp", "sid", "key", "deletion"))
-    pairs = packed.groupBy("grp").cogroup(chosen.groupBy("grp")).applyInArrow(_pay, "a long, b long").distinct()
-    return materialize(pairs, "ngram-pairs")
+              .select("grp", "sid", "key", "deletion", "cost"))
+    chosen = materialize(chosen, "ngram-paid")
+    release(price, have)
+    return chosen
+
+
+def family_links(hashes: DataFrame, packed: DataFrame, crowd: DataFrame) -> DataFrame:
+    """Links of the sets that meet in the large buckets ``crowd(grp, sid, key, ...)``, as pairs that connect the same sets.
+
+    Sets that meet there, directly or by others, are one family.  Small families share a unit; a large one is
+    dealt by hash into blocks, and each two of its blocks are a unit.  A unit counts its common shingles itself
+    and gives a pair per set at most, so rows grow with a family's size times its blocks.
+    """
+    met = materialize(packed.groupBy("grp").cogroup(crowd.groupBy("grp")).applyInArrow(_crowds, "a long, b long").distinct(), "ngram-crowds")
+    # a set that only meets itself in a group is in none of them
+    family = materialize(components(met.where("a <> b")), "ngram-families")
+    release(met)
+    sized = hashes.join(family, hashes.sid == family.id).select("sid", "n", "h", F.col("label").alias("family"))
+    blocks = (hashes.select("sid", "n").join(family, hashes.sid == family.id).groupBy(F.col("label").alias("family"))
+              .agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).alias("blocks")))
+    dealt = sized.join(blocks, "family").withColumn("block", F.expr("pmod(xxhash64(sid, 11), blocks)"))
+    n = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = F.struct(F.lit(-1).cast("long").alias("family"), F.expr(f"pmod(xxhash64(family), {8 * n})").alias("one"), F.lit(0).cast("long").alias("two"))
+    # a block alone is the unit (i, i); otherwise it meets every other block of its family
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                       lambda j: F.struct(F.col("family"), F.least(F.col("block"), j).alias("one"), F.greatest(F.col("block"), j).alias("two")))
+    units = dealt.withColumn("unit", F.explode(F.when(F.col("blocks") == 1, F.array(small)).otherwise(pair)))
+    return (units.select("unit.*", "sid", "n", "h", F.col("family").alias("of"), "block")
+            .select(F.struct("family", "one", "two").alias("unit"), F.col("of").alias("family"), "block", "sid", "n", "h")
+            .groupBy("unit").applyInArrow(_families, "a long, b long"))
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -680,33 +711,20 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
               .withColumn("partner", F.expr(f"own - h_mem <= n * {DEN - NUM} div {NUM}")).where("short or partner"))
     active = materialize(active.select("sid", "n", "own", "own2", "low", "low2", "need", "need_low", "short", "partner"), "ngram-active")
     hashes = materialize(_sets_of(d, active.select("sid"), reps).dropDuplicates(["sid"])
-                         .join(active.select("sid", "short"), "sid").withColumn("label", F.col("sid")), "ngram-hashes")
-    hashes = possible(hashes, parts)
-    edges, packed = [], None
-    for turn in range(TURNS):
-        packed = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
-        best = Window.partitionBy("b").orderBy(F.desc("t"), "a")
-        tries = (packed.groupBy("grp").applyInArrow(_stars(turn), "a long, b long, t long").groupBy("a", "b").agg(F.sum("t").alias("t"))
-                 .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= TRIES[min(turn, 1)]).select("a", "b"))
-        found = materialize(verified(tries, hashes), "ngram-links")
-        n, tried = found.count(), hashes.count()
-        edges.append(found)
-        if n:
-            labels = components(_all(edges))
-            flagged = (hashes.drop("label").join(labels.withColumnRenamed("id", "sid"), "sid", "left")
-                       .withColumn("label", F.coalesce("label", "sid")))
-            hashes = possible(materialize(flagged, "ngram-labelled"), parts)
-            packed = None
-        if n < max(20, tried / 100):
-            break
-    if packed is None:
-        packed = materialize(hashes.select("sid", "n", "h", "short", "label").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
-    pairs = paid_pairs(hashes, packed, parts)
-    edges.append(materialize(verified(pairs, hashes), "ngram-links"))
+                         .join(active.select("sid", "short"), "sid"), "ngram-hashes")
+    release(active, hits)
+    packed = materialize(hashes.select("sid", "n", "h", "short").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
+    chosen = paid_buckets(hashes, packed)
+    light, heavy = chosen.where(F.col("cost") <= LIGHT), chosen.where(F.col("cost") > LIGHT)
+    pairs = materialize(packed.groupBy("grp").cogroup(light.groupBy("grp")).applyInArrow(_pay, "a long, b long").distinct(), "ngram-pairs")
+    edges = [materialize(verified(pairs, hashes), "ngram-links"), materialize(family_links(hashes, packed, heavy), "ngram-links")]
+    release(packed, chosen, pairs, hashes)
     more = _crowded_links(d.where("doc_id is not null"), crowded, reps)
     if more is not None:
         edges.append(more)
-    return sets, components(_all(edges)).withColumnRenamed("id", "sid")
+    labels = materialize(components(_all(edges)).withColumnRenamed("id", "sid"), "ngram-labels")
+    release(reps, *edges)
+    return sets, labels
 
 
 def _all(tables: list[DataFrame]) -> DataFrame:

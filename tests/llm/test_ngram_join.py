@@ -147,3 +147,50 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame([(a, b) if rng.random() < 0.5 else (b, a) for a, b in edges], "a long, b long")
     want = brute.components({x for e in edges if e[0] != e[1] for x in e}, [e for e in edges if e[0] != e[1]])
     assert {r.id: r.label for r in components(df).collect()} == want
+
+
+def test_links_of_a_unit_equal_pairwise_comparison():
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        base = rng.integers(0, 1 << 60, rng.integers(3, 60))
+        sets = []
+        for _ in range(rng.integers(2, 70)):
+            s = base[rng.random(len(base)) > rng.uniform(0, 0.3)]
+            sets.append(np.unique(np.concatenate((s, rng.integers(0, 1 << 60, rng.integers(0, 5)), base[:1]))))
+        off = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+        n = np.diff(off)
+        rows = rng.permutation(len(sets))
+        split = len(rows) if trial % 2 else int(rng.integers(1, len(rows)))
+        edges = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows))
+                 if (split == len(rows) or i < split <= j) and brute.linked(set(sets[rows[i]].tolist()), set(sets[rows[j]].tolist()))]
+        want = brute.components(range(len(rows)), edges)
+        assert J._links(np.concatenate(sets), off, n, rows, split).tolist() == [want[i] for i in range(len(rows))]
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(6)
+    a = [np.unique(rng.integers(0, 400, rng.integers(1, 200))).astype(np.uint64) for _ in range(80)]
+    s = J.Sets(np.concatenate(a), np.concatenate(([0], np.cumsum([len(x) for x in a]))))
+    k = J.sketches(s)
+    assert k.shape == (80, J.SKETCH)
+    for i in range(80):
+        for j in range(80):
+            assert np.bitwise_count((k[i] ^ k[j]).view(np.uint64)).sum() <= len(np.setxor1d(a[i], a[j]))
+
+
+@pytest.mark.parametrize("light,block_sets", [(0, 7), (0, 2000), (3, 5), (10 ** 9, 2000)])
+def test_small_buckets_families_and_blocks_give_the_same(spark, monkeypatch, light, block_sets):
+    """The same links whether buckets are paid for one by one or as families of any block size."""
+    monkeypatch.setattr(J, "LIGHT", light)
+    monkeypatch.setattr(J, "BLOCK_SETS", block_sets)
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(70)]
+    docs = {}
+    for i in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            w[rng.randrange(70)] = f"e{rng.randrange(40)}"
+        docs[i] = " ".join(w)
+    docs |= {1000 + i: t for i, t in variants(rng, n_base=5, per=8).items()}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert got(J.join(df)) == brute.near_duplicates(docs)
