@@ -15,6 +15,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rsvpark.llm.names import fresh
+
 SHARDS = 16
 TABLE_SIZE = 4099
 
@@ -71,13 +73,13 @@ def place(df: DataFrame, key: str = "doc_id", n_shards: int = SHARDS, size: int
     is placed like an empty text, an empty table stays empty.  Columns of ``df``
     named like the two new ones are replaced.
     """
+    mine, slot, shard = fresh(df.columns, "key_slot", "table_slot", "table_shard")
     table = lookup_table(df.sparkSession, shard_names(n_shards), size)
-    table = table.select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    kept = [c for c in df.columns if c not in (slot_col, shard_col)]
-    keyed = df.withColumn("__key_slot", slot_of(F.col(f"`{key}`"), size))
-    return (keyed.join(F.broadcast(table), F.col("__key_slot") == F.col("__slot"), "inner")
-            .select(*[F.col(f"`{c}`") for c in kept], F.col("__key_slot").alias(slot_col),
-                    F.col("__shard").alias(shard_col)))
+    table = table.select(F.col("slot").alias(slot), F.col("shard").alias(shard))
+    kept = [c for c in df.columns if c.lower() not in (slot_col.lower(), shard_col.lower())]
+    keyed = df.withColumn(mine, slot_of(F.col(f"`{key}`"), size))
+    return (keyed.join(F.broadcast(table), F.col(mine) == F.col(slot), "inner")
+            .select(*[F.col(f"`{c}`") for c in kept], F.col(mine).alias(slot_col), F.col(shard).alias(shard_col)))
 
 
 def oracle_sql(n_shards: int = SHARDS, size: int = TABLE_SIZE) -> str:

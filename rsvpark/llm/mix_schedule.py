@@ -19,7 +19,9 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rsvpark.llm.names import fresh
 from rsvpark.session import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -123,7 +125,7 @@ def _lines(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     n = sizes.count()
     ranges = 1 << max(0, math.ceil(math.log2(max(1, n / RANGE_DOCS))))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    s = (sizes.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    s = (sizes.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
          .withColumn("h", key)
          .withColumn("range", F.expr(f"cast(conv(substr(h, 1, 8), 16, 10) as bigint) * {ranges} div 4294967296")))
     ties = [c for c in ("tag", "tag2") if c in sizes.columns]
@@ -135,61 +137,72 @@ def _lines(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK) -> DataFrame:
-    """``(doc_id, size, source, source_size, target, taken)`` per document of ``docs``.
+    """``(doc_id, size, source, source_size, target, taken, first_slot)`` per document of ``docs``.
 
     ``size`` counts words (0 for a null or blank text, which takes nothing);
-    ``taken`` is the number of its words in the mix, repeats counted.  A null
-    source is a source of its own; repeated rows are documents of their own; an
-    empty table gives an empty result.  The order is drawn from ``doc_id``
-    alone, so reruns agree.
+    ``taken`` is the number of its words in the mix, repeats counted;
+    ``first_slot`` is the slot of the sequence in which the mix first takes one of
+    them (null if it takes none).  A null source is a source of its own; repeated
+    rows are documents of their own; an empty table gives an empty result.  The
+    order is drawn from ``doc_id`` alone, so reruns agree.
     """
-    return _taken(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, share, cap, block)
-
-
-def _taken(sizes: DataFrame, weights, share, cap, block) -> DataFrame:
-    sizes = materialize(sizes, "mix-sizes")
-    targets = materialize(source_targets(sizes, weights, share, cap), "mix-sources")
-    slots = schedule(targets, block)
-    plan = slots.groupBy("sid", "block").agg(F.collect_list("words").alias("takes"))
-    lines = materialize(_lines(sizes, targets), "mix-lines")
-    own = [c for c in ("doc_id", "sid", "start", "size", "tag", "tag2") if c in lines.columns]
+    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    targets, slots, lines = _planned(sizes, weights, share, cap, block)
+    plan = slots.groupBy("sid", "block").agg(F.collect_list(F.struct("slot", "words")).alias("takes"))
+    own = ["doc_id", "sid", "start", "size"]
     blocks = F.expr(f"if(size > 0, sequence(start div {block}, (start + size - 1) div {block}), null)")
     pieces = (lines.withColumn("block", F.explode_outer(blocks))
               .withColumn("lo", F.greatest(F.col("start") - F.col("block") * block, F.lit(0)))
               .withColumn("hi", F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))))
+    # a block is taken once a pass: its list is as long as ``cap`` allows
     got = pieces.select(*own, "block", "lo", "hi").join(plan, ["sid", "block"], "left")
-    words = F.expr("aggregate(takes, 0L, (a, w) -> a + greatest(least(hi, w) - lo, 0L))")
-    taken = got.groupBy(*own).agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"), F.count("*").alias("parts"))
+    words = F.expr("aggregate(takes, 0L, (a, t) -> a + greatest(least(hi, t.words) - lo, 0L))")
+    begins = F.expr("array_min(transform(filter(takes, t -> t.words > lo), t -> t.slot))")
+    taken = got.groupBy(*own).agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"), F.min(begins).alias("first_slot"),
+                                  F.count("*").alias("parts"))
     # documents without words share a start: keep one row for each of them
     rows = F.when(F.col("size") == 0, F.col("parts")).otherwise(F.lit(1))
     taken = taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), rows.cast("long")))).drop("copy", "parts")
     facts = targets.withColumnRenamed("taken", "source_taken")
-    return (taken.join(facts, "sid")
-            .select("doc_id", "size", "source", "source_size", "target", "taken", *[c for c in own if c.startswith("tag")]))
+    return taken.join(facts, "sid").select("doc_id", "size", "source", "source_size", "target", "taken", "first_slot")
+
+
+def _planned(sizes: DataFrame, weights, share, cap, block) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Targets of the sources, slots of the mix, and the documents' places on their sources' lines."""
+    targets = materialize(source_targets(sizes, weights, share, cap), "mix-sources")
+    return targets, schedule(targets, block), materialize(_lines(sizes, targets), "mix-lines")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK) -> DataFrame:
-    """The mix as rows of ``docs``: each document as often as the mix begins it.
+    """The mix as rows of ``docs``, in the order of its slots: each document as often as the mix begins it.
 
     A document whose words the mix takes twice is there twice, one it does not
     reach is not there; the one that a source's target ends in stays whole.
+    Partitions follow the sequence, so any run of written files is close to the
+    weights.
     """
-    # two hashes of the row's key, so that nulls and repeated ids need no special case
-    tags = [F.xxhash64("doc_id", "text", "source").alias("tag"), F.hash("source", "text", "doc_id").alias("tag2")]
-    taken = _taken(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *tags), weights, share, cap, block)
-    times = (taken.where("taken > 0").groupBy("tag", "tag2")
-             .agg(F.array_sort(F.collect_list(F.expr("cast((taken + size - 1) div size as int)"))).alias("__times"))
-             .withColumnsRenamed({"tag": "__tag", "tag2": "__tag2"}))
+    tag, tag2, slot, row = fresh(docs.columns, "row_tag", "row_tag2", "row_slot", "row_all")
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*cols, tags[0].alias("__tag"), tags[1].alias("__tag2"))
-    copy = F.row_number().over(Window.partitionBy("__tag", "__tag2").orderBy("__tag"))
-    n = F.expr("if(__copy <= size(__times), element_at(__times, __copy), 0)")
-    return (keyed.withColumn("__copy", copy).join(times, ["__tag", "__tag2"]).where(n > 0)
-            .withColumn("__pass", F.explode(F.sequence(F.lit(1), n))).select(*cols))
+    # two hashes of the whole row: rows that share both are copies, and any one of them stands for all
+    whole = [F.to_json(F.struct(c)) if not isinstance(f.dataType, T.AtomicType) else c for c, f in zip(cols, docs.schema)]
+    keyed = docs.select(*cols, F.xxhash64(*whole).alias(tag), F.hash(*reversed(whole)).alias(tag2))
+    sizes = materialize(keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.col(tag).alias("tag"), F.col(tag2).alias("tag2")), "mix-sizes")
+    _, slots, lines = _planned(sizes, weights, share, cap, block)
+    first = lines.where("size > 0").select("sid", F.expr(f"start div {block}").alias("block"), F.expr(f"start % {block}").alias("lo"),
+                                           F.col("tag").alias(tag), F.col("tag2").alias(tag2))
+    begins = materialize(first.join(slots, ["sid", "block"]).where("words > lo").select(tag, tag2, F.col("slot").alias(slot)), "mix-begins")
+    copies = sizes.groupBy(F.col("tag").alias(tag), F.col("tag2").alias(tag2)).count().where("count > 1").select(tag, tag2)
+    once = keyed.join(copies, [tag, tag2], "left_anti")
+    again = (keyed.join(copies, [tag, tag2], "left_semi").groupBy(tag, tag2).agg(F.first(F.struct(*cols)).alias(row))
+             .select(*[F.col(f"{row}.`{c}`") for c in docs.columns], tag, tag2))
+    out = once.unionByName(again).join(begins, [tag, tag2])
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = int(begins.agg(F.max(slot)).first()[0] or 0) + 1
+    return (out.repartitionById(n, F.expr(f"cast({slot} * {n} div {last} as int)")).sortWithinPartitions(slot, tag, tag2).select(*cols))
 
 
-def oracle_sql(weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> str:
-    """The same result in closed form: whole passes over each source plus a prefix of its shuffled line."""
+def oracle_sql(weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK) -> str:
+    """Words in closed form (whole passes over each source plus a prefix of its shuffled line), first slots from the sequence."""
     ws = ", ".join(str(x) for x in weights)
     return f"""
 WITH sizes AS (
@@ -209,16 +222,44 @@ levels AS (
   FROM caps),
 lvl AS (SELECT arg_min(level_here, ratio) AS level FROM levels WHERE ratio > level_here),
 targets AS (
-  SELECT source, source_size, CASE WHEN level IS NULL THEN most ELSE least(most, weight * level) END AS target
+  SELECT sid, source, source_size, CASE WHEN level IS NULL THEN most ELSE least(most, weight * level) END AS target
   FROM levels, lvl),
 placed AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
+  SELECT s.doc_id, s.size, t.sid, t.source_size, t.target,
          sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(s.doc_id::VARCHAR, '')), s.doc_id, s.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS start
-  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+-- the sequence: golden-ratio points through the sources' cumulative quotas, ranks per source
+quotas AS (
+  SELECT sid, source, source_size, floor(target)::BIGINT % source_size AS rest, ceil(source_size / {block}.0)::BIGINT AS blocks,
+         (floor(target)::BIGINT // source_size) * ceil(source_size / {block}.0)::BIGINT
+           + ceil((floor(target)::BIGINT % source_size) / {block}.0)::BIGINT AS quota
+  FROM targets WHERE floor(target) > 0),
+spans AS (
+  SELECT *, (sum(quota) OVER ())::BIGINT AS n,
+         floor({_POINTS} * ((sum(quota) OVER (ORDER BY sid) - quota)::DOUBLE / (sum(quota) OVER ())::DOUBLE))::BIGINT AS lo,
+         CASE WHEN sum(quota) OVER (ORDER BY sid) = sum(quota) OVER () THEN {_POINTS}
+              ELSE floor({_POINTS} * ((sum(quota) OVER (ORDER BY sid))::DOUBLE / (sum(quota) OVER ())::DOUBLE))::BIGINT END AS hi
+  FROM quotas),
+points AS (SELECT t AS slot, ((t % {_POINTS}) * {_STEP}) % {_POINTS} AS x FROM range((SELECT coalesce(max(n), 0) FROM spans)) r(t)),
+hits AS (SELECT p.slot, s.sid, s.quota, row_number() OVER (PARTITION BY s.sid ORDER BY p.slot) - 1 AS rank
+         FROM points p JOIN spans s ON p.x >= s.lo AND p.x < s.hi),
+late AS (SELECT s.sid, s.n, unnest(range(coalesce(h.c, 0)::BIGINT, s.quota)) AS rank
+         FROM spans s LEFT JOIN (SELECT sid, count(*) AS c FROM hits GROUP BY sid) h USING (sid)),
+slots AS (
+  SELECT a.slot, s.sid, a.rank % s.blocks AS block,
+         CASE WHEN a.rank = s.quota - 1 AND s.rest > 0 THEN s.rest - (a.rank % s.blocks) * {block}
+              ELSE least({block}, s.source_size - (a.rank % s.blocks) * {block}) END AS words
+  FROM (SELECT slot, sid, rank FROM hits WHERE rank < quota UNION ALL SELECT n + rank, sid, rank FROM late) a JOIN spans s USING (sid)),
+lines AS (SELECT row_number() OVER () AS r, * FROM placed),
+begins AS (
+  SELECT l.r, min(s.slot) AS first_slot
+  FROM (SELECT r, sid, start, size, unnest(range((start // {block})::BIGINT, ((start + size - 1) // {block} + 1)::BIGINT)) AS block FROM lines WHERE size > 0) l
+  JOIN slots s ON s.sid = l.sid AND s.block = l.block AND s.words > greatest(l.start - l.block * {block}, 0)
+  GROUP BY l.r)
 SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE
          (floor(target)::BIGINT // source_size) * size
-         + greatest(least(floor(target)::BIGINT % source_size - start, size), 0) END::BIGINT AS taken
-FROM placed
+         + greatest(least(floor(target)::BIGINT % source_size - start, size), 0) END::BIGINT AS taken, first_slot::BIGINT AS first_slot
+FROM lines LEFT JOIN begins USING (r)
 """

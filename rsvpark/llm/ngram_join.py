@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rsvpark.llm.components import components
+from rsvpark.llm.names import fresh
 from rsvpark.llm.words import chunks, mix, ngram_hashes, signed, words
 from rsvpark.session import materialize, release
 
@@ -767,10 +768,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     chosen = (of.where("doc_id is not null and n_shingles > 0").groupBy("component_id")
               .agg(F.min(F.struct("doc_id", "tag")).alias("k")).select("k.doc_id", "k.tag"))
     empty = of.where("doc_id is not null and n_shingles = 0").select("doc_id", "tag").distinct()
-    keep = chosen.unionByName(empty).select(F.col("doc_id").alias("__doc"), F.col("tag").alias("__tag"))
+    doc, tag = fresh(docs.columns, "kept_doc", "kept_tag")
+    keep = chosen.unionByName(empty).select(F.col("doc_id").alias(doc), F.col("tag").alias(tag))
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.where("doc_id is not null").withColumn("__tag", F.xxhash64("text")).withColumn("__doc", F.col("doc_id"))
-    copy = F.row_number().over(Window.partitionBy("__doc", "__tag").orderBy("__doc"))
-    one = keyed.join(keep, ["__doc", "__tag"]).withColumn("__copy", copy)
-    one = one.where("__copy = 1").select(*cols)
-    return one.unionByName(docs.where("doc_id is null").select(*cols))
+    rows = docs.where("doc_id is not null").withColumns({tag: F.xxhash64("text"), doc: F.col("doc_id")})
+    # rows that repeat a doc_id and a text are few keys; only those are brought together, after a partial pick
+    more = of.where("doc_id is not null").groupBy(F.col("doc_id").alias(doc), F.col("tag").alias(tag)).count().where("count > 1").select(doc, tag)
+    kept = rows.join(keep, [doc, tag], "left_semi")
+    once = kept.join(more, [doc, tag], "left_anti").select(*cols)
+    again = (kept.join(more, [doc, tag], "left_semi").groupBy(doc, tag).agg(F.first(F.struct(*cols)).alias(tag + "_row"))
+             .select(*[F.col(f"{tag}_row.`{c}`") for c in docs.columns]))
+    return once.unionByName(again).unionByName(docs.where("doc_id is null").select(*cols))

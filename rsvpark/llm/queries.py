@@ -55,7 +55,7 @@ def op8_rff_quality(spark, sf_dir):
 @register("op9_mix_schedule", mix_schedule.oracle_sql())
 def op9_mix_schedule(spark, sf_dir):
     return (mix_schedule.mix(table(spark, sf_dir, "documents"))
-            .select("doc_id", "size", "source_size", "target", "taken"))
+            .select("doc_id", "size", "source_size", "target", "taken", "first_slot"))
 
 
 @register("op10_html_blocks")

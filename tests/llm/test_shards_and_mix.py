@@ -113,13 +113,60 @@ def test_mix_edge_rows(spark):
     n = collections.Counter((r.doc_id, r.text, r.source) for r in out.collect())
     per = collections.Counter(docs)
     took = collections.defaultdict(int)
-    for r in X._taken(df.select("doc_id", "source", X.word_count(df.text).alias("size")), X.WEIGHTS, X.SHARE, X.CAP, X.BLOCK).collect():
+    for r in X.mix(df).collect():
         if r.size:
             took[(r.doc_id, r.size, r.source)] += -(-r.taken // r.size)
+        assert (r.first_slot is None) == (r.taken == 0)
     assert all(v <= 2 * per[k] for k, v in n.items())
     assert sum(n.values()) == sum(took.values())
 
 
+def test_output_keeps_close_to_the_weights_in_every_stretch(spark):
+    """Words of each source in any prefix of the mix as written, and first slots in that order."""
+    rng = random.Random(3)
+    size = {"a": 300, "b": 300, "c": 300}
+    docs = [(1000 * k + i, " ".join("w" for _ in range(rng.randrange(20, 90))), s) for k, s in enumerate(size) for i in range(size[s])]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = X.mixed(df).collect()           # partitions in order: the sequence as written
+    words = collections.Counter()
+    for r in X.mix(df).collect():
+        words[r.source] += r.taken
+    total, seen, done = sum(words.values()), collections.Counter(), 0
+    for r in rows:
+        k = len(r.text.split())
+        seen[r.source] += k
+        done += k
+        assert all(abs(seen[s] - done * words[s] / total) < 8 * X.BLOCK + 180 for s in size)
+    slot = {r.doc_id: r.first_slot for r in X.mix(df).collect()}
+    first = []
+    for r in rows:
+        if r.doc_id not in first:
+            first.append(r.doc_id)
+    assert [slot[i] for i in first] == sorted(slot[i] for i in first)
+
+
+HELPERS = ["kept_doc", "kept_tag", "row_tag", "row_tag2", "row_slot", "row_all", "key_slot", "table_slot", "table_shard",
+           "leaks", "__leaks", "leaks_before", "leaks_here", "slot", "tag", "tag2", "of", "sid", "size", "start", "block", "words", "takes", "copy",
+           "__slot", "__shard", "__tag", "__times", "__copy", "__pass", "__key_slot", "component_id", "n_shingles", "x", "predicted", "score"]
+
+
+def test_no_helper_name_clashes_with_a_users_column(spark):
+    """All pipeline operators on a table that has every helper name as a column, values kept."""
+    import corpus_pipeline as P
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40)
+    own = {c: f"mine-{c}" for c in HELPERS}
+    from pyspark.sql import functions as F
+    wide = docs.select("*", *[F.lit(v).alias(c) for c, v in own.items()])
+    for name, stage in P.STAGES:
+        out = stage(spark, wide, SF_SMALL)
+        rows = out.collect()
+        assert rows, name
+        for r in rows:
+            assert all(r[c] == v for c, v in own.items() if c not in ("slot", "shard")), name
+        base = [r.doc_id for r in stage(spark, docs, SF_SMALL).select("doc_id").collect()]
+        assert collections.Counter(base) == collections.Counter(r.doc_id for r in rows), name
+
+
 def test_schedule_keeps_close_to_the_shares_everywhere(spark):
     from pyspark.sql import functions as F
     t = spark.createDataFrame([(0, "a", 64_000, 3, 60_000.0, 60_000), (1, "b", 64_000, 1, 20_000.0, 20_000), (2, "c", 30_000, 2, 40_000.0, 40_000)],
