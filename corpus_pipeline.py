@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rsvpark.llm import lookup_shards, lsa_decontam, mix_schedule, ngram_join, rff_quality
-from rsvpark.session import materialize
+from rsvpark.session import materialize, release
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = _table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{i}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{i}")
+        release(before)     # nothing reads a stage's input once its output is written
     return docs
