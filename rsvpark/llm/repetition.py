@@ -1,11 +1,12 @@
 """Quality rules from repetition coverage: characters inside duplicated n-grams and lines.
 
 For several n, rolling hashes of all n-word windows of a text are sorted once;
-windows whose hash occurs twice or more in the text cover their words, and the
-covered share of the text's word characters is compared with a limit per n.
+a window equal to an earlier one of the text covers its words, and the covered
+share of the text's word characters is compared with the customary limit for n.
 For 2 to 4 words the most frequent n-gram alone is measured (ordinary prose
 repeats short n-grams), for 5 to 10 words all duplicated ones; repeated lines
-are measured likewise.
+are measured likewise.  First occurrences are not counted: a text that says
+something once has repeated nothing.
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ from rsvpark.llm.words import _CODE, _powers, chunks, mix, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
-#: Largest share of word characters in the occurrences of the most frequent n-gram.
-TOP_LIMITS = {2: 0.30, 3: 0.28, 4: 0.26}
-#: Largest share of word characters covered by duplicated n-grams.
-DUP_LIMITS = {5: 0.30, 6: 0.29, 7: 0.28, 8: 0.27, 9: 0.26, 10: 0.25}
+#: Largest share of word characters in the later occurrences of the most frequent n-gram.
+TOP_LIMITS = {2: 0.20, 3: 0.18, 4: 0.16}
+#: Largest share of word characters covered by n-grams that occurred before.
+DUP_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Largest share of lines, and of word characters in lines, that equal an earlier line.
-LINE_LIMIT = 0.40
-LINE_CHAR_LIMIT = 0.30
+LINE_LIMIT = 0.30
+LINE_CHAR_LIMIT = 0.20
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -88,18 +89,19 @@ def measure(texts) -> dict[str, np.ndarray]:
             first = order[run] if len(run) else order
             length = by_word[at[first] + n] - by_word[at[first]]
             # the most frequent n-gram of each text; of equally frequent ones the longest
-            rank = np.where(size > 1, size * (1 << 32) + length, 0)
-            best = np.zeros(n_docs, np.int64)
+            rank = np.where(size > 1, size * (1 << 32) + length, 1 << 32)
+            best = np.full(n_docs, 1 << 32, np.int64)
             np.maximum.at(best, doc[first], rank)
-            shares[f"top_{n}"] = np.minimum((best >> 32) * (best & 0xFFFFFFFF) / safe, 1.0)
+            shares[f"top_{n}"] = np.minimum(((best >> 32) - 1) * (best & 0xFFFFFFFF) / safe, 1.0)
         if n in DUP_LIMITS or n == 3:
-            starts = at[order[np.repeat(size > 1, size)]]
-            cover = _covered(nw, starts, n)
             if n == 3:
-                c = total(cover)
+                c = total(_covered(nw, at[order[np.repeat(size > 1, size)]], n))
                 repeat = c[w.first[1:]] - c[w.first[:-1]]
             if n in DUP_LIMITS:
-                c = np.concatenate(([0], np.cumsum(chars * cover)))
+                again = np.ones(len(at), bool)
+                if len(run):
+                    again[np.minimum.reduceat(order, run)] = False  # the earliest of each run
+                c = np.concatenate(([0], np.cumsum(chars * _covered(nw, at[again], n))))
                 shares[f"dup_{n}"] = (c[w.first[1:]] - c[w.first[:-1]]) / safe
     for s in SHARES:
         shares.setdefault(s, np.zeros(n_docs))

@@ -99,6 +99,29 @@ def base_rules(text):
     return (len(w), sum(map(len, w)), symbols, dup, len(cover), failed)
 
 
+def repetition_shares(text):
+    """The share per rule of ``repetition``: later occurrences only, in word characters (lines: also in lines)."""
+    w = word_list(text)
+    total = max(1, sum(map(len, w)))
+    out = {}
+    for n in range(2, 11):
+        where = collections.defaultdict(list)
+        for k in range(len(w) - n + 1):
+            where[tuple(w[k:k + n])].append(k)
+        if n <= 4:
+            often = max((len(v) for v in where.values()), default=1)
+            size = max((sum(map(len, g)) for g, v in where.items() if len(v) == often), default=0)
+            out[f"top_{n}"] = min(1.0, (often - 1) * size / total)
+        else:
+            cover = {k + j for v in where.values() for k in v[1:] for j in range(n)}
+            out[f"dup_{n}"] = sum(len(w[k]) for k in cover) / total
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    again = [x for i, x in enumerate(lines) if x in lines[:i]]
+    out["dup_lines"] = len(again) / max(1, len(lines))
+    out["dup_line_chars"] = sum(len(x) for line in again for x in word_list(line)) / total
+    return out
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
