@@ -139,13 +139,15 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def release(*tables) -> None:
-    """Remove tables that ``materialize`` wrote, as soon as nothing reads them any more.
+    """Remove tables that ``materialize`` or ``bucketed`` wrote, as soon as nothing reads them any more.
 
     Only the frames it returned count; anything else (None too) is left alone.
     """
     for df in tables:
         path = getattr(df, "_rsvpark_work", None)
         if path and path in _KEPT:
+            if getattr(df, "_rsvpark_table", None):
+                df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._rsvpark_table}")
             _remove(df.sparkSession, path)
 
 
@@ -164,8 +166,11 @@ def bucketed(df, keys: list[str], tag: str = "work", buckets: int | None = None,
     # into ``spark.sql.shuffle.partitions`` parts (one bucket file per task).
     src = df if prepartitioned else df.repartition(n, *keys)
     _note(path=path, table=name)
+    _keep(spark, path)
     src.write.bucketBy(n, *keys).mode("overwrite").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out._rsvpark_work, out._rsvpark_table = path, name
+    return out
 
 
 # Work tables written inside ``work_scope`` blocks (innermost last), per
