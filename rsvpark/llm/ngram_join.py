@@ -41,13 +41,14 @@ from pyspark.sql import functions as F
 from rsvpark.llm.components import components
 from rsvpark.llm.names import fresh
 from rsvpark.llm.words import chunks, mix, ngram_hashes, signed, words
-from rsvpark.session import materialize, release
+from rsvpark.session import bucketed, materialize, release
 
 SHINGLE = 5
 NUM, DEN = 3, 4                 # similarity 3/4
 SEGMENTS = 0.45                 # segments of a band for each shingle of its largest set
 DELETE_UPTO = 128               # bands up to this size index one-deletion neighbourhoods
-GROUP_ENTRIES = 4_000_000       # index entries of one group of buckets, about
+GROUP_SHINGLES = 500_000        # shingles whose index entries are one group of buckets, on average
+MIN_GROUPS = 8
 FLUSH = 1_000_000
 FILTER_WORDS = 1 << 17
 LIGHT = 16                      # buckets with more sets ahead than this are compared as families
@@ -690,7 +691,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     .agg(F.sum("n"), F.max(F.col("clash").cast("int"))).first())
     if clash:
         raise ValueError("two different shingle sets have the same 64-bit id")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((total or 0) / GROUP_ENTRIES))
+    parts = max(MIN_GROUPS, math.ceil((total or 0) / GROUP_SHINGLES))
     reps = (named.groupBy("sid").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "own", "own2", "low", "low2")]))
     reps = materialize(reps, "ngram-reps")
     needs = _needs(reps)
@@ -711,10 +712,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     active = (needs.join(hits, "sid").withColumn("short", F.expr(f"{lacks('own')} or {lacks('low')}"))
               .withColumn("partner", F.expr(f"own - h_mem <= n * {DEN - NUM} div {NUM}")).where("short or partner"))
     active = materialize(active.select("sid", "n", "own", "own2", "low", "low2", "need", "need_low", "short", "partner"), "ngram-active")
-    hashes = materialize(_sets_of(d, active.select("sid"), reps).dropDuplicates(["sid"])
-                         .join(active.select("sid", "short"), "sid"), "ngram-hashes")
+    hashes = bucketed(_sets_of(d, active.select("sid"), reps).dropDuplicates(["sid"]).join(active.select("sid", "short"), "sid"), ["sid"], "ngram_hashes")
     release(active, hits)
-    packed = materialize(hashes.select("sid", "n", "h", "short").mapInArrow(_active_batches(parts), _PACKED), "ngram-buckets")
+    # read by group three times: its layout is written once
+    packed = bucketed(hashes.select("sid", "n", "h", "short").mapInArrow(_active_batches(parts), _PACKED), ["grp"], "ngram_buckets")
     chosen = paid_buckets(hashes, packed)
     light, heavy = chosen.where(F.col("cost") <= LIGHT), chosen.where(F.col("cost") > LIGHT)
     pairs = materialize(packed.groupBy("grp").cogroup(light.groupBy("grp")).applyInArrow(_pay, "a long, b long").distinct(), "ngram-pairs")
