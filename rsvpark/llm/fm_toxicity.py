@@ -5,10 +5,14 @@ bytes (inflected forms share them), hashed into a fixed table.  The model adds
 a weight per term and, for every pair of terms, the product of their factor
 vectors, so that a pair such as an insult and a group mention can count more
 (or less) than its parts.  It is fitted with Adagrad on the logistic loss over a
-bounded sample of labelled rows, in one task, and broadcast for scoring.  Only
-terms that ``MIN_ROWS`` sampled rows hold and whose share of toxic rows differs
-from the sample's by ``MIN_Z`` standard deviations have parameters: in long
-texts the others would add noise, not signal.
+bounded sample of labelled rows, in one task, and broadcast for scoring.
+
+In long texts most terms say nothing and their products would drown the rest,
+so terms are chosen first, by what they do alone or together: a term has
+parameters if the share of toxic rows among those with it differs from the
+sample's by ``MIN_Z`` standard deviations, or if it is in a pair of words whose
+rows are toxic more (or less) often, by ``PAIR_Z`` of them, than the two words'
+own shares add up to.  All pairs of words of ``PAIR_LABELS`` rows are counted.
 """
 
 from __future__ import annotations
@@ -30,8 +34,14 @@ BITS = 18
 FACTORS = 8
 MIN_ROWS = 3
 MIN_Z = 3.5
+PAIR_ROWS = 5
+PAIR_Z = 7.0
+PAIR_LABELS = 5_000             # labelled rows in which pairs of words are counted
+PAIRS_AT_ONCE = 2_000_000
+PAIR_CELLS = 4_000_000
 PREFIXES = (4, 5, 6, 7)
 EPOCHS = 12
+MIN_STEPS = 250                 # small samples go round more often
 BATCH = 256
 RATE = 0.1
 L1 = 2e-4
@@ -49,7 +59,10 @@ _CODE[0x80:0x9F] = _CODE[0xA0:0xBF]
 
 
 def terms(texts) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashed terms of every text: ``(ids, first, n)`` with ``ids[first[i]:first[i+1]]`` those of text ``i``."""
+    """Hashed terms of every text: ``(ids, first, n)`` with ``ids[first[i]:first[i+1]]`` those of text ``i``.
+
+    Words have even ids, beginnings of words odd ones.
+    """
     data, off = W.text_buffers(texts)
     n, size = len(off) - 1, len(data)
     if not size:
@@ -80,9 +93,10 @@ def terms(texts) -> tuple[np.ndarray, np.ndarray, int]:
         st = start[at]
         ids.append(mix((s[st + p] - s[st]) * ipw[st] + np.uint64(1000 + p)))
         owner.append(doc[at])
+    part = np.repeat([0, 1], [len(full), sum(map(len, ids)) - len(full)])
     ids, owner = np.concatenate(ids), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
-    ids = (ids[order] >> np.uint64(64 - BITS)).astype(np.int64)
+    ids = (ids[order] >> np.uint64(64 - BITS)).astype(np.int64) & ~1 | part[order]
     return ids, np.searchsorted(owner[order], np.arange(n + 1)), n
 
 
@@ -117,6 +131,46 @@ class Model:
         return 1 / (1 + np.exp(-self.margin(ids, first)))
 
 
+def acting_together(pair: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
+    """Words in pairs whose rows are toxic more or less often than the two words' own shares add up to.
+
+    ``pair`` holds ``text * 2^BITS + word``, ascending.  Words are taken in stretches; a stretch is counted
+    against all words after its own in one table, so memory is bounded and every pair is counted.
+    """
+    slots = 1 << BITS
+    text, word = pair // slots, pair % slots
+    ids, inv, rows = np.unique(word, return_inverse=True, return_counts=True)
+    keep = rows[inv] >= PAIR_ROWS
+    ids = ids[rows >= PAIR_ROWS]
+    v = len(ids)
+    if not v:
+        return ids
+    text, word = text[keep], np.searchsorted(ids, word[keep])
+    last = np.searchsorted(text, text, side="right")            # where the text of an entry ends
+    toxic = y[text] > 0
+    rate = np.bincount(word, weights=toxic, minlength=v) / np.bincount(word, minlength=v)
+    by = np.argsort(word, kind="stable")
+    first = np.searchsorted(word[by], np.arange(v + 1))
+    after = (last - np.arange(len(word)) - 1)[by]
+    work = np.concatenate(([0], np.cumsum(after)))[first]
+    spread = np.sqrt(share * (1 - share))
+    found, a = [], 0
+    while a < v:
+        z = max(a + 1, min(a + PAIR_CELLS // v, int(np.searchsorted(work, work[a] + PAIRS_AT_ONCE, side="right")) - 1))
+        entry, n = by[first[a]:first[z]], after[first[a]:first[z]]
+        other = np.repeat(entry + 1, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        cell = np.repeat((word[entry] - a) * v, n) + word[other]
+        both = np.bincount(cell, minlength=(z - a) * v)
+        excess = np.bincount(cell[np.repeat(toxic[entry], n)], minlength=(z - a) * v).astype(float)
+        at = np.flatnonzero(both >= PAIR_ROWS)
+        one, two = at // v + a, at % v
+        excess = excess[at] - both[at] * np.clip(rate[one] + rate[two] - share, 0, 1)
+        ok = np.abs(excess) >= PAIR_Z * spread * np.sqrt(both[at])
+        found += [one[ok], two[ok]]
+        a = z
+    return ids[np.unique(np.concatenate(found))]
+
+
 def train(ids: np.ndarray, first: np.ndarray, y: np.ndarray, seed: int = 5) -> Model:
     """Fit on texts given as terms; both classes present or the bias alone."""
     n = len(y)
@@ -128,7 +182,11 @@ def train(ids: np.ndarray, first: np.ndarray, y: np.ndarray, seed: int = 5) -> M
     slot = np.full(slots, -1, np.int32)
     toxic_with = np.bincount(pair % slots, weights=y[pair // slots], minlength=slots)
     z = (toxic_with - share * rows_with) / np.sqrt(np.maximum(rows_with, 1) * share * (1 - share))
-    known = np.flatnonzero((rows_with >= MIN_ROWS) & (np.abs(z) >= MIN_Z))
+    alone = (rows_with >= MIN_ROWS) & (np.abs(z) >= MIN_Z)
+    some = np.zeros(n, bool)
+    some[np.random.default_rng(seed).permutation(n)[:PAIR_LABELS]] = True
+    alone[acting_together(pair[(pair % 2 == 0) & some[pair // slots]], y, share)] = True
+    known = np.flatnonzero(alone)
     slot[known] = np.arange(len(known))
     m = len(known)
     rng = np.random.default_rng(seed)
@@ -142,8 +200,9 @@ def train(ids: np.ndarray, first: np.ndarray, y: np.ndarray, seed: int = 5) -> M
     # rare toxic rows weigh up to three times as much
     boost = np.where(y > 0, min(3.0, (n - y.sum()) / y.sum()), 1.0)
     gw, gv, gb = np.full(m, 1e-6), np.full((m, FACTORS), 1e-6), 1e-6
-    for epoch in range(EPOCHS):
-        for part in np.array_split(rng.permutation(n), max(1, n // BATCH)):
+    steps = max(1, n // BATCH)
+    for epoch in range(max(EPOCHS, -(-MIN_STEPS // steps))):
+        for part in np.array_split(rng.permutation(n), steps):
             size = at[part + 1] - at[part]
             d = np.repeat(np.arange(len(part)), size)
             pos = np.repeat(at[part] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())

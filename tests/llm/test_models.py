@@ -11,6 +11,7 @@ from rsvpark.llm import fm_toxicity as FM
 from rsvpark.llm import rff_quality as Q
 from rsvpark.llm.labels import training_sample
 from rsvpark.llm.queries import QUERIES, table
+from tests.conftest import SF_SMALL
 from tests.llm.brute import auc
 
 SF = "/root/testdata/sf0.01"
@@ -63,26 +64,71 @@ def test_sample_is_bounded_and_reproducible(spark):
     assert sorted(got) == sorted(r.doc_id for r in training_sample(labels.repartition(7), "quality", 3, 1, 2000).collect())
 
 
-def test_factorization_machine_learns_an_interaction():
-    """Toxic only if an insult meets a group: no sum of weights separates that."""
-    rng = random.Random(4)
+def interaction(n_noise, seed=4):
+    """Toxic only if an insult or a group mention comes without the other: neither says anything alone."""
+    rng = random.Random(seed)
     texts, y = [], []
     for i in range(2400):
         a, b = rng.random() < 0.5, rng.random() < 0.5
-        w = [f"n{rng.randrange(300)}x" for _ in range(12)] + ["slurry"] * a + ["groupies"] * b
+        w = [f"n{rng.randrange(n_noise)}x" for _ in range(12)] + ["slurry"] * a + ["groupies"] * b
         rng.shuffle(w)
         texts.append(" ".join(w))
         y.append(float(a != b))
+    return texts, np.array(y)
+
+
+@pytest.mark.parametrize("n_noise", [300, 3000])
+def test_factorization_machine_learns_an_interaction(n_noise):
+    texts, y = interaction(n_noise)
     ids, first, _ = FM.terms(pa.array(texts))
     cut = first[1800]
-    old = FM.MIN_Z
-    try:
-        FM.MIN_Z = 0.0
-        m = FM.train(ids[:cut], first[:1801], np.array(y[:1800]))
-    finally:
-        FM.MIN_Z = old
+    m = FM.train(ids[:cut], first[:1801], y[:1800])
+    known = set(np.flatnonzero(m.slot >= 0).tolist())
+    assert set(FM.terms(pa.array(["slurry groupies"]))[0][:2].tolist()) <= known and len(known) < 40
     p = m.score(ids[cut:], first[1800:] - cut)
-    assert ((p >= 0.5) == (np.array(y[1800:]) > 0)).mean() > 0.95
+    assert ((p >= 0.5) == (y[1800:] > 0)).mean() > 0.95
+    # without the factors nothing is left of it
+    flat = FM.Model(m.bias, m.weight, np.zeros_like(m.factor), m.slot)
+    q = flat.score(ids[cut:], first[1800:] - cut)
+    assert ((q >= 0.5) == (y[1800:] > 0)).mean() < 0.9
+
+
+def test_pairs_of_words_that_act_together_equal_plain_loops():
+    texts, y = interaction(60)
+    texts, y = texts[:500], y[:500]
+    ids, first, n = FM.terms(pa.array(texts))
+    doc = np.repeat(np.arange(n), np.diff(first))
+    pair = np.unique(doc * (1 << FM.BITS) + ids)
+    pair = pair[pair % 2 == 0]
+    share = (y.sum() + 0.5) / (n + 1)
+    sets = [set((pair[pair >> FM.BITS == i] & ((1 << FM.BITS) - 1)).tolist()) for i in range(n)]
+    words = [w for w in set().union(*sets) if sum(w in s for s in sets) >= FM.PAIR_ROWS]
+    rate = {w: np.mean([t for s, t in zip(sets, y) if w in s]) for w in words}
+    want = set()
+    for a in words:
+        for b in words:
+            both = [t for s, t in zip(sets, y) if a in s and b in s]
+            if a < b and len(both) >= FM.PAIR_ROWS:
+                excess = sum(both) - len(both) * min(1, max(0, rate[a] + rate[b] - share))
+                if abs(excess) >= FM.PAIR_Z * (share * (1 - share) * len(both)) ** 0.5:
+                    want |= {a, b}
+    assert want and set(FM.acting_together(pair, y, share).tolist()) == want
+
+
+def test_toxicity_query_equals_a_plain_double_loop(spark):
+    """Every score of the query from the fitted model, pair of terms by pair of terms."""
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    m = FM.fit(docs, labels)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for r in QUERIES["op3_fm_toxicity"](spark, SF_SMALL).collect():
+        ids = FM.terms(pa.array([text[r.doc_id]]))[0]
+        rows = [m.slot[i] for i in ids if m.slot[i] >= 0]
+        z = m.bias + sum(float(m.weight[i]) for i in rows)
+        for k, i in enumerate(rows):
+            for j in rows[k + 1:]:
+                z += float(np.dot(m.factor[i].astype(float), m.factor[j].astype(float)))
+        want = 1 / (1 + np.exp(-min(max(z, -FM.CLIP), FM.CLIP)))
+        assert abs(r.score - want) < 1e-5 and r.predicted == (r.score >= 0.5)
 
 
 def test_terms_fold_case_and_share_prefixes():
