@@ -106,7 +106,7 @@ def test_drop_folder_to_report(spark, workdir):
     write_csv(drop, "short.csv", "Order Date,Question for the guest", ["2025-09-01,Why?", "2025-09-02,no", "2025-09-02,How?"])
     write_csv(drop, "silent.csv", "Order Date,Question for the guest", ["2025-09-01,no", "2025-09-02,"])
     direct = write_report_from_exports(spark, drop, workdir + "/direct")
-    ingest_drops(spark, drop, workdir + "/table", workdir + "/ck")
+    ingest_drops(spark, drop, workdir + "/table")
     landed = write_report(read_registrations(spark, workdir + "/table"), workdir + "/landed")
     rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
     for name, read in (("stats", spark.read.parquet), ("charts", spark.read.json), ("prompts", spark.read.json), ("themes", spark.read.parquet)):
