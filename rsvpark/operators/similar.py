@@ -6,8 +6,9 @@ Answers with the same word set are one set from the start.  Candidates come
 from a prefix filter that misses no link: with words ordered from rare to
 frequent (in the event's list), two sets of sizes ``n <= m`` that link share one
 of their first ``n - ceil(t n) + 1`` words, and ``n >= t m``.  So only rare words
-are join keys, and the word every answer has never is.  Every candidate is
-verified by counting common words.
+are join keys, and the word every answer has never is.  Sets meet the centres of
+their rare words first, and only components that stay apart are compared set by
+set; every candidate is verified by counting common words.
 
 Labels (in the end the smallest row id of the component) are merged by hooking
 every label seen in a bucket (here: a link) to the bucket's smallest label and
@@ -28,6 +29,10 @@ from rsvpark.session import bucketed, materialize, shared_path, work_scope
 
 G = ["event_id", "key"]
 NUM, DEN = 7, 10        # least Jaccard similarity of linked answers
+#: The words of a set of which a linked set shares one.
+PREFIX = f"explode(slice(words, 1, cast(n - ceil({NUM} * n / {DEN}) + 1 as int))) as term"
+TURNS = 3               # rounds of comparisons with centres, at most; what they leave apart is compared after them
+MIN_FOUND = 20          # a round that finds fewer links is the last
 
 
 def word_sets(answers: DataFrame) -> DataFrame:
@@ -48,14 +53,8 @@ def word_sets(answers: DataFrame) -> DataFrame:
     return sets.join(reps, [*G, "set_id"]).drop("set_id")
 
 
-def similar_links(sets: DataFrame) -> DataFrame:
-    """``(event_id, key, a, b)``: the linked pairs of different word sets, by their reps."""
-    one = materialize(sets.where("rep = row_id").select(*G, "rep", "n", "words"), "word-set-reps")
-    keys = one.select(*G, "rep", "n", F.explode(F.expr(f"slice(words, 1, cast(n - ceil({NUM} * n / {DEN}) + 1 as int))")).alias("term"))
-    left = keys.select(*G, "term", F.col("rep").alias("a"), F.col("n").alias("na"))
-    right = keys.select(*G, "term", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    pairs = (left.join(right, [*G, "term"])
-             .where(f"(na < nb or (na = nb and a < b)) and {DEN} * na >= {NUM} * nb").select(*G, "a", "b").distinct())
+def _verified(pairs: DataFrame, one: DataFrame) -> DataFrame:
+    """Those of ``pairs(event_id, key, a, b)`` whose word sets link."""
     a = one.select(*G, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("words").alias("wa"))
     b = one.select(*G, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("words").alias("wb"))
     common = F.size(F.array_intersect("wa", "wb"))
@@ -63,6 +62,49 @@ def similar_links(sets: DataFrame) -> DataFrame:
             .where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select(*G, "a", "b"))
 
 
+def components_of(links: DataFrame) -> DataFrame:
+    """``(event_id, key, row_id, group_id)`` of the ends of ``links``."""
+    return connected_components(links.select(*G, F.explode(F.array("a", "b")).alias("row_id"), F.lit(0).alias("band"), F.array("a", "b").alias("bucket")))
+
+
+def similar_links(sets: DataFrame) -> DataFrame:
+    """``(event_id, key, a, b)``: links of word sets, by their reps, that connect the same sets as all links.
+
+    In each round every set is compared with the centres of its rare words only: of each word's sets
+    the smallest and the one that a hash of the round puts first.  What links becomes one component, and sets
+    of one component are never compared again; so a family of near copies costs its size.  When a round finds
+    little, the pairs that are still apart are compared: of different components, under the length filter.
+    """
+    one = materialize(sets.where("rep = row_id").select(*G, "rep", "n", "words"), "word-set-reps")
+    sides = materialize(one.select(*G, "rep", "n", F.expr(PREFIX)), "prefix-words")
+    found, label = None, one.select(*G, "rep", F.col("rep").alias("label"))
+    for turn in range(TURNS):
+        keys = sides.join(label, [*G, "rep"])
+        shared = keys.groupBy(*G, "term").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("c1"),
+                                              F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("c2")).where("lo <> hi")
+        centre = shared.select(*G, "term", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("c"))
+        of = label.withColumnsRenamed({"rep": "c", "label": "lc"})
+        near = (keys.join(centre.join(of, [*G, "c"]), [*G, "term"]).where("label <> lc")
+                .select(*G, F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct())
+        new = materialize(_verified(near, one), "similar-links")
+        n = new.count()
+        found = new if found is None else found.unionByName(new)
+        cc = components_of(found).select(*G, F.col("row_id").alias("rep"), "group_id")
+        label = materialize(one.select(*G, "rep").join(cc, [*G, "rep"], "left")
+                            .select(*G, "rep", F.coalesce("group_id", "rep").alias("label")), "set-labels")
+        if n < MIN_FOUND:
+            break
+    keys = sides.join(label, [*G, "rep"])
+    # only words whose sets are still in several components
+    apart = keys.groupBy(*G, "term").agg((F.min("label") != F.max("label")).alias("apart")).where("apart").select(*G, "term")
+    keys = materialize(keys.join(apart, [*G, "term"]), "prefix-words")
+    left = keys.select(*G, "term", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    right = keys.select(*G, "term", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    pairs = (left.join(right, [*G, "term"])
+             .where(f"la <> lb and (na < nb or (na = nb and a < b)) and {DEN} * na >= {NUM} * nb").select(*G, "a", "b").distinct())
+    return found.unionByName(_verified(pairs, one))
+
+
 def _jump(parent: DataFrame) -> DataFrame:
     """Pointer jumping on ``parent(g, label, parent)`` until every label
     points at a root (a label whose parent is itself or absent)."""
@@ -125,8 +167,7 @@ def _groups(answers: DataFrame) -> DataFrame:
     answers = bucketed(answers, [*G, "row_id"], "answers")
     sets = materialize(word_sets(answers), "word-sets-named")
     links = similar_links(sets)
-    members = links.select(*G, F.explode(F.array("a", "b")).alias("row_id"), F.lit(0).alias("band"), F.array("a", "b").alias("bucket"))
-    cc = connected_components(members).withColumnRenamed("row_id", "rep")
+    cc = components_of(links).withColumnRenamed("row_id", "rep")
     of = sets.select(*G, "row_id", "rep").join(cc, [*G, "rep"], "left").select(*G, "row_id", F.coalesce("group_id", "rep").alias("group_id"))
     ids = (answers.select(*G, "row_id").join(of, G + ["row_id"], "left")
            .select(*G, F.coalesce("group_id", "row_id").alias("group_id")))

@@ -110,6 +110,24 @@ def test_similar_groups_match_pairwise_comparison(spark):
     assert all(r.example == rows[r.group_id][3] for r in out)
 
 
+def test_a_family_of_near_copies_gives_links_in_proportion(spark):
+    """400 answers that all link: far fewer links than their 79,800 pairs, and one group."""
+    import random
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(30)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        w[rng.randrange(30)] = f"x{i}"
+        rows.append(("e", "speaker_q", i, " ".join(w)))
+    rows += [("e", "speaker_q", 1000 + i, " ".join(f"y{i}z{j}" for j in range(6)) + " w1 w2") for i in range(50)]
+    df = spark.createDataFrame(rows, "event_id string, key string, row_id long, answer string")
+    sets = similar.materialize(similar.word_sets(df), "t")
+    assert similar.similar_links(sets).count() < 4000
+    groups = {r.group_id: r.n_answers for r in similar.similar_groups(df).collect()}
+    assert groups == {0: 400} | {1000 + i: 1 for i in range(50)}
+
+
 def test_similar_groups_leave_one_table(spark, answers):
     import os
     from rsvpark.session import shared_path
