@@ -47,13 +47,13 @@ SHINGLE = 5
 NUM, DEN = 3, 4                 # similarity 3/4
 SEGMENTS = 0.45                 # segments of a band for each shingle of its largest set
 DELETE_UPTO = 128               # bands up to this size index one-deletion neighbourhoods
-GROUP_SHINGLES = 500_000        # shingles whose index entries are one group of buckets, on average
+GROUP_SHINGLES = 2_000_000       # shingles whose index entries are one group of buckets, on average
 MIN_GROUPS = 8
 FLUSH = 1_000_000
 FILTER_WORDS = 1 << 17
 LIGHT = 16                      # buckets with more sets ahead than this are compared as families
 SKETCH = 4                      # words of a set's parity sketch
-WIDTH = 3 + SKETCH              # columns of a set in the buckets: id, size, short, sketch
+KINDS = [np.int64, np.int32, np.int8] + [np.int64] * SKETCH     # columns of a set in the buckets: id, size, short, sketch
 BLOCK_SETS = 2000               # sets of a block of a large family
 PAIRS_AT_ONCE = 4_000_000
 COLUMNS = 1024
@@ -214,7 +214,7 @@ _PACKED = "grp long, keys binary, sets binary"
 
 
 def _packed(group, key, member, columns):
-    """One row per group: its keys, and the sets they belong to with the number of keys of each."""
+    """One row per group: its keys, and the sets they belong to (column after column) with the number of keys of each."""
     order = np.lexsort((member, group))
     group, key, member = group[order], key[order], member[order]
     cut = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
@@ -223,10 +223,10 @@ def _packed(group, key, member, columns):
     for a, b in zip(cut, ends):
         m = member[a:b]
         at = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
-        head = np.stack([*[c[m[at]] for c in columns], np.diff(np.append(at, len(m)))], axis=1).astype(np.int64)
+        head = [c[m[at]].tobytes() for c in columns]
         rows[0].append(int(group[a]))
         rows[1].append(_pack_keys(key[a:b]))
-        rows[2].append(head.tobytes())
+        rows[2].append(b"".join([*head, np.diff(np.append(at, len(m))).astype(np.int32).tobytes()]))
     return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary())], ["grp", "keys", "sets"])
 
 
@@ -274,25 +274,30 @@ def _entry_batches(parts):
                 keep = np.zeros(len(s.n), bool)
                 keep[new] = True
                 t = Sets(s.h[keep[s.doc]], np.concatenate(([0], np.cumsum(s.n[keep]))))
-                pack.add(t, [sid[keep], t.n])
+                pack.add(t, [sid[keep], t.n.astype(np.int32)])
                 if pack.size >= FLUSH:
                     yield from pack.flush()
         yield from pack.flush()
     return run
 
 
-def _unpack(table, width):
+def _unpack(table, kinds):
     keys, heads = [], []
+    each = sum(np.dtype(k).itemsize for k in kinds) + 4
     for k, h in zip(table.column("keys"), table.column("sets")):
-        head = np.frombuffer(h.as_py(), np.int64).reshape(-1, width + 1)
+        raw = h.as_py()
+        m, at, cols = len(raw) // each, 0, []
+        for kind in [*kinds, np.int32]:
+            cols.append(np.frombuffer(raw, kind, m, at))
+            at += m * np.dtype(kind).itemsize
         keys.append(_unpack_keys(k.as_py()))
-        heads.append(np.repeat(head[:, :width], head[:, width], axis=0))
+        heads.append(np.repeat(np.stack([c.astype(np.int64) for c in cols[:-1]], axis=1), cols[-1], axis=0))
     return np.concatenate(keys), np.concatenate(heads)
 
 
-def _buckets(table, width):
+def _buckets(table, kinds):
     """Entries of buckets with two sets or more, by bucket, then size and id; equal entries once."""
-    key, head = _unpack(table, width)
+    key, head = _unpack(table, kinds)
     order = np.argsort(key)
     k = key[order] >> np.uint64(2)
     new = np.concatenate(([True], k[1:] != k[:-1]))
@@ -312,14 +317,47 @@ def _runs_of(bucket):
     return start, np.diff(np.append(start, len(bucket)))
 
 
-def _meet(key_of, table):
+MET = "own", "own2", "low", "low2", "mem"
+
+
+def _meet(parts: int):
     """Per set: the segments of a group of buckets in which it met a smaller set, by role, and those of its own
-    band that any other set shares."""
-    key, head = _buckets(table, 2)
+    band that any other set shares; packed by the hash of the set."""
+    def run(key_of, table):
+        ids, sums = _met(table)
+        place = (mix(ids.view(np.uint64) ^ _C2) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        at = np.searchsorted(place[order], np.arange(parts + 1))
+        rows = [(p, ids[o].tobytes() + b"".join(x[o].astype(np.int32).tobytes() for x in sums))
+                for p in range(parts) if len(o := order[at[p]:at[p + 1]])]
+        return pa.table({"place": pa.array([r[0] for r in rows], pa.int64()), "met": pa.array([r[1] for r in rows], pa.binary())})
+    return run
+
+
+def _sum_met(place, table):
+    """The packed counts of a share of the sets, summed by set."""
+    each = 8 + 4 * len(MET)
+    ids, sums = [], []
+    for raw in table.column("met"):
+        raw = raw.as_py()
+        m = len(raw) // each
+        ids.append(np.frombuffer(raw, np.int64, m))
+        sums.append(np.frombuffer(raw, np.int32, m * len(MET), 8 * m).reshape(len(MET), m))
+    ids, inv = np.unique(np.concatenate(ids), return_inverse=True)
+    sums = np.concatenate(sums, axis=1)
+    out = {"sid": pa.array(ids)}
+    for name, x in zip(MET, sums):
+        out[f"h_{name}"] = pa.array(np.bincount(inv, weights=x, minlength=len(ids)).astype(np.int64))
+    return pa.table(out)
+
+
+def _met(table):
+    """Ids of the sets of a group that share a segment, and their counts in the order of ``MET``."""
+    key, head = _buckets(table, KINDS[:2])
     start, size = _runs_of(key >> np.uint64(2))
-    names = ["sid", "own", "own2", "low", "low2", "mem"]
     if not len(start):
-        return pa.schema([(c, pa.int64()) for c in names]).empty_table()
+        z = np.zeros(0, np.int64)
+        return z, [z] * len(MET)
     sid, role = head[:, 0], (key & np.uint64(3)).astype(np.int64)
     pos, none = np.arange(len(key)), len(key)
     meets = {}
@@ -331,12 +369,12 @@ def _meet(key_of, table):
     v1 = (plain & meets[OWN_DEL]) | (~plain & meets[OWN])
     ids, inv = np.unique(sid, return_inverse=True)
     sums = [np.bincount(inv, weights=x, minlength=len(ids)).astype(np.int64) for x in (v0 & ~low, v1 & ~low, v0 & low, v1 & low, role == OWN)]
-    return pa.table(dict(zip(names, map(pa.array, [ids, *sums]))))
+    return ids, sums
 
 
 def _price(key_of, table):
     """Per bucket that a set short of credits met: the number of sets it would be compared with."""
-    key, head = _buckets(table, WIDTH)
+    key, head = _buckets(table, KINDS)
     out = pa.schema([("sid", pa.int64()), ("grp", pa.int64()), ("key", pa.int64()), ("low", pa.bool_()), ("deletion", pa.bool_()), ("cost", pa.int64())])
     start, size = _runs_of(key >> np.uint64(2))
     if not len(start):
@@ -365,7 +403,7 @@ def _pay(key_of, table, chosen):
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     if not chosen.num_rows or not table.num_rows:
         return out.empty_table()
-    key, head = _buckets(table, WIDTH)
+    key, head = _buckets(table, KINDS)
     sid, n, sketch = head[:, 0], head[:, 1], np.ascontiguousarray(head[:, 3:])
     role = (key & np.uint64(3)).astype(np.int64)
     start, size = _runs_of(key >> np.uint64(2))
@@ -395,7 +433,7 @@ def _crowds(key_of, table, chosen):
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     if not chosen.num_rows or not table.num_rows:
         return out.empty_table()
-    key, head = _buckets(table, WIDTH)
+    key, head = _buckets(table, KINDS)
     bucket = key >> np.uint64(2)
     use = np.isin(bucket, np.unique(chosen.column("key").to_numpy().view(np.uint64) >> np.uint64(2)))
     bucket, ids, of = bucket[use], *np.unique(head[use, 0], return_inverse=True)
@@ -546,10 +584,10 @@ def _credit_batches(batches):
 
 def _active_batches(parts):
     def run(batches):
-        pack = _Packer(parts, WIDTH)
+        pack = _Packer(parts, len(KINDS))
         for b in batches:
             s = _sets_in(b)
-            pack.add(s, [b.column(0).to_numpy(), s.n, b.column(3).to_numpy(zero_copy_only=False).astype(np.int64), *sketches(s).T])
+            pack.add(s, [b.column(0).to_numpy(), s.n.astype(np.int32), b.column(3).to_numpy(zero_copy_only=False).astype(np.int8), *sketches(s).T])
             if pack.size >= FLUSH:
                 yield from pack.flush()
         yield from pack.flush()
@@ -697,9 +735,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     needs = _needs(reps)
 
     texts = d.where("doc_id is not null").select("text")
-    met = (texts.mapInArrow(_entry_batches(parts), _PACKED).groupBy("grp")
-           .applyInArrow(_meet, "sid long, own long, own2 long, low long, low2 long, mem long")
-           .groupBy("sid").agg(*[F.sum(c).alias(f"h_{c}") for c in ("own", "own2", "low", "low2", "mem")]))
+    met = (texts.mapInArrow(_entry_batches(parts), _PACKED).groupBy("grp").applyInArrow(_meet(parts), "place long, met binary")
+           .groupBy("place").applyInArrow(_sum_met, "sid long, " + ", ".join(f"h_{c} long" for c in MET)))
     hits = materialize(met, "ngram-met")
 
     def lacks(c):
