@@ -2,8 +2,9 @@
 
 ``write_exports`` writes one CSV per event (order status and month) under the
 shared folder: header wording, column order and extra columns vary with the
-month, some cells hold missing-value tokens, and one month's exports have no
-status and ticket columns.  The queries read those files with the CSV source.
+month, some cells hold missing-value tokens or quotes that open no cell, dates
+are ISO, day first or with a zone, and one month's exports have no status and
+ticket columns.  The queries read those files with the CSV source.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ LAYOUTS = [
     ["speaker_q", "role", "order_date", "total_paid", "ticket_type", "attendee_status", "note", "future_topics", "experience", "session_goals"],
     ["future_topics", "experience", "note", "note2", "order_date", "role", "session_goals", "speaker_q", "ticket_type", "total_paid", "attendee_status"],
 ]
+DATES = ["yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss"]     # by layout
+ZONE = "+10:00"                 # written after the dates of the third layout
 LACKING_MONTH = 7               # its exports have no status and ticket columns
 LACKING = ("attendee_status", "ticket_type")
 TOKEN_KEYS = ("role", "experience", "future_topics")
@@ -58,7 +61,8 @@ def write_exports(reg: DataFrame, path: str) -> str:
     e = _event(reg)
     quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     cell = {k: F.col(k) for k in K.KEYS if k != "order_date"}
-    cell["order_date"] = F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss")
+    dates = [F.date_format("order_ts", form) for form in DATES]
+    cell["order_date"] = F.when(F.col("month") % 3 == 0, dates[0]).when(F.col("month") % 3 == 1, dates[1]).otherwise(F.concat(dates[2], F.lit(ZONE)))
     cell["total_paid"] = F.col("total_paid").cast("string")
     for at, k in enumerate(TOKEN_KEYS):
         cell[k] = _with_tokens(cell[k], at)
@@ -68,13 +72,15 @@ def write_exports(reg: DataFrame, path: str) -> str:
         for lacking in (False, True):
             use = [k for k in keys if not (lacking and k in LACKING)]
             here = (F.col("month") % 3 == i) & ((F.col("month") == LACKING_MONTH) == F.lit(lacking))
-            line = F.concat_ws(",", *[F.when(cell[k].isNull(), F.lit("")).otherwise(quote(cell[k])) for k in use])
+            # a quote inside a cell that none opens is text, and hides no comma after it
+            bare = F.concat(F.lit('5" by 6" no '), F.col("row_id"))
+            line = F.concat_ws(",", *[bare if k == "note" and i == 1 else F.when(cell[k].isNull(), F.lit("")).otherwise(quote(cell[k])) for k in use])
             head = ",".join(f'"{HEADERS[k][i]}"' if k in HEADERS else k for k in use)
             lines, heads = F.when(here, line).otherwise(lines), F.when(here, F.lit(head)).otherwise(heads)
     body = e.select("event", F.col("row_id").alias("ord"), lines.alias("value"))
     top = e.groupBy("event", "month").agg(F.lit(-1).cast("long").alias("ord")).select("event", "ord", heads.alias("value"))
     (body.unionByName(top).repartition("event").sortWithinPartitions("event", "ord").select("event", "value")
-     .write.mode("overwrite").partitionBy("event").text(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event").text(path))
     return path
 
 
@@ -95,13 +101,13 @@ def _files(spark, path: str) -> list[str]:
     return sorted(out)
 
 
-def _exports(spark, sf_dir):
+def _exports(spark, sf_dir, overrides: dict[str, str] | None = None):
     """The exports of a landing, written once and read back."""
     landing = land_reg(spark, sf_dir)
-    path = f"{landing}-exports-{landing_version(spark, landing)}"
+    path = f"{landing}-exports-2-{landing_version(spark, landing)}"
     if not path_exists(spark, path + "/_SUCCESS"):
         write_exports(load_reg(spark, sf_dir), path)
-    return load_exports(spark, _files(spark, path), key=event_of_folder)
+    return load_exports(spark, _files(spark, path), overrides, key=event_of_folder)
 
 
 # ---------------------------------------------------------------------------
@@ -121,11 +127,16 @@ def _cell_sql(k: str) -> str:
 
 
 _EV = "event_id || '-' || strftime(order_ts, '%Y-%m')"
+# The order of day and month is the file's: without a day past the 12th, a day-first file reads as month first.
+_READ_TS = f"""CASE WHEN month(order_ts) % 3 = 1 AND max(day(order_ts)) OVER (PARTITION BY {_EV}) <= 12
+  THEN make_timestamp(year(order_ts), day(order_ts), month(order_ts), hour(order_ts), minute(order_ts), second(order_ts)::DOUBLE)
+  ELSE order_ts END"""
 _TEXT_KEYS = ["attendee_status", "ticket_type", "role", "experience", "session_goals", "speaker_q", "future_topics"]
 
 
 @register("csv_round_trip", O.with_reg() + f"""
-SELECT {_EV} AS event_id, order_ts, CAST(total_paid AS DECIMAL(18,2)) AS total_paid,
+SELECT {_EV} AS event_id, {_READ_TS} AS order_ts, CASE WHEN month(order_ts) % 3 = 2 THEN '{ZONE}' END AS order_zone,
+  CAST(total_paid AS DECIMAL(18,2)) AS total_paid,
   {", ".join(f"{_cell_sql(k)} AS {k}" for k in _TEXT_KEYS)},
   month(order_ts) <> {LACKING_MONTH} AS has_attendee_status, month(order_ts) <> {LACKING_MONTH} AS has_ticket_type,
   true AS has_role
@@ -133,7 +144,7 @@ FROM reg""")
 def q_csv_round_trip(spark, sf_dir):
     """Every registration, back from its event's export."""
     return _exports(spark, sf_dir).registrations.select(
-        "event_id", "order_ts", "total_paid", *_TEXT_KEYS, "has_attendee_status", "has_ticket_type", "has_role")
+        "event_id", "order_ts", "order_zone", "total_paid", *_TEXT_KEYS, "has_attendee_status", "has_ticket_type", "has_role")
 
 
 def _header_rows_sql() -> str:
@@ -175,3 +186,50 @@ def q_missing_keys(spark, sf_dir):
     m = _exports(spark, sf_dir).missing
     return m.select(event_of_folder("file_path").alias("event_id"), F.array_join("missing", ",").alias("missing"),
                     F.array_join("available", "|").alias("available"))
+
+
+# A4: the first names a header of every export, the second only of some layouts, the third of none.
+OVERRIDES = {"role": "note", "experience": "Future ideas", "speaker_q": "No such header"}
+_OV_ROWS = ", ".join(f"({O.lit(k)}, {O.lit(h)})" for k, h in OVERRIDES.items())
+
+
+@register("override_map", O.with_reg(
+    *_MAP_CTES, f"ov(key, header) AS (VALUES {_OV_ROWS})",
+    "oh AS (SELECT eh.event_id, ov.key, eh.header, min(eh.pos) AS pos FROM eh JOIN ov USING (header) GROUP BY ALL)") + """
+SELECT event_id, key, header, CAST(pos AS INTEGER) AS pos, 'override' AS source FROM oh
+UNION ALL
+SELECT mp.event_id, mp.key, mp.header, CAST(mp.pos AS INTEGER), 'hint' FROM mp
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM oh WHERE oh.event_id = mp.event_id AND oh.key = mp.key)
+UNION ALL
+SELECT ev.event_id, ov.key, ov.header, NULL, 'no such header' FROM ev CROSS JOIN ov
+WHERE NOT EXISTS (SELECT 1 FROM eh WHERE eh.event_id = ev.event_id AND eh.header = ov.header)""")
+def q_override_map(spark, sf_dir):
+    """A4: the column of each key where overrides win if the file has their header; wrong ones are reported."""
+    e = _exports(spark, sf_dir, OVERRIDES)
+    rows = F.broadcast(spark.createDataFrame(list(OVERRIDES.items()), "key string, override string"))
+    m = e.column_map.join(rows, "key", "left").select(
+        event_of_folder("file_path").alias("event_id"), "key", "header", F.col("pos").cast("int").alias("pos"),
+        F.when(F.col("header") == F.col("override"), F.lit("override")).otherwise(F.lit("hint")).alias("source"))
+    wrong = e.wrong_overrides.select(event_of_folder("file_path").alias("event_id"), "key", "header", F.lit(None).cast("int").alias("pos"),
+                                     F.lit("no such header").alias("source"))
+    return m.unionByName(wrong)
+
+
+@register("drop_replaced", O.with_reg() + f"""
+SELECT {_EV} AS event_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(total_paid) AS DECIMAL(28,2)) AS total_paid
+FROM reg WHERE month(order_ts) % 2 = 0 OR row_id % 2 = 0 GROUP BY 1""")
+def q_drop_replaced(spark, sf_dir):
+    """Exports of every other row land; those of even months are written again whole and replace their events."""
+    import uuid
+
+    from rsvpark.session import _keep, shared_path
+    from rsvpark.streaming.ingest import ingest_drops, read_registrations
+    where = shared_path(spark, "rsvpark-work", f"drops-{uuid.uuid4().hex}")
+    _keep(spark, where)
+    drop, table = f"{where}/drop", f"{where}/table"
+    reg, read = load_reg(spark, sf_dir), {"pattern": "*.txt", "key": event_of_folder}
+    for version in (reg.where("row_id % 2 = 0"), reg.where("month(order_ts) % 2 = 0")):
+        write_exports(version, drop)
+        ingest_drops(spark, drop, table, **read)
+    return (read_registrations(spark, table).groupBy("event_id")
+            .agg(F.count("*").alias("n"), F.sum("total_paid").cast("decimal(28,2)").alias("total_paid")))

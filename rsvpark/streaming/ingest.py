@@ -44,16 +44,16 @@ def _plain_path(spark: SparkSession, uri: str) -> str:
     return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
 
 
-def dropped_files(spark: SparkSession, drop_dir: str) -> DataFrame:
+def dropped_files(spark: SparkSession, drop_dir: str, pattern: str = "*.csv", key=event_key) -> DataFrame:
     """``(listed, event_id, file_version)`` of every export in the drop folder; only its listing is read."""
     p, fs = _path(spark, drop_dir)
     if not fs.exists(p):
         return spark.createDataFrame([], "listed string, event_id string, file_version string")
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(drop_dir)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(drop_dir)
              .select(F.col("_metadata.file_path").alias("listed"), F.col("_metadata.file_modification_time").alias("written"),
                      F.col("_metadata.file_size").alias("length")))
     version = F.sha2(F.concat_ws("|", "listed", F.unix_micros("written"), "length"), 256)
-    return files.select("listed", event_key("listed").alias("event_id"), F.substring(version, 1, 20).alias("file_version"))
+    return files.select("listed", key("listed").alias("event_id"), F.substring(version, 1, 20).alias("file_version"))
 
 
 def landed_versions(spark: SparkSession, table_path: str) -> DataFrame:
@@ -71,10 +71,10 @@ def _write_versions(df: DataFrame, table_path: str) -> None:
     df.select("event_id", "source_file", "file_version", "run", "gone").coalesce(1).write.mode("append").parquet(table_path.rstrip("/") + "-versions")
 
 
-def _write_batch(spark: SparkSession, files: list, table_path: str, run: int, overrides, on_bad: str) -> None:
+def _write_batch(spark: SparkSession, files: list, table_path: str, run: int, overrides, on_bad: str, key) -> None:
     """Land the rows of ``files`` (listed, event_id, file_version), then make them current."""
     paths = [_plain_path(spark, f.listed) for f in files]
-    e = load_exports(spark, sorted(paths), overrides, on_bad)
+    e = load_exports(spark, sorted(paths), overrides, on_bad, key)
     version = spark.createDataFrame([(f.event_id, f.file_version) for f in files], "event_id string, file_version string")
     regs = e.registrations.select(*REG_COLUMNS, "source_file", *HAS_COLUMNS, "order_zone").join(version, "event_id")
     # the same version again (after a run that stopped) replaces its own folder
@@ -98,12 +98,14 @@ def _remove_stale(spark: SparkSession, events: list[tuple[str, str]], table_path
 
 
 def ingest_drops(spark: SparkSession, drop_dir: str, table_path: str, overrides: dict[str, str] | None = None,
-                 on_bad: str = "fail", max_files: int = MAX_FILES, drop_deleted: bool = False) -> int:
+                 on_bad: str = "fail", max_files: int = MAX_FILES, drop_deleted: bool = False,
+                 pattern: str = "*.csv", key=event_key) -> int:
     """Land every export that is new or changed since the last run; the number of files that were.
 
-    At most ``max_files`` are read at a time, so what the driver holds is bounded by a batch.
+    At most ``max_files`` are read at a time, so what the driver holds is bounded by a batch.  Folders below
+    the drop folder count too; ``pattern`` says which files are exports, ``key`` gives a path's event key.
     """
-    listed = materialize(dropped_files(spark, drop_dir), "drops")
+    listed = materialize(dropped_files(spark, drop_dir, pattern, key), "drops")
     check_collisions(listed.select("event_id", F.col("listed").alias("source_file")))
     before = materialize(landed_versions(spark, table_path), "drop-versions")
     run = int(before.agg(F.max("run")).first()[0] or 0) + 1
@@ -113,7 +115,7 @@ def ingest_drops(spark: SparkSession, drop_dir: str, table_path: str, overrides:
     n = changed.count()
     for i in range(-(-n // max_files)):
         part = changed.orderBy("batch", "listed").offset(i * max_files).limit(max_files).collect()
-        _write_batch(spark, part, table_path, run, overrides, on_bad)
+        _write_batch(spark, part, table_path, run, overrides, on_bad, key)
         _remove_stale(spark, [(f.event_id, f.old_version) for f in part if f.old_version], table_path)
     if drop_deleted:
         gone = before.join(listed.select("event_id"), "event_id", "left_anti")
