@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 
@@ -38,7 +39,14 @@ EMPTY_MEMBER = MAGIC + b"\x00" * 5 + b"\x00\x03" + b"\x03\x00" + b"\x00" * 8
 FIXED_DATE = "1970-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
-RECORD = "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long"
+RECORD = ("page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long, "
+          "record_id string, digest_ok boolean")
+#: Archives are read as they are, in byte ranges, whatever their names say.  Hadoop takes the codec of the last suffix
+#: that sorts before a name, if the name ends in it; a suffix that sorts right after ``.gz`` and fits no archive's name leaves
+#: ``x.gz`` without a codec.  The key stands twice: as Hadoop has it, and as Spark's own build of Hadoop does.
+AS_IT_IS = {"io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec"} | {
+    f"{prefix}io.compress.passthrough.extension": "!.gz" for prefix in ("", "org.apache.hadoop.shaded.")}
+_UNPACKED = r"([\x00-!]|%[01][0-9A-F]|%2[01])\.(?i:gz)$"        # the names that the suffix does not shield
 
 
 def digest(payload: bytes) -> str:
@@ -161,22 +169,34 @@ def parse_record(raw: bytes):
         return None
     if len(rest) < n:
         return None
-    payload = rest[:n].partition(b"\r\n\r\n")[2]
-    num = lambda v: int(v[10:-1]) if v.startswith("<urn:page:") else None
+    block = rest[:n]
+    payload = block.partition(b"\r\n\r\n")[2] if fields.get("content-type", "").startswith("application/http") else block
     url = None if "x-no-uri" in fields else fields.get("warc-target-uri", "")
-    stated = fields.get("warc-payload-digest", "").removeprefix("sha1:")
+    name, stated = fields.get("warc-record-id", ""), fields.get("warc-payload-digest", "")
     if kind == "revisit":
-        return (num(fields.get("warc-record-id", "")), url, kind, None, int(fields.get("x-payload-length", 0)), stated,
-                num(fields.get("warc-refers-to", "")))
+        return (_page(name), url, kind, None, _whole(fields.get("x-payload-length")), stated.removeprefix("sha1:") or None,
+                _page(fields.get("warc-refers-to", "")), name or None, None)
     own = digest(payload)
-    if stated and stated != own:
-        raise ValueError(f"payload digest {own} differs from the stated {stated}")
-    return (num(fields.get("warc-record-id", "")), url, kind, payload, len(payload), own, None)
+    # another algorithm's digest is not compared
+    ok = stated.removeprefix("sha1:").upper() == own if stated.startswith("sha1:") else None
+    return (_page(name), url, kind, payload, len(payload), own, None, name or None, ok)
 
 
+def _whole(v: str | None) -> int | None:
+    return int(v) if v and v.isdecimal() else None
+
+
+def _page(v: str) -> int | None:
+    """The page id in an id that ``write`` gave; None for ids of others."""
+    found = _PAGE.fullmatch(v)
+    return int(found[1]) if found else None
+
+
+_PAGE = re.compile(r"<urn:page:(-?\d+)>")
+_N = len(RECORD.split(", "))
 _READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload", pa.binary()),
-                   ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()),
-                   ("file", pa.string()), ("at", pa.int64()), ("seq", pa.int64()), ("piece", pa.binary())])
+                   ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()),
+                   ("digest_ok", pa.bool_()), ("file", pa.string()), ("at", pa.int64()), ("seq", pa.int64()), ("piece", pa.binary())])
 
 
 def _decode(pieces):
@@ -245,7 +265,7 @@ def _read_batches(batches):
             row = (*item[1], None, None, None, None)
             size += len(item[1][3] or b"")
         else:
-            row = (None,) * 7 + (key[0], key[1], item[1], item[2])
+            row = (None,) * _N + (key[0], key[1], item[1], item[2])
             size += len(item[2])
         for c, v in zip(cols, row):
             c.append(v)
@@ -273,18 +293,26 @@ def _stitch(key, batches):
         rows += zip(b.column("at").to_pylist(), b.column("seq").to_pylist(), b.column("piece").to_pylist())
     rows.sort(key=lambda r: (r[0], r[1]))
     out = [item[1] for item in _decode(iter([(i, r[2]) for i, r in enumerate(rows)])) if item[0] == "record"]
-    schema = pa.schema([_READ.field(i) for i in range(7)])
-    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], schema.field(i).type) for i in range(7)], schema=schema)
+    schema = pa.schema([_READ.field(i) for i in range(_N)])
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], schema.field(i).type) for i in range(_N)], schema=schema)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """All records under ``path`` as ``RECORD`` columns, one row each, in no order.
 
-    A response's payload is checked against its stated digest (a mismatch
-    fails the job); a revisit has a null payload and states the length and
-    digest of the payload it stands for.
+    ``digest_ok`` says whether a payload has its stated SHA-1 (null where none, or
+    another algorithm's, is stated); a revisit has a null payload and states the
+    digest of the payload it stands for (and its length, in archives of ``write``).
+    Records of any kind and writer are read: a payload is what follows the HTTP
+    header of an HTTP record, the whole block of others.  ``page_id`` and
+    ``refers_to`` are those that ``write`` gave, null for ids of others, which
+    ``record_id`` has.  Files named ``.gz`` give the same records, by byte ranges
+    like others; a name with a blank or ``!`` before ``.gz`` fails, as it would be
+    unpacked on the way.
     """
-    raw = (spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    raw = (spark.read.options(**AS_IT_IS).option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+           .where(F.when(F.col("_metadata.file_name").rlike(_UNPACKED), F.raise_error(F.concat(F.lit("rename this archive: "), "_metadata.file_path")))
+                  .otherwise(F.lit(True)))
            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
                    F.col("value").cast("binary").alias("piece")))
     from rsvpark.session import materialize

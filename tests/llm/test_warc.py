@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import zlib
 
@@ -113,3 +114,59 @@ def test_false_magic_inside_a_member():
 def test_query_matches_brute_force(spark):
     pages = [(r.page_id, r.html) for r in table(spark, SF_SMALL, "pages").collect()]
     assert got(QUERIES["op5_warc"](spark, SF_SMALL)) == expected(pages)
+
+
+def _archive(records):
+    return b"".join(warc.member(r, 6) for r in records)
+
+
+def _foreign(kind, body, **more):
+    head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:00000000-0000-0000-0000-00000000000a>", "WARC-Date": "2024-01-01T00:00:00Z", **more,
+            "Content-Length": str(len(body))}
+    return ("WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items())).encode() + b"\r\n" + body + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("name", ["x.warc.gz", "x.gz", "X.GZ", "plain", "x.warc"])
+def test_the_name_of_an_archive_does_not_matter(spark, workdir, name):
+    """The same bytes, in ranges of 4 kB, with magics inside members."""
+    rng = random.Random(8)
+    pages = [(i, "".join(rng.choice("abc \x1f") for _ in range(rng.randrange(3000)))) for i in range(60)]
+    with open(f"{workdir}/{name}", "wb") as f:
+        f.write(_archive([warc.record_bytes(i, "u", h.encode(), None, False) for i, h in pages]))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = warc.read(spark, f"{workdir}/{name}").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.page_id, r.payload.decode()) for r in rows) == sorted(pages) and all(r.digest_ok for r in rows)
+    for other in ("x !.gz", "x .gz"):
+        os.rename(f"{workdir}/{name}", f"{workdir}/{other}")
+        name = other
+        with pytest.raises(Exception, match="rename this archive"):
+            warc.read(spark, f"{workdir}/{other}").collect()
+
+
+def test_foreign_records_are_rows_with_a_flag(spark, workdir):
+    http = "application/http;msgtype=response"
+    good = warc.digest(b"hello")
+    records = [
+        _foreign("warcinfo", b"software: x\r\n", **{"Content-Type": "application/warc-fields"}),
+        _foreign("response", warc.HTTP + b"hello", **{"Content-Type": http, "WARC-Payload-Digest": f"sha1:{good.lower()}"}),
+        _foreign("response", warc.HTTP + b"hello", **{"Content-Type": http, "WARC-Payload-Digest": "sha1:" + "A" * 32}),
+        _foreign("response", warc.HTTP + b"hello", **{"Content-Type": http, "WARC-Payload-Digest": "sha256:abcd"}),
+        _foreign("request", b"GET / HTTP/1.1\r\n\r\n", **{"Content-Type": "application/http;msgtype=request"}),
+        _foreign("resource", b"a\r\n\r\nb", **{"Content-Type": "text/plain"}),
+        _foreign("revisit", warc.HTTP, **{"Content-Type": http, "WARC-Payload-Digest": f"sha1:{good}", "WARC-Refers-To": "<urn:uuid:1>"}),
+        _foreign("metadata", b"", **{"X-Payload-Length": "many"})]
+    with open(f"{workdir}/f.warc.gz", "wb") as f:
+        f.write(_archive(records))
+    rows = warc.read(spark, f"{workdir}/f.warc.gz").collect()
+    got_rows = sorted(((r.record_type, r.payload, r.payload_bytes, r.payload_digest, r.digest_ok, r.page_id, r.refers_to) for r in rows), key=str)
+    d = warc.digest
+    assert got_rows == sorted([
+        ("warcinfo", b"software: x\r\n", 13, d(b"software: x\r\n"), None, None, None), ("response", b"hello", 5, good, True, None, None),
+        ("response", b"hello", 5, good, False, None, None), ("response", b"hello", 5, good, None, None, None),
+        ("request", b"", 0, d(b""), None, None, None), ("resource", b"a\r\n\r\nb", 6, d(b"a\r\n\r\nb"), None, None, None),
+        ("revisit", None, None, good, None, None, None), ("metadata", b"", 0, d(b""), None, None, None)], key=str)
+    assert {r.record_id for r in rows} == {"<urn:uuid:00000000-0000-0000-0000-00000000000a>"}
