@@ -288,20 +288,18 @@ def q_event_stats(spark, sf_dir):
     return report.event_stats(k, timeline.peak_day(reg), mode)
 
 
-def _cap_sql(t: str) -> str:
-    n = K.INSIGHT_MAX_CHARS
-    return f"CASE WHEN length({t}) < {n} THEN {t} ELSE substr({t}, 1, {n - 2}) || {O.lit(K.ELLIPSIS)} END"
-
-
 _TL = ("CASE WHEN p.peak_day IS NULL THEN '' ELSE 'Registrations peaked on ' || p.peak_label || ' with ' || "
        "CAST(p.peak_n AS VARCHAR) || ' sign-ups (' || CAST(p.peak_pct AS VARCHAR) || '% of ' || "
        "CAST(p.total AS VARCHAR) || ').' END")
-_RL = (f"CASE WHEN r.label IS NULL THEN '' ELSE {O.shorten('r.label')} || ' is the most picked role (' || "
-       "CAST(r.n AS VARCHAR) || ' picks across ' || CAST(p.total AS VARCHAR) || ' registrations).' END")
+_REST = "(' is the most picked role (' || CAST(r.n AS VARCHAR) || ' picks across ' || CAST(p.total AS VARCHAR) || ' registrations).')"
+_SHORT, _ROOM = O.shorten("r.label"), f"({K.INSIGHT_MAX_CHARS - 1} - length({_REST}))"
+# the label gives way, not the numbers
+_RL = (f"CASE WHEN r.label IS NULL THEN '' WHEN length({_SHORT}) <= {_ROOM} THEN {_SHORT} || {_REST} "
+       f"ELSE substr({_SHORT}, 1, {_ROOM} - 1) || {O.lit(K.ELLIPSIS)} || {_REST} END")
 
 
 @register("insights", O.with_reg(*PEAK_CTES, RS) + f"""
-SELECT p.event_id, {_cap_sql(_TL)} AS timeline_insight, {_cap_sql(_RL)} AS role_insight
+SELECT p.event_id, {_TL} AS timeline_insight, {_RL} AS role_insight
 FROM p LEFT JOIN rs r ON r.event_id = p.event_id AND r.pos = 1""")
 def q_insights(spark, sf_dir):
     reg = _reg(spark, sf_dir)

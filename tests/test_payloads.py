@@ -120,3 +120,22 @@ def test_drop_folder_to_report(spark, workdir):
     store = stored_themes(spark, f"{workdir}/landed/theme-store-{version()}")
     assert pending_events(read_registrations(spark, workdir + "/table"), store).count() == 0
     assert "silent" not in {r.event_id for r in spark.read.parquet(landed["themes"]).collect()}
+
+
+def test_insights_sql_cuts_long_labels_like_the_code(spark):
+    import duckdb
+
+    from rsvpark.operators import report
+    from rsvpark.plans import more_queries as M
+    labels = {"short": "Ops", "words": " ".join(["quite"] * 9), "long": "x" * 300, "edge": "y" * 112, "over": "z" * 113, "none": None}
+    rows = [(e, None, "Mon Sep 01", 3, 30, 10) for e in labels]
+    peak = spark.createDataFrame(rows, "event_id string, peak_day date, peak_label string, peak_n long, peak_pct int, total long")
+    roles = spark.createDataFrame([(e, v, 7, 1) for e, v in labels.items() if v], "event_id string, label string, n long, pos long")
+    got = {r.event_id: r.role_insight for r in report.insights(peak, roles).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (event_id VARCHAR, peak_day DATE, peak_label VARCHAR, peak_n BIGINT, peak_pct INT, total BIGINT)")
+    con.execute("CREATE TABLE r (event_id VARCHAR, label VARCHAR, n BIGINT, pos BIGINT)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?, ?, ?, ?)", rows)
+    con.executemany("INSERT INTO r VALUES (?, ?, 7, 1)", [(e, v) for e, v in labels.items() if v])
+    want = dict(con.execute(f"SELECT p.event_id, {M._RL} FROM p LEFT JOIN r ON r.event_id = p.event_id AND r.pos = 1").fetchall())
+    assert got == want and all(len(v) < 160 for v in got.values()) and got["long"].endswith("registrations).") and "…" in got["over"]
