@@ -157,3 +157,28 @@ def test_statistics_of_simple_texts():
     assert x["log_words"] == np.log1p(5) and abs(x["same_as_before"] - 2 / 5) < 1e-12 and abs(x["distinct_words"] - 3 / 5) < 1e-12
     assert abs(x["dup_lines"] - 1 / 3) < 1e-12 and x["marked_words"] == 2 / 5
     assert not Q.statistics(pa.array([None, "", "  "])).any()
+
+
+def test_ridge_equals_a_direct_solve(spark):
+    """Weights from partition sums against one least-squares problem over the collected rows."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    m = Q.fit(docs, labels)
+    sample = training_sample(labels, "quality", Q.MOD, Q.HELD_OUT, Q.MAX_LABELS).selectExpr("doc_id", "cast(y as double) as y")
+    rows = (docs.select("doc_id", "text").join(sample, "doc_id").selectExpr("text", "y", "pmod(xxhash64(doc_id, 'calibrate'), 5) = 0 as held").collect())
+    x = Q.statistics(pa.array([r.text for r in rows]))
+    y, held = np.array([r.y for r in rows]), np.array([r.held for r in rows])
+    assert np.allclose(m.mean, x.mean(0)) and np.allclose(m.scale, np.where(x.std(0) < 1e-9, 1, x.std(0)))
+    w = np.where(y > 0, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))[~held]
+    f = m.features(x[~held])
+    # ridge as least squares with a row of sqrt(RIDGE) per weight
+    a = np.concatenate([f * np.sqrt(w)[:, None], np.sqrt(Q.RIDGE) * np.eye(f.shape[1])])
+    b = np.concatenate([y[~held] * np.sqrt(w), np.zeros(f.shape[1])])
+    assert np.allclose(m.weights, np.linalg.lstsq(a, b, rcond=None)[0], atol=1e-6)
+    # calibration: the least-squares monotone fit of labels on binned raw scores, by trying every block of bins
+    r = np.round(m.raw(x[held]) * Q.BINS) / Q.BINS
+    knots = np.unique(r)
+    assert np.allclose(m.knots, knots) and (np.diff(m.values) >= 0).all()
+    per = [y[held][r == k] for k in knots]
+    for i in range(0, len(knots), max(1, len(knots) // 12)):
+        low = max(min(np.concatenate(per[s:e + 1]).mean() for e in range(i, len(per))) for s in range(i + 1))
+        assert abs(m.values[i] - low) < 1e-9
