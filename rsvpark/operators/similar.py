@@ -8,7 +8,10 @@ frequent (in the event's list), two sets of sizes ``n <= m`` that link share one
 of their first ``n - ceil(t n) + 1`` words, and ``n >= t m``.  So only rare words
 are join keys, and the word every answer has never is.  Sets meet the centres of
 their rare words first, and only components that stay apart are compared set by
-set; every candidate is verified by counting common words.
+set.  Sets that meet are counted by their ids before any word list moves: all
+common words up to the end of the prefix that ends first lie in both prefixes,
+so the count and what that set has left bound the common words, and a pair that
+cannot link ends there.  The rest is verified by counting common words.
 
 Labels (in the end the smallest row id of the component) are merged by hooking
 every label seen in a bucket (here: a link) to the bucket's smallest label and
@@ -29,37 +32,57 @@ from rsvpark.session import bucketed, materialize, shared_path, work_scope
 
 G = ["event_id", "key"]
 NUM, DEN = 7, 10        # least Jaccard similarity of linked answers
-#: The words of a set of which a linked set shares one.
-PREFIX = f"explode(slice(words, 1, cast(n - ceil({NUM} * n / {DEN}) + 1 as int))) as term"
+#: How many of a set's first words there are of which a linked set shares one.
+PREFIX = f"cast(n - ceil({NUM} * n / {DEN}) + 1 as int)"
 TURNS = 3               # rounds of comparisons with centres, at most; what they leave apart is compared after them
 MIN_FOUND = 20          # a round that finds fewer links is the last
 
 
 def word_sets(answers: DataFrame) -> DataFrame:
-    """``(event_id, key, rep, row_id, n, words)``: the word set of every answer with a word.
+    """``(event_id, key, row_id, n, words, last, rep)``: the word set of every answer with a word.
 
-    ``words`` goes from rare to frequent (ties by the word); ``rep`` is the
-    smallest row id of the answers with the same set.
+    ``words`` goes from rare to frequent (ties by the word's hash, then the
+    word), ``last`` is the place of the prefix's last word in that order, ``rep``
+    the smallest row id of the answers with the same set.
     """
     tok = (answers.select(*G, "row_id", F.explode(F.regexp_extract_all(F.lower("answer"), F.lit(TOKEN_RE), 0))
                           .alias("term")).distinct())
     freq = tok.groupBy(*G, "term").agg(F.count(F.lit(1)).alias("df"))
     # one row per answer; the array is its own distinct words
     sets = (tok.join(freq, [*G, "term"]).groupBy(*G, "row_id")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "term"))).alias("w"))
-            .select(*G, "row_id", F.size("w").alias("n"), F.transform("w", lambda x: x["term"]).alias("words")))
+            .agg(F.sort_array(F.collect_list(F.struct("df", F.xxhash64("term").alias("h"), "term"))).alias("w"))
+            .select(*G, "row_id", F.size("w").alias("n"), "w")
+            .select(*G, "row_id", "n", F.transform("w", lambda x: x["term"]).alias("words"),
+                    F.expr(f"transform(slice(w, {PREFIX}, 1), x -> struct(x.df, x.h))[0]").alias("last")))
     sets = materialize(sets.withColumn("set_id", F.sha2(F.array_join("words", "\u0001"), 256)), "word-sets")
     reps = sets.groupBy(*G, "set_id").agg(F.min("row_id").alias("rep"))
     return sets.join(reps, [*G, "set_id"]).drop("set_id")
 
 
+def _enough(met: DataFrame) -> DataFrame:
+    """``(a, b)`` of sets that may link, of ``met``: a row per prefix word that sets ``x`` and ``y`` share.
+
+    ``x`` and ``y`` are ``(sid, n, rest, last)`` with the number of words after the prefix and where it ends, ``px``
+    and ``py`` the word's places.  Common words are those counted and at most what the prefix that ends first leaves
+    of its set, or what either set has after the last shared word.
+    """
+    rest = (F.when(F.col("x.last") < F.col("y.last"), F.col("x.rest")).when(F.col("y.last") < F.col("x.last"), F.col("y.rest"))
+            .otherwise(F.greatest("x.rest", "y.rest")))
+    return (met.where(f"{DEN} * least(x.n, y.n) >= {NUM} * greatest(x.n, y.n)")
+            .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both"), rest.alias("rest"),
+                    F.expr("least(x.n - px, y.n - py)").alias("after"))
+            .groupBy("a", "b", "both", "rest").agg(F.count(F.lit(1)).alias("common"), F.min("after").alias("after"))
+            .where(f"{NUM + DEN} * (common + least(rest, after)) >= {NUM} * both")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def _verified(pairs: DataFrame, one: DataFrame) -> DataFrame:
-    """Those of ``pairs(event_id, key, a, b)`` whose word sets link."""
-    a = one.select(*G, F.col("rep").alias("a"), F.col("n").alias("na"), F.col("words").alias("wa"))
-    b = one.select(*G, F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("words").alias("wb"))
+    """``(event_id, key, a, b)``, reps of those of ``pairs(a, b)``, set ids of ``one``, whose word sets link."""
+    a = one.select(F.col("sid").alias("a"), *G, F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("words").alias("wa"))
+    b = one.select(F.col("sid").alias("b"), *G, F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("words").alias("wb"))
     common = F.size(F.array_intersect("wa", "wb"))
-    return (pairs.join(a, [*G, "a"]).join(b, [*G, "b"])
-            .where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select(*G, "a", "b"))
+    return (pairs.join(a, "a").join(b, [*G, "b"])
+            .where(DEN * common >= NUM * (F.col("na") + F.col("nb") - common)).select(*G, F.col("ra").alias("a"), F.col("rb").alias("b")))
 
 
 def components_of(links: DataFrame) -> DataFrame:
@@ -75,34 +98,36 @@ def similar_links(sets: DataFrame) -> DataFrame:
     of one component are never compared again; so a family of near copies costs its size.  When a round finds
     little, the pairs that are still apart are compared: of different components, under the length filter.
     """
-    one = materialize(sets.where("rep = row_id").select(*G, "rep", "n", "words"), "word-set-reps")
-    sides = materialize(one.select(*G, "rep", "n", F.expr(PREFIX)), "prefix-words")
-    found, label = None, one.select(*G, "rep", F.col("rep").alias("label"))
+    one = materialize(sets.where("rep = row_id").select(*G, "rep", "n", "words", "last", F.monotonically_increasing_id().alias("sid")), "word-set-reps")
+    # the event and list are part of the word's hash; what meets by chance only adds to a bound and fails the check
+    sides = materialize(one.select("sid", F.posexplode(F.expr(f"transform(slice(words, 1, {PREFIX}), x -> xxhash64(event_id, key, x))")).alias("px", "term"),
+                                   F.struct("sid", "n", F.expr(f"n - {PREFIX}").alias("rest"), "last").alias("x"))
+                        .withColumn("px", F.col("px") + 1), "prefix-words")
+    found, label = None, one.select("sid", F.col("sid").alias("label"))
     for turn in range(TURNS):
-        keys = sides.join(label, [*G, "rep"])
-        shared = keys.groupBy(*G, "term").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("c1"),
-                                              F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("c2")).where("lo <> hi")
-        centre = shared.select(*G, "term", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("c"))
-        of = label.withColumnsRenamed({"rep": "c", "label": "lc"})
-        near = (keys.join(centre.join(of, [*G, "c"]), [*G, "term"]).where("label <> lc")
-                .select(*G, F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct())
-        new = materialize(_verified(near, one), "similar-links")
+        keys = sides.join(label, "sid")
+        shared = keys.groupBy("term").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("x", "px", "label"), "sid").alias("c1"),
+                                          F.min_by(F.struct("x", "px", "label"), F.xxhash64("sid", F.lit(turn))).alias("c2")).where("lo <> hi")
+        centre = shared.select("term", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("c"))
+        near = keys.join(centre, "term").where("label <> c.label").select("x", "px", F.col("c.x").alias("y"), F.col("c.px").alias("py"))
+        new = materialize(_verified(_enough(near), one), "similar-links")
         n = new.count()
         found = new if found is None else found.unionByName(new)
         cc = components_of(found).select(*G, F.col("row_id").alias("rep"), "group_id")
-        label = materialize(one.select(*G, "rep").join(cc, [*G, "rep"], "left")
-                            .select(*G, "rep", F.coalesce("group_id", "rep").alias("label")), "set-labels")
+        of = one.select(*G, "rep", "sid").join(cc, [*G, "rep"], "left").withColumn("group_id", F.coalesce("group_id", "rep"))
+        least = of.groupBy(*G, "group_id").agg(F.min("sid").alias("label"))
+        label = materialize(of.join(least, [*G, "group_id"]).select("sid", "label"), "set-labels")
         if n < MIN_FOUND:
             break
-    keys = sides.join(label, [*G, "rep"])
+    keys = sides.join(label, "sid")
     # only words whose sets are still in several components
-    apart = keys.groupBy(*G, "term").agg((F.min("label") != F.max("label")).alias("apart")).where("apart").select(*G, "term")
-    keys = materialize(keys.join(apart, [*G, "term"]), "prefix-words")
-    left = keys.select(*G, "term", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = keys.select(*G, "term", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    pairs = (left.join(right, [*G, "term"])
-             .where(f"la <> lb and (na < nb or (na = nb and a < b)) and {DEN} * na >= {NUM} * nb").select(*G, "a", "b").distinct())
-    return found.unionByName(_verified(pairs, one))
+    apart = keys.groupBy("term").agg((F.min("label") != F.max("label")).alias("apart")).where("apart").select("term")
+    keys = materialize(keys.join(apart, "term"), "prefix-words")
+    left = keys.select("term", "x", "px", F.col("label").alias("la"))
+    right = keys.select("term", F.col("x").alias("y"), F.col("px").alias("py"), F.col("label").alias("lb"))
+    met = (left.join(right, "term")
+           .where(f"la <> lb and (x.n < y.n or (x.n = y.n and x.sid < y.sid)) and {DEN} * x.n >= {NUM} * y.n").select("x", "px", "y", "py"))
+    return found.unionByName(_verified(materialize(_enough(met), "similar-pairs"), one))
 
 
 def _jump(parent: DataFrame) -> DataFrame:

@@ -128,6 +128,18 @@ def test_a_family_of_near_copies_gives_links_in_proportion(spark):
     assert groups == {0: 400} | {1000 + i: 1 for i in range(50)}
 
 
+def test_word_lists_move_only_for_pairs_that_their_first_words_allow(spark, monkeypatch):
+    """60 answers that share words but link with none: hardly any pair gets as far as its word lists."""
+    import random
+    rng = random.Random(9)
+    rows = [("e", "speaker_q", i, " ".join([f"g{i % 6}", *rng.sample([f"w{j}" for j in range(80)], 19)])) for i in range(60)]
+    df = spark.createDataFrame(rows, "event_id string, key string, row_id long, answer string")
+    seen, real = [], similar._verified
+    monkeypatch.setattr(similar, "_verified", lambda pairs, one: seen.append(pairs.count()) or real(pairs, one))
+    assert similar.similar_groups(df).count() == 60
+    assert sum(seen) <= 30, seen
+
+
 def test_similar_groups_leave_one_table(spark, answers):
     import os
     from rsvpark.session import shared_path
