@@ -22,9 +22,11 @@ from rsvpark.plans.more_queries import DAYS, ED, GC, RS, TOPIC_CTES
 from rsvpark.plans.queries import RC
 from rsvpark.plans.registry import register
 from rsvpark.plans.theme_store import _inputs, themes_with_store, topic_rows_for
+from rsvpark.session import materialize
 from rsvpark.sources.fixture import load_reg
 
 CHUNK_ANSWERS = 200
+CONTEXT_BROADCAST_MAX_ROWS = 10_000     # answer lists; their contexts are a few KB each
 
 # Theme inputs in SQL: trimmed, non-blank, non-filler answers per list.
 _ANS_CTE = f"""ans AS (
@@ -139,9 +141,14 @@ def prompt_rows(answers: DataFrame, ctx: DataFrame, chunk: int = CHUNK_ANSWERS)
     """Theming requests for batch inference elsewhere.
 
     An answer list is split into chunks of about ``chunk`` answers by a hash
-    of the row id, so no request (and no task) holds a whole hot event.
+    of the row id, so no request (and no task) holds a whole hot event: list
+    sizes and contexts, counted first, go to the answers, which never move to
+    a task per event.
     """
-    n = answers.groupBy("event_id", "key").agg(F.count(F.lit(1)).alias("n_list"))
+    n = materialize(answers.groupBy("event_id", "key").agg(F.count(F.lit(1)).alias("n_list")), "list-sizes")
+    ctx = ctx.join(n.select("event_id").distinct(), "event_id", "left_semi")
+    if n.count() <= CONTEXT_BROADCAST_MAX_ROWS:
+        n, ctx = F.broadcast(n), F.broadcast(ctx)
     a = (answers.join(n, ["event_id", "key"])
          .withColumn("chunk", md5_bucket("row_id", F.ceil(F.col("n_list") / chunk)).cast("bigint")))
     block = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row_id", "answer"))),

@@ -139,3 +139,20 @@ def test_insights_sql_cuts_long_labels_like_the_code(spark):
     con.executemany("INSERT INTO r VALUES (?, ?, 7, 1)", [(e, v) for e, v in labels.items() if v])
     want = dict(con.execute(f"SELECT p.event_id, {M._RL} FROM p LEFT JOIN r ON r.event_id = p.event_id AND r.pos = 1").fetchall())
     assert got == want and all(len(v) < 160 for v in got.values()) and got["long"].endswith("registrations).") and "…" in got["over"]
+
+
+def test_prompt_rows_move_answers_by_chunk_only(spark):
+    """No exchange by event (or list) lies above the answers: a hot event's texts never meet in one task."""
+    import re
+    rows = [("e", "speaker_q", i, f"answer {i}") for i in range(40)]
+    ans = spark.createDataFrame(rows, "event_id string, key string, row_id long, answer string")
+    ctx = spark.createDataFrame([("e", "{}", "{}")], "event_id string, daily_json string, role_json string")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = prompt_rows(ans, ctx, chunk=10)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in re.sub(r"SortMergeJoin [^\n]*LeftSemi", "", plan), plan
+        assert sum(r.n_answers for r in out.collect()) == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
