@@ -115,9 +115,15 @@ def _tfidf(answers: DataFrame, prepartitioned: bool = False) -> tuple[DataFrame,
     return points, n_terms, keep.select(*G, "tid", "term")
 
 
-def _norms(cent: DataFrame) -> DataFrame:
-    """Length of every centroid, ``(g, cid, cn)``: one row per theme."""
-    return cent.groupBy(*G, "cid").agg(F.sqrt(F.sum(F.col("cw") * F.col("cw"))).alias("cn"))
+def _wide(rows: DataFrame, k: int) -> DataFrame:
+    """``rows(g, cid, tid, w)`` summed to one row per term, ``(g, tid, c0 .. c<k-1>)``; null where a theme lacks the term."""
+    return rows.groupBy(*G, "tid").agg(*[F.sum(F.when(F.col("cid") == i, F.col("w"))).alias(f"c{i}") for i in range(k)])
+
+
+def _unit(cent: DataFrame, k: int) -> DataFrame:
+    """Centroids of length 1."""
+    norms = cent.groupBy(*G).agg(*[F.sqrt(F.sum(F.col(f"c{i}") * F.col(f"c{i}"))).alias(f"n{i}") for i in range(k)])
+    return cent.join(norms, G).select(*G, "tid", *[(F.col(f"c{i}") / F.col(f"n{i}")).alias(f"c{i}") for i in range(k)])
 
 
 def _seeds(points: DataFrame, k: int) -> DataFrame:
@@ -128,25 +134,29 @@ def _seeds(points: DataFrame, k: int) -> DataFrame:
             .agg(F.min_by("row_id", h).alias("row_id")))
 
 
-def _assign(points: DataFrame, cent: DataFrame, broadcast_ok: bool, before: DataFrame | None = None) -> DataFrame:
-    """Best centroid per answer by cosine similarity; an answer leaves its
-    theme of ``before`` only for one that scores ``MOVE_GAIN`` more.
+def _assign(points: DataFrame, cent: DataFrame, k: int, broadcast_ok: bool, before: DataFrame | None = None) -> DataFrame:
+    """Best centroid per answer by cosine similarity, ``(g, row_id, cid, score, was)``; an answer leaves its
+    theme of ``before`` (``was``) only for one that scores ``MOVE_GAIN`` more.
 
-    ``points`` is bucketed by answer; with the centroid table broadcast the
-    dot products and the arg-max run inside those buckets without a shuffle.
+    With the centroid table broadcast, ``points`` is bucketed by answer and the
+    dot products of all themes run inside those buckets without a shuffle;
+    else it is bucketed by term and only sums per answer move.
     """
-    c = F.broadcast(cent) if broadcast_ok else cent
-    norms = _norms(cent)
-    n = F.broadcast(norms) if broadcast_ok else norms
-    dots = (points.join(c, G + ["tid"])
-            .groupBy(*G, "row_id", "cid").agg(F.sum(F.col("w") * F.col("cw")).alias("dot")))
-    s = dots.join(n, G + ["cid"]).select(*G, "row_id", "cid", (F.col("dot") / F.col("cn")).alias("score"))
-    rank = F.col("score")
-    if before is not None:
-        s = s.join(before.select(*G, "row_id", F.col("cid").alias("own")), G + ["row_id"], "left")
-        rank = rank + F.when(F.col("own") == F.col("cid"), F.lit(MOVE_GAIN)).otherwise(F.lit(0.0))
-    best = s.groupBy(*G, "row_id").agg(F.max(F.struct(rank.alias("rank"), (-F.col("cid")).alias("neg"), "score")).alias("b"))
-    return best.select(*G, "row_id", (-F.col("b.neg")).alias("cid"), F.col("b.score").alias("score"))
+    unit = _unit(cent, k)
+    s = (points.join(F.broadcast(unit) if broadcast_ok else unit.hint("shuffle_hash"), G + ["tid"])
+         .groupBy(*G, "row_id").agg(*[F.sum(F.col("w") * F.col(f"c{i}")).alias(f"s{i}") for i in range(k)]))
+    if before is None:
+        s = s.withColumn("was", F.lit(None).cast("bigint"))
+    else:
+        s = s.join(before.select(*G, "row_id", F.col("cid").alias("was")), G + ["row_id"], "left")
+
+    def one(i: int) -> Column:
+        score = F.col(f"s{i}")
+        rank = score + F.when(F.col("was") == i, F.lit(MOVE_GAIN)).otherwise(F.lit(0.0))
+        return F.when(score.isNotNull(), F.struct(rank.alias("rank"), F.lit(-i).cast("bigint").alias("neg"), score.alias("score")))
+
+    best = s.select(*G, "row_id", "was", F.array_max(F.array(*[one(i) for i in range(k)])).alias("b"))
+    return best.select(*G, "row_id", (-F.col("b.neg")).alias("cid"), F.col("b.score").alias("score"), "was")
 
 
 def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int | None = None,
@@ -165,26 +175,30 @@ def kmeans(points: DataFrame, k: int = N_THEMES, iterations: int | None = None,
     broadcast and a shuffle join.
     """
     points = bucketed(points, [*G, "row_id"], "points", prepartitioned=True)
+    by_answer = points
     if vocab is None:
         vocab = points.select(*G, "tid").distinct().count()
     broadcast_ok = k * vocab <= BROADCAST_MAX_ROWS
-    seeds = _seeds(points, k)
-    cent = materialize(points.join(seeds, G + ["row_id"]).select(*G, "cid", "tid", F.col("w").alias("cw")),
-                       "centroids")
-    before, rounds = None, 0
+    if not broadcast_ok:
+        # a copy that lies by term: rounds move centroids and sums, not points
+        points = bucketed(by_answer, [*G, "tid"], "points_by_term")
+    seeds = _seeds(by_answer, k)
+    cent = materialize(_wide(by_answer.join(seeds, G + ["row_id"]), k), "centroids")
+    before, rounds, done = None, 0, False
     while iterations is None or rounds < iterations:
-        assign = materialize(_assign(points, cent, broadcast_ok, before), "assign")
-        if before is not None:
-            was = before.select(*G, "row_id", F.col("cid").alias("was"))
-            if assign.join(was, G + ["row_id"], "left").where(~F.col("cid").eqNullSafe(F.col("was"))).isEmpty():
-                return assign, cent
+        assign = materialize(_assign(points, cent, k, broadcast_ok, before), "assign")
+        done = before is not None and assign.where("not (cid <=> was)").isEmpty()
+        if done:
+            break
         # Both sides are keyed by answer: a hash join inside each bucket
         # (built on the one-row-per-answer side) avoids sorting every point.
-        moved = (points.join(assign.select(*G, "row_id", "cid").hint("shuffle_hash"), G + ["row_id"])
-                 .groupBy(*G, "cid", "tid").agg(F.sum("w").alias("cw")))
-        cent = materialize(moved, "centroids")
+        moved = by_answer.join(assign.select(*G, "row_id", "cid").hint("shuffle_hash"), G + ["row_id"])
+        cent = materialize(_wide(moved, k), "centroids")
         before, rounds = assign, rounds + 1
-    return materialize(_assign(points, cent, broadcast_ok, before), "assign"), cent
+    if not done:
+        assign = materialize(_assign(points, cent, k, broadcast_ok, before), "assign")
+    long = cent.select(*G, "tid", F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("cid"), F.col(f"c{i}").alias("cw")) for i in range(k)])).alias("c"))
+    return assign.drop("was"), long.select(*G, "c.cid", "tid", "c.cw").where("cw is not null")
 
 
 def top_n(df: DataFrame, keys: list[str], order: list[Column], payload: list[str], n: int) -> DataFrame:

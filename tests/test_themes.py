@@ -330,3 +330,27 @@ def test_a_long_role_label_leaves_the_numbers(spark):
     got = {r.event_id: r.role_insight for r in report.insights(peak, roles).collect()}
     end = " is the most picked role (3 picks across 7 registrations)."
     assert got["e"].endswith("x\u2026" + end) and len(got["e"]) == 159 and got["f"] == "Teacher" + end
+
+
+def test_rounds_move_centroids_not_points(spark, answers, monkeypatch):
+    """When centroids are too many to broadcast, no round shuffles the points by term."""
+    import re
+    monkeypatch.setattr(themes, "BROADCAST_MAX_ROWS", 0)
+    real, plans = themes.materialize, []
+
+    def seen(df, tag="work"):
+        if tag == "assign":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, tag)
+
+    monkeypatch.setattr(themes, "materialize", seen)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        points, n = themes.tfidf(answers)
+        themes.kmeans(points, 5, 1, n)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert plans
+    for p in plans:
+        assert len(re.findall(r"Exchange hashpartitioning\(event_id#\w+, key#\w+, tid#", p)) <= 1, p
