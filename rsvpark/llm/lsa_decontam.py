@@ -1,9 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-TF-IDF passages (of the benchmark items and of a bounded sample of documents)
-form a matrix whose leading right singular vectors are found by a randomised
-SVD: products with the matrix are summed per partition in Spark, only
-``terms x rank`` numbers reach the driver.  Every passage of every document is
+TF-IDF passages (of the benchmark items and of all documents) form a matrix
+whose leading right singular vectors are found by a randomised SVD: products
+with the matrix are summed per partition in Spark, only ``terms x rank`` numbers
+reach the driver.  Every passage of every document is
 then folded into that space; passages whose cosine with an item is high enough
 are candidates, and a candidate is a leak if the longest common subsequence of
 the item and the text around the passage covers most of the item, or a good
@@ -16,10 +16,11 @@ too.  It must hold some of the item's rarest words (at most ``n - least`` of
 count rules out only what the LCS would reject.
 
 Term weights and the list of terms that say nothing come from all documents:
-each task sums its passages by slot, so the driver gets one array.  Only the
-fit of the subspace takes a sample.
+each task sums its passages by slot, so the driver gets one array.  A passage of
+the fit is written as its counts on the items' terms and the mass of its other
+terms, which is all that its unit vector needs.
 
-After that, documents are read once per block of items and never shuffled: passages go to
+Documents are read twice per block of items (for the fit and to be judged) and never shuffled: passages go to
 the subspace only if enough of their TF-IDF mass is on terms of the items (that
 share bounds what the cosine can mean), so most passages end there.
 """
@@ -36,14 +37,13 @@ from pyspark.sql import functions as F
 
 from rsvpark.llm.names import fresh
 from rsvpark.llm.words import chunks, words
-from rsvpark.session import materialize
+from rsvpark.session import materialize, release
 
 BITS = 18
 RANK = 128
 EXTRA = 8
 POWER = 3
 PARTS = 8
-SAMPLE_DOCS = 2000
 ITEM_BLOCK = 4096
 PIECE = 64
 STRIDE = 16
@@ -56,6 +56,7 @@ LCS_WITH_ANSWER = 0.55
 ANSWER = 0.80
 MIN_TILE = 32
 CELLS = 1 << 20
+GRAM_CELLS = 1 << 9
 BLOCK = 1024
 
 
@@ -76,12 +77,20 @@ def _passages(batches):
             yield key >> BITS, key & ((1 << BITS) - 1), n
 
 
-def _passage_batches(batches):
-    """Term counts of passages."""
-    for row, slot, n in _passages(batches):
-        off = np.searchsorted(row, np.arange(row[-1] + 2)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(off, pa.array(slot.astype(np.int32))),
-                                          pa.ListArray.from_arrays(off, pa.array(n.astype(np.int32)))], ["slot", "n"])
+def _passage_batches(model):
+    """Counts of the items' terms in every passage that holds one, and ``rest``, the squared weights of its other terms."""
+    def run(batches):
+        idf, col = model.value
+        for row, slot, n in _passages(batches):
+            k = col[slot] >= 0
+            at, first = np.unique(row[k], return_index=True)
+            if not len(at):
+                continue
+            rest = np.bincount(row[~k], (n[~k] * idf[slot[~k]]) ** 2, minlength=int(row[-1]) + 1)[at]
+            off = np.append(first, k.sum()).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(off, pa.array(slot[k].astype(np.int32))),
+                                              pa.ListArray.from_arrays(off, pa.array(n[k].astype(np.int32))), pa.array(rest, pa.float64())], ["slot", "n", "rest"])
+    return run
 
 
 def _statistic_batches(batches):
@@ -95,31 +104,43 @@ def _statistic_batches(batches):
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([x.tobytes() for _, x in blocks], pa.binary())], ["i", "m"])
 
 
+def _pieces(batches):
+    """Batches cut to about ``GRAM_CELLS`` counts each: their products are small full matrices."""
+    for b in batches:
+        end = b.column(0).offsets.to_numpy()
+        at = 0
+        while at < b.num_rows:
+            to = max(at + 1, int(np.searchsorted(end, end[at] + GRAM_CELLS, side="right")) - 1)
+            yield b.slice(at, to - at)
+            at = to
+
+
 def _gram_batches(model):
-    """Per partition, ``A^T (A Z)`` as blocks of rows; rows of A are unit TF-IDF passages on the items' terms."""
+    """Per partition, ``A^T (A Z)`` as blocks of rows; rows of A are unit TF-IDF passages on the items' terms.
+
+    A passage may come without its other terms: ``rest``, where there is one, is their share of its norm.
+    """
     def run(batches):
         idf, col, z = model.value
         acc = np.zeros_like(z)
         used = False
-        for b in batches:
+        for b in _pieces(batches):
             slots, n = b.column(0), b.column(1)
             s, v = slots.flatten().to_numpy(), n.flatten().to_numpy().astype(float)
             row = np.repeat(np.arange(len(slots)), np.diff(slots.offsets.to_numpy()))
             v = v * idf[s]
-            norm = np.sqrt(np.bincount(row, v * v, minlength=len(slots)))
+            norm = np.bincount(row, v * v, minlength=len(slots))
+            norm = np.sqrt(norm + b.column(2).to_numpy() if b.num_columns > 2 else norm)
             c = col[s]
             k = c >= 0
             if not k.any():
                 continue
             used = True
-            row, c, v = row[k], c[k], v[k] / np.maximum(norm[row[k]], 1e-12)
-            at = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
-            y = np.add.reduceat(z[c] * v[:, None], at, axis=0)
-            order = np.argsort(c, kind="stable")
-            cs = c[order]
-            which = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(row))))[order]
-            ca = np.flatnonzero(np.concatenate(([True], cs[1:] != cs[:-1])))
-            acc[cs[ca]] += np.add.reduceat(y[which] * v[order][:, None], ca, axis=0)
+            # a few passages on the terms they hold are a small full matrix
+            here, at = np.unique(c[k], return_inverse=True)
+            part = np.zeros((len(slots), len(here)))
+            part[row[k], at] = v[k] / np.maximum(norm[row[k]], 1e-12)
+            acc[here] += part.T @ (part @ z[here])
         if used:
             for i in range(0, len(acc), 256):
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([acc[i:i + 256].tobytes()], pa.binary())], ["i", "m"])
@@ -156,6 +177,7 @@ def randomised_svd(passages: DataFrame, idf: np.ndarray, col: np.ndarray, n_term
     for step in range(POWER):
         model = sc.broadcast((idf, col, z))
         rows = (passages.mapInArrow(_gram_batches(model), "i int, m binary").groupBy("i").applyInArrow(_sum_blocks, "i int, m binary").collect())
+        model.destroy()
         r = np.zeros((n_terms, width))
         for x in rows:
             a = np.frombuffer(x.m, float).reshape(-1, width)
@@ -266,22 +288,22 @@ def lcs(a: np.ndarray, b: np.ndarray) -> int:
     return len(b) - v.bit_count()
 
 
-def fit(docs: DataFrame, items: list, rank: int = RANK, sample_docs: int = SAMPLE_DOCS, stats: tuple[int, np.ndarray] | None = None) -> Model | None:
+def fit(docs: DataFrame, items: list, rank: int = RANK, sample_docs: int | None = None, stats: tuple[int, np.ndarray] | None = None) -> Model | None:
     """Model for ``items`` (rows ``item_id, text`` of one block); None if they hold no word.
 
-    The subspace is fitted on about ``sample_docs`` documents, by hash of
-    doc_id; ``stats`` (default: of all ``docs`` and these items) gives the
-    weights of the terms.
+    The subspace is fitted on all documents (only if ``sample_docs`` is given,
+    on about so many of them, by hash of doc_id); ``stats`` (default: of all
+    ``docs`` and these items) gives the weights of the terms.
     """
-    spark = docs.sparkSession
+    spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     w = words(pa.array([t for _, t in items], pa.string()), lower=True)
     if not len(w.hash):
         return None
-    n = docs.count()
-    span = 1 << 30
-    picked = docs.where(F.expr(f"pmod(xxhash64(doc_id, 'lsa'), {span})") < math.ceil(span * min(1.0, sample_docs / max(1, n)))).select("text")
+    picked = docs
+    if sample_docs is not None:
+        span = 1 << 30
+        picked = docs.where(F.expr(f"pmod(xxhash64(doc_id, 'lsa'), {span})") < math.ceil(span * min(1.0, sample_docs / max(1, docs.count()))))
     own = spark.createDataFrame([(t,) for _, t in items], "text string")
-    passages = materialize(own.unionByName(picked).repartition(PARTS).mapInArrow(_passage_batches, "slot array<int>, n array<int>"), "lsa-passages")
     total, df = stats or statistics(docs, own)
     idf = np.log((1 + total) / (1 + df))
     slot = _slots(w.hash)
@@ -292,7 +314,12 @@ def fit(docs: DataFrame, items: list, rank: int = RANK, sample_docs: int = SAMPL
         terms = np.unique(slot)
     col = np.full(1 << BITS, -1, np.int32)
     col[terms] = np.arange(len(terms))
-    v = randomised_svd(passages, idf, col, len(terms), rank)
+    known = sc.broadcast((idf, col))
+    passages = materialize(own.unionByName(picked.select("text")).mapInArrow(_passage_batches(known), "slot array<int>, n array<int>, rest double"), "lsa-passages")
+    # every task of a step gives an array of terms x rank: as many tasks as run at once, whatever the input
+    v = randomised_svd(passages.coalesce(max(PARTS, sc.defaultParallelism)), idf, col, len(terms), rank)
+    release(passages)
+    known.destroy()
     fold = (v * idf[terms][:, None]).astype(np.float32)
     pos = np.arange(len(w.hash)) - w.first[w.doc]
     piece = np.cumsum(pos % PIECE == 0) - 1
@@ -312,7 +339,8 @@ def _verify(m: Model, item: int, text: np.ndarray, lo: int, hi: int):
     want = m.item_words[item]
     near = text[max(0, lo - len(want)): hi + len(want)]
     n = len(want)
-    if np.isin(want, near).sum() < LCS_WITH_ANSWER * n:
+    places = m.places[item]
+    if sum(places[x].bit_count() for x in places.keys() & set(near.tolist())) < LCS_WITH_ANSWER * n:
         return 0.0, 0.0
     got = lcs(want, near) / n
     if got < LCS_WITH_ANSWER:

@@ -158,6 +158,41 @@ def test_subspace_matches_dense_svd(spark):
     assert np.linalg.norm(a @ low) > 0.97 * np.linalg.norm(s[:5])
 
 
+def test_subspace_comes_from_all_documents(spark):
+    rng = random.Random(6)
+    docs = [[f"w{rng.randrange(60)}" for _ in range(rng.randrange(0, 80))] for _ in range(2500)]
+    items = [(0, " ".join(f"w{i}" for i in range(9))), (1, "w20 w21 unseen.")]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string").repartition(5)
+    total, df = L.statistics(d, spark.createDataFrame(items, "item_id long, text string"))
+    df[:] = np.minimum(df, 8)       # no term is a stop word
+    m = L.fit(d, items, rank=200, stats=(total, df))
+    from rsvpark.llm.words import words
+    import pyarrow as pa
+    names = [f"w{i}" for i in range(60)] + ["unseen."]
+    slot = dict(zip(names, L._slots(words(pa.array(names)).hash).tolist()))
+    idf = np.log((1 + total) / (1 + df))
+    rows = [w[i:i + L.PIECE] for w in docs + [t.split() for _, t in items] for i in range(0, len(w), L.PIECE)]
+    a, every = np.zeros((len(rows), len(m.fold))), np.zeros(len(rows))
+    for i, w in enumerate(rows):
+        for x in set(w):
+            v = w.count(x) * idf[slot[x]]
+            every[i] += v * v
+            if m.col[slot[x]] >= 0:
+                a[i, m.col[slot[x]]] = v
+    a /= np.sqrt(every)[:, None]
+    v = m.fold / idf[np.flatnonzero(m.col >= 0)][np.argsort(m.col[m.col >= 0])][:, None]
+    assert len(rows) == total and np.allclose(np.linalg.norm(a @ v, axis=0), np.linalg.svd(a, compute_uv=False)[: v.shape[1]], rtol=1e-4)
+
+
+def test_products_are_cut_to_pieces():
+    import pyarrow as pa
+    lists = pa.ListArray.from_arrays(pa.array([0, 3, 3, 3 + L.GRAM_CELLS + 5, 4 + L.GRAM_CELLS + 5], pa.int32()), pa.array(np.arange(L.GRAM_CELLS + 9), pa.int32()))
+    whole = pa.RecordBatch.from_arrays([lists, lists], ["slot", "n"])
+    for b in (whole, whole.slice(1)):
+        got = list(L._pieces([b]))
+        assert len(got) > 1 and pa.Table.from_batches(got).to_pylist() == b.to_pylist()
+
+
 def test_answer_is_the_last_sentence():
     words = lambda t: t.split()[L.answer_start(t):]
     assert words("What is it? A red fox.") == ["A", "red", "fox."]
