@@ -17,7 +17,8 @@ Plan (whatever the number of files or layouts):
    is joined to the records of a second parse, whose positional all-string
    schema has room for the widest record and one cell more.  The nine cells
    are landed as Parquet: whatever reads the registrations reads that.  A record
-   with a non-empty cell past its file's header width is a long row.
+   with a non-empty cell past its file's header width is a long row.  Dates (in
+   each order) and money are parsed there, once, for votes, checks and rows.
 4. Dates are read per file.  A cell votes, with a bit for each order of day and
    month that reads it; the bits common to all cells of a file (``bit_and``) say
    which one the file means, month first if both do.  Zones are kept.
@@ -295,32 +296,30 @@ def _clock(c: Column) -> Column:
 def _numeric(t: Column, date: str) -> Column:
     """Timestamp of a numeric date in the given order, or null."""
     t = F.regexp_replace(t, r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})", "$1/$2/$3")
-    return F.coalesce(F.when(t.rlike(r"^[\d/]+" + _TIME), F.try_to_timestamp(t, F.lit(date + _CLOCK))),
-                      F.when(t.rlike(r"^[\d/]+ \d{1,2}:\d{2} [AP]M$"), F.try_to_timestamp(t, F.lit(date + " h:mm a")))).cast("timestamp_ntz")
+    # a number that is no month is not parsed just to fail: that costs far more than the parse
+    month = t.rlike(r"^(0?[1-9]|1[0-2])/" if date.startswith("M") else r"^\d{1,2}/(0?[1-9]|1[0-2])/")
+    return F.when(month, F.coalesce(F.when(t.rlike(r"^[\d/]+" + _TIME), F.try_to_timestamp(t, F.lit(date + _CLOCK))),
+                      F.when(t.rlike(r"^[\d/]+ \d{1,2}:\d{2} [AP]M$"), F.try_to_timestamp(t, F.lit(date + " h:mm a"))))).cast("timestamp_ntz")
 
 
-def order_votes(c: Column) -> Column:
-    """The orders of day and month that read a numeric date, as bits; null for other texts."""
-    t = _clock(c)
-    bits = F.lit(0)
-    for bit, date in ORDERS:
-        bits = bits + F.when(_numeric(t, date).isNotNull(), bit).otherwise(0)
-    return F.when(t.rlike(_NUMERIC), bits)
+def _one_way(t: Column) -> Column:
+    """Timestamp of the ISO form or of one of ``DATE_FORMS``, or null."""
+    return F.coalesce(F.when(t.rlike(_ISO), t.try_cast("timestamp_ntz")),
+                      *[F.when(t.rlike(look), F.try_to_timestamp(t, F.lit(form))).cast("timestamp_ntz") for look, form in DATE_FORMS])
 
 
-def parse_time(c: Column, order: Column | None = None) -> Column:
-    """Timestamp of the ISO form, of one of ``DATE_FORMS``, or of a numeric date in the file's
-    ``order`` (a bit of ``ORDERS``; month first without one), or null."""
+def date_columns(c: Column) -> list[Column]:
+    """What a date cell says whatever its file's order: ``date_numeric``, its ``order_zone``, ``date_ts`` if it reads
+    one way, and for each order ``date_<bit>``.  A text is parsed here and nowhere else."""
     t = _clock(c)
-    order = F.lit(ORDERS[0][0]) if order is None else order
-    return F.coalesce(F.when(t.rlike(_ISO), t.try_cast("timestamp_ntz")),
-                      *[F.when(t.rlike(look), F.try_to_timestamp(t, F.lit(form))).cast("timestamp_ntz") for look, form in DATE_FORMS],
-                      *[F.when(t.rlike(_NUMERIC) & (order == bit), _numeric(t, date)) for bit, date in ORDERS])
+    return [t.rlike(_NUMERIC).alias("date_numeric"), zone_of(c).alias("order_zone"), _one_way(t).alias("date_ts"),
+            *[F.when(t.rlike(_NUMERIC), _numeric(t, date)).alias(f"date_{bit}") for bit, date in ORDERS]]
 
 
 def file_orders(cells: DataFrame) -> DataFrame:
     """``(file_path, date_votes)``: the orders that read every numeric date of a file that any order reads; 0 where none does."""
-    votes = cells.select("file_path", order_votes(F.col("cell_order_date")).alias("v"))
+    bits = sum((F.when(F.col(f"date_{bit}").isNotNull(), bit).otherwise(0) for bit, _ in ORDERS), F.lit(0))
+    votes = cells.select("file_path", F.when(F.col("date_numeric"), bits).alias("v"))
     return votes.where("v > 0").groupBy("file_path").agg(F.bit_and("v").alias("date_votes"))
 
 
@@ -379,6 +378,7 @@ def landed_cells(raw: DataFrame, layout: DataFrame, width: int, keep_cells: bool
     # all cells of a record are kept only where it may have to be shown
     return j.select("file_path", "rec_id", *[F.col(f"pos_{k}").isNotNull().alias(f"has_{k}") for k in K.KEYS],
                     long_row.alias("long_row"), *[cell(k).alias(f"cell_{k}") for k in K.KEYS],
+                    *date_columns(cell("order_date")), parse_money(cell("total_paid")).alias("paid"),
                     F.when(long_row | F.col("pos_order_date").isNull() | F.lit(keep_cells), cells).alias("cells"))
 
 
@@ -387,10 +387,10 @@ def _judged(landed: DataFrame, orders: DataFrame) -> DataFrame:
     votes = F.coalesce("date_votes", F.lit(ANY_ORDER))
     order = F.element_at(F.array(*[F.lit(bit) for bit, _ in ORDERS]), F.greatest(F.array_position(
         F.array(*[votes.bitwiseAND(F.lit(bit)) > 0 for bit, _ in ORDERS]), True), F.lit(1)).cast("int"))
-    date, numeric = F.col("cell_order_date"), _clock(F.col("cell_order_date")).rlike(_NUMERIC)
+    date, numeric = F.col("cell_order_date"), F.col("date_numeric")
+    read = F.coalesce("date_ts", *[F.when(order == bit, F.col(f"date_{bit}")) for bit, _ in ORDERS])
     return (landed.join(orders, "file_path", "left")
-            .withColumn("order_ts", parse_time(date, order)).withColumn("order_zone", zone_of(date))
-            .withColumn("paid", parse_money(F.col("cell_total_paid")))
+            .withColumn("order_ts", read)
             .withColumn("reason", F.when(F.col("long_row"), F.lit("row has more cells than the header"))
                         .when(~F.col("has_order_date"), F.lit("file has no order date column"))
                         .when(numeric & (votes == 0), F.lit("the file's dates fit no one order of day and month"))
