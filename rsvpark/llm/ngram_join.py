@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from rsvpark.llm.components import components
 from rsvpark.llm.names import fresh
-from rsvpark.llm.words import chunks, mix, ngram_hashes, signed, words
-from rsvpark.session import bucketed, materialize, release
+from rsvpark.llm.words import SMALL_CHUNK, chunks, mix, ngram_hashes, signed, words
+from rsvpark.session import bound_batches, bucketed, materialize, release
 
 SHINGLE = 5
 NUM, DEN = 3, 4                 # similarity 3/4
@@ -49,7 +49,7 @@ SEGMENTS = 0.45                 # segments of a band for each shingle of its lar
 DELETE_UPTO = 128               # bands up to this size index one-deletion neighbourhoods
 GROUP_SHINGLES = 2_000_000       # shingles whose index entries are one group of buckets, on average
 MIN_GROUPS = 8
-FLUSH = 1_000_000
+FLUSH = 250_000                 # entries a task holds before it packs them
 FILTER_WORDS = 1 << 17
 LIGHT = 16                      # buckets with more sets ahead than this are compared as families
 SKETCH = 4                      # words of a set's parity sketch
@@ -252,7 +252,7 @@ class _Packer:
 
 def _set_batches(batches):
     for b in batches:
-        for c in chunks(b):
+        for c in chunks(b, limit=SMALL_CHUNK):
             s = shingle_sets(c.column(2))
             sid, check = s.ids()
             yield pa.RecordBatch.from_arrays(
@@ -264,7 +264,7 @@ def _entry_batches(parts):
     def run(batches):
         pack, seen = _Packer(parts, 2), set()
         for b in batches:
-            for c in chunks(b):
+            for c in chunks(b, limit=SMALL_CHUNK):
                 s = shingle_sets(c.column(0))
                 sid, _ = s.ids()
                 # each distinct set of the task once
@@ -561,7 +561,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _hash_batches(batches):
     for b in batches:
-        for c in chunks(b):
+        for c in chunks(b, limit=SMALL_CHUNK):
             s = shingle_sets(c.column(1))
             sid, _ = s.ids()
             same = np.flatnonzero(sid == c.column(0).to_numpy())
@@ -599,7 +599,7 @@ def _against_all(block):
     def run(batches):
         h, owner, sid_b, n_b = block.value
         for b in batches:
-            for c in chunks(b):
+            for c in chunks(b, limit=SMALL_CHUNK):
                 s = shingle_sets(c.column(0))
                 sid, _ = s.ids()
                 lo, hi = np.searchsorted(h, s.h, side="left"), np.searchsorted(h, s.h, side="right")
@@ -721,6 +721,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``label`` are one component.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     d = docs.select("doc_id", "text")
     tagged = d.select("doc_id", F.xxhash64("text").alias("tag"), "text")
     sets = materialize(tagged.mapInArrow(_set_batches, "doc_id long, tag long, sid long, chk long, n long, own long, own2 long, low long, low2 long"), "ngram-sets")

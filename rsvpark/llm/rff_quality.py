@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from rsvpark.llm.labels import remainder, training_sample
 from rsvpark.llm.repetition import _covered, _runs
-from rsvpark.llm.words import chunks, mix, words
-from rsvpark.session import materialize
+from rsvpark.llm.words import SMALL_CHUNK, chunks, mix, words
+from rsvpark.session import bound_batches, materialize
 
 MOD, HELD_OUT = 3, 1
 MAX_LABELS = 20_000
@@ -118,13 +118,14 @@ def document_statistics(docs: DataFrame, keep: list[str] | None = None) -> DataF
 
     def run(batches):
         for b in batches:
-            for c in chunks(b):
+            for c in chunks(b, limit=SMALL_CHUNK):
                 x = statistics(c.column(c.schema.get_field_index("text")))
                 flat = pa.array(x.ravel(), pa.float64())
                 offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(STATS))
                 cols = [c.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.ListArray.from_arrays(offsets, flat)], [*keep, "x"])
 
+    bound_batches(docs.sparkSession)
     df = docs.select(*[F.col(f"`{c}`") for c in keep], "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1])
     return df.mapInArrow(run, f"{fields}, x array<double>")
@@ -164,7 +165,8 @@ class Model:
 
 def _partition_sums(df: DataFrame, rows_of) -> np.ndarray:
     """Sum over all rows of the matrix ``rows_of(x, y)`` gives per batch: summed per
-    partition in the tasks, then per matrix row by Spark."""
+    partition in the tasks, then per matrix row, which moves whole (its numbers one
+    by one would be rows of hash maps and sorts)."""
     def run(batches):
         acc = None
         for b in batches:
@@ -176,11 +178,12 @@ def _partition_sums(df: DataFrame, rows_of) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(acc), dtype=np.int32)),
                                               pa.ListArray.from_arrays(offsets, pa.array(acc.ravel()))], ["i", "v"])
 
-    sums = (df.select("x", "y").mapInArrow(run, "i int, v array<double>")
-            .select("i", F.posexplode("v").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
-            .groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("row")).orderBy("i"))
-    got = sums.select(F.col("row.v").alias("v")).collect()
-    return np.array([r.v for r in got])
+    def total(table):
+        v = _matrix(table.column("v")).sum(0)
+        return pa.table({"i": table.column("i")[:1], "v": pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v))})
+
+    sums = df.select("x", "y").mapInArrow(run, "i int, v array<double>").groupBy("i").applyInArrow(total, "i int, v array<double>")
+    return np.array([r.v for r in sorted(sums.collect(), key=lambda r: r.i)])
 
 
 def isotonic(y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -249,12 +252,13 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS, mod: int =
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with ``score`` and ``predicted``; texts are read once, without a shuffle."""
+    bound_batches(docs.sparkSession)
     m = docs.sparkSession.sparkContext.broadcast(model)
     cols = list(dict.fromkeys([*keep, "text"]))
 
     def run(batches):
         for b in batches:
-            for c in chunks(b):
+            for c in chunks(b, limit=SMALL_CHUNK):
                 s = m.value.score(statistics(c.column(c.schema.get_field_index("text"))))
                 yield pa.RecordBatch.from_arrays([*[c.column(i) for i in range(len(keep))], pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                                  [*keep, "score", "predicted"])

@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
+SMALL_CHUNK = 1 << 18      # for kernels that keep many arrays of a chunk's length at once
 
 _B = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_B, -1, 1 << 64)
