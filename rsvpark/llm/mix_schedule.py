@@ -181,7 +181,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
     Partitions follow the sequence, so any run of written files is close to the
     weights.
     """
-    tag, tag2, slot, row = fresh(docs.columns, "row_tag", "row_tag2", "row_slot", "row_all")
+    tag, tag2, slot, row = fresh(docs.columns, "row_tag", "row_tag2", "row_slot", "row_copy")
     cols = [F.col(f"`{c}`") for c in docs.columns]
     # two hashes of the whole row: rows that share both are copies, and any one of them stands for all
     whole = [F.to_json(F.struct(c)) if not isinstance(f.dataType, T.AtomicType) else c for c, f in zip(cols, docs.schema)]
@@ -191,11 +191,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
     first = lines.where("size > 0").select("sid", F.expr(f"start div {block}").alias("block"), F.expr(f"start % {block}").alias("lo"),
                                            F.col("tag").alias(tag), F.col("tag2").alias(tag2))
     begins = materialize(first.join(slots, ["sid", "block"]).where("words > lo").select(tag, tag2, F.col("slot").alias(slot)), "mix-begins")
-    copies = sizes.groupBy(F.col("tag").alias(tag), F.col("tag2").alias(tag2)).count().where("count > 1").select(tag, tag2)
-    once = keyed.join(copies, [tag, tag2], "left_anti")
-    again = (keyed.join(copies, [tag, tag2], "left_semi").groupBy(tag, tag2).agg(F.first(F.struct(*cols)).alias(row))
-             .select(*[F.col(f"{row}.`{c}`") for c in docs.columns], tag, tag2))
-    out = once.unionByName(again).join(begins, [tag, tag2])
+    # one of each group of copies, so that texts move once to meet their slots and once to the sequence
+    copy = F.row_number().over(Window.partitionBy(tag, tag2).orderBy(tag))
+    out = keyed.withColumn(row, copy).where(F.col(row) == 1).drop(row).join(begins, [tag, tag2])
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = int(begins.agg(F.max(slot)).first()[0] or 0) + 1
     return (out.repartitionById(n, F.expr(f"cast({slot} * {n} div {last} as int)")).sortWithinPartitions(slot, tag, tag2).select(*cols))

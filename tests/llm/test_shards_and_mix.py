@@ -181,3 +181,17 @@ def test_schedule_keeps_close_to_the_shares_everywhere(spark):
     per = collections.Counter((r.sid, r.block) for r in rows)
     assert max(per.values()) == 2 and {r.epoch for r in rows if r.sid == 2} == {0, 1}
     assert t.select(F.sum("taken")).first()[0] == 120_000
+
+
+def test_texts_move_once_to_their_slots_and_once_to_the_sequence(spark):
+    """Copies are cut where rows meet their slots, not by a second branch that reads and moves all texts again."""
+    rows = [(i, f"w{i} " * 90, "ab"[i % 2]) for i in range(40)] + [(7, "w7 " * 90, "b")] * 60
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = X.mixed(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("w0 w0") == 0 and plan.count("LogicalRDD") == 1
+    n = collections.Counter(r.doc_id for r in out.collect())
+    took = collections.Counter()
+    for r in X.mix(df).collect():
+        took[r.doc_id] += -(-r.taken // r.size)
+    assert n == took and n[7] > 60
