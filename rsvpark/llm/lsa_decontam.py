@@ -56,7 +56,7 @@ LCS_WITH_ANSWER = 0.55
 ANSWER = 0.80
 MIN_TILE = 32
 CELLS = 1 << 20
-GRAM_CELLS = 1 << 9
+GRAM_CELLS = 1 << 13
 BLOCK = 1024
 
 
@@ -73,7 +73,11 @@ def _passages(batches):
                 continue
             pos = np.arange(len(w.hash)) - w.first[w.doc]
             row = np.cumsum(pos % PIECE == 0) - 1
-            key, n = np.unique(row * (1 << BITS) + _slots(w.hash), return_counts=True)
+            key = row << BITS | _slots(w.hash)
+            if key[-1] >> 32 == 0:
+                key = key.astype(np.uint32)     # sorted in half the time; only a long text alone has more passages
+            key, n = np.unique(key, return_counts=True)
+            key = key.astype(np.int64)
             yield key >> BITS, key & ((1 << BITS) - 1), n
 
 
@@ -105,7 +109,7 @@ def _statistic_batches(batches):
 
 
 def _pieces(batches):
-    """Batches cut to about ``GRAM_CELLS`` counts each: their products are small full matrices."""
+    """Batches cut to about ``GRAM_CELLS`` counts each, which bounds the rows of their product."""
     for b in batches:
         end = b.column(0).offsets.to_numpy()
         at = 0
@@ -115,6 +119,21 @@ def _pieces(batches):
             at = to
 
 
+def _add_sums(out: np.ndarray, key: np.ndarray, at: np.ndarray, v: np.ndarray, rows: np.ndarray) -> None:
+    """``out[key] += v * rows[at]`` over all entries, which are sorted by ``key``: the j-th entries of all keys at once."""
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    n = np.diff(np.append(first, len(key)))
+    order = np.argsort(-n, kind="stable")
+    first, n = first[order], n[order]
+    part = np.zeros((len(first), out.shape[1]))
+    for j in range(int(n[0])):
+        f = first[:np.searchsorted(-n, -j)] + j
+        x = rows[at[f]]
+        x *= v[f][:, None]
+        part[:len(f)] += x
+    out[key[first]] += part
+
+
 def _gram_batches(model):
     """Per partition, ``A^T (A Z)`` as blocks of rows; rows of A are unit TF-IDF passages on the items' terms.
 
@@ -136,11 +155,13 @@ def _gram_batches(model):
             if not k.any():
                 continue
             used = True
-            # a few passages on the terms they hold are a small full matrix
-            here, at = np.unique(c[k], return_inverse=True)
-            part = np.zeros((len(slots), len(here)))
-            part[row[k], at] = v[k] / np.maximum(norm[row[k]], 1e-12)
-            acc[here] += part.T @ (part @ z[here])
+            # a passage holds few of the terms: sums over its counts, not products with a matrix of zeros
+            row, c = row[k], c[k]
+            v = v[k] / np.maximum(norm[row], 1e-12)
+            y = np.zeros((len(slots), z.shape[1]))
+            _add_sums(y, row, c, v, z)
+            by_term = np.argsort(c, kind="stable")
+            _add_sums(acc, c[by_term], row[by_term], v[by_term], y)
         if used:
             for i in range(0, len(acc), 256):
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([acc[i:i + 256].tobytes()], pa.binary())], ["i", "m"])
@@ -365,15 +386,15 @@ def _covered(hits: list, n: int) -> int:
 def _stretch(m: Model, item: int, text: np.ndarray, lo: int, tile: int):
     """``(word, covered, answer)`` of the first leaking stretch of twice the item's length that begins in a tile."""
     places, n = m.places[item], len(m.item_words[item])
-    at, hits, seen = [], [], 0
-    for i, x in enumerate(text[lo: lo + 2 * tile].tolist()):
-        k = places.get(x)
-        if k:
-            at.append(i)
-            hits.append(k)
-            seen |= k
+    near = text[lo: lo + 2 * tile].tolist()
+    held = places.keys() & set(near)
     least = _least(n)
-    if seen.bit_count() < least or _covered(hits, n) < least:
+    # the places of different words are apart
+    if sum(places[x].bit_count() for x in held) < least:
+        return None
+    at = [i for i, x in enumerate(near) if x in held]
+    hits = [places[near[i]] for i in at]
+    if _covered(hits, n) < least:
         return None
     begin, end = m.answer_at[item], 0
     for i, first in enumerate(at):
@@ -403,7 +424,7 @@ def _counted_places(w, slot: np.ndarray, pos: np.ndarray, m: Model):
         tile, s = key >> BITS, key & ((1 << BITS) - 1)
         ni, n = len(c.items), c.deg[s].astype(np.int64)
         total = np.cumsum(n)
-        step = max(1, CELLS // ni)
+        step = max(1, min(CELLS // ni, int(base[-1])))
         for t in range(0, int(base[-1]), step):
             a, b = np.searchsorted(tile, (t, t + step + 1))
             if a == b:
@@ -416,7 +437,7 @@ def _counted_places(w, slot: np.ndarray, pos: np.ndarray, m: Model):
                 got += np.bincount(np.repeat((tile[a:e] - t) * ni, k) + c.post[where], minlength=len(got)).astype(np.int32)
                 a = e
             got = got.reshape(-1, ni)
-            for x, j in zip(*np.nonzero(got[:-1] + got[1:] >= c.need)):
+            for x, j in zip(*np.divmod(np.flatnonzero(got[:-1] + got[1:] >= c.need), ni)):
                 d = int(np.searchsorted(base, t + x, side="right")) - 1
                 yield d, int(c.items[j]), int(t + x - base[d]) * c.tile, c.tile
 
@@ -427,6 +448,23 @@ def _cosine(m: Model, slot: np.ndarray, item: int) -> float:
     return float((m.items[m.owner == item] @ (v / max(float(np.linalg.norm(v)), 1e-9))).max())
 
 
+def _block_sums(fold: np.ndarray, c: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``np.add.reduceat(fold[c], first)`` for blocks of at most ``STRIDE`` words, the j-th words of all blocks at once.
+
+    Floats are added in the order of ``reduceat`` (the first word last, eight of many in pairs), so cosines are the same.
+    """
+    n = np.diff(np.append(first, len(c)))
+    rest = np.zeros((len(first), fold.shape[1]), fold.dtype)
+    many = n > 8
+    if many.any():
+        a = [fold[c[first[many] + j]] for j in range(1, 9)]
+        rest[many] = ((a[0] + a[1]) + (a[2] + a[3])) + ((a[4] + a[5]) + (a[6] + a[7]))
+    for j in range(1, int(n.max())):
+        more = np.flatnonzero((n > j) & ~many if j <= 8 else n > j)
+        rest[more] += fold[c[first[more] + j]]
+    return fold[c[first]] + rest
+
+
 def _latent_places(w, slot: np.ndarray, pos: np.ndarray, m: Model) -> dict:
     """``(text, item) -> [(cosine, first word, end)]`` of the passages near an item in the subspace."""
     begin = np.flatnonzero(pos % STRIDE == 0)
@@ -456,18 +494,18 @@ def _latent_places(w, slot: np.ndarray, pos: np.ndarray, m: Model) -> dict:
     vec = np.zeros((nb + 1, m.fold.shape[1]), np.float32)
     bu = block[use]
     first = np.flatnonzero(np.concatenate(([True], bu[1:] != bu[:-1])))
-    vec[bu[first]] = np.add.reduceat(m.fold[c[use]], first, axis=0)
+    vec[bu[first]] = _block_sums(m.fold, c[use], first)
     edges = np.append(begin, len(slot))
     for at, stop in picked:
         for i in range(0, len(at), 4096):
             a, s = at[i:i + 4096], stop[i:i + 4096]
-            p = vec[a].copy()
+            p = vec[a]
             for j in range(1, int((s - a).max(initial=1))):
                 more = a + j < s
                 p[more] += vec[a[more] + j]
             p /= np.maximum(np.linalg.norm(p, axis=1), 1e-9)[:, None]
             cos = p @ m.items.T
-            for x, q in zip(*np.nonzero(cos >= COSINE)):
+            for x, q in zip(*np.divmod(np.flatnonzero(cos >= COSINE), cos.shape[1])):
                 best.setdefault((int(doc[a[x]]), int(m.owner[q])), []).append((float(cos[x, q]), int(edges[a[x]]), int(edges[s[x]])))
     return best
 

@@ -198,3 +198,66 @@ def test_answer_is_the_last_sentence():
     assert words("What is it? A red fox.") == ["A", "red", "fox."]
     assert words("Some question\nthe answer") == ["the", "answer"]
     assert words("a b c d e f g h i j") == ["i", "j"]
+
+
+def test_products_with_the_matrix_are_sums_over_its_counts():
+    """Equal to the dense product, and no piece fills a matrix of passages by terms."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    n_terms, n = 3000, 1500
+    rows = [np.sort(rng.choice(n_terms, rng.integers(1, 9), replace=False)) for _ in range(n - 1)] + [np.arange(n_terms)]
+    off = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    slot = np.concatenate(rows).astype(np.int32)
+    count, rest = rng.integers(1, 4, len(slot)).astype(np.int32), rng.random(n)
+    b = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(off, pa.array(slot)), pa.ListArray.from_arrays(off, pa.array(count)), pa.array(rest)], ["slot", "n", "rest"])
+    idf, z = 1 + rng.random(n_terms), rng.normal(size=(n_terms, 7))
+    col = np.where(np.arange(n_terms) % 5 > 0, np.cumsum(np.arange(n_terms) % 5 > 0) - 1, -1)
+    z = z[: col.max() + 1]
+    a = np.zeros((n, n_terms))
+    a[np.repeat(np.arange(n), np.diff(off)), slot] = count * idf[slot]
+    a /= np.sqrt((a ** 2).sum(axis=1) + rest)[:, None]
+    a = a[:, col >= 0]
+    model = SimpleNamespace(value=(idf, col, z))
+    list(L._gram_batches(model)([b]))
+    tracemalloc.start()
+    parts = list(L._gram_batches(model)([b]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = np.zeros_like(z)
+    for x in parts:
+        for i, m in zip(x["i"].to_pylist(), x["m"].to_pylist()):
+            m = np.frombuffer(m).reshape(-1, z.shape[1])
+            got[i:i + len(m)] += m
+    assert np.allclose(got, a.T @ (a @ z)) and most < 3 << 20
+
+
+def test_tiles_of_a_short_text_take_little_memory():
+    """Arrays of the count are as long as the text's tiles, not as a full block of cells."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from rsvpark.llm.words import words
+    item = words(pa.array([" ".join(f"q{i}" for i in range(20))]), lower=True).hash
+    w = words(pa.array([" ".join(f"x{i}" for i in range(100)) + " " + " ".join(f"q{i}" for i in range(20)), "q1 q2", ""]), lower=True)
+    m = SimpleNamespace(counted=L.counted([item], np.zeros(1 << L.BITS)))
+    pos = np.arange(len(w.hash)) - w.first[w.doc]
+    args = (w, L._slots(w.hash), pos, m)
+    list(L._counted_places(*args))
+    tracemalloc.start()
+    got = list(L._counted_places(*args))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(d, i) for d, i, *_ in got} == {(0, 0)} and most < 1 << 20
+
+
+def test_sums_of_blocks_are_those_of_reduceat():
+    rng = np.random.default_rng(2)
+    fold = rng.normal(size=(50, 128)).astype(np.float32)
+    n = np.concatenate([np.arange(1, L.STRIDE + 1), rng.integers(1, L.STRIDE + 1, 200)])
+    first = np.cumsum(n) - n
+    c = rng.integers(0, 50, int(n.sum()))
+    assert np.array_equal(L._block_sums(fold, c, first), np.add.reduceat(fold[c], first, axis=0))
