@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 
 from rsvpark import constants as K
 from rsvpark.functions.fmt import rank_text
-from rsvpark.functions.text import html_escape, is_blank, is_filler, strip_ws
+from rsvpark.functions.text import html_escape, is_blank, is_filler, strip_long, strip_ws
+from rsvpark.operators import theme_blocks
 from rsvpark.session import bucketed, materialize
 from rsvpark.sources.schema import THEME_FILE
 
@@ -36,6 +37,7 @@ BROADCAST_MAX_ROWS = 2_000_000        # k x kept terms (centroid rows: group, id
 IDF_BROADCAST_MAX_ROWS = 1_000_000    # kept (group, term) rows of the idf table
 QUOTE_BROADCAST_MAX_ROWS = 200_000    # distinct quotes of an audited theme table
 OTHER_TITLE = "Other answers"
+TITLE_TERMS = 3
 
 
 def version() -> str:
@@ -49,12 +51,12 @@ def version() -> str:
 def theme_inputs(reg: DataFrame, mode: DataFrame) -> DataFrame:
     """``(event_id, key, row_id, answer)``: trimmed, non-blank, non-filler."""
     q = (reg.where(~is_blank("speaker_q") & ~is_filler("speaker_q"))
-         .select("event_id", F.lit("speaker_q").alias("key"), "row_id", strip_ws("speaker_q").alias("answer")))
+         .select("event_id", F.lit("speaker_q").alias("key"), "row_id", strip_long("speaker_q").alias("answer")))
     free = mode.where(~F.col("topics_are_choices")).select("event_id")
     t = (reg.join(free, "event_id", "left_semi")
          .where(~is_blank("future_topics") & ~is_filler("future_topics"))
          .select("event_id", F.lit("future_topics").alias("key"), "row_id",
-                 strip_ws("future_topics").alias("answer")))
+                 strip_long("future_topics").alias("answer")))
     return q.unionByName(t)
 
 
@@ -223,33 +225,44 @@ def themes(answers: DataFrame, k: int = N_THEMES, iterations: int | None = None,
     """``themes(event_id, key, theme_id, title, count, quotes)`` for every list.
 
     Answers that share no term with any centroid form the "other" theme,
-    so counts add up to the genuine answers of the list.
+    so counts add up to the genuine answers of the list.  The rounds run over
+    blocks of terms (``theme_blocks``); lists with more answers than that
+    takes, in all, go through the joins of ``kmeans``.
     """
-    points, n_terms, vocab = _tfidf(answers, prepartitioned)
-    assign, cent = kmeans(points, k, iterations, n_terms)
-    full = (answers.join(assign, G + ["row_id"], "left")
-            .select(*G, "row_id", "answer", F.coalesce("cid", F.lit(k)).alias("cid"),
-                    F.coalesce("score", F.lit(0.0)).alias("score")))
+    # Only ids move from here on: a text is its hash until the quotes are known.
+    ids = materialize(answers.select(*G, "row_id", F.unhex(F.sha2("answer", 256)).alias("text_id"), F.octet_length("answer").alias("size"),
+                                     F.lower("answer").rlike(TOKEN_RE).alias("worded")), "answer-ids")
+    if theme_blocks.usable(ids):
+        assign, heavy = theme_blocks.kmeans(answers, ids, TOKEN_RE, k, iterations, MOVE_GAIN, TITLE_TERMS)
+    else:
+        if not prepartitioned:
+            answers, prepartitioned = bucketed(answers, [*G, "row_id"], "answers"), True
+        points, n_terms, vocab = _tfidf(answers, prepartitioned)
+        assign, cent = kmeans(points, k, iterations, n_terms)
+        # Title terms: heavy in this theme AND concentrated in it (weight times
+        # its share of the term's weight over all themes of the list), so words
+        # common to every theme do not name one.
+        spread = cent.groupBy(*G, "tid").agg(F.sum("cw").alias("cw_all"))
+        heavy = (cent.join(spread, G + ["tid"]).join(vocab, G + ["tid"])
+                 .select(*G, "cid", "term", (F.col("cw") * F.col("cw") / F.col("cw_all")).alias("tw")))
+    full = materialize(ids.join(bucketed(assign, [*G, "row_id"], "themes"), G + ["row_id"], "left")
+                       .select(*G, "row_id", "text_id", F.coalesce("cid", F.lit(k)).alias("cid"),
+                               F.coalesce("score", F.lit(0.0)).alias("score")), "themed")
     counts = full.groupBy(*G, "cid").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
     # Quotes are distinct answers: copies of one answer compete once, through
     # their best copy.  Only ids and scores go through the top-3 rounds; the
     # texts are joined back for the (at most three) winners.
     distinct = materialize(
-        full.groupBy(*G, "cid", "answer")
+        full.groupBy(*G, "cid", "text_id")
         .agg(F.max(F.struct("score", (-F.col("row_id")).alias("neg"))).alias("b"))
         .select(*G, "cid", F.col("b.score").alias("score"), F.col("b.neg").alias("neg")), "quote-candidates")
     q = top_n(distinct, G + ["cid"], [F.col("score"), F.col("neg")], ["neg"], K.THEME_MAX_QUOTES)
-    # Joined on the row id itself, so bucketed answers stay where they are.
-    q = q.withColumn("row_id", -F.col("neg")).join(answers.select(*G, "row_id", "answer"), G + ["row_id"])
+    # The answers stream past the winners' row ids.
+    q = materialize(q.withColumn("row_id", -F.col("neg")), "quote-rows")
+    q = (F.broadcast(q) if q.count() <= QUOTE_BROADCAST_MAX_ROWS else q).join(answers.select(*G, "row_id", "answer"), G + ["row_id"])
     quotes = q.groupBy(*G, "cid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rnk", "answer"))), lambda x: x["answer"]).alias("quotes"))
-    # Title terms: heavy in this theme AND concentrated in it (weight times
-    # its share of the term's weight over all themes of the list), so words
-    # common to every theme do not name one.
-    spread = cent.groupBy(*G, "tid").agg(F.sum("cw").alias("cw_all"))
-    distinct_w = (cent.join(spread, G + ["tid"]).join(vocab, G + ["tid"])
-                  .select(*G, "cid", "term", (F.col("cw") * F.col("cw") / F.col("cw_all")).alias("tw")))
-    t = top_n(distinct_w, G + ["cid"], [F.col("tw"), F.lit(0) - F.xxhash64("term")], ["term"], 3)
+    t = top_n(heavy, G + ["cid"], [F.col("tw"), F.lit(0) - F.xxhash64("term")], ["term"], TITLE_TERMS)
     titles = t.groupBy(*G, "cid").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rnk", "term"))), lambda x: x["term"]), " ")
         .alias("title"))

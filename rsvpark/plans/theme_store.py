@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rsvpark.operators import counts, kpis, ranking, themes
-from rsvpark.session import bucketed, has_jvm, materialize, work_scope
+from rsvpark.session import has_jvm, materialize, no_shuffles_left, work_scope
 from rsvpark.sources.fixture import land_reg, landing_version, load_reg
 from rsvpark.streaming.pending import empty_marks, pending_events, store_themes, stored_themes
 
@@ -33,20 +33,19 @@ def themes_for(reg: DataFrame, store: str) -> DataFrame:
     so it is not looked at again; a failed job stores nothing and is retried.
     """
     spark = reg.sparkSession
-    ans = theme_list(reg)[2]
     pending = pending_events(reg, stored_themes(spark, store))
     # Event ids only (the partition column of both tables): when every event
     # has stored themes, the answer list is not built at all.
     if pending.limit(1).count():
-        # Written once, bucketed by (event, list, answer): the job reads its
-        # answers several times, and TF-IDF and the answer/theme join then use
-        # that layout instead of shuffling the answer texts again.
+        # The answers are read where they lie and never written again; only the
+        # topic mode, which decides on a list, is counted once for all readings.
         # Work tables of the job are removed once the store is written.
-        with work_scope(spark):
+        with work_scope(spark), no_shuffles_left(spark):
             todo = materialize(pending, "pending")
-            mine = bucketed(ans.join(todo, "event_id", "left_semi"), ["event_id", "key", "row_id"], "answers")
+            mode = materialize(kpis.topic_mode(reg, kpis.event_kpis(reg)), "topic-mode")
+            mine = themes.theme_inputs(reg, mode).join(F.broadcast(todo), "event_id", "left_semi")
             if mine.limit(1).count():
-                store_themes(themes.themes(mine, prepartitioned=True), store)
+                store_themes(themes.themes(mine), store)
             store_themes(empty_marks(pending_events(todo, stored_themes(spark, store))), store)
     return stored_themes(spark, store).where("theme_id >= 0")
 

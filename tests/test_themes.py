@@ -354,3 +354,44 @@ def test_rounds_move_centroids_not_points(spark, answers, monkeypatch):
     assert plans
     for p in plans:
         assert len(re.findall(r"Exchange hashpartitioning\(event_id#\w+, key#\w+, tid#", p)) <= 1, p
+
+
+def test_blocks_of_terms_give_what_joins_give(spark, monkeypatch):
+    """Rounds to their end over blocks of terms, with settled answers left out, against the joins; row ids that
+    come twice are one answer there, and answers without a list, a row id or a word stay in the last theme."""
+    import random
+    from rsvpark.operators import theme_blocks
+    rng = random.Random(5)
+    rows = []
+    for event in ("e1", "e2"):
+        for i in range(90):
+            words = [f"{'ab'[i % 2]}{min(30, int(rng.expovariate(0.1)))}" for _ in range(rng.randrange(1, 12))]
+            rows.append((event, "speaker_q" if i % 3 else "future_topics", i, " ".join(words) + (" Ä 好的" if i % 7 == 0 else "")))
+    rows += [rows[3], ("e1", rows[4][1], rows[4][2], "a1 b2 a1"), ("e2", "speaker_q", 500, "!?"), (None, "speaker_q", 501, "a1"), ("e3", "speaker_q", 502, "?")]
+    df = spark.createDataFrame(rows, "event_id string, key string, row_id long, answer string")
+    monkeypatch.setattr(theme_blocks, "CHUNK_TOKENS", 50)
+    monkeypatch.setattr(theme_blocks, "ROW_POSTINGS", 40)
+
+    def run():
+        got = themes.themes(df).collect()
+        assert sum(r["count"] for r in got) == len(rows)
+        return sorted((str(r.event_id), r.key, r.theme_id, r.title, r["count"], tuple(sorted(r.quotes))) for r in got)     # of two answers both lie as near
+
+    blocks = run()
+    monkeypatch.setattr(theme_blocks, "ANSWERS_MAX", -1)
+    assert run() == blocks
+
+
+def test_rounds_write_neither_points_nor_texts(spark, answers, monkeypatch):
+    """The theme job keeps postings of whole terms; it wrote every answer and every point again before."""
+    real, tags = themes.bucketed, []
+    monkeypatch.setattr(themes, "bucketed", lambda df, keys, tag="work", *a, **b: tags.append((tag, df.columns)) or real(df, keys, tag, *a, **b))
+    assert sum(r["count"] for r in themes.themes(answers).collect()) == len(ANSWERS)
+    assert tags and not [t for t, c in tags if "answer" in c or "term" in c or t == "points"], tags
+
+
+def test_long_texts_are_trimmed_as_short_ones(spark):
+    from rsvpark.functions.text import strip_long, strip_ws
+    texts = ["", " ", "a", " a", "a\u3000", "\x1ca b\x1f", "a b", "\u00a0x\n", None, "\U00020000 ", "\u2003\U00020000"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(strip_long("t").alias("a"), strip_ws("t").alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
