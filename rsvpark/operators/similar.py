@@ -24,39 +24,82 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rsvpark.operators.themes import TOKEN_RE
-from rsvpark.session import bucketed, materialize, shared_path, work_scope
+from rsvpark.session import bound_batches, bucketed, has_jvm, materialize, no_shuffles_left, release, shared_path, work_scope
 
 G = ["event_id", "key"]
 NUM, DEN = 7, 10        # least Jaccard similarity of linked answers
 #: How many of a set's first words there are of which a linked set shares one.
 PREFIX = f"cast(n - ceil({NUM} * n / {DEN}) + 1 as int)"
 TURNS = 3               # rounds of comparisons with centres, at most; what they leave apart is compared after them
+CROWD = 256             # sets of a word from which on they meet its centres first
+CELLS = 1 << 22         # cells that words are counted in, to order them
 MIN_FOUND = 20          # a round that finds fewer links is the last
 
 
+def _rare_first(counts):
+    """Words, and their hashes, of each row from rare to frequent by the counts of the hashes' cells."""
+
+    def run(batches):
+        cells = counts.value if hasattr(counts, "value") else counts
+        for batch in batches:
+            w, h = batch.column("words"), batch.column("h")
+            ends = np.asarray(w.offsets)
+            hashes = np.asarray(h.flatten())
+            c = cells[hashes & (CELLS - 1)]
+            order = np.lexsort((hashes, c, np.repeat(np.arange(len(w)), np.diff(ends))))     # stable: equal hashes stay by word
+            n = np.diff(ends)
+            last = order[ends[:-1] + np.array([x - -(-NUM * x // DEN) for x in n.tolist()], np.int64)]
+            out = {"words": pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), w.flatten().take(pa.array(order))),
+                   "last": pa.StructArray.from_arrays([pa.array(c[last], pa.int64()), pa.array(hashes[last])], names=["df", "h"])}
+            yield pa.RecordBatch.from_arrays([batch.column(x) for x in [*G, "row_id"]] + [pa.array(n, pa.int32()), *out.values()], names=[*G, "row_id", "n", *out])
+
+    return run
+
+
+def _sets(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(event_id, key, row_id, rep)`` of every answer with a word, and the word sets of the reps.
+
+    ``answers`` are bucketed by row id, so an answer's words never move before its set is known; then each set is
+    one row.  Words are ordered by how often their hash's cell comes (a bound on the word's answers), so no word
+    meets a table of words.
+    """
+    spark = answers.sparkSession
+    bound_batches(spark)
+    words = F.array_distinct(F.regexp_extract_all(F.lower("answer"), F.lit(TOKEN_RE), 0))
+    rows = (answers.select(*G, "row_id", words.alias("w")).groupBy(*G, "row_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("w")))).alias("words"))
+            .where("size(words) > 0"))
+    rows = materialize(rows.withColumn("set_id", F.unhex(F.sha2(F.array_join("words", "\u0001"), 256))), "words")
+    ids = rows.select(*G, "row_id", "set_id")
+    reps = ids.groupBy(*G, "set_id").agg(F.min("row_id").alias("rep"))
+    named = materialize(ids.join(reps, [*G, "set_id"]).select(*G, "row_id", "rep"), "word-sets-named")
+    first = (rows.select(*G, "row_id", "words").join(named.where("rep = row_id").select(*G, "row_id").hint("shuffle_hash"), [*G, "row_id"], "left_semi")
+             .select(*G, "row_id", "words", F.expr("transform(words, x -> xxhash64(event_id, key, x))").alias("h")))
+    got = first.select(F.explode("h").alias("h")).groupBy((F.col("h").bitwiseAND(CELLS - 1)).cast("int").alias("cell")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[np.asarray(got.column("cell").combine_chunks())] = np.asarray(got.column("n").combine_chunks())
+    types = dict(rows.dtypes)
+    schema = f"event_id string, key string, row_id {types['row_id']}, n int, words array<string>, last struct<df: bigint, h: bigint>"
+    sent = spark.sparkContext.broadcast(counts) if has_jvm(spark) else counts
+    ordered = materialize(first.mapInArrow(_rare_first(sent), schema), "word-sets")
+    release(rows)
+    return named, ordered
+
+
 def word_sets(answers: DataFrame) -> DataFrame:
-    """``(event_id, key, row_id, n, words, last, rep)``: the word set of every answer with a word.
+    """``(event_id, key, row_id, n, words, last, rep)``: every answer with a word, and the word set of the reps.
 
     ``words`` goes from rare to frequent (ties by the word's hash, then the
     word), ``last`` is the place of the prefix's last word in that order, ``rep``
     the smallest row id of the answers with the same set.
     """
-    tok = (answers.select(*G, "row_id", F.explode(F.regexp_extract_all(F.lower("answer"), F.lit(TOKEN_RE), 0))
-                          .alias("term")).distinct())
-    freq = tok.groupBy(*G, "term").agg(F.count(F.lit(1)).alias("df"))
-    # one row per answer; the array is its own distinct words
-    sets = (tok.join(freq, [*G, "term"]).groupBy(*G, "row_id")
-            .agg(F.sort_array(F.collect_list(F.struct("df", F.xxhash64("term").alias("h"), "term"))).alias("w"))
-            .select(*G, "row_id", F.size("w").alias("n"), "w")
-            .select(*G, "row_id", "n", F.transform("w", lambda x: x["term"]).alias("words"),
-                    F.expr(f"transform(slice(w, {PREFIX}, 1), x -> struct(x.df, x.h))[0]").alias("last")))
-    sets = materialize(sets.withColumn("set_id", F.sha2(F.array_join("words", "\u0001"), 256)), "word-sets")
-    reps = sets.groupBy(*G, "set_id").agg(F.min("row_id").alias("rep"))
-    return sets.join(reps, [*G, "set_id"]).drop("set_id")
+    named, first = _sets(answers)
+    return first.join(named, [*G, "row_id"], "right").select(*G, "row_id", "n", "words", "last", "rep")
 
 
 def _enough(met: DataFrame) -> DataFrame:
@@ -93,7 +136,7 @@ def components_of(links: DataFrame) -> DataFrame:
 def similar_links(sets: DataFrame) -> DataFrame:
     """``(event_id, key, a, b)``: links of word sets, by their reps, that connect the same sets as all links.
 
-    In each round every set is compared with the centres of its rare words only: of each word's sets
+    In each round every set is compared with the centres of its crowded rare words only: of each word's sets
     the smallest and the one that a hash of the round puts first.  What links becomes one component, and sets
     of one component are never compared again; so a family of near copies costs its size.  When a round finds
     little, the pairs that are still apart are compared: of different components, under the length filter.
@@ -104,8 +147,11 @@ def similar_links(sets: DataFrame) -> DataFrame:
                                    F.struct("sid", "n", F.expr(f"n - {PREFIX}").alias("rest"), "last").alias("x"))
                         .withColumn("px", F.col("px") + 1), "prefix-words")
     found, label = None, one.select("sid", F.col("sid").alias("label"))
-    for turn in range(TURNS):
-        keys = sides.join(label, "sid")
+    # a word of few sets has few pairs; a large family's words are all crowded
+    crowds = sides.groupBy("term").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") >= CROWD).select("term")
+    crowded = materialize(sides.join(crowds, "term"), "crowded-words")
+    for turn in range(0 if crowded.isEmpty() else TURNS):
+        keys = crowded.join(label, "sid")
         shared = keys.groupBy("term").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("x", "px", "label"), "sid").alias("c1"),
                                           F.min_by(F.struct("x", "px", "label"), F.xxhash64("sid", F.lit(turn))).alias("c2")).where("lo <> hi")
         centre = shared.select("term", F.explode(F.array_distinct(F.array("c1", "c2"))).alias("c"))
@@ -119,15 +165,17 @@ def similar_links(sets: DataFrame) -> DataFrame:
         label = materialize(of.join(least, [*G, "group_id"]).select("sid", "label"), "set-labels")
         if n < MIN_FOUND:
             break
-    keys = sides.join(label, "sid")
     # only words whose sets are still in several components
+    keys = sides.withColumn("label", F.col("sid")) if found is None else sides.join(label, "sid")
     apart = keys.groupBy("term").agg((F.min("label") != F.max("label")).alias("apart")).where("apart").select("term")
     keys = materialize(keys.join(apart, "term"), "prefix-words")
+    release(sides, crowded)
     left = keys.select("term", "x", "px", F.col("label").alias("la"))
     right = keys.select("term", F.col("x").alias("y"), F.col("px").alias("py"), F.col("label").alias("lb"))
     met = (left.join(right, "term")
            .where(f"la <> lb and (x.n < y.n or (x.n = y.n and x.sid < y.sid)) and {DEN} * x.n >= {NUM} * y.n").select("x", "px", "y", "py"))
-    return found.unionByName(_verified(materialize(_enough(met), "similar-pairs"), one))
+    rest = _verified(materialize(_enough(met), "similar-pairs"), one)
+    return rest if found is None else found.unionByName(rest)
 
 
 def _jump(parent: DataFrame) -> DataFrame:
@@ -179,7 +227,7 @@ def similar_groups(answers: DataFrame) -> DataFrame:
     answer with the smallest row id (the group id).
     """
     spark = answers.sparkSession
-    with work_scope(spark):
+    with work_scope(spark), no_shuffles_left(spark):
         groups = _groups(answers)
         out = shared_path(spark, "rsvpark-work", f"similar-{uuid.uuid4().hex}")
         groups.write.mode("overwrite").parquet(out)
@@ -190,10 +238,10 @@ def _groups(answers: DataFrame) -> DataFrame:
     # Read twice below.  Bucketed by (group, answer): joining labels back moves
     # the labels, not the answer texts.
     answers = bucketed(answers, [*G, "row_id"], "answers")
-    sets = materialize(word_sets(answers), "word-sets-named")
-    links = similar_links(sets)
+    named, first = _sets(answers)
+    links = similar_links(first.withColumn("rep", F.col("row_id")))
     cc = components_of(links).withColumnRenamed("row_id", "rep")
-    of = sets.select(*G, "row_id", "rep").join(cc, [*G, "rep"], "left").select(*G, "row_id", F.coalesce("group_id", "rep").alias("group_id"))
+    of = named.join(cc, [*G, "rep"], "left").select(*G, "row_id", F.coalesce("group_id", "rep").alias("group_id"))
     ids = (answers.select(*G, "row_id").join(of, G + ["row_id"], "left")
            .select(*G, F.coalesce("group_id", "row_id").alias("group_id")))
     counts = ids.groupBy(*G, "group_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_answers"))

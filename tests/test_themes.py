@@ -395,3 +395,35 @@ def test_long_texts_are_trimmed_as_short_ones(spark):
     texts = ["", " ", "a", " a", "a\u3000", "\x1ca b\x1f", "a b", "\u00a0x\n", None, "\U00020000 ", "\u2003\U00020000"]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(strip_long("t").alias("a"), strip_ws("t").alias("b")).collect()
     assert [r.a for r in got] == [r.b for r in got]
+
+
+def test_only_crowded_words_have_rounds_of_centres(spark, monkeypatch):
+    """Lists without a crowded word are compared at once; with any bound the groups are those of all pairs, and
+    answers in parts (one row id in two rows) are one set."""
+    import collections
+    import random
+    rng = random.Random(12)
+    rows = []
+    for i in range(90):
+        w = rng.sample([f"w{j}" for j in range(50)], 6) if not rows or rng.random() < 0.4 else rng.choice(rows)[3].split()
+        w[rng.randrange(len(w))] = f"w{rng.randrange(50)}"
+        rows.append((rng.choice(["e1", "e2"]), "speaker_q", i, " ".join(w)))
+    df = spark.createDataFrame(rows + [rows[5]], "event_id string, key string, row_id long, answer string")
+    calls, real = [], similar._verified
+    monkeypatch.setattr(similar, "_verified", lambda *a: calls.append(1) or real(*a))
+    want = collections.Counter((r[0], g) for r, g in _brute_groups(rows).items())
+    want[rows[5][0], _brute_groups(rows)[rows[5][:3]]] += 1
+    for bound, rounds in ((256, 0), (2, 1)):
+        monkeypatch.setattr(similar, "CROWD", bound)
+        calls.clear()
+        got = similar.similar_groups(df).dropDuplicates(["event_id", "group_id"]).collect()
+        assert {(r.event_id, r.group_id): r.n_answers for r in got} == want
+        assert (len(calls) > 1) == bool(rounds)
+
+
+def test_similar_groups_leave_no_shuffle_files_between_rounds(spark, answers, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, was, real = [], spark.conf.get(key, "false"), similar.materialize
+    monkeypatch.setattr(similar, "materialize", lambda df, tag="work": seen.append(spark.conf.get(key)) or real(df, tag))
+    similar.similar_groups(answers)
+    assert seen and set(seen) == {"true"} and spark.conf.get(key, "false") == was
